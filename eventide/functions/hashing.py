@@ -49,5 +49,5 @@ def poly_hash(c, seed: int = 61, bits: int = 29) -> Column:
     chars = _code_units(col_of(c))
     return F.aggregate(
         chars, F.lit(0).cast("long"),
-        lambda acc, ch: F.bitwise_and(acc * seed + F.ascii(ch), F.lit(mask)),
+        lambda acc, ch: (acc * seed + F.ascii(ch)).bitwiseAND(F.lit(mask)),
     )

@@ -58,10 +58,10 @@ def with_halo(df: DataFrame, us_col: str, bucket_us: int, reach_us: int,
         buckets = F.sequence(first, own)
     else:
         raise ValueError(direction)
-    return (df.withColumn("_own", own)
+    return (df.withColumn("__sq_own", own)
               .withColumn(BUCKET, F.explode(buckets))
-              .withColumn(CONTEXT, F.col(BUCKET) != F.col("_own"))
-              .drop("_own"))
+              .withColumn(CONTEXT, F.col(BUCKET) != F.col("__sq_own"))
+              .drop("__sq_own"))
 
 
 def default_bucket_us(reach_us: int, factor: int = 8, floor_us: int = 60_000_000) -> int:
@@ -81,16 +81,16 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     """
     part = _names(part)
     w = F.col(weight) if isinstance(weight, str) else weight
-    d = df.withColumn(BUCKET, bucket).withColumn("_w", w)
+    d = df.withColumn(BUCKET, bucket).withColumn("__sq_w", w)
     win = Window.partitionBy(*part, BUCKET).orderBy(*order)
     win = (win.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
            else win.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_local", F.sum("_w").over(win))
-    totals = local.groupBy(*part, BUCKET).agg(F.sum("_w").alias("_bt"))
+    local = d.withColumn("__sq_local", F.sum("__sq_w").over(win))
+    totals = local.groupBy(*part, BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
     prev = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, BUCKET, F.coalesce(F.sum("_bt").over(prev), F.lit(0)).alias("_off"))
+    offsets = totals.select(*part, BUCKET, F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
     res = local.join(offsets, on=[*part, BUCKET], how="inner")
-    return res.withColumn(out, F.col("_off") + F.col("_local")).drop("_off", "_local", "_w", BUCKET)
+    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_w", BUCKET)
 
 
 def scan_row_number(df: DataFrame, part, order: Sequence[Column | str], bucket: Column,

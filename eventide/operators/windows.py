@@ -87,8 +87,8 @@ def tumbling_distinct(df: DataFrame, ts: str, col: str, size, keys=None, out: st
     size_us = duration_us(size)
     df, names = _key_names(df, keys)
     slot = F.floor(epoch_us(ts) / F.lit(size_us)).cast("long")
-    pairs = df.select(*names, slot.alias("_slot"), F.col(col).alias("_v")).where(F.col("_v").isNotNull()) \
-        .groupBy(*names, "_slot", "_v").agg()
+    pairs = (df.select(*names, slot.alias("_slot"), F.col(col).alias("_v")).where(F.col("_v").isNotNull())
+               .distinct())
     g = pairs.groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias(out))
     return (g.withColumn(W_START, F.col("_slot") * F.lit(size_us))
              .withColumn(W_END, F.col(W_START) + F.lit(size_us)).drop("_slot"))
@@ -266,9 +266,9 @@ def sliding_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, step: int,
     rn = _row_numbers(df, names, ts, tiebreak, bucket)
     k = n // step
     # Window ending at row e (e % step == 0) contains r iff e - n < r <= e.
-    first_end = F.ceil(F.col("_rn") / F.lit(step)).cast("long")
-    ends = F.sequence(first_end, first_end + F.lit(k - 1))
-    ex = rn.withColumn("_end", F.explode(ends) * F.lit(step))
+    first_end = F.ceil(F.col("_rn") / F.lit(step)).cast("long") * F.lit(step)
+    ends = F.sequence(first_end, first_end + F.lit((k - 1) * step), F.lit(step).cast("long"))
+    ex = rn.withColumn("_end", F.explode(ends))
     aggs = [F.count(F.lit(1)).alias("cnt"), F.min("_us").alias("first_us"), F.max("_us").alias("last_us")]
     if value:
         aggs.append(F.sum(value).alias("total"))

@@ -50,7 +50,7 @@ def split_like_jvm(s, sep: str) -> Column:
     import re as _re
     s = col_of(s)
     pat = _re.escape(sep)
-    stripped = F.regexp_replace(s, f"(?:{pat})+$", "")
+    stripped = F.regexp_replace(s, f"(?:{pat})+\\z", "")
     return (F.when((F.length(s) > 0) & (F.length(stripped) == 0), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, pat)))
 
