@@ -55,14 +55,20 @@ def split_like_jvm(s, sep: str) -> Column:
             .otherwise(F.split(stripped, pat)))
 
 
-def parse_delimited(df: DataFrame, schema: T.StructType, sep: str = ",", col: str = "value",
-                    positions: list[int] | None = None, mode: str = "FAILFAST") -> DataFrame:
+def parse_delimited(df: DataFrame, schema: T.StructType | str, sep: str = ",", col: str = "value",
+                    positions: list[int] | None = None, mode: str = "FAILFAST",
+                    keep: list[str] | None = None) -> DataFrame:
     """Split a line column by ``sep`` and cast fields by position.
 
     ``positions`` picks which split positions feed the schema fields (to skip
     a column, e.g. positions [0, 1, 3]). FAILFAST casts strictly (ANSI cast
     errors on bad input); PERMISSIVE uses ``try_cast`` and adds ``_malformed``.
+    ``keep`` names input columns carried through unchanged (e.g. a line number
+    or Kafka metadata).
     """
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    keep = list(keep or [])
     parts = split_like_jvm(F.col(col), sep)
     positions = positions or list(range(len(schema.fields)))
     out = []
@@ -79,12 +85,12 @@ def parse_delimited(df: DataFrame, schema: T.StructType, sep: str = ",", col: st
             v = raw.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else raw
             out.append(v.alias(f.name))
             bad.append(v.isNull())
-    res = df.select(*out)
+    res = df.select(*out, *keep)
     if mode.upper() != "FAILFAST" and bad:
         flag = bad[0]
         for b in bad[1:]:
             flag = flag | b
-        res = df.select(*out, flag.alias("_malformed"))
+        res = df.select(*out, *keep, flag.alias("_malformed"))
     return res
 
 
