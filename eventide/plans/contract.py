@@ -438,3 +438,13 @@ QUERIES = {
     "first_daily": first_daily,
     "changelog": changelog,
 }
+
+
+def sliding_1h_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline probe: count per event type, 1 h windows sliding by 15 s."""
+    ev = driver_table(spark, sf_dir, "events").select("ts", "event_type")
+    c = windows.sliding_count(ev, "ts", ["event_type"], "1 hour", "15 seconds")
+    return c.select("window_start", "event_type", "cnt")
+
+
+QUERIES["sliding_1h_15s"] = sliding_1h_15s

@@ -317,6 +317,10 @@ def oracle_sql() -> dict[str, str]:
                          f"FROM {EV} e GROUP BY 1, 2"),
         "sql_tumble": (f"SELECT us // {hour} * {hour} // 1000 AS window_start, event_type, count(*) AS cnt "
                        f"FROM {EV} e GROUP BY 1, 2"),
+        "sliding_1h_15s": f"""
+WITH x AS ({_sliding(f'{EV} e', 'event_type', 'us', hour, 15_000_000)})
+SELECT w * 15000000 AS window_start, event_type, count(*) AS cnt FROM x GROUP BY w, event_type
+""",
         "slide_10h": f"""
 WITH x AS ({_sliding(f'{EV} e', 'event_type', 'us', 10 * hour, hour)})
 SELECT w * {hour} // 1000 AS window_start, event_type, count(*) AS cnt FROM x GROUP BY w, event_type
