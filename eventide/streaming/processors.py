@@ -1,0 +1,402 @@
+"""Keyed stateful detectors on unbounded DataFrames (``transformWithStateInPandas``).
+
+A micro-batch hands a key all its new rows at once, and event-time timers
+only fire after the batch's rows were handled. The reference's processors
+instead interleave each event with the timers that fall before it. To get
+the same answers as the batch operators, every processor here is an
+*event-time replay*: rows are buffered in list state until the watermark
+passes them, then fed to a small per-key state machine in (event time,
+tie-break) order, firing the machine's own timers between them. Real
+timers are registered at each buffered row's time and at each pending
+machine timer, rounded up to the millisecond, so the replay only ever runs
+over rows that can no longer be preceded by a new one.
+
+Machines keep their state as a JSON document in value state; buffered rows
+are JSON too, so one processor class serves every detector.
+
+Late rows (behind the watermark) are dropped by Spark before they reach the
+processor, as the reference drops rows behind a closed window.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
+                                                      StatefulProcessorHandle, TimerValues)
+
+from ..functions.time import duration_us
+
+
+def _ceil_ms(us: int) -> int:
+    return -(-int(us) // 1000)
+
+
+# ------------------------------------------------------------------ machines
+
+class Machine:
+    """Per-key state machine over rows (dicts with ``t_us`` and ``t_tb``)."""
+
+    def __init__(self, state: dict | None = None):
+        self.s = state or self.initial()
+
+    def initial(self) -> dict:
+        return {}
+
+    def on_event(self, row: dict) -> list[dict]:
+        return []
+
+    def on_timer(self, due: int) -> list[dict]:
+        return []
+
+    def pending(self) -> list[int]:
+        return sorted(int(t) for t in self.s.get("timers", {}))
+
+
+class BurstMachine(Machine):
+    """Fails buffered; every event arms a timer at ts + within; a timer drains
+    the buffer and reports the first fail when it held more than one."""
+
+    def __init__(self, within_us: int, fail_col: str, state=None):
+        self.w, self.fail_col = within_us, fail_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"buf": [], "timers": {}}
+
+    def on_event(self, row):
+        if row[self.fail_col]:
+            self.s["buf"].append(row)
+        self.s["timers"][str(row["t_us"] + self.w)] = 1
+        return []
+
+    def on_timer(self, due):
+        self.s["timers"].pop(str(due), None)
+        buf, self.s["buf"] = self.s["buf"], []
+        if len(buf) > 1:
+            return [dict(buf[0], fails_in_burst=len(buf))]
+        return []
+
+
+class ConsecutiveFailMachine(Machine):
+    """Newest fail kept; a success clears it; a fail less than ``within`` after it warns."""
+
+    def __init__(self, within_us: int, fail_col: str, state=None):
+        self.w, self.fail_col = within_us, fail_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"last": None}
+
+    def on_event(self, row):
+        out = []
+        if row[self.fail_col]:
+            last = self.s["last"]
+            if last is not None and row["t_us"] < last["t_us"] + self.w:
+                out.append({"first_tb": last["t_tb"], "second_tb": row["t_tb"], "first_us": last["t_us"],
+                            "second_us": row["t_us"]})
+            self.s["last"] = {"t_us": row["t_us"], "t_tb": row["t_tb"]}
+        else:
+            self.s["last"] = None
+        return out
+
+
+class FollowedByMachine(Machine):
+    """Open starts wait for the next end; a start expires ``within`` after it (strict)."""
+
+    def __init__(self, within_us: int, start_col: str, end_col: str, state=None):
+        self.w, self.start_col, self.end_col = within_us, start_col, end_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"open": [], "timers": {}}
+
+    def _result(self, start, end, outcome):
+        return {"start_tb": start["t_tb"], "start_us": start["t_us"],
+                "end_tb": end["t_tb"] if end else None, "end_us": end["t_us"] if end else None, "outcome": outcome}
+
+    def on_event(self, row):
+        out = []
+        if row[self.end_col]:
+            for s in self.s["open"]:
+                ok = row["t_us"] - s["t_us"] < self.w
+                out.append(self._result(s, row if ok else None, "success" if ok else "timeout"))
+                self.s["timers"].pop(str(s["t_us"] + self.w), None)
+            self.s["open"] = []
+        elif row[self.start_col]:
+            self.s["open"].append({"t_us": row["t_us"], "t_tb": row["t_tb"]})
+            self.s["timers"][str(row["t_us"] + self.w)] = 1
+        return out
+
+    def on_timer(self, due):
+        self.s["timers"].pop(str(due), None)
+        out, keep = [], []
+        for s in self.s["open"]:
+            if s["t_us"] + self.w <= due:
+                out.append(self._result(s, None, "timeout"))
+            else:
+                keep.append(s)
+        self.s["open"] = keep
+        return out
+
+
+class DeadlineMachine(Machine):
+    """Paid flag; a start while unpaid arms a timer at start + within; a firing
+    timer clears the flag if paid, else alerts."""
+
+    def __init__(self, within_us: int, start_col: str, end_col: str, state=None):
+        self.w, self.start_col, self.end_col = within_us, start_col, end_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"paid": False, "timers": {}}
+
+    def on_event(self, row):
+        if row[self.start_col] and not self.s["paid"]:
+            self.s["timers"].setdefault(str(row["t_us"] + self.w), {"t_tb": row["t_tb"], "t_us": row["t_us"]})
+        elif row[self.end_col]:
+            self.s["paid"] = True
+        return []
+
+    def on_timer(self, due):
+        start = self.s["timers"].pop(str(due), None)
+        if start is None:
+            return []
+        if self.s["paid"]:
+            self.s["paid"] = False
+            return []
+        return [{"start_tb": start["t_tb"], "start_us": start["t_us"], "msg": "order timeout"}]
+
+
+class QuotaMachine(Machine):
+    """Daily per-key counter: max_count + 1 rows pass, the next one alerts once."""
+
+    def __init__(self, max_count: int, state=None):
+        self.max = max_count
+        super().__init__(state)
+
+    def initial(self):
+        return {"day": None, "count": 0, "alerted": False}
+
+    def on_event(self, row):
+        day = row["t_us"] // 86_400_000_000
+        if day != self.s["day"]:
+            self.s.update(day=day, count=0, alerted=False)
+        if self.s["count"] > self.max:
+            if not self.s["alerted"]:
+                self.s["alerted"] = True
+                return [{"t_tb": row["t_tb"], "t_us": row["t_us"], "outcome": "blocked_first"}]
+            return []
+        self.s["count"] += 1
+        return [{"t_tb": row["t_tb"], "t_us": row["t_us"], "outcome": "pass"}]
+
+
+class ChangelogMachine(Machine):
+    """Running count with retractions: (False, c-1) then (True, c) per row."""
+
+    def initial(self):
+        return {"c": 0}
+
+    def on_event(self, row):
+        self.s["c"] += 1
+        c = self.s["c"]
+        out = [{"t_tb": row["t_tb"], "is_add": False, "cnt": c - 1}] if c > 1 else []
+        return out + [{"t_tb": row["t_tb"], "is_add": True, "cnt": c}]
+
+
+class MatchMachine(Machine):
+    """Two feeds on one key: each row pairs with the oldest waiting row of the
+    other side, else waits ``wait`` after its own time and is reported unmatched."""
+
+    def __init__(self, wait_us: int, side_col: str, state=None):
+        self.wait, self.side_col = wait_us, side_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"L": [], "R": [], "timers": {}}
+
+    def on_event(self, row):
+        side = row[self.side_col]
+        other = "R" if side == "L" else "L"
+        if self.s[other]:
+            o = self.s[other].pop(0)
+            l_, r_ = (row, o) if side == "L" else (o, row)
+            return [{"l_tb": l_["t_tb"], "r_tb": r_["t_tb"], "outcome": "matched"}]
+        self.s[side].append({"t_tb": row["t_tb"], "t_us": row["t_us"]})
+        self.s["timers"][str(row["t_us"] + self.wait)] = 1
+        return []
+
+    def on_timer(self, due):
+        self.s["timers"].pop(str(due), None)
+        out = []
+        for side, col, tag in (("L", "l_tb", "left_only"), ("R", "r_tb", "right_only")):
+            keep = []
+            for r in self.s[side]:
+                if r["t_us"] + self.wait <= due:
+                    out.append({"l_tb": None, "r_tb": None, col: r["t_tb"], "outcome": tag})
+                else:
+                    keep.append(r)
+            self.s[side] = keep
+        return out
+
+
+# ------------------------------------------------------------------ processor
+
+class EventTimeReplay(StatefulProcessor):
+    """Buffers a key's rows until the watermark passes them, then replays them
+    through ``machine_factory(state)`` in (``t_us``, ``t_tb``) order."""
+
+    def __init__(self, machine_factory, key_cols: list[str], out_cols: list[str]):
+        self.machine_factory = machine_factory
+        self.key_cols = key_cols
+        self.out_cols = out_cols
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buffer = handle.getListState("buffer", "us BIGINT, row STRING")
+        self.state = handle.getValueState("machine", "s STRING")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = []
+        for pdf in rows:
+            for rec in pdf.to_dict("records"):
+                rec = {k: (v.item() if hasattr(v, "item") else v) for k, v in rec.items()}
+                new.append((int(rec["t_us"]), json.dumps(rec, default=str)))
+        if new:
+            self.buffer.appendList(new)
+            for ms in {_ceil_ms(u) for u, _ in new}:
+                self.handle.registerTimer(ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues,
+                           expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # Every row at or before the watermark is final, so the replay runs up
+        # to the watermark (not just to this timer) and fires the machine's
+        # timers that fall before it in the same pass.
+        horizon = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
+        buffered = list(self.buffer.get()) if self.buffer.exists() else []
+        ready = sorted((json.loads(r) for u, r in buffered if u <= horizon), key=lambda r: (r["t_us"], r["t_tb"]))
+        later = [(u, r) for u, r in buffered if u > horizon]
+        st = self.state.get() if self.state.exists() else None
+        m = self.machine_factory(json.loads(st[0]) if st else None)
+        out = []
+        for row in ready:
+            for due in [t for t in m.pending() if t < row["t_us"]]:
+                out += m.on_timer(due)
+            out += m.on_event(row)
+        for due in [t for t in m.pending() if t <= horizon]:
+            out += m.on_timer(due)
+        if m.s == m.initial():
+            self.state.clear()          # nothing to remember for this key
+        else:
+            self.state.update((json.dumps(m.s),))
+        if later:
+            self.buffer.put(later)
+        else:
+            self.buffer.clear()
+        for t in m.pending():
+            self.handle.registerTimer(_ceil_ms(t))
+        if not out:
+            return iter([])
+        kv = dict(zip(self.key_cols, key if isinstance(key, tuple) else (key,)))
+        rows = [{**kv, **o} for o in out]
+        return iter([pd.DataFrame([[r.get(c) for c in self.out_cols] for r in rows], columns=self.out_cols)])
+
+    def close(self) -> None:
+        pass
+
+
+def replay(stream: DataFrame, keys, ts: str, tiebreak: str, machine_factory, out_schema: T.StructType,
+           carry: list[str]) -> DataFrame:
+    """Run ``machine_factory`` per key over a watermarked stream (append output).
+
+    ``carry`` lists the input columns the machine reads (besides time and
+    tie-break). Output columns: ``out_schema`` (key columns first).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    inp = stream.select(*keys, F.unix_micros(F.col(ts)).alias("t_us"), F.col(tiebreak).alias("t_tb"), *carry,
+                        F.col(ts))
+    proc = EventTimeReplay(machine_factory, keys, [f.name for f in out_schema.fields])
+    return (inp.groupBy(*keys)
+               .transformWithStateInPandas(statefulProcessor=proc, outputStructType=out_schema,
+                                           outputMode="Append", timeMode="EventTime"))
+
+
+def _schema(keys_schema: list[T.StructField], extra: str) -> T.StructType:
+    return T.StructType(keys_schema + list(T._parse_datatype_string(extra).fields))
+
+
+def _key_fields(df: DataFrame, keys) -> list[T.StructField]:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return [df.schema[k] for k in keys]
+
+
+# ------------------------------------------------------------------ detectors
+
+def burst_stream(df, key, ts, is_fail: str, within, tiebreak):
+    """D1 on a stream: first fail of each drained group of two or more."""
+    w = duration_us(within)
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"t_tb {tb_type}, t_us BIGINT, fails_in_burst BIGINT")
+    d = df.withColumn("is_fail", F.expr(is_fail) if isinstance(is_fail, str) else is_fail)
+    return replay(d, key, ts, tiebreak, lambda s: BurstMachine(w, "is_fail", s), sch, ["is_fail"])
+
+
+def consecutive_fail_stream(df, key, ts, is_fail, within, tiebreak):
+    """D2/D3 on a stream."""
+    w = duration_us(within)
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"first_tb {tb_type}, second_tb {tb_type}, first_us BIGINT, second_us BIGINT")
+    d = df.withColumn("is_fail", F.expr(is_fail) if isinstance(is_fail, str) else is_fail)
+    return replay(d, key, ts, tiebreak, lambda s: ConsecutiveFailMachine(w, "is_fail", s), sch, ["is_fail"])
+
+
+def followed_by_stream(df, key, ts, start, end, within, tiebreak):
+    """D4 on a stream: success / timeout per start."""
+    w = duration_us(within)
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key),
+                  f"start_tb {tb_type}, start_us BIGINT, end_tb {tb_type}, end_us BIGINT, outcome STRING")
+    d = (df.withColumn("is_start", F.expr(start) if isinstance(start, str) else start)
+           .withColumn("is_end", F.expr(end) if isinstance(end, str) else end))
+    return replay(d, key, ts, tiebreak, lambda s: FollowedByMachine(w, "is_start", "is_end", s), sch, ["is_start", "is_end"])
+
+
+def deadline_stream(df, key, ts, start, end, within, tiebreak):
+    """D5 on a stream: 'order timeout' per fired, unpaid timer."""
+    w = duration_us(within)
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"start_tb {tb_type}, start_us BIGINT, msg STRING")
+    d = (df.withColumn("is_start", F.expr(start) if isinstance(start, str) else start)
+           .withColumn("is_end", F.expr(end) if isinstance(end, str) else end))
+    return replay(d, key, ts, tiebreak, lambda s: DeadlineMachine(w, "is_start", "is_end", s), sch, ["is_start", "is_end"])
+
+
+def quota_stream(df, keys, ts, max_count, tiebreak):
+    """D6/D7 on a stream: rows tagged 'pass' or 'blocked_first'."""
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, keys), f"t_tb {tb_type}, t_us BIGINT, outcome STRING")
+    return replay(df, keys, ts, tiebreak, lambda s: QuotaMachine(max_count, s), sch, [])
+
+
+def changelog_stream(df, key, ts, tiebreak):
+    """K11 on a stream: retract/add rows of a running count per key."""
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"t_tb {tb_type}, is_add BOOLEAN, cnt BIGINT")
+    return replay(df, key, ts, tiebreak, lambda s: ChangelogMachine(s), sch, [])
+
+
+def match_stream(left, right, key, ts, tiebreak, wait):
+    """J1/J2 on streams: union with a side tag, pair per key in event order,
+    report rows unmatched ``wait`` after their own time."""
+    w = duration_us(wait)
+    cols = [key, ts, tiebreak] if isinstance(key, str) else [*key, ts, tiebreak]
+    u = left.select(*cols, F.lit("L").alias("side")).unionByName(right.select(*cols, F.lit("R").alias("side")))
+    tb_type = left.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(left, key), f"l_tb {tb_type}, r_tb {tb_type}, outcome STRING")
+    return replay(u, key, ts, tiebreak, lambda s: MatchMachine(w, "side", s), sch, ["side"])

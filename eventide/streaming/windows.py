@@ -1,0 +1,100 @@
+"""Streaming forms of the window operators (append mode under a watermark).
+
+Inputs must carry a watermark on ``ts`` (``watermarks.with_bounded_watermark``).
+Outputs use the same column names as the batch operators (window bounds in
+epoch microseconds) so a stream can be compared with its batch replay.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.time import duration_us
+
+
+def _bounds(df: DataFrame, w: str = "window") -> DataFrame:
+    return (df.withColumn("window_start", F.unix_micros(F.col(f"{w}.start")))
+              .withColumn("window_end", F.unix_micros(F.col(f"{w}.end"))).drop(w))
+
+
+def _names(keys):
+    return [keys] if isinstance(keys, str) else list(keys or [])
+
+
+def sliding_count(df: DataFrame, ts: str, keys, size, slide=None, out: str = "cnt",
+                  keep: str | None = None) -> DataFrame:
+    """Count per (window, keys); one row per window once the watermark closes it.
+
+    ``keep`` names a boolean column (see ``watermarks.count_if_keep``): rows
+    where it is false still advance event time but are not counted.
+    """
+    slide = slide or size
+    w = F.window(F.col(ts), f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds")
+    agg = F.count_if(F.col(keep)) if keep else F.count(F.lit(1))
+    g = df.groupBy(w.alias("window"), *_names(keys)).agg(agg.alias(out))
+    if keep:
+        g = g.where(F.col(out) > 0)
+    return _bounds(g)
+
+
+def tumbling_count(df: DataFrame, ts: str, keys, size, out: str = "cnt") -> DataFrame:
+    return sliding_count(df, ts, keys, size, size, out)
+
+
+def session_count(df: DataFrame, ts: str, gap, keys, out: str = "cnt") -> DataFrame:
+    sw = F.session_window(F.col(ts), f"{duration_us(gap)} microseconds")
+    return _bounds(df.groupBy(sw.alias("window"), *_names(keys)).agg(F.count(F.lit(1)).alias(out)))
+
+
+def tumbling_distinct(df: DataFrame, ts: str, col: str, size, out: str = "uv") -> DataFrame:
+    """Exact distinct count per window on a stream.
+
+    Exact ``count(DISTINCT)`` is not supported on streams; deduplicating
+    (window, value) under the watermark and then counting per window is,
+    and both state stores are evicted when the window closes.
+    """
+    w = F.window(F.col(ts), f"{duration_us(size)} microseconds")
+    d = (df.withColumn("window", w)
+           .dropDuplicates(["window", col]))
+    return _bounds(d.groupBy("window").agg(F.count(F.lit(1)).alias(out)))
+
+
+def top_n_per_window(counts_stream: DataFrame, n: int, order_col: str, key: str, out: str = "top") -> DataFrame:
+    """Second aggregation over closed windows: the n best (count desc, key asc) per window.
+
+    Operates on the output of ``sliding_count`` *before* ``_bounds`` is
+    applied, i.e. on a stream that still has the ``window`` struct; use
+    ``windowed_top_n`` for the complete chain.
+    """
+    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col(order_col)).alias("neg"), F.col(key).alias("k"),
+                                                         F.col(order_col).alias("c")))), 1, n)
+    g = counts_stream.groupBy("window").agg(best.alias(out))
+    ranked = g.select("window", F.posexplode(out).alias("pos", "e"))
+    return _bounds(ranked.select("window", F.col("e.k").alias(key), F.col("e.c").alias(order_col),
+                                 (F.col("pos") + 1).alias("rank")))
+
+
+def windowed_top_n(df: DataFrame, ts: str, key: str, size, slide, n: int, out: str = "cnt") -> DataFrame:
+    """Chained streaming aggregation: counts per (window, key), then top n per window.
+
+    Both stateful aggregations run in append mode under the same watermark;
+    the second sees each window once, when the first emits it.
+    """
+    w = F.window(F.col(ts), f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds")
+    counts = df.groupBy(w.alias("window"), key).agg(F.count(F.lit(1)).alias(out))
+    return top_n_per_window(counts, n, out, key)
+
+
+def first_seen(df: DataFrame, id_col: str, ts: str, day_col: str = "day") -> DataFrame:
+    """First arriving row per (id, UTC day), with state evicted when the day closes.
+
+    The day is a 1-day tumbling window on the watermarked event time, so the
+    deduplication state of a day is dropped once the watermark passes it.
+    """
+    d = df.withColumn("_day_w", F.window(F.col(ts), "1 day"))
+    # One event-time column per stream: the day window carries it from here on.
+    d = d.withColumn(ts, F.col(ts) + F.expr("INTERVAL 0 SECONDS"))
+    d = d.dropDuplicates([id_col, "_day_w"])
+    return (d.withColumn(day_col, F.floor(F.unix_micros(F.col("_day_w.start")) / F.lit(86_400_000_000)).cast("long"))
+             .drop("_day_w"))
