@@ -245,6 +245,133 @@ class MatchMachine(Machine):
         return out
 
 
+class OverMachine(Machine):
+    """Over-window aggregates per row, emitted in event-time order (N4-N8 on streams).
+
+    ``frame``: 'range_unbounded', 'rows_unbounded', ('range', preceding_us)
+    or ('rows', n). Bounded frames keep only the rows they can still need.
+    Rows tied on time under 'range_unbounded' see each other: they are
+    released together once the next, later row (or the watermark) passes.
+    """
+
+    def __init__(self, frame, value_col: str, state=None):
+        self.frame, self.value_col = frame, value_col
+        super().__init__(state)
+
+    def initial(self):
+        return {"cnt": 0, "sum": 0.0, "recent": [], "tied": []}
+
+    def _emit(self, row, cnt, total):
+        return {"t_tb": row["t_tb"], "t_us": row["t_us"], "cnt": cnt, "total": total}
+
+    def _flush_tied(self):
+        out = [self._emit(r, self.s["cnt"], self.s["sum"]) for r in self.s["tied"]]
+        self.s["tied"] = []
+        return out
+
+    def on_event(self, row):
+        v = row[self.value_col] or 0.0
+        f = self.frame
+        if f == "rows_unbounded":
+            self.s["cnt"] += 1
+            self.s["sum"] += v
+            return [self._emit(row, self.s["cnt"], self.s["sum"])]
+        if f == "range_unbounded":
+            out = []
+            if self.s["tied"] and self.s["tied"][0]["t_us"] != row["t_us"]:
+                out = self._flush_tied()
+            self.s["cnt"] += 1
+            self.s["sum"] += v
+            self.s["tied"].append({"t_tb": row["t_tb"], "t_us": row["t_us"]})
+            self.s["timers"] = {str(row["t_us"]): 1}
+            return out
+        kind, size = f
+        if kind == "rows":
+            recent = (self.s["recent"] + [[row["t_us"], v]])[-(size + 1):]
+            self.s["recent"] = recent
+            return [self._emit(row, len(recent), sum(r[1] for r in recent))]
+        # RANGE: rows tied on time see each other, so a tie group is released together.
+        out = []
+        if self.s["tied"] and self.s["tied"][0]["t_us"] != row["t_us"]:
+            out = self._flush_range(size)
+        self.s["recent"].append([row["t_us"], v])
+        self.s["tied"].append({"t_tb": row["t_tb"], "t_us": row["t_us"]})
+        self.s["timers"] = {str(row["t_us"]): 1}
+        return out
+
+    def _flush_range(self, size):
+        if not self.s["tied"]:
+            return []
+        t = self.s["tied"][0]["t_us"]
+        recent = [r for r in self.s["recent"] if r[0] >= t - size]
+        self.s["recent"] = recent
+        cnt, total = len(recent), sum(r[1] for r in recent)
+        out = [self._emit(r, cnt, total) for r in self.s["tied"]]
+        self.s["tied"] = []
+        return out
+
+    def on_timer(self, due):
+        self.s.pop("timers", None)
+        if self.frame == "range_unbounded":
+            return self._flush_tied()
+        if isinstance(self.frame, (tuple, list)) and self.frame[0] == "range":
+            return self._flush_range(self.frame[1])
+        return []
+
+
+class RowWindowMachine(Machine):
+    """Count windows of n rows every ``step`` rows (step == n: tumbling, only full groups)."""
+
+    def __init__(self, n: int, step: int, state=None):
+        self.n, self.step = n, step
+        super().__init__(state)
+
+    def initial(self):
+        return {"rn": 0, "recent": []}
+
+    def on_event(self, row):
+        self.s["rn"] += 1
+        rn = self.s["rn"]
+        self.s["recent"] = (self.s["recent"] + [row["t_us"]])[-self.n:]
+        if rn % self.step:
+            return []
+        if self.step == self.n:
+            rec, self.s["recent"] = self.s["recent"], []
+            return [{"end_row": rn, "first_us": rec[0], "last_us": rec[-1], "cnt": len(rec)}]
+        rec = self.s["recent"]
+        return [{"end_row": rn, "first_us": rec[0], "last_us": rec[-1], "cnt": len(rec)}]
+
+
+class Top2Machine(Machine):
+    """Table aggregate on a stream: after each row, the current (value, rank) pairs
+    as a changelog (retract the old pair, add the new one when it changed)."""
+
+    def initial(self):
+        return {"top": [DOUBLE_MIN_S, DOUBLE_MIN_S], "seen": False}
+
+    def __init__(self, value_col: str, state=None):
+        self.value_col = value_col
+        super().__init__(state)
+
+    def on_event(self, row):
+        x = row[self.value_col]
+        if x is None:
+            return []
+        hi, second = self.s["top"]
+        new = [x, hi] if x > hi else ([hi, x] if x > second else [hi, second])
+        out = []
+        for rank, (old_v, new_v) in enumerate(zip(self.s["top"], new), start=1):
+            if old_v != new_v or not self.s["seen"]:
+                if self.s["seen"]:
+                    out.append({"t_tb": row["t_tb"], "is_add": False, "temp": old_v, "rank": rank})
+                out.append({"t_tb": row["t_tb"], "is_add": True, "temp": new_v, "rank": rank})
+        self.s["top"], self.s["seen"] = new, True
+        return out
+
+
+DOUBLE_MIN_S = -1.7976931348623157e308
+
+
 # ------------------------------------------------------------------ processor
 
 class EventTimeReplay(StatefulProcessor):
@@ -400,3 +527,29 @@ def match_stream(left, right, key, ts, tiebreak, wait):
     tb_type = left.schema[tiebreak].dataType.simpleString()
     sch = _schema(_key_fields(left, key), f"l_tb {tb_type}, r_tb {tb_type}, outcome STRING")
     return replay(u, key, ts, tiebreak, lambda s: MatchMachine(w, "side", s), sch, ["side"])
+
+
+def over_stream(df, key, ts, value: str, tiebreak, frame):
+    """Over-window count and sum per row on a stream, released in event-time order.
+
+    ``frame`` as in ``OverMachine``; durations for ('range', d) are parsed.
+    """
+    if isinstance(frame, tuple) and frame[0] == "range":
+        frame = ("range", duration_us(frame[1]))
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"t_tb {tb_type}, t_us BIGINT, cnt BIGINT, total DOUBLE")
+    return replay(df, key, ts, tiebreak, lambda s: OverMachine(frame, value, s), sch, [value])
+
+
+def row_windows_stream(df, key, ts, tiebreak, n: int, step: int | None = None):
+    """A10 / A12 on a stream: count windows of n rows (every ``step`` rows)."""
+    step = step or n
+    sch = _schema(_key_fields(df, key), "end_row BIGINT, first_us BIGINT, last_us BIGINT, cnt BIGINT")
+    return replay(df, key, ts, tiebreak, lambda s: RowWindowMachine(n, step, s), sch, [])
+
+
+def top2_stream(df, key, ts, value: str, tiebreak):
+    """G4 on a stream: changelog of the (value, rank) rows of the top-2 table aggregate."""
+    tb_type = df.schema[tiebreak].dataType.simpleString()
+    sch = _schema(_key_fields(df, key), f"t_tb {tb_type}, is_add BOOLEAN, temp DOUBLE, rank INT")
+    return replay(df, key, ts, tiebreak, lambda s: Top2Machine(value, s), sch, [value])

@@ -98,3 +98,26 @@ def first_seen(df: DataFrame, id_col: str, ts: str, day_col: str = "day") -> Dat
     d = d.dropDuplicates([id_col, "_day_w"])
     return (d.withColumn(day_col, F.floor(F.unix_micros(F.col("_day_w.start")) / F.lit(86_400_000_000)).cast("long"))
              .drop("_day_w"))
+
+
+def hashed_distinct(df: DataFrame, ts: str, col: str, size, seed: int = 61, bits: int = 29,
+                    out: str = "uv") -> DataFrame:
+    """A5 on a stream: per window, OR-merged 32768-bit bitmap chunks of the
+    offsets, then a second (chained) aggregation sums the chunk popcounts.
+    State per (window, chunk) is one 4 KiB bitmap."""
+    from ..functions.hashing import poly_hash
+    w = F.window(F.col(ts), f"{duration_us(size)} microseconds")
+    off = poly_hash(F.col(col).cast("string"), seed, bits)
+    chunks = (df.select(w.alias("window"), off.alias("_off"))
+                .groupBy("window", F.expr("bitmap_bucket_number(_off)").alias("_chunk"))
+                .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_off))").alias("_bm")))
+    g = chunks.groupBy("window").agg(F.sum(F.expr("bitmap_count(_bm)")).alias(out))
+    return _bounds(g)
+
+
+def word_count(lines: DataFrame, col: str = "value", sep: str = " ", out: str = "cnt") -> DataFrame:
+    """G1 on a stream: running count per token; run with output mode 'update'
+    (each micro-batch emits the words whose count changed)."""
+    from ..sources.files import split_like_jvm
+    words = lines.select(F.explode(split_like_jvm(F.col(col), sep)).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias(out))
