@@ -153,41 +153,92 @@ def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebre
 # ----------------------------------------------------------------- sliding
 
 def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",
-                       strategy: str = "auto") -> DataFrame:
+                       strategy: str = "auto", runs_bucket: int | None = None) -> DataFrame:
     """Count per (sliding window, keys) for all windows holding at least one row.
 
-    ``strategy='slots'`` (default when size is a multiple of slide): count per
-    (keys, slide slot) first, then expand each slot count to the size/slide
-    windows that contain it and sum. The raw rows are aggregated once; the
-    expansion runs on the much smaller slot counts, after a map-side partial
-    aggregation, so what crosses the network is (keys, window, partial count).
-    ``'native'`` uses ``groupBy(window(ts, size, slide))``, which expands every
-    raw row into size/slide copies before aggregating.
+    All strategies first count rows per (keys, slide slot), so raw rows are
+    aggregated once, map-side. Then:
+
+    * ``'slots'``: expand each slot count to the n = size/slide windows that
+      contain it and sum (work ~ n x slot counts; best for small n).
+    * ``'runs'``: change points and a bucketed prefix sum, expanding only runs
+      of non-zero counts (work ~ output rows; see ``_runs_from_slot_counts``).
+    * ``'native'``: ``groupBy(window(ts, size, slide))``, which copies every
+      raw row n times (used when size is not a multiple of slide).
+
+    ``'auto'`` takes slots for n <= 16, runs above (measured at sf0.1: 1 h /
+    15 s 5.2 s -> 1.1 s, 1 h / 1 s 208 s -> 1.3 s; n = 6: 0.32 s vs 0.65 s).
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     df, names = _key_names(df, keys)
     if strategy == "auto":
-        strategy = "slots" if size_us % slide_us == 0 else "native"
+        if size_us % slide_us:
+            strategy = "native"
+        else:
+            strategy = "slots" if size_us // slide_us <= 16 else "runs"
     if strategy == "native":
         w = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
         g = df.groupBy(w.alias("_w"), *names).agg(F.count(F.lit(1)).alias(out))
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
     if size_us % slide_us:
-        raise ValueError("slot strategy needs size to be a multiple of slide")
+        raise ValueError("slot and runs strategies need size to be a multiple of slide")
     n = size_us // slide_us
     slots = (df.withColumn("_slot", F.floor(epoch_us(ts) / F.lit(slide_us)).cast("long"))
                .groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias("_c")))
-    expanded = slots.select(*names, F.explode(F.sequence(F.col("_slot") - F.lit(n - 1), F.col("_slot"))).alias("_w"),
-                            "_c")
-    g = expanded.groupBy(*names, "_w").agg(F.sum("_c").alias(out))
+    if strategy == "runs":
+        g = _runs_from_slot_counts(slots, names, n, out, runs_bucket)
+    else:
+        expanded = slots.select(*names, F.explode(F.sequence(F.col("_slot") - F.lit(n - 1), F.col("_slot"))).alias("_w"),
+                                "_c")
+        g = expanded.groupBy(*names, "_w").agg(F.sum("_c").alias(out))
     return (g.withColumn(W_START, F.col("_w") * F.lit(slide_us))
              .withColumn(W_END, F.col(W_START) + F.lit(size_us)).drop("_w"))
 
 
+def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
+                           bucket_slots: int | None = None) -> DataFrame:
+    """Window counts from slot counts in O(output) work.
+
+    A slot j holding c rows adds c to the windows starting in [j-n+1, j], i.e.
+    +c at window j-n+1 and -c at window j+1. The running sum of these change
+    points, per key in window order, is the count of every window from that
+    point up to the next one; such a run of equal counts is at most n windows
+    long while it is non-zero. The running sum is a two-level scan over
+    buckets of window indices (a busy key is split over its buckets); the
+    small per-bucket table also gives each bucket's first point, which ends
+    the last run of the bucket before it. Only runs with a non-zero count are
+    expanded, so every generated row is an output row.
+    """
+    bkt = bucket_slots or max(8 * n, 4096)
+    if bkt < n:
+        raise ValueError("run bucket must hold at least size/slide windows")
+    d = F.col("_c")
+    points = (slots.select(*names, F.explode(F.array(
+                  F.struct((F.col("_slot") - F.lit(n - 1)).alias("w"), d.alias("d")),
+                  F.struct((F.col("_slot") + F.lit(1)).alias("w"), (-d).alias("d")))).alias("_p"))
+                   .select(*names, "_p.w", "_p.d")
+                   .groupBy(*names, "w").agg(F.sum("d").alias("d"))
+                   .withColumn("_b", F.floor(F.col("w") / F.lit(bkt)).cast("long")))
+    win = Window.partitionBy(*names, "_b").orderBy("w")
+    local = (points.withColumn("_lc", F.sum("d").over(win.rowsBetween(Window.unboundedPreceding, 0)))
+                   .withColumn("_nx", F.lead("w").over(win)))
+    totals = local.groupBy(*names, "_b").agg(F.sum("d").alias("_bt"), F.min("w").alias("_bmin"))
+    wb = Window.partitionBy(*names).orderBy("_b")
+    offsets = totals.select(*names, "_b",
+                            F.coalesce(F.sum("_bt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                       F.lit(0)).alias("_off"),
+                            F.lead("_bmin").over(wb).alias("_nb"))
+    j = local.join(offsets, on=[*names, "_b"])
+    cnt = F.col("_off") + F.col("_lc")
+    nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
+    return (j.where(cnt > 0)
+             .select(*names, F.explode(F.sequence(F.col("w"), nxt - F.lit(1))).alias("_w"), cnt.alias(out)))
+
+
 def sliding_count(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",
-                  strategy: str = "auto") -> DataFrame:
-    return sliding_agg_counts(df, ts, keys, size, slide, out, strategy)
+                  strategy: str = "auto", runs_bucket: int | None = None) -> DataFrame:
+    return sliding_agg_counts(df, ts, keys, size, slide, out, strategy, runs_bucket)
 
 
 def sliding_sum(df: DataFrame, ts: str, keys, size, slide, value: str, out: str = "total") -> DataFrame:

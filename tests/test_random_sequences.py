@@ -222,3 +222,23 @@ def test_reconcile_ranks_random(spark):
         exp = {(a[1], b[1]) for a, b in zip(ls, rs)}
         got_pairs = {(x.l_id, x.r_id) for x in rows if x.tx == k and x.outcome == "matched"}
         assert got_pairs == exp
+
+
+@pytest.mark.parametrize("seed,size,slide,bucket", [(20, 60, 5, 12), (21, 100, 10, 10), (22, 30, 30, 4)])
+def test_sliding_strategies_agree(spark, seed, size, slide, bucket):
+    rows = _events(seed, n=500, keys=4, span=2000)
+    df = _df(spark, rows)
+    sz, sl = f"{size} seconds", f"{slide} seconds"
+    cols = ["key", "window_start", "window_end", "cnt"]
+    a = windows.sliding_count(df, "ts", "key", sz, sl, strategy="slots").select(*cols).collect()
+    b = windows.sliding_count(df, "ts", "key", sz, sl, strategy="runs", runs_bucket=bucket).select(*cols).collect()
+    c = windows.sliding_count(df, "ts", "key", sz, sl, strategy="native").select(*cols).collect()
+    exp = defaultdict(int)
+    for _, key, t, _k, _v in rows:
+        first = (t // slide) - (size // slide) + 1
+        for w in range(first, t // slide + 1):
+            exp[(key, w * slide * S, (w * slide + size) * S)] += 1
+    want = sorted((k, s, e, c_) for (k, s, e), c_ in exp.items())
+    assert sorted(tuple(r) for r in a) == want
+    assert sorted(tuple(r) for r in b) == want
+    assert sorted(tuple(r) for r in c) == want
