@@ -85,12 +85,20 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     win = Window.partitionBy(*part, BUCKET).orderBy(*order)
     win = (win.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
            else win.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("__sq_local", F.sum("__sq_w").over(win))
-    totals = local.groupBy(*part, BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
+    whole = Window.partitionBy(*part, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                           Window.unboundedFollowing)
+    local = (d.withColumn("__sq_local", F.sum("__sq_w").over(win))
+              .withColumn("__sq_tot", F.sum("__sq_w").over(whole)))
+    # Bucket totals are read off the window output (not re-aggregated from the
+    # input), so both branches share one exchange and the upstream runs once.
+    totals = local.groupBy(*part, BUCKET).agg(F.max("__sq_tot").alias("__sq_bt"))
     prev = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, BUCKET, F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
-    res = local.join(offsets, on=[*part, BUCKET], how="inner")
-    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_w", BUCKET)
+    # The offsets table grows with keys x buckets, so it is never broadcast:
+    # ``local`` is already hash-partitioned on (part, bucket) by its window,
+    # so a shuffled hash join only moves the small offsets table.
+    res = local.join(offsets.hint("shuffle_hash"), on=[*part, BUCKET], how="inner")
+    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_tot", "__sq_w", BUCKET)
 
 
 def scan_row_number(df: DataFrame, part, order: Sequence[Column | str], bucket: Column,

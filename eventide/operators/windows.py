@@ -229,7 +229,7 @@ def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
                             F.coalesce(F.sum("_bt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("_off"),
                             F.lead("_bmin").over(wb).alias("_nb"))
-    j = local.join(offsets, on=[*names, "_b"])
+    j = local.join(offsets.hint("shuffle_hash"), on=[*names, "_b"])  # unbounded table: no broadcast
     cnt = F.col("_off") + F.col("_lc")
     nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
     return (j.where(cnt > 0)

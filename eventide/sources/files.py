@@ -50,9 +50,12 @@ def split_like_jvm(s, sep: str) -> Column:
     import re as _re
     s = col_of(s)
     pat = _re.escape(sep)
+    # Only a string ending in the separator has trailing empties to drop, so
+    # the regex runs on those alone; the common case is a plain split.
     stripped = F.regexp_replace(s, f"(?:{pat})+\\z", "")
-    return (F.when((F.length(s) > 0) & (F.length(stripped) == 0), F.array().cast("array<string>"))
-            .otherwise(F.split(stripped, pat)))
+    trimmed = (F.when(F.length(stripped) == 0, F.array().cast("array<string>"))
+                .otherwise(F.split(stripped, pat)))
+    return F.when(s.endswith(sep), trimmed).otherwise(F.split(s, pat))
 
 
 def parse_delimited(df: DataFrame, schema: T.StructType | str, sep: str = ",", col: str = "value",
