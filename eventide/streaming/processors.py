@@ -176,13 +176,17 @@ class DeadlineMachine(Machine):
 class QuotaMachine(Machine):
     """Daily per-key counter: max_count + 1 rows pass, the next one alerts once."""
 
-    def __init__(self, max_count: int, state=None):
+    def __init__(self, max_count: int, state=None, carry: list[str] | None = None):
         self.max = max_count
+        self.carry = carry or []
         super().__init__(state)
 
     def initial(self):
         return {"day": None, "count": 0, "alerted": False}
 
+    def _out(self, row, outcome):
+        return {"t_tb": row["t_tb"], "t_us": row["t_us"], "outcome": outcome, **{c: row[c] for c in self.carry}}
+
     def on_event(self, row):
         day = row["t_us"] // 86_400_000_000
         if day != self.s["day"]:
@@ -190,10 +194,10 @@ class QuotaMachine(Machine):
         if self.s["count"] > self.max:
             if not self.s["alerted"]:
                 self.s["alerted"] = True
-                return [{"t_tb": row["t_tb"], "t_us": row["t_us"], "outcome": "blocked_first"}]
+                return [self._out(row, "blocked_first")]
             return []
         self.s["count"] += 1
-        return [{"t_tb": row["t_tb"], "t_us": row["t_us"], "outcome": "pass"}]
+        return [self._out(row, "pass")]
 
 
 class ChangelogMachine(Machine):
@@ -378,10 +382,11 @@ class EventTimeReplay(StatefulProcessor):
     """Buffers a key's rows until the watermark passes them, then replays them
     through ``machine_factory(state)`` in (``t_us``, ``t_tb``) order."""
 
-    def __init__(self, machine_factory, key_cols: list[str], out_cols: list[str]):
+    def __init__(self, machine_factory, key_cols: list[str], out_cols: list[str], time_out: str | None = None):
         self.machine_factory = machine_factory
         self.key_cols = key_cols
         self.out_cols = out_cols
+        self.time_out = time_out
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -432,26 +437,35 @@ class EventTimeReplay(StatefulProcessor):
             return iter([])
         kv = dict(zip(self.key_cols, key if isinstance(key, tuple) else (key,)))
         rows = [{**kv, **o} for o in out]
-        return iter([pd.DataFrame([[r.get(c) for c in self.out_cols] for r in rows], columns=self.out_cols)])
+        pdf = pd.DataFrame([[r.get(c) for c in self.out_cols] for r in rows], columns=self.out_cols)
+        if self.time_out:
+            pdf[self.time_out] = pd.to_datetime(pdf["t_us"].astype("int64"), unit="us", utc=True)
+        return iter([pdf])
 
     def close(self) -> None:
         pass
 
 
 def replay(stream: DataFrame, keys, ts: str, tiebreak: str, machine_factory, out_schema: T.StructType,
-           carry: list[str]) -> DataFrame:
+           carry: list[str], time_out: str | None = None) -> DataFrame:
     """Run ``machine_factory`` per key over a watermarked stream (append output).
 
     ``carry`` lists the input columns the machine reads (besides time and
-    tie-break). Output columns: ``out_schema`` (key columns first).
+    tie-break). Output columns: ``out_schema`` (key columns first). With
+    ``time_out`` the output also gets that TIMESTAMP column (from the
+    machine's ``t_us``) declared as its event time, so a further windowed
+    aggregation can follow under the same watermark.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     inp = stream.select(*keys, F.unix_micros(F.col(ts)).alias("t_us"), F.col(tiebreak).alias("t_tb"), *carry,
                         F.col(ts))
-    proc = EventTimeReplay(machine_factory, keys, [f.name for f in out_schema.fields])
+    proc = EventTimeReplay(machine_factory, keys, [f.name for f in out_schema.fields], time_out)
+    if time_out:
+        out_schema = T.StructType(list(out_schema.fields) + [T.StructField(time_out, T.TimestampType())])
     return (inp.groupBy(*keys)
                .transformWithStateInPandas(statefulProcessor=proc, outputStructType=out_schema,
-                                           outputMode="Append", timeMode="EventTime"))
+                                           outputMode="Append", timeMode="EventTime",
+                                           eventTimeColumnName=time_out or ""))
 
 
 def _schema(keys_schema: list[T.StructField], extra: str) -> T.StructType:
@@ -504,11 +518,30 @@ def deadline_stream(df, key, ts, start, end, within, tiebreak):
     return replay(d, key, ts, tiebreak, lambda s: DeadlineMachine(w, "is_start", "is_end", s), sch, ["is_start", "is_end"])
 
 
-def quota_stream(df, keys, ts, max_count, tiebreak):
-    """D6/D7 on a stream: rows tagged 'pass' or 'blocked_first'."""
+def quota_stream(df, keys, ts, max_count, tiebreak, time_out: str | None = None, carry: list[str] | None = None):
+    """D6/D7 on a stream: rows tagged 'pass' or 'blocked_first'.
+
+    ``carry`` input columns are passed through to the output rows; with
+    ``time_out`` the rows carry their event time under that name, so the
+    passing rows can feed a windowed count (D8, ``quota_then_sliding_count``).
+    """
+    carry = list(carry or [])
     tb_type = df.schema[tiebreak].dataType.simpleString()
-    sch = _schema(_key_fields(df, keys), f"t_tb {tb_type}, t_us BIGINT, outcome STRING")
-    return replay(df, keys, ts, tiebreak, lambda s: QuotaMachine(max_count, s), sch, [])
+    extra = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in carry)
+    sch = _schema(_key_fields(df, keys), f"t_tb {tb_type}, t_us BIGINT, outcome STRING{extra}")
+    return replay(df, keys, ts, tiebreak, lambda s: QuotaMachine(max_count, s, carry), sch, carry, time_out)
+
+
+def quota_then_sliding_count(df, keys, ts, max_count, tiebreak, count_keys, size, slide):
+    """D8 on a stream: quota filter per key, then a sliding count of the passing
+    rows by ``count_keys`` (chained stateful operators under one watermark)."""
+    from . import windows as SW
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    count_keys = [count_keys] if isinstance(count_keys, str) else list(count_keys)
+    carry = [c for c in count_keys if c not in keys]
+    tagged = quota_stream(df, keys, ts, max_count, tiebreak, time_out="event_time", carry=carry)
+    passed = tagged.where(F.col("outcome") == "pass")
+    return SW.sliding_count(passed, "event_time", count_keys, size, slide)
 
 
 def changelog_stream(df, key, ts, tiebreak):

@@ -1,0 +1,96 @@
+"""Per-event running distinct count on a stream (A6), as a distributed batch-by-batch job.
+
+The reference fires a window function on every element and keeps the seen
+offsets of a window in an external bitmap, with all events of a window on
+one task. Here each micro-batch is processed as a batch job over two
+tables kept in the shared checkpoint folder:
+
+* ``seen`` - the (window slot, offset) pairs counted so far, append-only,
+  partitioned by slot and by the batch that first saw them.
+
+For a batch: first occurrences inside the batch (an aggregate), minus the
+offsets already seen (an anti join), give the new offsets; each event's
+count is its window's previous total (the size of ``seen`` for that slot)
+plus the number of new offsets first seen at or before it within the batch
+(a bucketed scan, so a busy window is split over time buckets). Only the
+slots of the current batch are read back (partition filter), and a batch
+only ever overwrites its own ``batch=<id>`` partitions while reading
+``batch < id``, so a batch replayed after a failure recomputes exactly the
+same output and state. Events are counted in arrival
+order (batch, then event time and tie-break inside a batch), like the
+reference's per-element trigger.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.hashing import poly_hash
+from ..functions.time import duration_us, epoch_us
+from ..operators import sequence as seq
+from ..session import checkpoint_location
+
+
+def _seen_before(spark: SparkSession, path: str, batch_id: int, slots: list[int] | None = None) -> DataFrame:
+    try:
+        seen = spark.read.parquet(path).where(F.col("batch") < batch_id)
+    except Exception:  # nothing written yet
+        return spark.createDataFrame([], "_slot BIGINT, _off BIGINT")
+    return seen.select(F.col("_slot").cast("long"), F.col("_off").cast("long"))
+
+
+def running_distinct_batch(batch: DataFrame, batch_id: int, state_dir: str, ts: str, col: str, size,
+                           tiebreak: str, seed: int = 61, bits: int = 29, sub_buckets: int = 60) -> DataFrame:
+    """Process one micro-batch; returns (window_start, window_end, tiebreak, uv) rows and
+    appends the batch's new offsets to the seen table."""
+    spark = batch.sparkSession
+    size_us = duration_us(size)
+    sub_us = max(size_us // sub_buckets, 1)
+    seen_path = f"{state_dir}/seen"
+    b = (batch.select(epoch_us(ts).alias("_us"), F.col(tiebreak).alias("_tb"),
+                      poly_hash(F.col(col).cast("string"), seed, bits).alias("_off"))
+              .withColumn("_slot", F.floor(F.col("_us") / F.lit(size_us)).cast("long")))
+    # Only slots touched by this batch are read back; the semi join lets the
+    # scan prune the other slot partitions at run time.
+    seen = _seen_before(spark, seen_path, batch_id).join(b.select("_slot").distinct(), "_slot", "left_semi")
+    totals = seen.groupBy("_slot").agg(F.count(F.lit(1)).alias("_total"))
+    firsts = (b.groupBy("_slot", "_off").agg(F.min(F.struct("_us", "_tb")).alias("_f"))
+               .join(seen, ["_slot", "_off"], "left_anti")
+               .select("_slot", "_off", F.col("_f._us").alias("_us"), F.col("_f._tb").alias("_tb"),
+                       F.lit(0).alias("_kind")))
+    (firsts.select("_slot", "_off", F.lit(batch_id).alias("batch"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_slot", "batch").parquet(seen_path))
+    marks = firsts.drop("_off").unionByName(b.select("_slot", "_us", "_tb", F.lit(1).alias("_kind")))
+    scanned = seq.scan_sum(marks, "_slot", [F.col("_us"), F.col("_tb"), F.col("_kind")],
+                           F.floor(F.col("_us") / F.lit(sub_us)).cast("long"),
+                           F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long"), "_new")
+    return (scanned.where(F.col("_kind") == 1)
+                   .join(totals, "_slot", "left")
+                   .select((F.col("_slot") * size_us).alias("window_start"),
+                           (F.col("_slot") * size_us + size_us).alias("window_end"),
+                           F.col("_tb").alias(tiebreak),
+                           (F.coalesce(F.col("_total"), F.lit(0)) + F.col("_new")).alias("uv")))
+
+
+def running_distinct_stream(df: DataFrame, ts: str, col: str, size, tiebreak: str, out_path: str,
+                            name: str = "running_distinct", trigger: dict | None = None, **kw):
+    """Start the stream; each batch's per-event counts land in ``out_path/batch=<id>``."""
+    spark = df.sparkSession
+    state_dir = checkpoint_location(spark, name) + "/_tables"
+
+    def each(batch: DataFrame, batch_id: int):
+        res = running_distinct_batch(batch, batch_id, state_dir, ts, col, size, tiebreak, **kw)
+        res.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    w = (df.writeStream.queryName(name).option("checkpointLocation", checkpoint_location(spark, name))
+           .foreachBatch(each))
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
+RESULT_SCHEMA = T.StructType([T.StructField("window_start", T.LongType()), T.StructField("window_end", T.LongType()),
+                              T.StructField("uv", T.LongType())])

@@ -224,3 +224,41 @@ def test_word_count_stream_update(spark, tmp_path):
     lines = spark.readStream.text(str(src))
     out = _run(SW.word_count(lines), mode="update")
     assert {r.word: r.cnt for r in out.collect()} == {"hadoop": 2, "java": 1, "scala": 1, "hello": 1, "world": 1}
+
+
+def test_running_distinct_stream(spark, tmp_path):
+    from eventide.streaming.running_distinct import running_distinct_stream
+    with open(fixture_path("AdClickLog.csv")) as f:
+        rows = [ln.strip().split(",") for ln in f if ln.strip()]
+    rows = sorted(rows, key=lambda r: int(r[4]))
+    d = tmp_path / "clicks_sorted"
+    d.mkdir()
+    for p in range(4):
+        chunk = rows[p * 36:(p + 1) * 36]
+        f = d / f"part-{p}.csv"
+        f.write_text("\n".join(",".join(r + [str(p * 36 + i)]) for i, r in enumerate(chunk)) + "\n")
+        os.utime(f, (1_700_000_000 + p, 1_700_000_000 + p))
+    src = spark.readStream.schema(ADCLICK).option("maxFilesPerTrigger", 1).csv(str(d)).withColumn(
+        "ts", F.timestamp_seconds("ts_s"))
+    out = str(tmp_path / "uv_out")
+    q = running_distinct_stream(src, "ts", "user_id", "1 hour", "seq", out,
+                                name=f"rd_{uuid.uuid4().hex[:6]}", trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted((r.seq, r.window_end, r.uv) for r in spark.read.parquet(out).collect())
+    batch = spark.createDataFrame([tuple(r) + (i,) for i, r in enumerate(rows)],
+                                  "user_id STRING, ad_id STRING, province STRING, city STRING, ts_s STRING, seq BIGINT")
+    batch = batch.withColumn("user_id", F.col("user_id").cast("long")).withColumn(
+        "ts", F.timestamp_seconds(F.col("ts_s").cast("long")))
+    exp = windows.running_hashed_distinct(batch, "ts", "user_id", "1 hour", "seq")
+    assert got == sorted((r.seq, r.window_end, r.uv) for r in exp.collect())
+    assert len(got) == 143
+
+
+def test_quota_then_sliding_count_stream(spark, tmp_path):
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1600000000")
+    src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
+    s = _run(P.quota_then_sliding_count(src, ["user_id", "ad_id"], "ts", 100, "seq", ["province"],
+                                        "1 hour", "15 seconds")).where("province != 'zz_sentinel'").collect()
+    assert len(s) == 1995
+    assert sum(r.cnt for r in s) == 29520
+    assert max(r.cnt for r in s) == 102
