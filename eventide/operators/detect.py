@@ -274,11 +274,22 @@ def quota_alerts(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: s
 
 
 def quota_outcome(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq") -> DataFrame:
-    """Every row tagged 'pass', 'blocked_first' or 'blocked' (side-output form)."""
-    r = _quota_ranked(df, keys, ts, tiebreak)
+    """Every row tagged 'pass', 'blocked_first' or 'blocked' (side-output form).
+
+    Only the first max_count + 2 rows of a (key, day) carry a rank (a limited
+    ``row_number``, cut per task before the shuffle); all rows are tagged by
+    an equi-join on (key, day, tie-break), which spreads a hot key's rows by
+    their tie-break instead of sorting the whole key in one task.
+    """
+    keys = _keys(keys)
+    d = _prep(df, ts).withColumn("_day", utc_day(ts))
+    w = Window.partitionBy(*keys, "_day").orderBy("_us", tiebreak)
+    ranked = (d.select(*keys, "_day", "_us", tiebreak).withColumn("_n", F.row_number().over(w))
+                .where(F.col("_n") <= max_count + 2).drop("_us"))
+    tagged = d.join(ranked, on=[*keys, "_day", tiebreak], how="left")
     out = (F.when(F.col("_n") <= max_count + 1, "pass")
             .when(F.col("_n") == max_count + 2, "blocked_first").otherwise("blocked"))
-    return r.withColumn("outcome", out).drop("_us", "_day", "_n")
+    return tagged.withColumn("outcome", out).select(*df.columns, "outcome")
 
 
 # ------------------------------------------------------------------ D9

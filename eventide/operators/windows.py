@@ -260,19 +260,39 @@ def sliding_sum(df: DataFrame, ts: str, keys, size, slide, value: str, out: str
 # ----------------------------------------------------------------- session
 
 def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] | None = None,
-                    out: str = "cnt") -> DataFrame:
-    """Gap-based sessions per key (rows exactly ``gap`` apart merge, as in Spark).
-
-    Uses Spark's ``session_window``, which sorts each key's rows and merges
-    map-side before the shuffle.
+                    out: str = "cnt", strategy: str = "bucketed", bucket=None) -> DataFrame:
+    """Gap-based sessions per key; rows exactly ``gap`` apart share a session (as in Spark).
+
+    ``'bucketed'`` (default): a row starts a session when no row of its key
+    lies within ``gap`` before it - found with a look-back halo of one gap
+    per (key, time bucket); session ids are the running count of starts (the
+    two-level scan); sessions are then an ordinary aggregate, merged map-side.
+    No step needs a key's rows in one task, however long a session runs.
+    ``'native'``: Spark's ``session_window``, which sorts each key's rows in
+    one partition.
     """
     gap_us = duration_us(gap)
     df, names = _key_names(df, keys)
     aggs = list(aggs) if aggs else [F.count(F.lit(1)).alias(out)]
-    sw = F.session_window(F.col(ts).cast("timestamp"), f"{gap_us} microseconds")
-    g = df.groupBy(sw.alias("_w"), *names).agg(*aggs)
-    return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
-             .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
+    if strategy == "native":
+        sw = F.session_window(F.col(ts).cast("timestamp"), f"{gap_us} microseconds")
+        g = df.groupBy(sw.alias("_w"), *names).agg(*aggs)
+        return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
+                 .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
+    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(gap_us)
+    d = df.withColumn("_us", epoch_us(ts)).withColumn("_rid", F.monotonically_increasing_id())
+    h = seq.with_halo(d, "_us", b_us, gap_us, "back")
+    # Peers at the same instant never start a session after the first of them.
+    win = Window.partitionBy(*names, seq.BUCKET).orderBy("_us", "_rid")
+    prev = F.lag("_us").over(win)
+    flagged = (h.withColumn("_prev", prev).where(~F.col(seq.CONTEXT))
+                .withColumn("_start", F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_us), 1)
+                            .otherwise(0).cast("long"))
+                .drop(seq.BUCKET, seq.CONTEXT, "_prev"))
+    sid = seq.scan_sum(flagged, names, [F.col("_us"), F.col("_rid")],
+                       F.floor(F.col("_us") / F.lit(b_us)).cast("long"), F.col("_start"), "_sid")
+    g = sid.groupBy(*names, "_sid").agg(*aggs, F.min("_us").alias(W_START), F.max("_us").alias("_last"))
+    return g.withColumn(W_END, F.col("_last") + F.lit(gap_us)).drop("_sid", "_last")
 
 
 # --------------------------------------------------------------- row-count

@@ -242,3 +242,25 @@ def test_sliding_strategies_agree(spark, seed, size, slide, bucket):
     assert sorted(tuple(r) for r in a) == want
     assert sorted(tuple(r) for r in b) == want
     assert sorted(tuple(r) for r in c) == want
+
+
+@pytest.mark.parametrize("seed,bucket", [(30, "4 seconds"), (31, "1000 seconds")])
+def test_sessions_bucketed_equal_native(spark, seed, bucket):
+    rows = _events(seed, n=400, keys=4, span=900)
+    df = _df(spark, rows)
+    cols = ["key", "window_start", "window_end", "cnt"]
+    a = windows.session_windows(df, "ts", "6 seconds", "key", bucket=bucket).select(*cols).collect()
+    b = windows.session_windows(df, "ts", "6 seconds", "key", strategy="native").select(*cols).collect()
+    assert sorted(a) == sorted(b)
+
+
+def test_quota_outcome_random(spark):
+    rows = _events(32, n=400, keys=2, span=2 * 86400)
+    df = _df(spark, rows)
+    got = {r.seq: r.outcome for r in detect.quota_outcome(df, "key", "ts", 3, "seq").collect()}
+    counts = defaultdict(int)
+    for seq_, key, t, _k, _v in sorted(rows, key=lambda r: (r[2], r[0])):
+        d = (key, t // 86400)
+        counts[d] += 1
+        exp = "pass" if counts[d] <= 4 else ("blocked_first" if counts[d] == 5 else "blocked")
+        assert got[seq_] == exp
