@@ -71,8 +71,8 @@ FROM r WHERE rank <= 3 GROUP BY end_us
 """
 
 
-def hot_urls_sql() -> str:
-    size, slide = 600_000_000, 60_000_000
+def hot_urls_sql(slide: int = 60_000_000) -> str:
+    size = 600_000_000
     return f"""
 WITH l AS (
   SELECT concat_ws(' ', '10.0.0.' || CAST(user_id % 250 AS VARCHAR), '-', CAST(user_id AS VARCHAR),
@@ -284,6 +284,7 @@ def oracle_sql() -> dict[str, str]:
         "hot_items_hourly": hot_items_sql(HOUR, 300_000_000, 3),
         "report": report_sql(),
         "hot_urls": hot_urls_sql(),
+        "hot_urls_5s": hot_urls_sql(5_000_000),
         "uv_exact": uv_exact_sql(),
         "uv_hashed": uv_hashed_sql(),
         "uv_running": uv_running_sql(),
