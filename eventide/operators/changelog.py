@@ -9,7 +9,7 @@ from ..functions.time import duration_us, epoch_us
 from . import sequence as seq
 
 
-def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, bucket="1 day", out: str = "cnt") -> DataFrame:
+def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, bucket=None, out: str = "cnt") -> DataFrame:
     """(is_add, key, count) rows of a running ``count(*) group by key`` in event order.
 
     Each input row moves its key's count from c-1 to c: a retraction
@@ -18,9 +18,9 @@ def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, bucket="1 day",
     time buckets. ``tiebreak`` identifies the input row that caused the change.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    d = df.withColumn("_us", epoch_us(ts))
-    b = F.floor(F.col("_us") / F.lit(duration_us(bucket))).cast("long")
-    run = seq.scan_sum(d.select(*keys, tiebreak, "_us"), keys, [F.col("_us"), F.col(tiebreak)], b,
+    d = seq.bucketed(df.select(*keys, tiebreak, epoch_us(ts).alias("_us")), keys, "_us", bucket,
+                     86_400_000_000, 1_000_000)
+    run = seq.scan_sum(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
                        F.lit(1).cast("long"), "_c")
     changes = F.array(
         F.struct(F.lit(False).alias("is_add"), (F.col("_c") - 1).alias(out)),

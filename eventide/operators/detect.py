@@ -51,10 +51,10 @@ def burst_detector(df: DataFrame, key, ts: str, is_fail, within="2 seconds", tie
     """
     keys = _keys(key)
     w_us = duration_us(within)
-    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(w_us)
     d = _prep(df, ts).withColumn("_fail", _cond(is_fail))
     cols = [c for c in df.columns]
-    h = seq.with_halo(d, "_us", b_us, w_us, "back")
+    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
+    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "back")
     win = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-w_us, 0)
     g = h.withColumn("_drain", F.min("_us").over(win))
     fails = g.where(~F.col(seq.CONTEXT) & F.col("_fail"))
@@ -75,13 +75,13 @@ def _lag_pairs(df: DataFrame, key, ts: str, tiebreak: str, within, bucket, carry
     """
     keys = _keys(key)
     w_us = duration_us(within)
-    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(w_us)
     d = _prep(df, ts)
-    h = seq.with_halo(d, "_us", b_us, w_us, "back")
+    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
+    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "back")
     win = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us", tiebreak)
     prev = F.lag(F.struct(*[F.col(c) for c in carry], F.col("_us"))).over(win)
     return (h.withColumn("_prev", prev).where(~F.col(seq.CONTEXT))
-             .drop(seq.BUCKET, seq.CONTEXT))
+             .drop(seq.BUCKET, seq.CONTEXT, seq.WIDTH))
 
 
 def consecutive_fail(df: DataFrame, key, ts: str, is_fail, within="2 seconds", tiebreak: str = "seq",
@@ -137,11 +137,11 @@ def pattern_followed_by(df: DataFrame, key, ts: str, start, end, within="15 minu
     """
     keys = _keys(key)
     w_us = duration_us(within)
-    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(w_us)
     cols = list(df.columns)
     d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
          .where(F.col("_s") | F.col("_e")))
-    h = seq.with_halo(d, "_us", b_us, w_us, "forward")
+    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
+    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "forward")
     # Nearest later end = last non-null end seen when walking the key backwards in time.
     back = (Window.partitionBy(*keys, seq.BUCKET).orderBy(F.col("_us").desc(), F.col(tiebreak).desc())
             .rowsBetween(Window.unboundedPreceding, -1))

@@ -14,12 +14,16 @@ from ..functions.time import duration_us, epoch_us
 from . import sequence as seq
 
 
+DAY_US = 86_400_000_000
+MIN_SCAN_US = 1_000_000
+
+
 def _keys(k):
     return [k] if isinstance(k, str) else list(k)
 
 
 def over_unbounded(df: DataFrame, key, ts: str, value: str, tiebreak: str | None = None,
-                   frame: str = "range", bucket="1 day", prefix: str = "run") -> DataFrame:
+                   frame: str = "range", bucket=None, prefix: str = "run") -> DataFrame:
     """Running count and sum from the key's first row up to the current one.
 
     ``frame='range'`` includes rows tied on the timestamp (RANGE BETWEEN
@@ -27,12 +31,12 @@ def over_unbounded(df: DataFrame, key, ts: str, value: str, tiebreak: str | None
     in (ts, tiebreak) order. Adds ``<prefix>_cnt`` and ``<prefix>_sum``.
     """
     keys = _keys(key)
-    d = df.withColumn("_us", epoch_us(ts))
-    b = F.floor(F.col("_us") / F.lit(duration_us(bucket))).cast("long")
+    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
+    b = seq.bucket_of("_us", seq.WIDTH)
     order = [F.col("_us")] if frame == "range" else [F.col("_us")] + ([F.col(tiebreak)] if tiebreak else [])
     c = seq.scan_sum(d, keys, order, b, F.lit(1).cast("long"), f"{prefix}_cnt", frame=frame)
     s = seq.scan_sum(c, keys, order, b, F.col(value), f"{prefix}_sum", frame=frame)
-    return s.drop("_us")
+    return s.drop("_us", seq.WIDTH)
 
 
 def over_range_bounded(df: DataFrame, key, ts: str, value: str, preceding, bucket=None,
@@ -40,18 +44,18 @@ def over_range_bounded(df: DataFrame, key, ts: str, value: str, preceding, bucke
     """Count and sum over RANGE BETWEEN ``preceding`` PRECEDING AND CURRENT ROW."""
     keys = _keys(key)
     p_us = duration_us(preceding)
-    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(p_us)
-    d = df.withColumn("_us", epoch_us(ts))
-    h = seq.with_halo(d, "_us", b_us, p_us, "back")
+    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, seq.default_bucket_us(p_us),
+                     max(p_us, 1_000_000))
+    h = seq.with_halo(d, "_us", seq.WIDTH, p_us, "back")
     w = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-p_us, 0)
     res = (h.withColumn(f"{prefix}_cnt", F.count(F.lit(1)).over(w))
             .withColumn(f"{prefix}_sum", F.sum(value).over(w))
             .where(~F.col(seq.CONTEXT)))
-    return res.drop(seq.BUCKET, seq.CONTEXT, "_us")
+    return res.drop(seq.BUCKET, seq.CONTEXT, seq.WIDTH, "_us")
 
 
 def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: int, tiebreak: str,
-                      bucket="1 day", prefix: str = "rows") -> DataFrame:
+                      bucket=None, prefix: str = "rows") -> DataFrame:
     """Count and sum over ROWS BETWEEN n PRECEDING AND CURRENT ROW.
 
     Rows are numbered with the bucketed scan and cut into blocks of n + 1
@@ -64,9 +68,8 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     """
     keys = _keys(key)
     n1 = preceding_rows + 1
-    d = df.withColumn("_us", epoch_us(ts))
-    b = F.floor(F.col("_us") / F.lit(duration_us(bucket))).cast("long")
-    rn = seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], b, "_rn")
+    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
+    rn = seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH), "_rn")
     blk = rn.withColumn("_blk", F.floor((F.col("_rn") - 1) / F.lit(n1)).cast("long"))
     head = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
     tail = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(0, Window.unboundedFollowing)
@@ -78,4 +81,4 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     use_prev = F.col("_pblk").isNotNull() & (F.col("_pblk") != F.col("_blk"))
     return (j.withColumn(f"{prefix}_cnt", (F.col("_hc") + F.when(use_prev, F.col("_pc")).otherwise(0)).cast("long"))
              .withColumn(f"{prefix}_sum", F.col("_hs") + F.when(use_prev, F.col("_ps")).otherwise(F.lit(0.0)))
-             .drop("_rn", "_blk", "_hs", "_hc", "_ts", "_tc", "_ps", "_pc", "_pblk", "_us"))
+             .drop("_rn", "_blk", "_hs", "_hc", "_ts", "_tc", "_ps", "_pc", "_pblk", "_us", seq.WIDTH))

@@ -14,7 +14,7 @@ MATCHED, LEFT_ONLY, RIGHT_ONLY = "matched", "left_only", "right_only"
 def reconcile(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: str,
               tolerance=None, left_prefix: str = "l_", right_prefix: str = "r_",
               unique_keys: bool = False, tiebreak_left: str | None = None,
-              tiebreak_right: str | None = None, bucket="1 day") -> DataFrame:
+              tiebreak_right: str | None = None, bucket=None) -> DataFrame:
     """Full outer equi-join of two feeds with an ``outcome`` column.
 
     Rows are paired per key; when a key repeats on a side, the n-th row of
@@ -25,7 +25,7 @@ def reconcile(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: st
 
     ``unique_keys=True`` asserts at most one row per key and side and skips
     the ranking. Ranking otherwise uses the bucketed scan (per key and day),
-    so a hot key is numbered in parallel.
+    so a hot key is numbered in parallel (buckets finer for hot keys).
     Columns: key columns, ``<prefix><col>`` for both sides, ``outcome``.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -36,8 +36,8 @@ def reconcile(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: st
             d = d.withColumn("_rank", F.lit(1).cast("long"))
         else:
             order = [F.col("_us")] + ([F.col(tb)] if tb else [])
-            d = seq.scan_row_number(d, keys, order,
-                                    F.floor(F.col("_us") / F.lit(duration_us(bucket))).cast("long"), "_rank")
+            d = seq.bucketed(d, keys, "_us", bucket, 86_400_000_000, 1_000_000)
+            d = seq.scan_row_number(d, keys, order, seq.bucket_of("_us", seq.WIDTH), "_rank")
         ren = [F.col(c).alias(prefix + c) for c in df.columns if c not in keys]
         return d.select(*keys, "_rank", F.col("_us").alias(prefix + "_us"), *ren)
 

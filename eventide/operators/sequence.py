@@ -27,6 +27,14 @@ from pyspark.sql import functions as F
 
 BUCKET = "_bkt"
 CONTEXT = "_ctx"
+WIDTH = "_bw"
+
+# A key with more rows than this is cut into finer time buckets (sized so a
+# bucket holds about this many rows). At most total_rows / HOT_KEY_ROWS keys
+# can qualify, which bounds the broadcast table of hot-key widths; the count
+# is checked against MAX_HOT_KEYS before broadcasting.
+HOT_KEY_ROWS = 4_000_000
+MAX_HOT_KEYS = 200_000
 
 
 def _names(cols) -> list[str]:
@@ -37,24 +45,69 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
-def with_halo(df: DataFrame, us_col: str, bucket_us: int, reach_us: int,
+def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: int,
+                      hot_rows: int | None = None) -> DataFrame:
+    """Add ``_bw``: the time-bucket width for each row's key.
+
+    Keys with more than ``hot_rows`` rows get width span * hot_rows / rows
+    (not below ``min_us``), every other key ``base_us``. Finding hot keys is
+    one aggregate over the input; only the hot keys (at most
+    rows / hot_rows of them, checked) are broadcast, so the input is never
+    shuffled by key for this.
+    """
+    hot_rows = hot_rows or HOT_KEY_ROWS
+    keys = _names(keys)
+    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(us_col).alias("_lo"),
+                                   F.max(us_col).alias("_hi"))
+               .where(F.col("_n") > hot_rows))
+    width = F.greatest(F.lit(min_us), ((F.col("_hi") - F.col("_lo") + 1) / F.col("_n") * hot_rows).cast("long"))
+    hot = stats.select(*keys, F.least(width, F.lit(base_us)).alias("_bwh"))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return df.withColumn(WIDTH, F.lit(base_us).cast("long"))
+    if n_hot <= MAX_HOT_KEYS:
+        hot = F.broadcast(hot)
+    # Beyond the bound the table is joined by shuffle (AQE splits skewed partitions).
+    return (df.join(hot, on=keys, how="left")
+              .withColumn(WIDTH, F.coalesce(F.col("_bwh"), F.lit(base_us)).cast("long")).drop("_bwh"))
+
+
+def bucketed(df: DataFrame, keys, us_col: str, bucket, base_us: int, min_us: int) -> DataFrame:
+    """Add the ``_bw`` width column: fixed when ``bucket`` is given, else adaptive per key."""
+    if bucket is not None:
+        from ..functions.time import duration_us
+        return df.withColumn(WIDTH, F.lit(duration_us(bucket)).cast("long"))
+    return with_bucket_width(df, keys, us_col, base_us, min_us)
+
+
+def bucket_of(us: Column | str, width: Column | str | int) -> Column:
+    us = F.col(us) if isinstance(us, str) else us
+    w = F.lit(width) if isinstance(width, int) else (F.col(width) if isinstance(width, str) else width)
+    return F.floor(us / w).cast("long")
+
+
+def with_halo(df: DataFrame, us_col: str, bucket_us, reach_us: int,
               direction: str = "back") -> DataFrame:
     """Assign rows to time buckets and replicate the ones neighbours need.
 
+    ``bucket_us`` is a width in microseconds or a column of per-row widths
+    (constant per key, see ``with_bucket_width``).
     ``direction='back'``: consumers in bucket j see rows in
     [j*B - reach, (j+1)*B). ``'forward'``: they see [j*B, (j+1)*B + reach).
     Adds ``_bkt`` (bucket the copy belongs to) and ``_ctx`` (True for copies
     that are only context for that bucket).
     """
-    if bucket_us <= 0:
+    if isinstance(bucket_us, int) and bucket_us <= 0:
         raise ValueError("bucket must be positive")
     us = F.col(us_col)
-    own = F.floor(us / F.lit(bucket_us)).cast("long")
+    bw = F.lit(bucket_us) if isinstance(bucket_us, int) else (F.col(bucket_us) if isinstance(bucket_us, str)
+                                                              else bucket_us)
+    own = F.floor(us / bw).cast("long")
     if direction == "back":
-        last = F.floor((us + F.lit(reach_us)) / F.lit(bucket_us)).cast("long")
+        last = F.floor((us + F.lit(reach_us)) / bw).cast("long")
         buckets = F.sequence(own, last)
     elif direction == "forward":
-        first = F.floor((us - F.lit(reach_us)) / F.lit(bucket_us)).cast("long")
+        first = F.floor((us - F.lit(reach_us)) / bw).cast("long")
         buckets = F.sequence(first, own)
     else:
         raise ValueError(direction)

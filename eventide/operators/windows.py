@@ -279,9 +279,9 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
         g = df.groupBy(sw.alias("_w"), *names).agg(*aggs)
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
-    b_us = duration_us(bucket) if bucket else seq.default_bucket_us(gap_us)
     d = df.withColumn("_us", epoch_us(ts)).withColumn("_rid", F.monotonically_increasing_id())
-    h = seq.with_halo(d, "_us", b_us, gap_us, "back")
+    d = seq.bucketed(d, names, "_us", bucket, seq.default_bucket_us(gap_us), max(gap_us, 1_000_000))
+    h = seq.with_halo(d, "_us", seq.WIDTH, gap_us, "back")
     # Peers at the same instant never start a session after the first of them.
     win = Window.partitionBy(*names, seq.BUCKET).orderBy("_us", "_rid")
     prev = F.lag("_us").over(win)
@@ -290,7 +290,7 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
                             .otherwise(0).cast("long"))
                 .drop(seq.BUCKET, seq.CONTEXT, "_prev"))
     sid = seq.scan_sum(flagged, names, [F.col("_us"), F.col("_rid")],
-                       F.floor(F.col("_us") / F.lit(b_us)).cast("long"), F.col("_start"), "_sid")
+                       seq.bucket_of("_us", seq.WIDTH), F.col("_start"), "_sid")
     g = sid.groupBy(*names, "_sid").agg(*aggs, F.min("_us").alias(W_START), F.max("_us").alias("_last"))
     return g.withColumn(W_END, F.col("_last") + F.lit(gap_us)).drop("_sid", "_last")
 
@@ -298,14 +298,13 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
 # --------------------------------------------------------------- row-count
 
 def _row_numbers(df: DataFrame, keys: list[str], ts: str, tiebreak: str, bucket) -> DataFrame:
-    us = epoch_us(ts)
-    d = df.withColumn("_us", us)
-    b = F.floor(F.col("_us") / F.lit(duration_us(bucket))).cast("long")
-    return seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], b, "_rn")
+    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, 86_400_000_000, 1_000_000)
+    return seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
+                               "_rn").drop(seq.WIDTH)
 
 
 def tumbling_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, value: str | None = None,
-                  bucket="1 day") -> DataFrame:
+                  bucket=None) -> DataFrame:
     """Count windows of ``n`` rows per key in event-time order; only full groups emit.
 
     Output: keys, ``row_group`` (0-based), ``first_us``, ``last_us``, ``cnt`` and,
@@ -322,7 +321,7 @@ def tumbling_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, value: st
 
 
 def sliding_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, step: int, value: str | None = None,
-                 bucket="1 day") -> DataFrame:
+                 bucket=None) -> DataFrame:
     """Windows of the last ``n`` rows per key, emitted every ``step`` rows.
 
     A window ends at each row whose 1-based row number is a multiple of

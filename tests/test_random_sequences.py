@@ -264,3 +264,41 @@ def test_quota_outcome_random(spark):
         counts[d] += 1
         exp = "pass" if counts[d] <= 4 else ("blocked_first" if counts[d] == 5 else "blocked")
         assert got[seq_] == exp
+
+
+def test_hot_key_adaptive_buckets(spark, monkeypatch):
+    """One key holds a third of the rows; with a tiny hot-key threshold that key
+    gets finer buckets, and every operator still gives the exact answer."""
+    from eventide.operators import changelog, sequence
+    rnd = random.Random(40)
+    rows = []
+    for seq_ in range(600):
+        key = 1 if seq_ % 3 == 0 else rnd.randint(2, 30)
+        rows.append((seq_, key, rnd.randint(0, 900), rnd.choice(("fail", "success", "create", "pay")),
+                     round(rnd.uniform(0, 10), 2)))
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 50)
+    df = _df(spark, rows)
+    # the hot key is detected and gets a width below the default
+    widths = {r.key: r._bw for r in sequence.with_bucket_width(
+        df.withColumn("_us", F.unix_micros("ts")), ["key"], "_us", 86_400 * S, S).select("key", "_bw").distinct().collect()}
+    assert widths[1] < 86_400 * S and widths[2] == 86_400 * S
+    got = detect.burst_detector(df, "key", "ts", F.col("kind") == "fail", "5 seconds", "seq")
+    assert sorted(r.seq for r in got.collect()) == sim_burst(
+        [(s_, k, t, "fail" if kd == "fail" else "x", v) for s_, k, t, kd, v in rows], 5)
+    got = detect.consecutive_fail(df, "key", "ts", F.col("kind") == "fail", "6 seconds", "seq")
+    assert sorted((r.first_seq, r.second_seq) for r in got.collect()) == sim_consecutive(rows, 6)
+    got = detect.pattern_followed_by(df, "key", "ts", F.col("kind") == "create", F.col("kind") == "pay",
+                                     "9 seconds", "seq")
+    assert sorted(((r.seq, r.end_seq, r.outcome) for r in got.collect()), key=repr) == sim_followed_by(rows, 9)
+    unb = {r.seq: r.run_cnt for r in over.over_unbounded(df, "key", "ts", "value", "seq", frame="rows").collect()}
+    rws = {r.seq: r.rows_cnt for r in over.over_rows_bounded(df, "key", "ts", "value", 4, "seq").collect()}
+    for key, evs in _by_key(rows).items():
+        for i, e in enumerate(evs):
+            assert unb[e[0]] == i + 1 and rws[e[0]] == min(i + 1, 5)
+    cols = ["key", "window_start", "window_end", "cnt"]
+    a = windows.session_windows(df, "ts", "6 seconds", "key").select(*cols).collect()
+    b = windows.session_windows(df, "ts", "6 seconds", "key", strategy="native").select(*cols).collect()
+    assert sorted(a) == sorted(b)
+    ch = changelog.count_changelog(df, "key", "ts", "seq").where("is_add").collect()
+    pos = {e[0]: i + 1 for key, evs in _by_key(rows).items() for i, e in enumerate(evs)}
+    assert all(r.cnt == pos[r.seq] for r in ch)
