@@ -1,9 +1,9 @@
 """String hashes kept JVM-side as higher-order expressions.
 
-Both hashes fold the UTF-16 code units of a string left to right; for text
-inside the Basic Multilingual Plane a code unit is one character, which is
-what ``split(s, '')`` yields. They stay inside whole-stage codegen: no Python
-worker is involved.
+Both hashes fold the UTF-16 code units of a string left to right, as the
+JVM's ``charAt`` loop does: a character outside the Basic Multilingual Plane
+contributes its high and then its low surrogate. They stay inside
+whole-stage codegen: no Python worker is involved.
 """
 
 from __future__ import annotations
@@ -23,12 +23,20 @@ def _code_units(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda ch: F.length(ch) > 0)
 
 
+def _fold_units(acc: Column, ch: Column, step) -> Column:
+    """Apply ``step(acc, unit)`` for the one or two UTF-16 units of character ``ch``."""
+    cp = F.ascii(ch).cast("long")
+    hi = F.lit(0xD800) + F.shiftright(cp - F.lit(0x10000), 10)
+    lo = F.lit(0xDC00) + (cp - F.lit(0x10000)).bitwiseAND(F.lit(0x3FF))
+    return F.when(cp > F.lit(0xFFFF), step(step(acc, hi), lo)).otherwise(step(acc, cp))
+
+
 def java_string_hash(c) -> Column:
-    """Java ``String.hashCode``: h = 31*h + ch with signed 32-bit wrap."""
+    """Java ``String.hashCode``: h = 31*h + unit with signed 32-bit wrap."""
     chars = _code_units(col_of(c))
     unsigned = F.aggregate(
         chars, F.lit(0).cast("long"),
-        lambda acc, ch: (acc * 31 + F.ascii(ch)) % _TWO32,
+        lambda acc, ch: _fold_units(acc, ch, lambda a, u: (a * 31 + u) % _TWO32),
     )
     return F.when(unsigned >= _TWO31, unsigned - _TWO32).otherwise(unsigned).cast("int")
 
@@ -49,5 +57,5 @@ def poly_hash(c, seed: int = 61, bits: int = 29) -> Column:
     chars = _code_units(col_of(c))
     return F.aggregate(
         chars, F.lit(0).cast("long"),
-        lambda acc, ch: (acc * seed + F.ascii(ch)).bitwiseAND(F.lit(mask)),
+        lambda acc, ch: _fold_units(acc, ch, lambda a, u: (a * seed + u).bitwiseAND(F.lit(mask))),
     )

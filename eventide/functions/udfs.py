@@ -29,8 +29,13 @@ from pyspark.sql import types as T
 
 def hash_code_sql(arg: str, factor: int) -> str:
     """SQL expression: Java ``String.hashCode(arg) * factor`` as a 32-bit int."""
+    # A character outside the BMP folds as its two UTF-16 surrogates.
+    step_bmp = "(acc * 31 + ascii(c)) % 4294967296"
+    hi = "(55296 + shiftright(ascii(c) - 65536, 10))"
+    lo = "(56320 + ((ascii(c) - 65536) & 1023))"
+    step_sup = f"((((acc * 31 + {hi}) % 4294967296) * 31 + {lo}) % 4294967296)"
     unsigned = (f"aggregate(filter(split({arg}, ''), c -> length(c) > 0), 0L, "
-                f"(acc, c) -> (acc * 31 + ascii(c)) % 4294967296)")
+                f"(acc, c) -> CASE WHEN ascii(c) > 65535 THEN {step_sup} ELSE {step_bmp} END)")
     signed = f"(CASE WHEN {unsigned} >= 2147483648 THEN {unsigned} - 4294967296 ELSE {unsigned} END)"
     scaled = f"pmod({signed} * {int(factor)}, 4294967296)"
     return f"CAST(CASE WHEN {scaled} >= 2147483648 THEN {scaled} - 4294967296 ELSE {scaled} END AS INT)"

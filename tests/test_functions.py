@@ -10,16 +10,17 @@ from eventide.sources.files import parse_access_log, parse_delimited, split_like
 
 
 def test_java_hash_values(spark):
-    df = spark.createDataFrame([("sensor_1",), ("",), ("Brand#13",), ("héllo",)], "s STRING")
+    words = ["sensor_1", "", "Brand#13", "héllo", "a😀b", "𝄞x"]
+    df = spark.createDataFrame([(w,) for w in words], "s STRING")
     got = [r.h for r in df.select(hashing.java_string_hash("s").alias("h")).collect()]
-    exp = [udfs._java_hash(x) for x in ["sensor_1", "", "Brand#13", "héllo"]]
+    exp = [udfs._java_hash(x) for x in words]
     assert got == exp
     assert got[0] == 1262115052
 
 
 def test_hash_code_native_sql_pandas_agree(spark):
     rnd = random.Random(3)
-    words = ["".join(rnd.choice("abcXYZ#_09 ") for _ in range(rnd.randint(0, 12))) for _ in range(200)]
+    words = ["".join(rnd.choice("abcXYZ#_09 é😀") for _ in range(rnd.randint(0, 12))) for _ in range(200)]
     df = spark.createDataFrame([(w,) for w in words], "s STRING")
     udfs.register_hash_code(spark, 10, "hash10")
     df.createOrReplaceTempView("hash_words")
@@ -34,13 +35,15 @@ def test_hash_code_native_sql_pandas_agree(spark):
 
 
 def test_poly_hash_mask(spark):
-    df = spark.createDataFrame([(str(u),) for u in [0, 7, 123456, 987654321]], "s STRING")
+    words = ["0", "7", "123456", "987654321", "u😀"]
+    df = spark.createDataFrame([(w,) for w in words], "s STRING")
     got = [r.h for r in df.select(hashing.poly_hash("s").alias("h")).collect()]
     exp = []
-    for s in ["0", "7", "123456", "987654321"]:
+    for s in words:
         acc = 0
-        for ch in s:
-            acc = (acc * 61 + ord(ch)) & 0xFFFFFFFF
+        data = s.encode("utf-16-le")
+        for i in range(0, len(data), 2):
+            acc = (acc * 61 + (data[i] | data[i + 1] << 8)) & 0xFFFFFFFF
         exp.append(acc & ((1 << 29) - 1))
     assert got == exp
 
