@@ -45,33 +45,49 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
-def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: int,
-                      hot_rows: int | None = None) -> DataFrame:
-    """Add ``_bw``: the time-bucket width for each row's key.
+def hot_key_widths(stats_source: DataFrame, keys, us_col: str, base_us: int, min_us: int,
+                   hot_rows: int | None = None, scale: float = 1.0):
+    """Small table (keys, ``_bwh``) of the keys with more than ``hot_rows`` rows, or None.
 
-    Keys with more than ``hot_rows`` rows get width span * hot_rows / rows
-    (not below ``min_us``), every other key ``base_us``. Finding hot keys is
-    one aggregate over the input; only the hot keys (at most
-    rows / hot_rows of them, checked) are broadcast, so the input is never
-    shuffled by key for this.
+    ``stats_source`` is the input itself or a sample of it (then ``scale`` is
+    1 / sampling fraction). At most rows / hot_rows keys can qualify; the
+    count is checked against ``MAX_HOT_KEYS`` before the table is broadcast.
     """
     hot_rows = hot_rows or HOT_KEY_ROWS
     keys = _names(keys)
-    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(us_col).alias("_lo"),
-                                   F.max(us_col).alias("_hi"))
-               .where(F.col("_n") > hot_rows))
+    stats = (stats_source.groupBy(*keys)
+                         .agg((F.count(F.lit(1)) * F.lit(scale)).alias("_n"), F.min(us_col).alias("_lo"),
+                              F.max(us_col).alias("_hi"))
+                         .where(F.col("_n") > hot_rows))
     width = F.greatest(F.lit(min_us), ((F.col("_hi") - F.col("_lo") + 1) / F.col("_n") * hot_rows).cast("long"))
     hot = stats.select(*keys, F.least(width, F.lit(base_us)).alias("_bwh"))
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumn(WIDTH, F.lit(base_us).cast("long"))
-    if n_hot <= MAX_HOT_KEYS:
-        hot = F.broadcast(hot)
+        return None
     # Beyond the bound the table is joined by shuffle (AQE splits skewed partitions).
-    return (df.join(hot, on=keys, how="left")
+    return F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
+
+
+def apply_widths(df: DataFrame, keys, hot, base_us: int) -> DataFrame:
+    if hot is None:
+        return df.withColumn(WIDTH, F.lit(base_us).cast("long"))
+    return (df.join(hot, on=_names(keys), how="left")
               .withColumn(WIDTH, F.coalesce(F.col("_bwh"), F.lit(base_us)).cast("long")).drop("_bwh"))
 
 
+def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: int,
+                      hot_rows: int | None = None) -> DataFrame:
+    """Add ``_bw``: the time-bucket width for each row's key.
+
+    Keys with more than ``hot_rows`` rows get width span * hot_rows / rows
+    (not below ``min_us``), every other key ``base_us``. Finding hot keys is
+    one aggregate over the (key, time) columns; only the hot keys (at most
+    rows / hot_rows of them, checked) are broadcast, so the input is never
+    shuffled by key for this.
+    """
+    return apply_widths(df, keys, hot_key_widths(df, keys, us_col, base_us, min_us, hot_rows), base_us)
+
+
 def bucketed(df: DataFrame, keys, us_col: str, bucket, base_us: int, min_us: int) -> DataFrame:
     """Add the ``_bw`` width column: fixed when ``bucket`` is given, else adaptive per key."""
     if bucket is not None:
@@ -138,20 +154,18 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     win = Window.partitionBy(*part, BUCKET).orderBy(*order)
     win = (win.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
            else win.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*part, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                           Window.unboundedFollowing)
-    local = (d.withColumn("__sq_local", F.sum("__sq_w").over(win))
-              .withColumn("__sq_tot", F.sum("__sq_w").over(whole)))
-    # Bucket totals are read off the window output (not re-aggregated from the
-    # input), so both branches share one exchange and the upstream runs once.
-    totals = local.groupBy(*part, BUCKET).agg(F.max("__sq_tot").alias("__sq_bt"))
+    local = d.withColumn("__sq_local", F.sum("__sq_w").over(win))
+    # Bucket totals come from a partial (map-side) aggregate of the input:
+    # re-reading the few columns it needs is cheaper than shuffling every
+    # row a second time, and only one row per (part, bucket) and task moves.
+    totals = d.groupBy(*part, BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
     prev = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*part, BUCKET, F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
     # The offsets table grows with keys x buckets, so it is never broadcast:
     # ``local`` is already hash-partitioned on (part, bucket) by its window,
     # so a shuffled hash join only moves the small offsets table.
     res = local.join(offsets.hint("shuffle_hash"), on=[*part, BUCKET], how="inner")
-    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_tot", "__sq_w", BUCKET)
+    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_w", BUCKET)
 
 
 def scan_row_number(df: DataFrame, part, order: Sequence[Column | str], bucket: Column,

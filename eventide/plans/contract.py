@@ -247,7 +247,7 @@ def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = driver_table(spark, sf_dir, "documents").select("doc_id", "text")
-    r = aggregates.running_word_count(docs, "text", "doc_id", " ", rows_per_bucket=16)
+    r = aggregates.running_word_count(docs, "text", "doc_id", " ")
     return r.select("doc_id", F.col("pos").cast("long").alias("pos"), "word", "cnt")
 
 

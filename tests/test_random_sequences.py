@@ -302,3 +302,19 @@ def test_hot_key_adaptive_buckets(spark, monkeypatch):
     ch = changelog.count_changelog(df, "key", "ts", "seq").where("is_add").collect()
     pos = {e[0]: i + 1 for key, evs in _by_key(rows).items() for i, e in enumerate(evs)}
     assert all(r.cnt == pos[r.seq] for r in ch)
+
+
+def test_running_word_count_hot_word(spark, monkeypatch):
+    from eventide.operators import aggregates, sequence
+    rnd = random.Random(41)
+    docs = [(i, " ".join(rnd.choice(["the", "the", "the", "a", "b", "c", "d"]) for _ in range(rnd.randint(1, 30))))
+            for i in range(800)]
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 40)
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    got = {(r.doc_id, r.pos): r.cnt for r in aggregates.running_word_count(df, "text", "doc_id").collect()}
+    seen = defaultdict(int)
+    for doc_id, text in docs:
+        for pos, w in enumerate(text.split(" ")):
+            seen[w] += 1
+            assert got[(doc_id, pos)] == seen[w]
+    assert len(got) == sum(seen.values())
