@@ -6,10 +6,10 @@ instead interleave each event with the timers that fall before it. To get
 the same answers as the batch operators, every processor here is an
 *event-time replay*: rows are buffered in list state until the watermark
 passes them, then fed to a small per-key state machine in (event time,
-tie-break) order, firing the machine's own timers between them. Real
-timers are registered at each buffered row's time and at each pending
-machine timer, rounded up to the millisecond, so the replay only ever runs
-over rows that can no longer be preceded by a new one.
+tie-break) order, firing the machine's own timers between them. The replay
+runs up to the current watermark, so it only ever consumes rows that can no
+longer be preceded by a new one; one wake-up timer per key (rounded up to
+the millisecond) triggers it.
 
 Machines keep their state as a JSON document in value state; buffered rows
 are JSON too, so one processor class serves every detector.
@@ -380,7 +380,14 @@ DOUBLE_MIN_S = -1.7976931348623157e308
 
 class EventTimeReplay(StatefulProcessor):
     """Buffers a key's rows until the watermark passes them, then replays them
-    through ``machine_factory(state)`` in (``t_us``, ``t_tb``) order."""
+    through ``machine_factory(state)`` in (``t_us``, ``t_tb``) order.
+
+    Per key the value state holds one JSON document: the machine's state and
+    the earliest buffered row time. Each input call and each replay registers
+    a single wake-up timer (earliest buffered row or earliest machine timer),
+    and a timer call with nothing due returns without reading the buffer, so
+    a hot key costs one buffer read per micro-batch, not one per row.
+    """
 
     def __init__(self, machine_factory, key_cols: list[str], out_cols: list[str], time_out: str | None = None):
         self.machine_factory = machine_factory
@@ -393,6 +400,10 @@ class EventTimeReplay(StatefulProcessor):
         self.buffer = handle.getListState("buffer", "us BIGINT, row STRING")
         self.state = handle.getValueState("machine", "s STRING")
 
+    def _load(self) -> dict:
+        st = self.state.get() if self.state.exists() else None
+        return json.loads(st[0]) if st else {"m": None, "min_buf": None}
+
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         new = []
         for pdf in rows:
@@ -401,8 +412,11 @@ class EventTimeReplay(StatefulProcessor):
                 new.append((int(rec["t_us"]), json.dumps(rec, default=str)))
         if new:
             self.buffer.appendList(new)
-            for ms in {_ceil_ms(u) for u, _ in new}:
-                self.handle.registerTimer(ms)
+            doc = self._load()
+            first = min(u for u, _ in new)
+            doc["min_buf"] = first if doc["min_buf"] is None else min(doc["min_buf"], first)
+            self.state.update((json.dumps(doc),))
+            self.handle.registerTimer(_ceil_ms(first))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues,
@@ -411,11 +425,15 @@ class EventTimeReplay(StatefulProcessor):
         # to the watermark (not just to this timer) and fires the machine's
         # timers that fall before it in the same pass.
         horizon = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) * 1000
-        buffered = list(self.buffer.get()) if self.buffer.exists() else []
+        doc = self._load()
+        m = self.machine_factory(doc["m"])
+        due_rows = doc["min_buf"] is not None and doc["min_buf"] <= horizon
+        due_timers = any(t <= horizon for t in m.pending())
+        if not due_rows and not due_timers:
+            return iter([])
+        buffered = list(self.buffer.get()) if due_rows and self.buffer.exists() else []
         ready = sorted((json.loads(r) for u, r in buffered if u <= horizon), key=lambda r: (r["t_us"], r["t_tb"]))
         later = [(u, r) for u, r in buffered if u > horizon]
-        st = self.state.get() if self.state.exists() else None
-        m = self.machine_factory(json.loads(st[0]) if st else None)
         out = []
         for row in ready:
             for due in [t for t in m.pending() if t < row["t_us"]]:
@@ -423,16 +441,21 @@ class EventTimeReplay(StatefulProcessor):
             out += m.on_event(row)
         for due in [t for t in m.pending() if t <= horizon]:
             out += m.on_timer(due)
-        if m.s == m.initial():
+        if due_rows:
+            if later:
+                self.buffer.put(later)
+            else:
+                self.buffer.clear()
+            doc["min_buf"] = min(u for u, _ in later) if later else None
+        idle = m.s == m.initial() and doc["min_buf"] is None
+        if idle:
             self.state.clear()          # nothing to remember for this key
         else:
-            self.state.update((json.dumps(m.s),))
-        if later:
-            self.buffer.put(later)
-        else:
-            self.buffer.clear()
-        for t in m.pending():
-            self.handle.registerTimer(_ceil_ms(t))
+            doc["m"] = m.s
+            self.state.update((json.dumps(doc),))
+        wake = [t for t in ([doc["min_buf"]] if doc["min_buf"] is not None else []) + m.pending()]
+        if wake:
+            self.handle.registerTimer(_ceil_ms(min(wake)))
         if not out:
             return iter([])
         kv = dict(zip(self.key_cols, key if isinstance(key, tuple) else (key,)))
