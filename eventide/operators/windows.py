@@ -139,15 +139,17 @@ def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebre
                           F.lit(0).alias("_kind")))
     rows = base.select("*", F.col(order_tiebreak).alias("_tb"), F.lit(1).alias("_kind"))
     marks = firsts.unionByName(rows, allowMissingColumns=True)
+    # A busy window gets finer slices than size / sub_buckets (adaptive widths).
+    marks = seq.with_bucket_width(marks, ["_slot"], "_us", sub_us, 1_000)
     # A first occurrence is ordered just before the event it stems from.
     scanned = seq.scan_sum(
         marks, "_slot", [F.col("_us"), F.col("_tb"), F.col("_kind")],
-        F.floor(F.col("_us") / F.lit(sub_us)).cast("long"),
+        seq.bucket_of("_us", seq.WIDTH),
         F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long"), out)
     res = scanned.where(F.col("_kind") == 1)
     return (res.withColumn(W_START, F.col("_slot") * F.lit(size_us))
                .withColumn(W_END, F.col(W_START) + F.lit(size_us))
-               .drop("_slot", "_us", "_off", "_tb", "_kind"))
+               .drop("_slot", "_us", "_off", "_tb", "_kind", seq.WIDTH))
 
 
 # ----------------------------------------------------------------- sliding

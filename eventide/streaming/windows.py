@@ -23,16 +23,29 @@ def _names(keys):
 
 
 def sliding_count(df: DataFrame, ts: str, keys, size, slide=None, out: str = "cnt",
-                  keep: str | None = None) -> DataFrame:
+                  keep: str | None = None, pre_slot: bool = True) -> DataFrame:
     """Count per (window, keys); one row per window once the watermark closes it.
 
+    With ``pre_slot`` (default, when size is a multiple of slide) rows are
+    first counted per (slide slot, keys); each closed slot is then assigned,
+    through its ``window_time``, to the size/slide windows that contain it
+    and summed in a second, chained aggregation. State updates grow with
+    slots, not with events x windows per event.
     ``keep`` names a boolean column (see ``watermarks.count_if_keep``): rows
     where it is false still advance event time but are not counted.
     """
     slide = slide or size
-    w = F.window(F.col(ts), f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds")
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    keys = _names(keys)
     agg = F.count_if(F.col(keep)) if keep else F.count(F.lit(1))
-    g = df.groupBy(w.alias("window"), *_names(keys)).agg(agg.alias(out))
+    if pre_slot and size_us != slide_us and size_us % slide_us == 0:
+        slots = (df.groupBy(F.window(F.col(ts), f"{slide_us} microseconds").alias("_slot"), *keys)
+                   .agg(agg.alias("_c")))
+        w = F.window(F.window_time("_slot"), f"{size_us} microseconds", f"{slide_us} microseconds")
+        g = slots.groupBy(w.alias("window"), *keys).agg(F.sum("_c").alias(out))
+    else:
+        w = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
+        g = df.groupBy(w.alias("window"), *keys).agg(agg.alias(out))
     if keep:
         g = g.where(F.col(out) > 0)
     return _bounds(g)
