@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import duration_us, epoch_us
+from ..functions.time import epoch_us
 from . import sequence as seq
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_code as _hash_code
-from ..functions.time import epoch_us, format_bound
+from ..functions.time import epoch_us
 from ..operators import aggregates, changelog as chg, detect, filters, lateral, over, reconcile, topn, windows
 from ..sources.files import parse_access_log, parse_json_records
 from ..sources.tables import driver_table, events

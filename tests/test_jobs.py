@@ -3,7 +3,6 @@
 import os
 import uuid
 
-from pyspark.sql import functions as F
 
 from conftest import fixture_path
 from eventide.plans import jobs

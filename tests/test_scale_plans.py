@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from eventide.operators import detect, over, windows
+from eventide.operators import windows
 from eventide.plans import contract as C
 
 SF = "/root/testdata/sf0.001"
