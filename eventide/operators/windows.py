@@ -281,18 +281,17 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
         g = df.groupBy(sw.alias("_w"), *names).agg(*aggs)
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
-    d = df.withColumn("_us", epoch_us(ts)).withColumn("_rid", F.monotonically_increasing_id())
+    d = df.withColumn("_us", epoch_us(ts))
     d = seq.bucketed(d, names, "_us", bucket, seq.default_bucket_us(gap_us), max(gap_us, 1_000_000))
     h = seq.with_halo(d, "_us", seq.WIDTH, gap_us, "back")
-    # Peers at the same instant never start a session after the first of them.
-    win = Window.partitionBy(*names, seq.BUCKET).orderBy("_us", "_rid")
-    prev = F.lag("_us").over(win)
-    flagged = (h.withColumn("_prev", prev).where(~F.col(seq.CONTEXT))
-                .withColumn("_start", F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_us), 1)
-                            .otherwise(0).cast("long"))
-                .drop(seq.BUCKET, seq.CONTEXT, "_prev"))
-    sid = seq.scan_sum(flagged, names, [F.col("_us"), F.col("_rid")],
-                       seq.bucket_of("_us", seq.WIDTH), F.col("_start"), "_sid")
+    # A row starts a session when no row of its key lies in [t - gap, t). Rows
+    # tied on t see the same frame, and the RANGE scan below gives them one
+    # id, so no tie-break column (and nothing non-deterministic) is needed.
+    before = Window.partitionBy(*names, seq.BUCKET).orderBy("_us").rangeBetween(-gap_us, -1)
+    flagged = (h.withColumn("_start", F.when(F.count(F.lit(1)).over(before) == 0, 1).otherwise(0).cast("long"))
+                .where(~F.col(seq.CONTEXT)).drop(seq.BUCKET, seq.CONTEXT))
+    sid = seq.scan_sum(flagged, names, [F.col("_us")], seq.bucket_of("_us", seq.WIDTH), F.col("_start"), "_sid",
+                       frame="range")
     g = sid.groupBy(*names, "_sid").agg(*aggs, F.min("_us").alias(W_START), F.max("_us").alias("_last"))
     return g.withColumn(W_END, F.col("_last") + F.lit(gap_us)).drop("_sid", "_last")
 
