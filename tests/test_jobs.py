@@ -80,3 +80,11 @@ def test_login_job_streaming(spark, tmp_path):
            .trigger(availableNow=True).start())
     q.awaitTermination()
     assert [r.user_id for r in spark.table(name).collect()] == [1035]
+
+
+def test_cli_batch_to_parquet(spark, tmp_path):
+    from eventide import cli
+    out = str(tmp_path / "alerts")
+    assert cli.main(["order_timeout_alert", fixture_path("OrderLog.csv"), "--out", out]) == 0
+    assert sorted(r.order_id for r in spark.read.parquet(out).collect()) == [34756, 34767]
+    assert "tx_match" in cli.JOBS and "login_fail" in cli.JOBS
