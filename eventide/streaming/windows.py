@@ -91,11 +91,20 @@ def top_n_per_window(counts_stream: DataFrame, n: int, order_col: str, key: str,
 def windowed_top_n(df: DataFrame, ts: str, key: str, size, slide, n: int, out: str = "cnt") -> DataFrame:
     """Chained streaming aggregation: counts per (window, key), then top n per window.
 
-    Both stateful aggregations run in append mode under the same watermark;
-    the second sees each window once, when the first emits it.
+    The stateful aggregations run in append mode under the same watermark;
+    each sees a window once, when the one before emits it. When size is a
+    multiple of slide, rows are first counted per slide slot (as in
+    ``sliding_count``), so state updates grow with slots, not events.
     """
-    w = F.window(F.col(ts), f"{duration_us(size)} microseconds", f"{duration_us(slide)} microseconds")
-    counts = df.groupBy(w.alias("window"), key).agg(F.count(F.lit(1)).alias(out))
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if size_us != slide_us and size_us % slide_us == 0:
+        slots = (df.groupBy(F.window(F.col(ts), f"{slide_us} microseconds").alias("_slot"), key)
+                   .agg(F.count(F.lit(1)).alias("_c")))
+        w = F.window(F.window_time("_slot"), f"{size_us} microseconds", f"{slide_us} microseconds")
+        counts = slots.groupBy(w.alias("window"), key).agg(F.sum("_c").alias(out))
+    else:
+        w = F.window(F.col(ts), f"{size_us} microseconds", f"{slide_us} microseconds")
+        counts = df.groupBy(w.alias("window"), key).agg(F.count(F.lit(1)).alias(out))
     return top_n_per_window(counts, n, out, key)
 
 
