@@ -186,6 +186,79 @@ def deadline_alert(df: DataFrame, key, ts: str, start, end, within="15 minutes",
 
 def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 minutes",
                            tiebreak: str = "seq") -> DataFrame:
+    """Timer state machine of the deadline job for any number of starts per key.
+
+    Keys whose ends (pays) are at least 2 x ``within`` apart have a closed
+    form, computed with halos, bucketed scans and equi-joins on (key,
+    segment), so a busy key is never gathered in one task:
+
+    * before the first end every start arms a timer;
+    * at end k the pending timers are those of the starts in the ``within``
+      before it; the earliest, a_k, fires at a_k + within and consumes the
+      end; starts after end k arm timers only after that fire; with no
+      pending timer the paid flag is never cleared again and the key stays
+      silent from then on;
+    * a fire alerts unless it is the first fire at or after the last end.
+
+    Keys with ends closer than that (their segments interact) replay the
+    state machine per key (``_deadline_replay``).
+    """
+    keys = _keys(key)
+    w_us = duration_us(within)
+    cols = list(df.columns)
+    d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
+         .where(F.col("_s") | F.col("_e")))
+    d = seq.bucketed(d, keys, "_us", None, seq.default_bucket_us(2 * w_us), max(2 * w_us, 1_000_000))
+
+    # Keys with two ends less than 2*within apart take the replay.
+    ends = d.where("_e")
+    eh = seq.with_halo(ends, "_us", seq.WIDTH, 2 * w_us, "back")
+    close = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-(2 * w_us - 1), 0)
+    dense_keys = (eh.withColumn("_n", F.count(F.lit(1)).over(close))
+                    .where(~F.col(seq.CONTEXT) & (F.col("_n") > 1)).select(*keys).distinct())
+    sp = d.join(dense_keys, on=keys, how="left_anti")
+    dense = df.join(dense_keys, on=keys, how="left_semi")
+
+    # a_k: earliest start in [end - within, end) that precedes the end; k = end's rank.
+    h = seq.with_halo(sp, "_us", seq.WIDTH, w_us, "back")
+    look = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-w_us, 0)
+    first = F.min(F.when(F.col("_s"), F.struct(F.col("_us").alias("u"), F.col(tiebreak).alias("t")))).over(look)
+    pays = (h.withColumn("_a", first).where(~F.col(seq.CONTEXT) & F.col("_e"))
+              .withColumn("_a", F.when(F.struct(F.col("_a.u"), F.col("_a.t"))
+                                       < F.struct(F.col("_us"), F.col(tiebreak)), F.col("_a.u")))
+              .select(*keys, "_us", tiebreak, "_a", seq.WIDTH))
+    pays = seq.scan_row_number(pays, keys, [F.col("_us"), F.col(tiebreak)],
+                               seq.bucket_of("_us", seq.WIDTH), "_k")
+    blocked = pays.where(F.col("_a").isNull()).groupBy(*keys).agg(F.min("_us").alias("_blocked_from"))
+    seg = pays.select(*keys, "_k", F.col("_us").alias("_p"), "_a")
+
+    # Segment of each start (ends before it in order) and whether it arms a timer.
+    k_of = seq.scan_sum(sp, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
+                        F.col("_e").cast("long"), "_k")
+    starts = (k_of.where("_s").join(seg, on=[*keys, "_k"], how="left").join(blocked, on=keys, how="left"))
+    armed = starts.where((F.col("_k") == 0) |
+                         ((F.col("_blocked_from").isNull() | (F.col("_p") < F.col("_blocked_from")))
+                          & F.col("_a").isNotNull() & (F.col("_us") > F.col("_a") + F.lit(w_us))))
+    # One fire per due time, attributed to the first start that armed it.
+    fires = (armed.withColumn("_due", F.col("_us") + F.lit(w_us))
+                  .groupBy(*keys, "_due")
+                  .agg(F.min_by(F.struct(*[F.col(c) for c in cols], F.col("_us").alias("start_us")),
+                                F.struct(F.col("_us"), F.col(tiebreak))).alias("_f"),
+                       F.first(seq.WIDTH).alias(seq.WIDTH)))
+    # Ends at or before each fire (ends at the fire's time come first).
+    merged = (fires.select(*keys, F.col("_due").alias("_t"), F.lit(0).cast("long").alias("_w"), "_due", seq.WIDTH)
+                   .unionByName(sp.where("_e").select(*keys, F.col("_us").alias("_t"), F.lit(1).cast("long").alias("_w"),
+                                                      F.lit(None).cast("long").alias("_due"), seq.WIDTH)))
+    kf = seq.scan_sum(merged, keys, [F.col("_t")], seq.bucket_of("_t", seq.WIDTH), F.col("_w"), "_k", frame="range")
+    fired = (kf.where(F.col("_due").isNotNull()).select(*keys, "_due", "_k")
+               .join(fires, on=[*keys, "_due"]).join(seg, on=[*keys, "_k"], how="left"))
+    alerts = fired.where((F.col("_k") == 0) | F.col("_a").isNull() | (F.col("_due") != F.col("_a") + F.lit(w_us)))
+    closed = alerts.select("_f.*").select(*cols, "start_us", F.lit("order timeout").alias("msg"))
+    return closed.unionByName(_deadline_replay(dense, keys, ts, start, end, within, tiebreak))
+
+
+def _deadline_replay(df: DataFrame, key, ts: str, start, end, within="15 minutes",
+                           tiebreak: str = "seq") -> DataFrame:
     """Timer state machine of the deadline job for keys with several starts.
 
     Keys with a single start take the join of ``deadline_alert``; only keys

@@ -318,3 +318,33 @@ def test_running_word_count_hot_word(spark, monkeypatch):
             seen[w] += 1
             assert got[(doc_id, pos)] == seen[w]
     assert len(got) == sum(seen.values())
+
+
+@pytest.mark.parametrize("seed,hot", [(50, False), (51, False), (52, True)])
+def test_deadline_general_sparse_pays_closed_form(spark, monkeypatch, seed, hot):
+    """Many creates per key, pays at least 2 x within apart: the closed form applies
+    (with ``hot`` every key also gets finer adaptive buckets)."""
+    if hot:
+        from eventide.operators import sequence
+        monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 10)
+    rnd = random.Random(seed)
+    w = 9
+    rows, seq_ = [], 0
+    for key in range(1, 8):
+        t = rnd.randint(0, 30)
+        pays = []
+        while t < 800:
+            pays.append(t)
+            t += rnd.randint(2 * w, 4 * w)
+        if rnd.random() < 0.3:
+            pays = []
+        for p in pays:
+            rows.append((seq_, key, p, "pay", 0.0)); seq_ += 1
+        for _ in range(rnd.randint(5, 60)):
+            rows.append((seq_, key, rnd.randint(0, 820), "create", 0.0)); seq_ += 1
+        for _ in range(rnd.randint(0, 5)):
+            rows.append((seq_, key, rnd.randint(0, 820), "other", 0.0)); seq_ += 1
+    df = _df(spark, rows)
+    got = detect.deadline_alert_general(df, "key", "ts", F.col("kind") == "create", F.col("kind") == "pay",
+                                        f"{w} seconds", "seq")
+    assert sorted(r.seq for r in got.collect()) == sim_deadline(rows, w)
