@@ -207,6 +207,22 @@ def order_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("user_id", "k", "event_id", "start_us", "msg")
 
 
+def order_deadline_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 with every signup of a (user_id, k) key (several per key): the timer state machine.
+
+    No SQL oracle (a per-key timer replay); checked against a Python simulation
+    of the state machine on the sf0.01 table in tests/test_contract_extra.py.
+    """
+    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "k", "event_type")
+    a = detect.deadline_alert(ev, ["user_id", "k"], "ts", F.col("event_type") == "signup",
+                              F.col("event_type") == "purchase", "1 day", "event_id", single_start=False)
+    return a.select("user_id", "k", "event_id", "start_us", "msg")
+
+
+# Queries without an SQL twin (checked against brute force in tests instead).
+NO_ORACLE = {"order_deadline_all"}
+
+
 def _tx_sides(spark, sf_dir):
     ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "k", "event_type")
 
@@ -415,6 +431,7 @@ QUERIES = {
     "fail_pattern": fail_pattern,
     "order_pattern": order_pattern,
     "order_deadline": order_deadline,
+    "order_deadline_all": order_deadline_all,
     "tx_pairs": tx_pairs,
     "tx_left": tx_left,
     "tx_right": tx_right,

@@ -13,9 +13,10 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_all_queries_match_oracle(spark):
     res = compare(spark, SF, verbose=False)
-    bad = {k: v for k, v in res.items() if v[0] not in ("ok",)}
+    from eventide.plans.contract import NO_ORACLE
+    bad = {k: v for k, v in res.items() if v[0] != "ok" and not (k in NO_ORACLE and v[0] == "rows-only")}
     assert not bad, bad
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.queries()) - NO_ORACLE == set(E.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
