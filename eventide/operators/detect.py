@@ -179,7 +179,7 @@ def deadline_alert(df: DataFrame, key, ts: str, start, end, within="15 minutes",
     if not single_start:
         return deadline_alert_general(df, keys, ts, start, end, within, tiebreak)
     ends = d.where(_cond(end)).groupBy(*keys).agg(F.min("_us").alias("_first_end"))
-    j = starts.join(ends, on=keys, how="left")
+    j = seq.join_keys(starts, ends, keys, "left")
     alert = j.where(F.col("_first_end").isNull() | (F.col("_first_end") > F.col("_us") + F.lit(w_us)))
     return alert.select(*df.columns, F.col("_us").alias("start_us"), F.lit("order timeout").alias("msg"))
 
@@ -216,8 +216,8 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
     close = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-(2 * w_us - 1), 0)
     dense_keys = (eh.withColumn("_n", F.count(F.lit(1)).over(close))
                     .where(~F.col(seq.CONTEXT) & (F.col("_n") > 1)).select(*keys).distinct())
-    sp = d.join(dense_keys, on=keys, how="left_anti")
-    dense = df.join(dense_keys, on=keys, how="left_semi")
+    sp = seq.join_keys(d, dense_keys, keys, "left_anti")
+    dense = seq.join_keys(df, dense_keys, keys, "left_semi")
 
     # a_k: earliest start in [end - within, end) that precedes the end; k = end's rank.
     h = seq.with_halo(sp, "_us", seq.WIDTH, w_us, "back")
@@ -235,7 +235,7 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
     # Segment of each start (ends before it in order) and whether it arms a timer.
     k_of = seq.scan_sum(sp, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
                         F.col("_e").cast("long"), "_k")
-    starts = (k_of.where("_s").join(seg, on=[*keys, "_k"], how="left").join(blocked, on=keys, how="left"))
+    starts = seq.join_keys(seq.join_keys(k_of.where("_s"), seg, [*keys, "_k"], "left"), blocked, keys, "left")
     armed = starts.where((F.col("_k") == 0) |
                          ((F.col("_blocked_from").isNull() | (F.col("_p") < F.col("_blocked_from")))
                           & F.col("_a").isNotNull() & (F.col("_us") > F.col("_a") + F.lit(w_us))))
@@ -250,8 +250,8 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
                    .unionByName(sp.where("_e").select(*keys, F.col("_us").alias("_t"), F.lit(1).cast("long").alias("_w"),
                                                       F.lit(None).cast("long").alias("_due"), seq.WIDTH)))
     kf = seq.scan_sum(merged, keys, [F.col("_t")], seq.bucket_of("_t", seq.WIDTH), F.col("_w"), "_k", frame="range")
-    fired = (kf.where(F.col("_due").isNotNull()).select(*keys, "_due", "_k")
-               .join(fires, on=[*keys, "_due"]).join(seg, on=[*keys, "_k"], how="left"))
+    fired = seq.join_keys(seq.join_keys(kf.where(F.col("_due").isNotNull()).select(*keys, "_due", "_k"),
+                                        fires, [*keys, "_due"]), seg, [*keys, "_k"], "left")
     alerts = fired.where((F.col("_k") == 0) | F.col("_a").isNull() | (F.col("_due") != F.col("_a") + F.lit(w_us)))
     closed = alerts.select("_f.*").select(*cols, "start_us", F.lit("order timeout").alias("msg"))
     return closed.unionByName(_deadline_replay(dense, keys, ts, start, end, within, tiebreak))
@@ -275,10 +275,10 @@ def _deadline_replay(df: DataFrame, key, ts: str, start, end, within="15 minutes
     nstart = d.where("_s").groupBy(*keys).agg(F.count(F.lit(1)).alias("_ns"))
     multi = nstart.where(F.col("_ns") > 1).select(*keys)
     single = nstart.where(F.col("_ns") == 1).select(*keys)
-    base_single = df.join(single, on=keys, how="left_semi")
+    base_single = seq.join_keys(df, single, keys, "left_semi")
     one = deadline_alert(base_single, keys, ts, start, end, within, tiebreak, single_start=True)
 
-    sub = d.join(multi, on=keys, how="left_semi").select(*keys, "_us", tiebreak, "_s", "_e")
+    sub = seq.join_keys(d, multi, keys, "left_semi").select(*keys, "_us", tiebreak, "_s", "_e")
     schema = T.StructType([f for f in sub.schema.fields if f.name in keys]
                           + [T.StructField(tiebreak, sub.schema[tiebreak].dataType),
                              T.StructField("start_us", T.LongType())])
@@ -312,8 +312,8 @@ def _deadline_replay(df: DataFrame, key, ts: str, start, end, within="15 minutes
         return pd.DataFrame(rows, columns=[*keys, tiebreak, "start_us"])
 
     many = sub.groupBy(*keys).applyInPandas(replay, schema)
-    many_full = (many.join(d.select(*keys, tiebreak, *[c for c in df.columns if c not in keys and c != tiebreak]),
-                           on=[*keys, tiebreak])
+    many_full = (seq.join_keys(many, d.select(*keys, tiebreak, *[c for c in df.columns if c not in keys and c != tiebreak]),
+                               [*keys, tiebreak])
                  .select(*df.columns, "start_us", F.lit("order timeout").alias("msg")))
     return one.unionByName(many_full)
 
@@ -359,7 +359,7 @@ def quota_outcome(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak:
     w = Window.partitionBy(*keys, "_day").orderBy("_us", tiebreak)
     ranked = (d.select(*keys, "_day", "_us", tiebreak).withColumn("_n", F.row_number().over(w))
                 .where(F.col("_n") <= max_count + 2).drop("_us"))
-    tagged = d.join(ranked, on=[*keys, "_day", tiebreak], how="left")
+    tagged = seq.join_keys(d, ranked, [*keys, "_day", tiebreak], how="left")
     out = (F.when(F.col("_n") <= max_count + 1, "pass")
             .when(F.col("_n") == max_count + 2, "blocked_first").otherwise("blocked"))
     return tagged.withColumn("outcome", out).select(*df.columns, "outcome")

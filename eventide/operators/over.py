@@ -77,7 +77,7 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
                 .withColumn("_ts", F.sum(value).over(tail)).withColumn("_tc", F.count(F.lit(1)).over(tail)))
     tails = parts.select(*keys, (F.col("_rn") + F.lit(preceding_rows)).alias("_rn"),
                          F.col("_ts").alias("_ps"), F.col("_tc").alias("_pc"), F.col("_blk").alias("_pblk"))
-    j = parts.join(tails, on=[*keys, "_rn"], how="left")
+    j = seq.join_keys(parts, tails, [*keys, "_rn"], "left")
     use_prev = F.col("_pblk").isNotNull() & (F.col("_pblk") != F.col("_blk"))
     return (j.withColumn(f"{prefix}_cnt", (F.col("_hc") + F.when(use_prev, F.col("_pc")).otherwise(0)).cast("long"))
              .withColumn(f"{prefix}_sum", F.col("_hs") + F.when(use_prev, F.col("_ps")).otherwise(F.lit(0.0)))

@@ -37,6 +37,29 @@ HOT_KEY_ROWS = 4_000_000
 MAX_HOT_KEYS = 200_000
 
 
+def join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where NULL keys match each other (``<=>``).
+
+    ``groupBy`` and window partitions treat NULL as a key value; a plain
+    equi-join would drop those rows. Spark still plans ``<=>`` keys as a
+    hash or sort-merge join. Output: left columns, then right's other columns.
+    """
+    on = list(on)
+    lcols, rcols = list(left.columns), [c for c in right.columns if c not in on]
+    l, r = left.alias("__jl"), right.alias("__jr")
+
+    def q(side, c):
+        return F.col(f"{side}.`{c}`")
+    cond = None
+    for c in on:
+        e = q("__jl", c).eqNullSafe(q("__jr", c))
+        cond = e if cond is None else cond & e
+    res = l.join(r, on=cond, how=how)
+    if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
+        return res.select(*[q("__jl", c).alias(c) for c in lcols])
+    return res.select(*[q("__jl", c).alias(c) for c in lcols], *[q("__jr", c).alias(c) for c in rcols])
+
+
 def _names(cols) -> list[str]:
     if cols is None:
         return []
@@ -150,22 +173,30 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     """
     part = _names(part)
     w = F.col(weight) if isinstance(weight, str) else weight
-    d = df.withColumn(BUCKET, bucket).withColumn("__sq_w", w)
-    win = Window.partitionBy(*part, BUCKET).orderBy(*order)
+    # The key columns travel as one struct: a struct is never NULL and struct
+    # equality treats NULL fields as equal, so NULL keys stay one group through
+    # the join, and the window, the per-bucket table and the join all use the
+    # same partitioning expression (the join reuses the window's exchange).
+    pk = F.struct(*[F.col(c) for c in part]) if part else F.lit(0)
+    d = df.withColumn(BUCKET, bucket).withColumn("__sq_w", w).withColumn("__sq_pk", pk)
+    win = Window.partitionBy("__sq_pk", BUCKET).orderBy(*order)
     win = (win.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
            else win.rangeBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("__sq_local", F.sum("__sq_w").over(win))
     # Bucket totals come from a partial (map-side) aggregate of the input:
     # re-reading the few columns it needs is cheaper than shuffling every
     # row a second time, and only one row per (part, bucket) and task moves.
-    totals = d.groupBy(*part, BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
-    prev = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, BUCKET, F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
+    totals = d.groupBy("__sq_pk", BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
+    prev = Window.partitionBy("__sq_pk").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("__sq_pk").alias("__sq_pk2"), F.col(BUCKET).alias("__sq_b2"),
+                            F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
     # The offsets table grows with keys x buckets, so it is never broadcast:
-    # ``local`` is already hash-partitioned on (part, bucket) by its window,
-    # so a shuffled hash join only moves the small offsets table.
-    res = local.join(offsets.hint("shuffle_hash"), on=[*part, BUCKET], how="inner")
-    return res.withColumn(out, F.col("__sq_off") + F.col("__sq_local")).drop("__sq_off", "__sq_local", "__sq_w", BUCKET)
+    # ``local`` is already hash-partitioned on (key struct, bucket) by its
+    # window, so a shuffled hash join only moves the small offsets table.
+    res = local.join(offsets.hint("shuffle_hash"),
+                     (F.col("__sq_pk") == F.col("__sq_pk2")) & (F.col(BUCKET) == F.col("__sq_b2")))
+    return (res.withColumn(out, F.col("__sq_off") + F.col("__sq_local"))
+               .drop("__sq_off", "__sq_local", "__sq_w", "__sq_pk", "__sq_pk2", "__sq_b2", BUCKET))
 
 
 def scan_row_number(df: DataFrame, part, order: Sequence[Column | str], bucket: Column,

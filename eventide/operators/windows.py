@@ -216,26 +216,31 @@ def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
     if bkt < n:
         raise ValueError("run bucket must hold at least size/slide windows")
     d = F.col("_c")
-    points = (slots.select(*names, F.explode(F.array(
+    # Keys travel as one struct (never NULL; NULL fields compare equal), so the
+    # join below matches NULL keys and reuses the window's partitioning.
+    pk = F.struct(*[F.col(c) for c in names]) if names else F.lit(0)
+    points = (slots.select(pk.alias("_pk"), F.explode(F.array(
                   F.struct((F.col("_slot") - F.lit(n - 1)).alias("w"), d.alias("d")),
                   F.struct((F.col("_slot") + F.lit(1)).alias("w"), (-d).alias("d")))).alias("_p"))
-                   .select(*names, "_p.w", "_p.d")
-                   .groupBy(*names, "w").agg(F.sum("d").alias("d"))
+                   .select("_pk", "_p.w", "_p.d")
+                   .groupBy("_pk", "w").agg(F.sum("d").alias("d"))
                    .withColumn("_b", F.floor(F.col("w") / F.lit(bkt)).cast("long")))
-    win = Window.partitionBy(*names, "_b").orderBy("w")
+    win = Window.partitionBy("_pk", "_b").orderBy("w")
     local = (points.withColumn("_lc", F.sum("d").over(win.rowsBetween(Window.unboundedPreceding, 0)))
                    .withColumn("_nx", F.lead("w").over(win)))
-    totals = local.groupBy(*names, "_b").agg(F.sum("d").alias("_bt"), F.min("w").alias("_bmin"))
-    wb = Window.partitionBy(*names).orderBy("_b")
-    offsets = totals.select(*names, "_b",
+    totals = local.groupBy("_pk", "_b").agg(F.sum("d").alias("_bt"), F.min("w").alias("_bmin"))
+    wb = Window.partitionBy("_pk").orderBy("_b")
+    offsets = totals.select(F.col("_pk").alias("_pk2"), F.col("_b").alias("_b2"),
                             F.coalesce(F.sum("_bt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("_off"),
                             F.lead("_bmin").over(wb).alias("_nb"))
-    j = local.join(offsets.hint("shuffle_hash"), on=[*names, "_b"])  # unbounded table: no broadcast
+    j = local.join(offsets.hint("shuffle_hash"),  # unbounded table: no broadcast
+                   (F.col("_pk") == F.col("_pk2")) & (F.col("_b") == F.col("_b2")))
     cnt = F.col("_off") + F.col("_lc")
     nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
     return (j.where(cnt > 0)
-             .select(*names, F.explode(F.sequence(F.col("w"), nxt - F.lit(1))).alias("_w"), cnt.alias(out)))
+             .select(*[F.col(f"_pk.`{c}`").alias(c) for c in names],
+                     F.explode(F.sequence(F.col("w"), nxt - F.lit(1))).alias("_w"), cnt.alias(out)))
 
 
 def sliding_count(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",

@@ -348,3 +348,23 @@ def test_deadline_general_sparse_pays_closed_form(spark, monkeypatch, seed, hot)
     got = detect.deadline_alert_general(df, "key", "ts", F.col("kind") == "create", F.col("kind") == "pay",
                                         f"{w} seconds", "seq")
     assert sorted(r.seq for r in got.collect()) == sim_deadline(rows, w)
+
+
+def test_null_keys_are_a_group(spark):
+    """NULL keys form one group, as in groupBy: no operator drops their rows."""
+    rows = _events(60, n=300, keys=3, span=400, kinds=("create", "pay", "fail"))
+    rows = [(s_, None if k == 1 else k, t, kd, v) for s_, k, t, kd, v in rows]
+    df = _df(spark, rows)
+    n_null = sum(1 for r in rows if r[1] is None)
+    unb = over.over_unbounded(df, "key", "ts", "value", "seq", frame="rows").where("key IS NULL")
+    assert unb.count() == n_null and unb.agg(F.max("run_cnt")).first()[0] == n_null
+    rws = over.over_rows_bounded(df, "key", "ts", "value", 4, "seq").where("key IS NULL").collect()
+    assert len(rws) == n_null and max(r.rows_cnt for r in rws) == 5
+    tagged = detect.quota_outcome(df, "key", "ts", 2, "seq").where("key IS NULL")
+    assert tagged.where("outcome = 'pass'").count() > 0
+    alerts = detect.deadline_alert_general(df, "key", "ts", F.col("kind") == "create", F.col("kind") == "pay",
+                                           "9 seconds", "seq")
+    exp = sim_deadline([(s_, -1 if k is None else k, t, kd, v) for s_, k, t, kd, v in rows], 9)
+    assert sorted(r.seq for r in alerts.collect()) == exp
+    rn = windows.tumbling_rows(df, "key", "ts", "seq", 5).where("key IS NULL")
+    assert rn.count() == n_null // 5
