@@ -46,8 +46,8 @@ def running_word_count(df: DataFrame, col: str, order: str, sep: str = " ", out:
     frac = 0.01
     sample = tokenize(df.select(order, col).sample(fraction=frac, seed=7), col, sep)
     hot = seq.hot_key_widths(sample, ["word"], order, 1 << 62, 1, scale=1 / frac)
-    toks = seq.apply_widths(toks, ["word"], hot, 1 << 62)
-    b = seq.bucket_of(F.col(order), seq.WIDTH)
+    toks = seq.apply_widths(toks, ["word"], hot)
+    b = None if hot is None else seq.bucket_of(F.col(order), seq.WIDTH)
     res = seq.scan_sum(toks, "word", [F.col(order), F.col("pos")], b, F.lit(1).cast("long"), out)
     return res.drop(seq.WIDTH)
 

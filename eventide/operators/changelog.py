@@ -18,9 +18,9 @@ def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, bucket=None, out
     time buckets. ``tiebreak`` identifies the input row that caused the change.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    d = seq.bucketed(df.select(*keys, tiebreak, epoch_us(ts).alias("_us")), keys, "_us", bucket,
-                     86_400_000_000, 1_000_000)
-    run = seq.scan_sum(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
+    d, single = seq.bucketed_single(df.select(*keys, tiebreak, epoch_us(ts).alias("_us")), keys, "_us", bucket,
+                                    86_400_000_000, 1_000_000)
+    run = seq.scan_sum(d, keys, [F.col("_us"), F.col(tiebreak)], None if single else seq.bucket_of("_us", seq.WIDTH),
                        F.lit(1).cast("long"), "_c")
     changes = F.array(
         F.struct(F.lit(False).alias("is_add"), (F.col("_c") - 1).alias(out)),

@@ -208,7 +208,7 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
     cols = list(df.columns)
     d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
          .where(F.col("_s") | F.col("_e")))
-    d = seq.bucketed(d, keys, "_us", None, seq.default_bucket_us(2 * w_us), max(2 * w_us, 1_000_000))
+    d, single = seq.bucketed_single(d, keys, "_us", None, seq.default_bucket_us(2 * w_us), max(2 * w_us, 1_000_000))
 
     # Keys with two ends less than 2*within apart take the replay.
     ends = d.where("_e")
@@ -228,12 +228,12 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
                                        < F.struct(F.col("_us"), F.col(tiebreak)), F.col("_a.u")))
               .select(*keys, "_us", tiebreak, "_a", seq.WIDTH))
     pays = seq.scan_row_number(pays, keys, [F.col("_us"), F.col(tiebreak)],
-                               seq.bucket_of("_us", seq.WIDTH), "_k")
+                               None if single else seq.bucket_of("_us", seq.WIDTH), "_k")
     blocked = pays.where(F.col("_a").isNull()).groupBy(*keys).agg(F.min("_us").alias("_blocked_from"))
     seg = pays.select(*keys, "_k", F.col("_us").alias("_p"), "_a")
 
     # Segment of each start (ends before it in order) and whether it arms a timer.
-    k_of = seq.scan_sum(sp, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
+    k_of = seq.scan_sum(sp, keys, [F.col("_us"), F.col(tiebreak)], None if single else seq.bucket_of("_us", seq.WIDTH),
                         F.col("_e").cast("long"), "_k")
     starts = seq.join_keys(seq.join_keys(k_of.where("_s"), seg, [*keys, "_k"], "left"), blocked, keys, "left")
     armed = starts.where((F.col("_k") == 0) |
@@ -249,7 +249,8 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
     merged = (fires.select(*keys, F.col("_due").alias("_t"), F.lit(0).cast("long").alias("_w"), "_due", seq.WIDTH)
                    .unionByName(sp.where("_e").select(*keys, F.col("_us").alias("_t"), F.lit(1).cast("long").alias("_w"),
                                                       F.lit(None).cast("long").alias("_due"), seq.WIDTH)))
-    kf = seq.scan_sum(merged, keys, [F.col("_t")], seq.bucket_of("_t", seq.WIDTH), F.col("_w"), "_k", frame="range")
+    kf = seq.scan_sum(merged, keys, [F.col("_t")], None if single else seq.bucket_of("_t", seq.WIDTH), F.col("_w"),
+                      "_k", frame="range")
     fired = seq.join_keys(seq.join_keys(kf.where(F.col("_due").isNotNull()).select(*keys, "_due", "_k"),
                                         fires, [*keys, "_due"]), seg, [*keys, "_k"], "left")
     alerts = fired.where((F.col("_k") == 0) | F.col("_a").isNull() | (F.col("_due") != F.col("_a") + F.lit(w_us)))

@@ -31,8 +31,8 @@ def over_unbounded(df: DataFrame, key, ts: str, value: str, tiebreak: str | None
     in (ts, tiebreak) order. Adds ``<prefix>_cnt`` and ``<prefix>_sum``.
     """
     keys = _keys(key)
-    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
-    b = seq.bucket_of("_us", seq.WIDTH)
+    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
+    b = None if single else seq.bucket_of("_us", seq.WIDTH)
     order = [F.col("_us")] if frame == "range" else [F.col("_us")] + ([F.col(tiebreak)] if tiebreak else [])
     c = seq.scan_sum(d, keys, order, b, F.lit(1).cast("long"), f"{prefix}_cnt", frame=frame)
     s = seq.scan_sum(c, keys, order, b, F.col(value), f"{prefix}_sum", frame=frame)
@@ -68,8 +68,9 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     """
     keys = _keys(key)
     n1 = preceding_rows + 1
-    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
-    rn = seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH), "_rn")
+    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
+    rn = seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)],
+                             None if single else seq.bucket_of("_us", seq.WIDTH), "_rn")
     blk = rn.withColumn("_blk", F.floor((F.col("_rn") - 1) / F.lit(n1)).cast("long"))
     head = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
     tail = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(0, Window.unboundedFollowing)

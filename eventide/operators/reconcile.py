@@ -36,8 +36,8 @@ def reconcile(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: st
             d = d.withColumn("_rank", F.lit(1).cast("long"))
         else:
             order = [F.col("_us")] + ([F.col(tb)] if tb else [])
-            d = seq.bucketed(d, keys, "_us", bucket, 86_400_000_000, 1_000_000)
-            d = seq.scan_row_number(d, keys, order, seq.bucket_of("_us", seq.WIDTH), "_rank")
+            d, single = seq.bucketed_single(d, keys, "_us", bucket, 86_400_000_000, 1_000_000)
+            d = seq.scan_row_number(d, keys, order, None if single else seq.bucket_of("_us", seq.WIDTH), "_rank")
         ren = [F.col(c).alias(prefix + c) for c in df.columns if c not in keys]
         return d.select(*keys, "_rank", F.col("_us").alias(prefix + "_us"), *ren)
 

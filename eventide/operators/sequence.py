@@ -35,6 +35,8 @@ WIDTH = "_bw"
 # is checked against MAX_HOT_KEYS before broadcasting.
 HOT_KEY_ROWS = 4_000_000
 MAX_HOT_KEYS = 200_000
+# Width of "one bucket for the whole key" (a key below HOT_KEY_ROWS fits one task).
+ONE_BUCKET = 1 << 62
 
 
 def join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -88,14 +90,18 @@ def hot_key_widths(stats_source: DataFrame, keys, us_col: str, base_us: int, min
     if n_hot == 0:
         return None
     # Beyond the bound the table is joined by shuffle (AQE splits skewed partitions).
-    return F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
+    return F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot.hint("shuffle_hash")
 
 
-def apply_widths(df: DataFrame, keys, hot, base_us: int) -> DataFrame:
+def apply_widths(df: DataFrame, keys, hot, base_us: int | None = None) -> DataFrame:
+    """Add ``_bw``: hot keys get their width, every other key one bucket.
+
+    A key below ``HOT_KEY_ROWS`` rows fits one task, so it is not cut.
+    """
     if hot is None:
-        return df.withColumn(WIDTH, F.lit(base_us).cast("long"))
+        return df.withColumn(WIDTH, F.lit(ONE_BUCKET).cast("long"))
     return (df.join(hot, on=_names(keys), how="left")
-              .withColumn(WIDTH, F.coalesce(F.col("_bwh"), F.lit(base_us)).cast("long")).drop("_bwh"))
+              .withColumn(WIDTH, F.coalesce(F.col("_bwh"), F.lit(ONE_BUCKET)).cast("long")).drop("_bwh"))
 
 
 def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: int,
@@ -103,7 +109,8 @@ def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: in
     """Add ``_bw``: the time-bucket width for each row's key.
 
     Keys with more than ``hot_rows`` rows get width span * hot_rows / rows
-    (not below ``min_us``), every other key ``base_us``. Finding hot keys is
+    (not below ``min_us``, not above ``base_us``), every other key a single
+    bucket (``ONE_BUCKET``). Finding hot keys is
     one aggregate over the (key, time) columns; only the hot keys (at most
     rows / hot_rows of them, checked) are broadcast, so the input is never
     shuffled by key for this.
@@ -113,10 +120,20 @@ def with_bucket_width(df: DataFrame, keys, us_col: str, base_us: int, min_us: in
 
 def bucketed(df: DataFrame, keys, us_col: str, bucket, base_us: int, min_us: int) -> DataFrame:
     """Add the ``_bw`` width column: fixed when ``bucket`` is given, else adaptive per key."""
+    return bucketed_single(df, keys, us_col, bucket, base_us, min_us)[0]
+
+
+def bucketed_single(df: DataFrame, keys, us_col: str, bucket, base_us: int, min_us: int):
+    """(frame with ``_bw``, single) where ``single`` says every key is one bucket.
+
+    With ``single`` a scan can run as one plain window per key
+    (``scan_sum(..., bucket=None)``): no key holds more than ``HOT_KEY_ROWS``.
+    """
     if bucket is not None:
         from ..functions.time import duration_us
-        return df.withColumn(WIDTH, F.lit(duration_us(bucket)).cast("long"))
-    return with_bucket_width(df, keys, us_col, base_us, min_us)
+        return df.withColumn(WIDTH, F.lit(duration_us(bucket)).cast("long")), False
+    hot = hot_key_widths(df, _names(keys), us_col, base_us, min_us)
+    return apply_widths(df, keys, hot), hot is None
 
 
 def bucket_of(us: Column | str, width: Column | str | int) -> Column:
@@ -170,9 +187,18 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     ``order`` must share a bucket, which holds whenever the bucket is a
     function of the ordering column. Work per partition is one (part, bucket);
     the per-bucket offsets table has one row per (part, bucket).
+    ``bucket=None`` means every key fits one task: a plain window per key.
     """
     part = _names(part)
     w = F.col(weight) if isinstance(weight, str) else weight
+    if bucket is None:
+        # Every key fits one task (see ``bucketed_single``): one plain window.
+        if not part:
+            raise ValueError("a scan without partition columns needs a bucket")
+        win = Window.partitionBy(*part).orderBy(*order)
+        win = (win.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows"
+               else win.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, F.sum(w).over(win))
     # The key columns travel as one struct: a struct is never NULL and struct
     # equality treats NULL fields as equal, so NULL keys stay one group through
     # the join, and the window, the per-bucket table and the join all use the

@@ -140,11 +140,11 @@ def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebre
     rows = base.select("*", F.col(order_tiebreak).alias("_tb"), F.lit(1).alias("_kind"))
     marks = firsts.unionByName(rows, allowMissingColumns=True)
     # A busy window gets finer slices than size / sub_buckets (adaptive widths).
-    marks = seq.with_bucket_width(marks, ["_slot"], "_us", sub_us, 1_000)
+    marks, single = seq.bucketed_single(marks, ["_slot"], "_us", None, sub_us, 1_000)
     # A first occurrence is ordered just before the event it stems from.
     scanned = seq.scan_sum(
         marks, "_slot", [F.col("_us"), F.col("_tb"), F.col("_kind")],
-        seq.bucket_of("_us", seq.WIDTH),
+        None if single else seq.bucket_of("_us", seq.WIDTH),
         F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long"), out)
     res = scanned.where(F.col("_kind") == 1)
     return (res.withColumn(W_START, F.col("_slot") * F.lit(size_us))
@@ -287,7 +287,7 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
     d = df.withColumn("_us", epoch_us(ts))
-    d = seq.bucketed(d, names, "_us", bucket, seq.default_bucket_us(gap_us), max(gap_us, 1_000_000))
+    d, single = seq.bucketed_single(d, names, "_us", bucket, seq.default_bucket_us(gap_us), max(gap_us, 1_000_000))
     h = seq.with_halo(d, "_us", seq.WIDTH, gap_us, "back")
     # A row starts a session when no row of its key lies in [t - gap, t). Rows
     # tied on t see the same frame, and the RANGE scan below gives them one
@@ -295,8 +295,8 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
     before = Window.partitionBy(*names, seq.BUCKET).orderBy("_us").rangeBetween(-gap_us, -1)
     flagged = (h.withColumn("_start", F.when(F.count(F.lit(1)).over(before) == 0, 1).otherwise(0).cast("long"))
                 .where(~F.col(seq.CONTEXT)).drop(seq.BUCKET, seq.CONTEXT))
-    sid = seq.scan_sum(flagged, names, [F.col("_us")], seq.bucket_of("_us", seq.WIDTH), F.col("_start"), "_sid",
-                       frame="range")
+    sid = seq.scan_sum(flagged, names, [F.col("_us")], None if single else seq.bucket_of("_us", seq.WIDTH),
+                       F.col("_start"), "_sid", frame="range")
     g = sid.groupBy(*names, "_sid").agg(*aggs, F.min("_us").alias(W_START), F.max("_us").alias("_last"))
     return g.withColumn(W_END, F.col("_last") + F.lit(gap_us)).drop("_sid", "_last")
 
@@ -304,9 +304,10 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
 # --------------------------------------------------------------- row-count
 
 def _row_numbers(df: DataFrame, keys: list[str], ts: str, tiebreak: str, bucket) -> DataFrame:
-    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, 86_400_000_000, 1_000_000)
-    return seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)], seq.bucket_of("_us", seq.WIDTH),
-                               "_rn").drop(seq.WIDTH)
+    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket,
+                                    86_400_000_000, 1_000_000)
+    return seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)],
+                               None if single else seq.bucket_of("_us", seq.WIDTH), "_rn").drop(seq.WIDTH)
 
 
 def tumbling_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, value: str | None = None,

@@ -33,7 +33,10 @@ def test_quota_limits_before_shuffle(spark):
 @pytest.mark.parametrize("name", ["fail_burst", "fail_consecutive", "fail_pattern", "order_pattern",
                                   "over_range_1h", "over_rows_10", "over_range_all", "rows_slide",
                                   "uv_running", "word_running", "session_10m", "changelog"])
-def test_sequential_operators_partition_by_bucket(spark, name):
+def test_sequential_operators_partition_by_bucket(spark, monkeypatch, name):
+    """With hot keys present, no window sees a whole hot key."""
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 2)
     p = _plan(C.QUERIES[name](spark, SF))
     parts = _window_partitions(p)
     assert parts, p
@@ -45,7 +48,12 @@ def test_sequential_operators_partition_by_bucket(spark, name):
 
 
 @pytest.mark.parametrize("name", ["word_running", "over_rows_all", "uv_running", "sliding_1h_15s"])
-def test_per_bucket_tables_not_broadcast(spark, name):
+def test_per_bucket_tables_not_broadcast(spark, monkeypatch, name):
+    # Hot keys everywhere, and the hot-key width table (the one bounded
+    # broadcast) pushed to a shuffled join too: then nothing is broadcast.
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 2)
+    monkeypatch.setattr(sequence, "MAX_HOT_KEYS", 0)
     p = _plan(C.QUERIES[name](spark, SF))
     assert "BroadcastExchange" not in p
     assert "ShuffledHashJoin" in p or "SortMergeJoin" in p
@@ -68,3 +76,9 @@ def test_no_python_in_core_queries(spark):
     for name in ["hot_items", "uv_hashed", "fail_burst", "order_deadline", "word_count", "hash_code", "top2"]:
         p = _plan(C.QUERIES[name](spark, SF))
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
+
+
+def test_plain_window_when_no_key_is_hot(spark):
+    """Below the hot-key threshold every key fits one task: one plain window, no per-bucket join."""
+    p = _plan(C.QUERIES["over_rows_all"](spark, SF))
+    assert "_bkt" not in p and "ShuffledHashJoin" not in p
