@@ -53,7 +53,10 @@ def to_files(df: DataFrame, path: str, fmt: str = "csv", name: str | None = None
             w = w.partitionBy(*partition_by)
         w.save(path)
         return None
-    w = _stream_writer(df, name or f"files_{abs(hash(path))}", output_mode, trigger).format(fmt) \
+    # A stable default name: the checkpoint folder must be the same on restart.
+    import hashlib
+    default = "files_" + hashlib.sha1(path.encode()).hexdigest()[:12]
+    w = _stream_writer(df, name or default, output_mode, trigger).format(fmt) \
         .options(**options).option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -131,13 +134,19 @@ def upsert_into(target_path: str, batch: DataFrame, key, order: str, fmt: str =
     spark = batch.sparkSession
     keys = [key] if isinstance(key, str) else list(key)
     fresh = latest_per_key(batch, keys, order)
+    from pyspark.errors import AnalysisException
     try:
         current_version = spark.read.text(f"{target_path}/_latest").first()[0]
+    except AnalysisException as e:  # only a missing table starts a new one
+        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+            raise
+        current_version = None
+    if current_version is None:
+        merged, version = fresh, "0"
+    else:
         current = spark.read.format(fmt).load(f"{target_path}/{current_version}")
         merged = current.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
         version = str(int(current_version.split("=")[1]) + 1)
-    except Exception:  # no table yet
-        merged, version = fresh, "0"
     folder = f"v={version}"
     merged.write.mode("overwrite").format(fmt).save(f"{target_path}/{folder}")
     spark.createDataFrame([(folder,)], "value STRING").coalesce(1).write.mode("overwrite").text(
