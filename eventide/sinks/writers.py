@@ -206,7 +206,12 @@ def json_directory_writer(path: str) -> Callable[[list[tuple[str | None, str]]],
 
 def to_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None, mode: str = "append",
             name: str = "jdbc", trigger: dict | None = None):
-    """Append into a JDBC table; credentials come only from ``properties``."""
+    """Append into a JDBC table; credentials come only from ``properties``.
+
+    On a stream this is at-least-once: a micro-batch replayed after a failure
+    appends again, so give the target table a key and de-duplicate (or
+    upsert) there when exactly-once matters.
+    """
     props = dict(properties or {})
 
     def write(batch: DataFrame, _id: int):

@@ -55,7 +55,7 @@ def to_kafka_frame(df: DataFrame, key_col: str | None = None) -> DataFrame:
 
 def to_kafka(df: DataFrame, servers: str, topic: str, key_col: str | None = None,
              checkpoint: str | None = None):
-    """Write CSV-encoded rows to a topic (batch or stream)."""
+    """Write CSV-encoded rows to a topic (batch or stream); Kafka delivery is at-least-once."""
     out = to_kafka_frame(df, key_col)
     if not df.isStreaming:
         out.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
