@@ -100,7 +100,8 @@ def apply_widths(df: DataFrame, keys, hot, base_us: int | None = None) -> DataFr
     """
     if hot is None:
         return df.withColumn(WIDTH, F.lit(ONE_BUCKET).cast("long"))
-    return (df.join(hot, on=_names(keys), how="left")
+    # Null-safe: a NULL key (e.g. missing user ids) can be the hot one.
+    return (join_keys(df, hot, _names(keys), "left")
               .withColumn(WIDTH, F.coalesce(F.col("_bwh"), F.lit(ONE_BUCKET)).cast("long")).drop("_bwh"))
 
 

@@ -368,3 +368,18 @@ def test_null_keys_are_a_group(spark):
     assert sorted(r.seq for r in alerts.collect()) == exp
     rn = windows.tumbling_rows(df, "key", "ts", "seq", 5).where("key IS NULL")
     assert rn.count() == n_null // 5
+
+
+def test_hot_null_key_is_split(spark, monkeypatch):
+    from eventide.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 30)
+    rows = _events(61, n=300, keys=3, span=400)
+    rows = [(s_, None if k != 3 else k, t, kd, v) for s_, k, t, kd, v in rows]
+    df = _df(spark, rows).withColumn("_us", F.unix_micros("ts"))
+    w = {r.key: r._bw for r in sequence.with_bucket_width(df, ["key"], "_us", 86_400 * S, S)
+         .select("key", "_bw").distinct().collect()}
+    assert w[None] < 86_400 * S
+    unb = {r.seq: r.run_cnt for r in over.over_unbounded(_df(spark, rows), "key", "ts", "value", "seq",
+                                                          frame="rows").collect()}
+    order = sorted((r for r in rows if r[1] is None), key=lambda r: (r[2], r[0]))
+    assert all(unb[r[0]] == i + 1 for i, r in enumerate(order))
