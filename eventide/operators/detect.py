@@ -5,11 +5,12 @@ tie-break stands for arrival order among equal timestamps. Timers are read
 in ideal event time: a timer due at T fires after every event with
 timestamp <= T and before any later one.
 
-Scale: no detector partitions by the key alone. Look-back and look-ahead
+Scale: no detector puts a hot key in one task. Look-back and look-ahead
 detectors run per (key, time bucket) on halo-replicated rows
-(``sequence.with_halo``); counting detectors use aggregates or
-``row_number() <= k`` filters, which Spark limits per task before the
-shuffle (WindowGroupLimit).
+(``sequence.with_halo``), where only keys above ``sequence.HOT_KEY_ROWS``
+are cut into several buckets (a smaller key fits one task and keeps one);
+counting detectors use aggregates or ``row_number() <= k`` filters, which
+Spark limits per task before the shuffle (WindowGroupLimit).
 """
 
 from __future__ import annotations

@@ -2,8 +2,10 @@
 key on one task.
 
 Event jobs are keyed (user, order, item) and a single key may carry a large
-share of all rows. Two decompositions keep every window partition bounded by
-a *time bucket* of one key instead of the whole key:
+share of all rows. Keys above ``HOT_KEY_ROWS`` rows are found with one
+aggregate and cut into time buckets of about that many rows; every other key
+fits one task and keeps a single bucket. Two decompositions then keep every
+window partition bounded by a *time bucket* of one key:
 
 * ``with_halo`` - for operators that only look a bounded distance back or
   forward in event time (lag within a gap, range frames, "next match within
