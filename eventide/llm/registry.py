@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.llm import html_main_text, packing, quality_rules, token_counts, toxicity, url_filter
+from eventide.llm import decontamination, html_main_text, packing, quality_rules, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_packing": packing.op4_token_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_token_counts": token_counts.op8_token_counts,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_html_text": html_main_text.op10_html_text,
 }
-ORACLE = {"op1_url_filter": url_filter.ORACLE}
+ORACLE = {"op1_url_filter": url_filter.ORACLE, "op9_decontamination": decontamination.ORACLE}
