@@ -145,11 +145,12 @@ ORACLE = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TOKENS} AS w FROM documents),
 b AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), 'null') AS item_id, {_TOKENS} AS w FROM benchmark),
 bw AS (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - {WINDOW_WORDS - 1}, 1))) AS s FROM b WHERE len(w) > 0),
-win AS (SELECT DISTINCT item_id, least(len(w), {WINDOW_WORDS}) AS l, list_slice(w, s, s + {WINDOW_WORDS - 1}) AS v FROM bw),
-dp AS (SELECT r, w, unnest(generate_series(1, len(w))) AS p FROM d WHERE len(w) > 0),
-occ AS (
-  SELECT dp.r, win.item_id, dp.p, win.l FROM (SELECT DISTINCT l FROM win) x, dp JOIN win ON win.l = x.l AND win.v = list_slice(dp.w, dp.p, dp.p + x.l - 1)
-  WHERE len(dp.w) >= dp.p + x.l - 1),
+win AS (SELECT DISTINCT item_id, least(len(w), {WINDOW_WORDS}) AS l, array_to_string(w[s : s + {WINDOW_WORDS - 1}], ' ') AS v FROM bw),
+grams AS (
+  SELECT r, x.l, unnest([array_to_string(w[i : i + x.l - 1], ' ') FOR i IN generate_series(1, len(w) - x.l + 1)]) AS v,
+         unnest(generate_series(1, len(w) - x.l + 1)) AS p
+  FROM d, (SELECT DISTINCT l FROM win) x WHERE len(w) >= x.l),
+occ AS (SELECT r, item_id, p, l FROM grams JOIN win USING (l, v)),
 hit AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(generate_series(p, p + l - 1)) AS q FROM occ) GROUP BY r),
 ids AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM occ GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
