@@ -12,13 +12,11 @@ of the next one if a partner can be that large. So all similar pairs share a
 signature; the shared ones are then checked against the whole sets.
 
 Equal sets are one class from the start. Pairs inside a signature's bucket are
-not all written out: each bucket compares its members with its most connected
-one (most companions over all its buckets), links found join components, and a
-further round handles only buckets that still hold several components, each
-time without the member already compared with all others. When the pairs left
-are few against the bucket entries, all of them are compared. No link between
-different components can get lost, as two sets of a bucket are compared or are
-in one component at the end.
+not written out: each bucket compares its members with its hub, the most
+connected one (most companions over all its buckets). Two members that are
+similar to the hub are in one component; other similar members must differ from
+the hub in the same shingles, so a prefix-filtered join of these differences
+finds all of them (see ``_differences``), and they are checked in turn.
 
 Texts with fewer words than a shingle are one shingle; those without words (or
 null) have an empty set and link with nothing. Repeated rows, also of one
@@ -45,8 +43,6 @@ BAND = 1.5
 SMALL_BAND = 200
 #: How often the domain is dealt anew for sets with many empty partitions.
 SEEDS = 8
-#: Pairs left are all compared once they are at most this many for each bucket entry.
-PAIRS_PER_ENTRY = 4
 #: Most ids that are broadcast to pick the texts of candidates; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -117,8 +113,11 @@ class PartEnum:
         k = self._most(2 * top)
         if k == 0:
             return []  # similar sets of this band are equal
-        n1, n2 = -(-(k + 1) // 2) + 1, 3 if top <= SMALL_BAND else 2  # k2 = 1: differences spoil at most k // 2 partitions
-        own = self._most(len(g) + min(top, len(g) * self.den // self.num)) // 2
+        own = self._most(len(g) + min(top, len(g) * self.den // self.num))
+        if own == 0:
+            return []
+        n1, n2 = -(-(k + 1) // 2) + 1 + k // 40, 3 if top <= SMALL_BAND else 2  # k2 = 1: differences spoil at most k // 2 partitions
+        least = 2 if top < 60 else 3
         out = []
         for seed in range(SEEDS):
             base = np.uint64(((band << 4) + seed + 1) << 8)
@@ -129,18 +128,19 @@ class PartEnum:
             sums = np.zeros(n1 * n2, np.uint64)
             sums[cell[edge]] = np.add.reduceat(value, edge)
             sums = sums.reshape(n1, n2)
+            held = np.bincount(cell.astype(np.int64), minlength=n1 * n2).reshape(n1, n2)
             place = mix((np.arange(n1, dtype=np.uint64) + np.uint64(1)) * _GOLD + base)
             full = np.ones(n1, bool)
             for j, subset in enumerate([(0, 1), (0, 2), (1, 2)] if n2 == 3 else [(0,), (1,)]):
                 s = place + np.uint64(j + 1)
                 for c in subset:
                     s = mix(s * _GOLD + sums[:, c])
-                filled = sums[:, subset].any(axis=1)
+                filled = held[:, subset].sum(axis=1) >= least
                 full &= filled
                 out.append(s[filled])
-            # Empty partitions are alike in all sets, so they make no signature. A similar pair still shares one if either set has
-            # more full partitions than differences can spoil; else both sets deal the domain again with the next seed.
-            if full.sum() > own:
+            # Partitions with few shingles are alike in many sets, so they make no signature. A similar pair still shares one if either
+            # set has more full partitions than differences can spoil; else both sets deal the domain again with the next seed.
+            if full.sum() > own // 2:
                 return out
         return [*out, mix(np.array([base], np.uint64))]
 
@@ -200,51 +200,79 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10)
     bucket = materialize(found.join(classes, ["cid", "n"]).select("sig", "node", "n", "cid"), "buckets")
     size = bucket.groupBy("sig").agg(F.count("*").alias("size"))
     central = bucket.select("sig", "node").join(size, "sig").groupBy("node").agg(F.sum("size").alias("central"))
-    left = materialize(bucket.join(central, "node").withColumn("comp", F.col("node")), "members")
-    links, known = None, None
-    while True:
-        mixed = left.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-        total = mixed.agg(F.sum("m").alias("m"), F.sum(F.expr("m * (m - 1) / 2")).alias("p")).first()
-        if not total["m"]:
-            break
-        members = left.join(mixed.select("sig"), "sig")
-        every = total["p"] <= PAIRS_PER_ENTRY * total["m"]
-        if every:
-            x, y = members.alias("x"), members.alias("y")
-            pairs = x.join(y, "sig").where("x.node < y.node AND x.comp <> y.comp").select(
-                F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.col("x.cid").alias("ca"), F.col("y.cid").alias("cb"))
-        else:
-            hubs = members.groupBy("sig").agg(F.max(F.struct("central", F.negative("node").alias("k"), "node", "n", "cid", "comp")).alias("hub"))
-            star = materialize(members.join(hubs, "sig"), "stars")
-            pairs = star.where("comp <> hub.comp").select(
-                F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("na"), F.col("hub.n").alias("nb"), F.col("cid").alias("ca"), F.col("hub.cid").alias("cb"))
-        pairs = pairs.where(f"least(na, nb) * {den} >= greatest(na, nb) * {num}").distinct()
-        checked = _verified(docs, n, num, den, materialize(pairs, "pairs"))
-        links = materialize(checked if links is None else links.unionByName(checked), "links")
-        known = components(links)
-        if every:
-            break
-        rest = star.where("node <> hub.node").select("sig", "node", "n", "cid", "central")
-        left = materialize(rest.join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "left")
-
-    named = classes.withColumnRenamed("node", "component_id")
-    if known is not None:
-        named = classes.join(known, "node", "left").select("cid", "n", F.coalesce("comp", "node").alias("component_id"))
+    ranked = bucket.join(central, "node")
+    hubs = ranked.groupBy("sig").agg(F.max(F.struct("central", F.negative("node").alias("k"), "node", "n", "cid")).alias("hub"))
+    stars = ranked.join(hubs, "sig").where("node <> hub.node").select(
+        F.col("node").alias("a"), F.col("n").alias("na"), F.col("cid").alias("ca"), F.col("hub.node").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.cid").alias("cb"))
+    told = materialize(_differences(docs, n, num, den, materialize(stars.distinct(), "stars")), "differences")
+    first = told.where("linked").select("a", "b")
+    comp = materialize(components(first), "components")
+    rest = materialize(_verified(docs, n, num, den, materialize(_met(told, comp, num, den), "pairs")), "links")
+    known = components(first.unionByName(rest))
+
+    named = classes.join(known, "node", "left").select("cid", "n", F.coalesce("comp", "node").alias("component_id"))
     return (
         rows.select("doc_id", "cid", "n").join(named, ["cid", "n"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
     )
 
 
-def _verified(docs: DataFrame, n: int, num: int, den: int, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def _with_sets(docs: DataFrame, n: int, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, na, ca, b, nb, cb) with both whole sets."""
     sides = [pairs.select(F.col(x).alias("node"), F.col(f"c{x}").alias("cid")) for x in "ab"]
     sets = _sets(docs, n, sides[0].unionByName(sides[1]).distinct())
     # b is the hub of many pairs: its set is joined last, and the adaptive skew join can split a hot hub
     left = pairs.join(sets.select(F.col("cid").alias("ca"), F.col("grams").alias("ga")), "ca")
-    both = left.join(sets.select(F.col("cid").alias("cb"), F.col("grams").alias("gb")), "cb")
+    return left.join(sets.select(F.col("cid").alias("cb"), F.col("grams").alias("gb")), "cb")
+
+
+def _verified(docs: DataFrame, n: int, num: int, den: int, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
     common = F.size(F.array_intersect("ga", "gb")).cast("long")
-    return both.where(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b").distinct()
+    return _with_sets(docs, n, pairs).where(common * den >= (F.col("na") + F.col("nb") - common) * num).select("a", "b").distinct()
+
+
+def _differences(docs: DataFrame, n: int, num: int, den: int, stars: DataFrame) -> DataFrame:
+    """Stars with: linked, and the part of the difference to the hub that decides whom else a member can be similar to.
+
+    Let d(x) be the shingles in which x and the hub differ, and x and y two
+    similar sets of which one is not similar to the hub. They differ in d(x) xor
+    d(y), at most K(x, y) shingles, so d(x) and d(y) have at least t = (|d(x)| +
+    |d(y)| - K) / 2 > 0 in common. In one order of all shingles (those that the
+    hub lacks first, as few sets share them) the first |d| - t + 1 of both then
+    meet. ``first`` holds those against any partner, ``far`` how many of them
+    count if the partner is not similar to the hub either.
+    """
+    def most(x, y):
+        return F.floor((x + y) * (den - num) / F.lit(den + num))
+
+    d = F.concat(F.array_sort(F.array_except("ga", "gb")), F.array_sort(F.array_except("gb", "ga")))
+    out = _with_sets(docs, n, stars).select("a", "na", "ca", "b", "nb", d.alias("d"))
+    size, na, nb = F.size("d").cast("long"), F.col("na"), F.col("nb")
+    linked = size <= most(na, nb)
+    k = most(na, F.floor(na * den / F.lit(num)))
+    unlike = most(F.ceil(na * num / F.lit(den)), nb) + 1  # least difference to the hub of a similar set that is not similar to the hub
+    half = lambda x: F.greatest(F.lit(1).cast("long"), F.floor((x + 1) / 2))
+    any_t = F.when(linked, half(size + unlike - k)).otherwise(half(size + F.greatest(F.lit(1).cast("long"), size - k) - k))
+    far_t = half(size + F.greatest(unlike, size - k) - k)
+    length = lambda t: F.greatest(F.lit(0).cast("long"), size - t + 1)
+    return out.select(
+        "a", "na", "ca", "b", linked.alias("linked"), F.expr("d").alias("d"), length(any_t).alias("l"),
+        F.when(linked, 0).otherwise(length(far_t)).alias("far")).select("a", "na", "ca", "b", "linked", F.expr("slice(d, 1, int(l))").alias("first"), "far")
+
+
+def _met(told: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs of members of a star that may be similar, are in different components and not both similar to the hub."""
+    with_comp = told.join(comp, told["a"] == comp["node"], "left").withColumn("comp", F.coalesce("comp", "a"))
+    entries = with_comp.select("b", "a", "na", "ca", "linked", "far", "comp", F.posexplode("first").alias("at", "e"))
+    x, y = entries.where("NOT linked").alias("x"), entries.alias("y")
+    return (
+        x.join(y, ["b", "e"])
+        .where("x.comp <> y.comp AND (y.linked OR (x.a < y.a AND x.at < x.far AND y.at < y.far))")
+        .where(f"least(x.na, y.na) * {den} >= greatest(x.na, y.na) * {num}")
+        .select(F.col("x.a").alias("a"), F.col("x.na").alias("na"), F.col("x.ca").alias("ca"), F.col("y.a").alias("b"), F.col("y.na").alias("nb"), F.col("y.ca").alias("cb"))
+        .distinct()
+    )
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
