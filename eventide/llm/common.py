@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are worked on in slices of about this many bytes, which bounds the memory of a task.
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 1_500_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
