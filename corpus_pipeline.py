@@ -1,4 +1,10 @@
-"""Corpus pipeline: five stages over the table documents, each written and read again."""
+"""Corpus pipeline: five stages over the table documents, each written as Parquet and read again.
+
+Each stage works on all rows that its predecessor kept, and all but the last
+return the columns of documents. Null and empty texts have no words and are
+rejected by the first stage; repeated rows are near-duplicates of each other;
+an empty table stays empty; columns beyond those of documents are left out.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +13,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventide.llm.common import shared_dir, table
+from eventide.llm.common import materialize, shared_dir, table
+from eventide.llm.decontamination import decontaminate
+from eventide.llm.jaccard_join import BROADCAST_IDS, jaccard_components
 from eventide.llm.quality_rules import quality_rules
+from eventide.llm.segmentation import sample_segmentations
+from eventide.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near duplicates: shingles of five words, similarity of 4/5 or more.
+SHINGLE, NUM, DEN = 5, 4, 5
+#: Bytes of a repeated passage: somewhat less than 50 short words.
+PASSAGE = 240
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +32,42 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
 
 
-STAGES = [("quality_rules", quality)]
-#: The stages need Python (divergences, joins of signatures, suffix runs, sampling), so no SQL gives their rows.
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates; of a repeated doc_id one row; rows without a doc_id stay."""
+    docs = docs.select(*COLUMNS)
+    rows = materialize(jaccard_components(docs, SHINGLE, NUM, DEN), "classes")
+    dropped = materialize(rows.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct(), "dropped")
+    kept = docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, "doc_id", "left_anti")
+    repeated = materialize(rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "repeated")
+    twice = kept.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated, "doc_id", "left_semi")
+    once = kept.join(F.broadcast(repeated) if repeated.count() <= BROADCAST_IDS else repeated, "doc_id", "left_anti")
+    first = twice.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
+    return once.unionByName(first).select(*COLUMNS)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur more than once; a character that a passage's edge cuts goes with it."""
+    cleaned = remove_repeats(docs.select(*COLUMNS), PASSAGE).drop("n_chars")
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.regexp_replace(F.decode(F.col("whole"), "UTF-8"), "�", ""))
+    whole = cleaned.withColumn("whole", F.col("kept")).withColumn("text", text)
+    return whole.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the benchmark does not contaminate."""
+    return decontaminate(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*COLUMNS)
+
+
+def segmented(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sampled segmentations of every document."""
+    return sample_segmentations(docs.select(*COLUMNS)).drop("text")
+
+
+STAGES = [
+    ("quality_rules", quality), ("jaccard_join", near_duplicates), ("suffix_dedup", repeated_passages), ("decontamination", benchmark_free),
+    ("segmentation", segmented),
+]
+#: Divergences, signatures, suffix runs and sampling have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

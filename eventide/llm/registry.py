@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.llm import decontamination, html_main_text, jaccard_join, packing, quality_rules, suffix_dedup, token_counts, toxicity, url_filter
+from eventide.llm import decontamination, html_main_text, jaccard_join, packing, quality_rules, segmentation, suffix_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_token_packing": packing.op4_token_packing,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
+    "op6_segmentation": segmentation.op6_segmentation,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_decontamination": decontamination.op9_decontamination,

@@ -48,8 +48,8 @@ CORE_SHARE = 0.4
 HOT = 20_000
 #: Units that one group of cores is to have about, and bytes of keys that a task holds before it writes its runs.
 GROUP_UNITS, RUN_BYTES = 20_000, 24_000_000
-#: Most rows that are broadcast to their texts; more are joined by a shuffle.
-BROADCAST_ROWS = 300_000
+#: Most array entries (of up to 48 bytes) and most ids (16 bytes) that are broadcast to texts.
+BROADCAST_ENTRIES, BROADCAST_IDS = 200_000, 1_000_000
 
 
 def units(buf: np.ndarray, off: np.ndarray, length: int) -> dict[str, np.ndarray]:
@@ -102,9 +102,27 @@ def _same_row(x: str, y: str):
 
 
 def _near_texts(docs: DataFrame, rows: DataFrame, column: str, how: str = "inner") -> DataFrame:
-    """``docs`` with ``column`` of ``rows`` (doc_id, th, column), one row per text; broadcast after a check of the size."""
-    few = rows.count() <= BROADCAST_ROWS
-    return docs.alias("d").join((F.broadcast(rows) if few else rows).alias("r"), _same_row("d", "r"), how).select("d.*", f"r.{column}")
+    """``docs`` with the array ``column`` of ``rows`` (doc_id, th, column), which has one row per text.
+
+    Small arrays are broadcast, after a check of their entries. Larger ones are
+    joined by a shuffle, of the texts that have a row if their ids are few
+    enough to be broadcast, else of all texts.
+    """
+    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(column)), F.lit(0)).alias("entries")).first()
+
+    def joined(d: DataFrame, r: DataFrame, kind: str) -> DataFrame:
+        return d.alias("d").join(r.alias("r"), _same_row("d", "r"), kind).select("d.*", f"r.{column}")
+
+    if size["entries"] <= BROADCAST_ENTRIES and size["n"] <= BROADCAST_ENTRIES:
+        return joined(docs, F.broadcast(rows), how)
+    if size["n"] > BROADCAST_IDS:
+        return joined(docs, rows, how)
+    ids = F.broadcast(rows.select("doc_id", "th")).alias("r")
+    inside = joined(docs.alias("d").join(ids, _same_row("d", "r"), "left_semi"), rows, "inner")
+    if how == "inner":
+        return inside
+    outside = docs.alias("d").join(ids, _same_row("d", "r"), "left_anti")
+    return inside.unionByName(outside.withColumn(column, F.lit(None).cast(rows.schema[column].dataType)))
 
 
 _RUN = "r int, n int, shared binary, lengths binary, rests binary, lshared binary, llengths binary, lrests binary, lo binary, hi binary, shift binary, ch binary, uh binary"
