@@ -47,10 +47,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once; a character that a passage's edge cuts goes with it."""
-    cleaned = remove_repeats(docs.select(*COLUMNS), PASSAGE).drop("n_chars")
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.regexp_replace(F.decode(F.col("whole"), "UTF-8"), "�", ""))
-    whole = cleaned.withColumn("whole", F.col("kept")).withColumn("text", text)
-    return whole.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    cleaned = remove_repeats(docs.select(*COLUMNS), PASSAGE)
+    return cleaned.withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_text"))).withColumn(
+        "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

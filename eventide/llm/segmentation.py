@@ -41,7 +41,7 @@ SAMPLES, ALPHA = 2, 0.5
 #: one is high enough (a Gumbel made of a 53-bit number is at most 37 above phi).
 DEPTH, REACH, TAIL = 50.0, 37.0, 2_000
 #: Bytes of text that are taken at once.
-SLICE = 4_000_000
+SLICE = 2_000_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -385,7 +385,7 @@ def sample_segmentations(docs: DataFrame, k: int = SAMPLES, alpha: float = ALPHA
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.array([[x.astype("<u2").tobytes() for x in y] for y in ids], pa.list_(pa.binary())),
                      pa.array([[len(x) for x in y] for y in ids], pa.list_(pa.int32())), pa.array([[round(x, 6) for x in y] for y in logps], pa.list_(pa.float64())),
-                     pa.array([[round(x, 9) for x in y] for y in scores], pa.list_(pa.float64())), pa.array(good)],
+                     pa.array(scores, pa.list_(pa.float64())), pa.array(good)],
                     names=[*b.schema.names, *(f.name for f in new)])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields, *new]))

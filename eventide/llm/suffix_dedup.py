@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventide.llm.common import RollingHash, materialize, mix, slices, table, utf8
 from eventide.llm.suffix_runs import Run, common_suffix, merge
@@ -251,9 +251,9 @@ def _union(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """Columns of ``docs`` plus n_bytes, n_removed, n_spans, kept_sha256 and kept (binary: the bytes that stay)."""
+    """Columns of ``docs`` plus n_bytes, n_removed, n_spans, kept_sha256 and kept_text (without characters that an edge cuts)."""
     new = [StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()),
-           StructField("kept_sha256", StringType()), StructField("kept", BinaryType())]
+           StructField("kept_sha256", StringType()), StructField("kept_text", StringType())]
     docs = docs.select(*[c for c in docs.columns if c not in {f.name for f in new} | {"th", "spans"}]).withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "th")
     all_units = materialize(_unit_table(slim, length), "units")
@@ -289,8 +289,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
                     removed.append(len(data) - len(stay))
                     counts.append(len(cuts))
                     digests.append(hashlib.sha256(stay).hexdigest())
-                    kept.append(stay)
-                arrays = [pa.array(v, t) for v, t in ((sizes, pa.int64()), (removed, pa.int64()), (counts, pa.int64()), (digests, pa.string()), (kept, pa.binary()))]
+                    kept.append(stay.decode("utf-8", "ignore"))
+                arrays = [pa.array(v, t) for v, t in ((sizes, pa.int64()), (removed, pa.int64()), (counts, pa.int64()), (digests, pa.string()), (kept, pa.string()))]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *arrays], names=[*names, *(f.name for f in new)])
 
     return joined.mapInArrow(run, StructType([*joined.drop("spans").schema.fields, *new]))
