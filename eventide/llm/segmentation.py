@@ -41,7 +41,7 @@ SAMPLES, ALPHA = 2, 0.5
 #: one is high enough (a Gumbel made of a 53-bit number is at most 37 above phi).
 DEPTH, REACH, TAIL = 50.0, 37.0, 2_000
 #: Bytes of text that are taken at once.
-SLICE = 2_000_000
+SLICE = 600_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
