@@ -117,7 +117,8 @@ class PartEnum:
         if own == 0:
             return []
         n1, n2 = -(-(k + 1) // 2) + 1 + k // 40, 3 if top <= SMALL_BAND else 2  # k2 = 1: differences spoil at most k // 2 partitions
-        least = 2 if top < 60 else 3
+        usual = top / (n1 * n2) * (n2 - 1)  # shingles behind a signature
+        least = 3 if usual >= 8 else 2 if usual >= 6 else 1
         out = []
         for seed in range(SEEDS):
             base = np.uint64(((band << 4) + seed + 1) << 8)
@@ -157,8 +158,20 @@ def _lists(values: list[np.ndarray] | np.ndarray, sizes: np.ndarray) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64)))
 
 
-def _described(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(doc_id, cid, n, sigs) of every row; cid is a hash of the set."""
+def _described(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, cid, n) of every row; cid is a hash of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(batch, "text"):
+                grams, sizes = shingle_sets(b.column("text"), n)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(_set_hash(grams, sizes)), pa.array(sizes)], names=["doc_id", "cid", "n"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, cid bigint, n bigint")
+
+
+def _signed(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(cid, n, sig): the signatures of every row that has a doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enum = PartEnum(num, den)
@@ -167,10 +180,10 @@ def _described(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
                 grams, sizes = shingle_sets(b.column("text"), n)
                 sigs = enum.signatures(grams, sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").cast(pa.int64()), pa.array(_set_hash(grams, sizes)), pa.array(sizes), _lists(sigs, [len(s) for s in sigs])],
-                    names=["doc_id", "cid", "n", "sigs"])
+                    [pa.array(_set_hash(grams, sizes)), pa.array(sizes), _lists(sigs, [len(s) for s in sigs])], names=["cid", "n", "sigs"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, cid bigint, n bigint, sigs array<bigint>")
+    found = docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "cid bigint, n bigint, sigs array<bigint>")
+    return found.select("cid", "n", F.explode("sigs").alias("sig"))
 
 
 def _sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
@@ -191,11 +204,11 @@ def _sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``: linked at similarity of at least num / den."""
-    rows = materialize(_described(docs, n, num, den), "sets")
+    rows = materialize(_described(docs, n), "sets")
     # a class is a set; its node is its smallest doc_id
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid", "n").agg(F.min("doc_id").alias("node"))
-    entries = rows.where("doc_id IS NOT NULL").select("cid", "n", F.explode("sigs").alias("sig"))
-    shared = entries.groupBy("sig").agg(F.min("cid").alias("a"), F.max("cid").alias("b")).where("a <> b").select("sig")
+    entries = _signed(docs, n, num, den)
+    shared = entries.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")  # also those of copies of one set, which end as buckets of one
     found = entries.join(shared, "sig").select("sig", "cid", "n").distinct()
     bucket = materialize(found.join(classes, ["cid", "n"]).select("sig", "node", "n", "cid"), "buckets")
     size = bucket.groupBy("sig").agg(F.count("*").alias("size"))
