@@ -68,6 +68,11 @@ def format_bound(us) -> Column:
     return F.date_format(F.timestamp_micros(col_of(us)).cast("timestamp_ntz"), WINDOW_BOUND_FORMAT)
 
 
+def slot_of(us: Column, size_us: int) -> Column:
+    """Number of the slot of ``size_us`` microseconds that holds ``us``, in integers only (exact for any timestamp)."""
+    return F.call_function("div", us - F.pmod(us, F.lit(size_us)), F.lit(size_us)).cast("long")
+
+
 def utc_day(ts) -> Column:
     """UTC calendar day number (days since epoch) of an event time."""
-    return F.floor(epoch_us(ts) / F.lit(86_400_000_000)).cast("long")
+    return slot_of(epoch_us(ts), 86_400_000_000)

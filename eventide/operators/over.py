@@ -81,5 +81,5 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     j = seq.join_keys(parts, tails, [*keys, "_rn"], "left")
     use_prev = F.col("_pblk").isNotNull() & (F.col("_pblk") != F.col("_blk"))
     return (j.withColumn(f"{prefix}_cnt", (F.col("_hc") + F.when(use_prev, F.col("_pc")).otherwise(0)).cast("long"))
-             .withColumn(f"{prefix}_sum", F.col("_hs") + F.when(use_prev, F.col("_ps")).otherwise(F.lit(0.0)))
+             .withColumn(f"{prefix}_sum", F.when(use_prev & F.col("_ps").isNotNull(), F.coalesce("_hs", F.lit(0.0)) + F.col("_ps")).otherwise(F.col("_hs")))
              .drop("_rn", "_blk", "_hs", "_hc", "_ts", "_tc", "_ps", "_pc", "_pblk", "_us", seq.WIDTH))

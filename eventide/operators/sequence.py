@@ -218,13 +218,15 @@ def scan_sum(df: DataFrame, part: Sequence[str] | str | None, order: Sequence[Co
     totals = d.groupBy("__sq_pk", BUCKET).agg(F.sum("__sq_w").alias("__sq_bt"))
     prev = Window.partitionBy("__sq_pk").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(F.col("__sq_pk").alias("__sq_pk2"), F.col(BUCKET).alias("__sq_b2"),
-                            F.coalesce(F.sum("__sq_bt").over(prev), F.lit(0)).alias("__sq_off"))
+                            F.sum("__sq_bt").over(prev).alias("__sq_off"))
     # The offsets table grows with keys x buckets, so it is never broadcast:
     # ``local`` is already hash-partitioned on (key struct, bucket) by its
     # window, so a shuffled hash join only moves the small offsets table.
     res = local.join(offsets.hint("shuffle_hash"),
                      (F.col("__sq_pk") == F.col("__sq_pk2")) & (F.col(BUCKET) == F.col("__sq_b2")))
-    return (res.withColumn(out, F.col("__sq_off") + F.col("__sq_local"))
+    # NULL only before the first value, as in one plain window.
+    off, own = F.col("__sq_off"), F.col("__sq_local")
+    return (res.withColumn(out, F.when(off.isNull(), own).when(own.isNull(), off).otherwise(off + own))
                .drop("__sq_off", "__sq_local", "__sq_w", "__sq_pk", "__sq_pk2", "__sq_b2", BUCKET))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import poly_hash
-from ..functions.time import duration_us, epoch_us, format_bound
+from ..functions.time import duration_us, epoch_us, format_bound, slot_of
 from . import sequence as seq
 
 W_START = "window_start"
@@ -63,7 +63,7 @@ def tumbling_agg(df: DataFrame, ts: str, keys, size, aggs: Sequence[Column]) ->
     """Aggregates per (tumbling window, keys): one shuffle on (keys, window)."""
     size_us = duration_us(size)
     df, names = _key_names(df, keys)
-    slot = F.floor(epoch_us(ts) / F.lit(size_us)).cast("long")
+    slot = slot_of(epoch_us(ts), size_us)
     g = df.withColumn("_slot", slot).groupBy(*names, "_slot").agg(*aggs)
     return (g.withColumn(W_START, F.col("_slot") * F.lit(size_us))
              .withColumn(W_END, F.col(W_START) + F.lit(size_us))
@@ -86,7 +86,7 @@ def tumbling_distinct(df: DataFrame, ts: str, col: str, size, keys=None, out: st
     """
     size_us = duration_us(size)
     df, names = _key_names(df, keys)
-    slot = F.floor(epoch_us(ts) / F.lit(size_us)).cast("long")
+    slot = slot_of(epoch_us(ts), size_us)
     pairs = (df.select(*names, slot.alias("_slot"), F.col(col).alias("_v")).where(F.col("_v").isNotNull())
                .distinct())
     g = pairs.groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias(out))
@@ -105,7 +105,7 @@ def tumbling_hashed_distinct(df: DataFrame, ts: str, col: str, size, seed: int =
     """
     size_us = duration_us(size)
     df, names = _key_names(df, keys)
-    slot = F.floor(epoch_us(ts) / F.lit(size_us)).cast("long")
+    slot = slot_of(epoch_us(ts), size_us)
     off = poly_hash(F.col(col).cast("string"), seed, bits)
     chunks = (df.select(*names, slot.alias("_slot"), off.alias("_off"))
                 .groupBy(*names, "_slot", F.expr("bitmap_bucket_number(_off)").alias("_chunk"))
@@ -132,7 +132,7 @@ def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebre
     base = (df.withColumn("_us", us)
               .withColumn("_slot", F.floor(F.col("_us") / F.lit(size_us)).cast("long"))
               .withColumn("_off", poly_hash(F.col(col).cast("string"), seed, bits)))
-    firsts = (base.groupBy("_slot", "_off")
+    firsts = (base.where(F.col(col).isNotNull()).groupBy("_slot", "_off")
                   .agg(F.min(F.struct(F.col("_us"), F.col(order_tiebreak))).alias("_f"))
                   .select("_slot", F.col("_f._us").alias("_us"),
                           F.col(f"_f.{order_tiebreak}").alias("_tb"),
@@ -186,7 +186,7 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
     if size_us % slide_us:
         raise ValueError("slot and runs strategies need size to be a multiple of slide")
     n = size_us // slide_us
-    slots = (df.withColumn("_slot", F.floor(epoch_us(ts) / F.lit(slide_us)).cast("long"))
+    slots = (df.withColumn("_slot", slot_of(epoch_us(ts), slide_us))
                .groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias("_c")))
     if strategy == "runs":
         g = _runs_from_slot_counts(slots, names, n, out, runs_bucket)
@@ -255,7 +255,7 @@ def sliding_sum(df: DataFrame, ts: str, keys, size, slide, value: str, out: str
         raise ValueError("size must be a multiple of slide")
     n = size_us // slide_us
     df, names = _key_names(df, keys)
-    slots = (df.withColumn("_slot", F.floor(epoch_us(ts) / F.lit(slide_us)).cast("long"))
+    slots = (df.withColumn("_slot", slot_of(epoch_us(ts), slide_us))
                .groupBy(*names, "_slot").agg(F.sum(value).alias("_s")))
     expanded = slots.select(*names, F.explode(F.sequence(F.col("_slot") - F.lit(n - 1), F.col("_slot"))).alias("_w"),
                             "_s")

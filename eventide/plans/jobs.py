@@ -38,7 +38,7 @@ ALL_CHANNELS_LABEL = "全部渠道"
 
 
 def _read(spark, path, schema, streaming, ts_col, unit="s", delay="0 seconds", seq: str | None = "seq"):
-    df = read_delimited(spark, path, schema, streaming=streaming, max_files_per_trigger=1 if streaming else None)
+    df = read_delimited(spark, path, schema, streaming=streaming)
     conv = F.timestamp_seconds if unit == "s" else F.timestamp_millis
     df = df.withColumn("ts", conv(F.col(ts_col)))
     if seq:

@@ -13,13 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import parse_delimited
-
 
 def kafka_options(servers: str, topic: str, offsets: str = "latest", group_id: str | None = None,
                   extra: dict | None = None) -> dict:
     opts = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": offsets,
-            "failOnDataLoss": "false"}
+            "failOnDataLoss": "true"}
     if group_id:
         opts["kafka.group.id"] = group_id
     opts.update(extra or {})
@@ -39,7 +37,8 @@ def kafka_table_source(spark: SparkSession, name: str, servers: str, topic: str,
                        offsets: str = "latest", streaming: bool = True) -> DataFrame:
     """Topic of CSV rows parsed with a declared schema and registered as ``name``."""
     raw = kafka_source(spark, servers, topic, offsets, streaming=streaming)
-    df = parse_delimited(raw, schema, mode="PERMISSIVE")
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    df = raw.select(F.from_csv("value", ddl).alias("r")).select("r.*")  # undoes the quoting of to_kafka_frame
     df.createOrReplaceTempView(name)
     return df
 

@@ -274,7 +274,8 @@ class OverMachine(Machine):
         return out
 
     def on_event(self, row):
-        v = row[self.value_col] or 0.0
+        v = row[self.value_col]
+        v = 0.0 if v is None or v != v else v  # pandas hands a NULL over as NaN
         f = self.frame
         if f == "rows_unbounded":
             self.s["cnt"] += 1

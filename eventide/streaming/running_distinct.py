@@ -23,6 +23,7 @@ reference's per-element trigger.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +37,9 @@ from ..session import checkpoint_location
 def _seen_before(spark: SparkSession, path: str, batch_id: int, slots: list[int] | None = None) -> DataFrame:
     try:
         seen = spark.read.parquet(path).where(F.col("batch") < batch_id)
-    except Exception:  # nothing written yet
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # only if nothing is written yet
+            raise
         return spark.createDataFrame([], "_slot BIGINT, _off BIGINT")
     return seen.select(F.col("_slot").cast("long"), F.col("_off").cast("long"))
 
@@ -50,13 +53,13 @@ def running_distinct_batch(batch: DataFrame, batch_id: int, state_dir: str, ts:
     sub_us = max(size_us // sub_buckets, 1)
     seen_path = f"{state_dir}/seen"
     b = (batch.select(epoch_us(ts).alias("_us"), F.col(tiebreak).alias("_tb"),
-                      poly_hash(F.col(col).cast("string"), seed, bits).alias("_off"))
+                      F.when(F.col(col).isNotNull(), poly_hash(F.col(col).cast("string"), seed, bits)).alias("_off"))
               .withColumn("_slot", F.floor(F.col("_us") / F.lit(size_us)).cast("long")))
     # Only slots touched by this batch are read back; the semi join lets the
     # scan prune the other slot partitions at run time.
     seen = _seen_before(spark, seen_path, batch_id).join(b.select("_slot").distinct(), "_slot", "left_semi")
     totals = seen.groupBy("_slot").agg(F.count(F.lit(1)).alias("_total"))
-    firsts = (b.groupBy("_slot", "_off").agg(F.min(F.struct("_us", "_tb")).alias("_f"))
+    firsts = (b.where(F.col("_off").isNotNull()).groupBy("_slot", "_off").agg(F.min(F.struct("_us", "_tb")).alias("_f"))
                .join(seen, ["_slot", "_off"], "left_anti")
                .select("_slot", "_off", F.col("_f._us").alias("_us"), F.col("_f._tb").alias("_tb"),
                        F.lit(0).alias("_kind")))
