@@ -191,7 +191,7 @@ class Lattice:
 
 
 def _uniform(key: np.ndarray, sample: int, place: np.ndarray) -> np.ndarray:
-    h = mix(key + mix(place.astype(np.uint64) * _GOLD + np.uint64(sample + 1)))
+    h = mix(key + place.astype(np.uint64) * _GOLD + np.uint64((sample + 1) * 0xD1342543DE82EF95 % 2**64))
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
 
 
@@ -218,6 +218,7 @@ def sample_slice(texts: Sequence[str], keys: np.ndarray, k: int, pieces: Pieces)
     lat = Lattice(cps, sums, at[rep], length[rep], pieces)
     shift = at - lat.first[chunk] if len(at) else at  # place in the slice minus place in the lattice
     key = mix(keys.astype(np.uint64) + np.uint64(11))
+    own_key, within = key[text_of], shift - bound[text_of]
 
     def tail(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All places from ``low`` up to before ``high`` of each text, and the texts they are of."""
@@ -228,8 +229,7 @@ def sample_slice(texts: Sequence[str], keys: np.ndarray, k: int, pieces: Pieces)
         """Draw edges from place ``c`` of each occurrence down to its start."""
         while len(occ):
             where = c + shift[occ]
-            t = text_of[occ]
-            e = lat.draw(c, _uniform(key[t], sample, where - bound[t]))
+            e = lat.draw(c, _uniform(own_key[occ], sample, c + within[occ]))
             edges[where] = e
             s = lat.start[e]
             on = lat.local[s] > 0
