@@ -130,6 +130,26 @@ def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("window_start", "window_end", F.lit(ALL_CHANNELS_LABEL).alias("channel"), "behavior", "cnt")
 
 
+def _daily(counts, keys: list[str]):
+    """Every window of a fine slide, summed up per key and day of the window's start."""
+    c = windows.with_bounds(counts, "text")
+    return (c.groupBy(F.substring("window_start", 1, 10).alias("day"), *keys)
+             .agg(F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("sum_cnt"), F.max("cnt").alias("max_cnt"),
+                  F.min("window_start").alias("first_start"), F.max("window_end").alias("last_end")))
+
+
+def marketing_channel_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own 1 hour windows every second (3600 per event), all of them, per day."""
+    keys = ["channel", "behavior"]
+    return _daily(windows.sliding_count(_marketing(spark, sf_dir), "ts", keys, "1 hour", "1 second"), keys)
+
+
+def marketing_total_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own 1 hour windows every 5 seconds, per day."""
+    c = windows.sliding_count(_marketing(spark, sf_dir), "ts", ["behavior"], "1 hour", "5 seconds")
+    return _daily(c, ["behavior"]).withColumn("channel", F.lit(ALL_CHANNELS_LABEL))
+
+
 # ------------------------------------------------------------ ad statistics
 
 def ad_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,15 +175,30 @@ def quota_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("user_id", "event_type", "day", "event_id", "blocked_us", "msg")
 
 
-def ad_geo_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _within_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
     passed = detect.quota_filter(ev, QUOTA_KEYS, "ts", QUOTA_MAX, "event_id")
-    c = windows.sliding_count(passed.withColumnRenamed("event_type", "province"), "ts", ["province"],
-                              "1 hour", "5 minutes")
+    return passed.withColumnRenamed("event_type", "province")
+
+
+def ad_geo_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = windows.sliding_count(_within_quota(spark, sf_dir), "ts", ["province"], "1 hour", "5 minutes")
     c = windows.with_bounds(c, "text")
     return c.select("window_start", "window_end", "province", "cnt")
 
 
+def ad_geo_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own 1 hour windows every 15 seconds, per day."""
+    ev = events(spark, sf_dir).select("ts", F.col("event_type").alias("province"))
+    return _daily(windows.sliding_count(ev, "ts", ["province"], "1 hour", "15 seconds"), ["province"])
+
+
+def ad_geo_filtered_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``ad_geo_15s`` after the daily quota."""
+    c = windows.sliding_count(_within_quota(spark, sf_dir), "ts", ["province"], "1 hour", "15 seconds")
+    return _daily(c, ["province"])
+
+
 # ------------------------------------------------------------ logins
 
 def _logins(spark, sf_dir):
@@ -208,11 +243,7 @@ def order_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_deadline_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D5 with every signup of a (user_id, k) key (several per key): the timer state machine.
-
-    No SQL oracle (a per-key timer replay); checked against a Python simulation
-    of the state machine on the sf0.01 table in tests/test_contract_extra.py.
-    """
+    """D5 with every signup of a (user_id, k) key (several per key): the timer state machine."""
     ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "k", "event_type")
     a = detect.deadline_alert(ev, ["user_id", "k"], "ts", F.col("event_type") == "signup",
                               F.col("event_type") == "purchase", "1 day", "event_id", single_start=False)
@@ -220,22 +251,16 @@ def order_deadline_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Queries without an SQL twin (checked against brute force in tests instead).
-NO_ORACLE = {"order_deadline_all"}
-
-
-def _tx_sides(spark, sf_dir):
-    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "k", "event_type")
-
-    def first_of(kind):
-        return (ev.where(F.col("event_type") == kind).groupBy("user_id", "k")
-                  .agg(F.min_by(F.struct("event_id", "ts"), F.struct("ts", "event_id")).alias("r"))
-                  .select("user_id", "k", "r.event_id", "r.ts"))
-    return first_of("purchase"), first_of("view")
+NO_ORACLE: set[str] = set()
 
 
 def _tx(spark, sf_dir):
-    pays, receipts = _tx_sides(spark, sf_dir)
-    return reconcile.reconcile(pays, receipts, ["user_id", "k"], "ts", "ts", unique_keys=True)
+    """All purchases against all views: the n-th of a key with the n-th, in time order."""
+    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "k", "event_type")
+    pays = ev.where(F.col("event_type") == "purchase").drop("event_type")
+    receipts = ev.where(F.col("event_type") == "view").drop("event_type")
+    return reconcile.reconcile(pays, receipts, ["user_id", "k"], "ts", "ts",
+                               tiebreak_left="event_id", tiebreak_right="event_id")
 
 
 def tx_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,6 +354,13 @@ def slide_10h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(_ms("window_start").alias("window_start"), "event_type", "cnt")
 
 
+def slide_10h_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table job's own 10 hour windows every 5 minutes."""
+    ev = driver_table(spark, sf_dir, "events").select("ts", "event_type")
+    c = windows.sliding_count(ev, "ts", ["event_type"], "10 hours", "5 minutes")
+    return c.select(_ms("window_start").alias("window_start"), "event_type", "cnt")
+
+
 def session_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = driver_table(spark, sf_dir, "events").select("ts", "user_id")
     s = windows.session_windows(ev, "ts", "10 minutes", ["user_id"])
@@ -417,6 +449,11 @@ QUERIES = {
     "report": report,
     "hot_urls": hot_urls,
     "hot_urls_5s": hot_urls_5s,
+    "marketing_channel_1s": marketing_channel_1s,
+    "marketing_total_5s": marketing_total_5s,
+    "ad_geo_15s": ad_geo_15s,
+    "ad_geo_filtered_15s": ad_geo_filtered_15s,
+    "slide_10h_5m": slide_10h_5m,
     "uv_exact": uv_exact,
     "uv_hashed": uv_hashed,
     "uv_running": uv_running,

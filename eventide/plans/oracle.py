@@ -148,6 +148,18 @@ def ad_geo_sql() -> str:
                          HOUR, 300_000_000)
 
 
+def _sliding_daily(src: str, keys: str, select_keys: str, size: int, slide: int) -> str:
+    """Every window of a fine slide, summed up per key and day of the window's start."""
+    return f"""
+WITH x AS ({_sliding(src + ' s', keys, 'us', size, slide)}),
+c AS (SELECT {keys}, w, count(*) AS cnt FROM x GROUP BY {keys}, w)
+SELECT {_text(f'w * {slide}')}[1:10] AS day, {select_keys}, count(*) AS n_windows,
+       CAST(sum(cnt) AS BIGINT) AS sum_cnt, max(cnt) AS max_cnt, min({_text(f'w * {slide}')}) AS first_start,
+       max({_text(f'w * {slide} + {size}')}) AS last_end
+FROM c GROUP BY {_text(f'w * {slide}')}[1:10], {keys}
+"""
+
+
 def _quota_ranked(max_count: int = 2) -> str:
     return (f"(SELECT event_id, user_id, event_type, us, us // {DAY} AS day, "
             f"row_number() OVER (PARTITION BY user_id, event_type, us // {DAY} ORDER BY us, event_id) AS n "
@@ -224,24 +236,58 @@ WHERE p.fp IS NULL OR p.fp > c.us + {DAY}
 """
 
 
-def _first_of(kind: str) -> str:
-    return (f"(SELECT user_id, k, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, k "
-            f"ORDER BY us, event_id) AS rn FROM {EV} e WHERE event_type = '{kind}') WHERE rn = 1)")
+def order_deadline_all_sql() -> str:
+    """Replay of a key's rows, one per step: paid flag, pending timers, and the timers that alert at this row.
+
+    The last step of a key is a row beyond all times, at which every timer left fires.
+    """
+    timers = "STRUCT(due BIGINT, id BIGINT, us BIGINT)[]"
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, k, event_id, us, event_type = 'signup' AS s,
+         row_number() OVER (PARTITION BY user_id, k ORDER BY us, event_id) AS n
+  FROM {EV} v WHERE event_type IN ('signup', 'purchase')),
+r AS (SELECT * FROM e
+      UNION ALL
+      SELECT user_id, k, NULL, 9000000000000000000, false, max(n) + 1 FROM e GROUP BY user_id, k),
+m AS (
+  SELECT user_id, k, CAST(0 AS BIGINT) AS n, false AS paid, CAST([] AS {timers}) AS timers, CAST([] AS {timers}) AS alerts
+  FROM e GROUP BY user_id, k
+  UNION ALL
+  SELECT user_id, k, n, NOT s OR still_paid,
+         CASE WHEN s AND NOT still_paid AND len(list_filter(pending, lambda x: x.due = us + {DAY})) = 0
+              THEN list_append(pending, {{'due': us + {DAY}, 'id': event_id, 'us': us}}) ELSE pending END,
+         CASE WHEN paid THEN fired[2:] ELSE fired END
+  FROM (SELECT *, paid AND len(fired) = 0 AS still_paid
+        FROM (SELECT r.*, m.paid, list_filter(m.timers, lambda x: x.due < r.us) AS fired,
+                     list_filter(m.timers, lambda x: x.due >= r.us) AS pending
+              FROM m JOIN r ON r.user_id = m.user_id AND r.k = m.k AND r.n = m.n + 1))),
+a AS (SELECT user_id, k, unnest(alerts) AS t FROM m)
+SELECT user_id, k, t.id AS event_id, t.us AS start_us, 'order timeout' AS msg FROM a
+"""
+
+
+def _numbered(kind: str) -> str:
+    return (f"(SELECT user_id, k, event_id, row_number() OVER (PARTITION BY user_id, k "
+            f"ORDER BY us, event_id) AS rn FROM {EV} e WHERE event_type = '{kind}')")
+
+
+_SAME = "re.user_id = pa.user_id AND re.k = pa.k AND re.rn = pa.rn"
 
 
 def tx_pairs_sql() -> str:
     return (f"SELECT pa.user_id, pa.k, pa.event_id AS pay_event_id, re.event_id AS receipt_event_id "
-            f"FROM {_first_of('purchase')} pa JOIN {_first_of('view')} re ON pa.user_id = re.user_id AND pa.k = re.k")
+            f"FROM {_numbered('purchase')} pa JOIN {_numbered('view')} re ON {_SAME}")
 
 
 def tx_left_sql() -> str:
-    return (f"SELECT user_id, k, event_id AS pay_event_id FROM {_first_of('purchase')} pa "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {_first_of('view')} re WHERE re.user_id = pa.user_id AND re.k = pa.k)")
+    return (f"SELECT user_id, k, event_id AS pay_event_id FROM {_numbered('purchase')} pa "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {_numbered('view')} re WHERE {_SAME})")
 
 
 def tx_right_sql() -> str:
-    return (f"SELECT user_id, k, event_id AS receipt_event_id FROM {_first_of('view')} re "
-            f"WHERE NOT EXISTS (SELECT 1 FROM {_first_of('purchase')} pa WHERE re.user_id = pa.user_id AND re.k = pa.k)")
+    return (f"SELECT user_id, k, event_id AS receipt_event_id FROM {_numbered('view')} re "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {_numbered('purchase')} pa WHERE {_SAME})")
 
 
 def word_count_sql() -> str:
@@ -299,6 +345,19 @@ def oracle_sql() -> dict[str, str]:
         "fail_pattern": fail_pattern_sql(),
         "order_pattern": order_pattern_sql(),
         "order_deadline": order_deadline_sql(),
+        "order_deadline_all": order_deadline_all_sql(),
+        "marketing_channel_1s": _sliding_daily(_marketing_src(), "channel, behavior", "channel, behavior", HOUR, 1_000_000),
+        "marketing_total_5s": _sliding_daily(_marketing_src(), "behavior", f"'{ALL_CHANNELS_LABEL}' AS channel, behavior",
+                                             HOUR, 5_000_000),
+        "ad_geo_15s": _sliding_daily(f"(SELECT us, event_type AS province FROM {EV} e)", "province", "province",
+                                     HOUR, 15_000_000),
+        "ad_geo_filtered_15s": _sliding_daily(
+            f"(SELECT us, event_type AS province FROM {_quota_ranked()} r WHERE n <= 3)", "province", "province",
+            HOUR, 15_000_000),
+        "slide_10h_5m": f"""
+WITH x AS ({_sliding(f'{EV} e', 'event_type', 'us', 10 * HOUR, 300_000_000)})
+SELECT w * 300000 AS window_start, event_type, count(*) AS cnt FROM x GROUP BY w, event_type
+""",
         "tx_pairs": tx_pairs_sql(),
         "tx_left": tx_left_sql(),
         "tx_right": tx_right_sql(),
