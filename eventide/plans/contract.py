@@ -132,10 +132,13 @@ def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily(counts, keys: list[str]):
     """Every window of a fine slide, summed up per key and day of the window's start."""
-    c = windows.with_bounds(counts, "text")
-    return (c.groupBy(F.substring("window_start", 1, 10).alias("day"), *keys)
-             .agg(F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("sum_cnt"), F.max("cnt").alias("max_cnt"),
-                  F.min("window_start").alias("first_start"), F.max("window_end").alias("last_end")))
+    day = F.expr("window_start - pmod(window_start, 86400000000)").alias("_day")
+    c = (counts.groupBy(day, *keys)
+               .agg(F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("sum_cnt"), F.max("cnt").alias("max_cnt"),
+                    F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end")))
+    c = windows.with_bounds(c, "text")
+    return c.select(F.substring("window_start", 1, 10).alias("day"), *keys, "n_windows", "sum_cnt", "max_cnt",
+                    F.col("window_start").alias("first_start"), F.col("window_end").alias("last_end"))
 
 
 def marketing_channel_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
