@@ -37,8 +37,8 @@ from eventide.llm.common import mix, slices, table
 from eventide.llm.token_counts import MARK, TOKENIZER, tokenizer_path
 
 SAMPLES, ALPHA = 2, 0.5
-#: Open nodes whose parent is this unlikely, or further than TAIL characters from the text's end, are looked at only if no nearer
-#: one is high enough (a Gumbel made of a 53-bit number is at most 37 above phi).
+#: Open nodes whose parent is this unlikely are looked at only if no nearer one is high enough (a Gumbel made of a 53-bit number is
+#: at most 37 above phi). They are sought in the last TAIL characters first, and further back where a path is still likelier there.
 DEPTH, REACH, TAIL = 50.0, 37.0, 2_000
 #: Bytes of text that are taken at once.
 SLICE = 600_000
@@ -236,19 +236,22 @@ def sample_slice(texts: Sequence[str], keys: np.ndarray, k: int, pieces: Pieces)
             occ, c = occ[on], s[on] - 1
 
     def opened(edges: np.ndarray, sample: int, top: np.ndarray, below: np.ndarray, deep: bool) -> tuple[np.ndarray, ...]:
-        """Open nodes beside a sample's path, at places up to ``below``: (text, value, place, edge)."""
+        """Open nodes beside a sample's path, at places up to ``below``, whose parents are near, or those deep below: (text, value, place, edge)."""
         live = below >= bound[:-1]
         low = bound[:-1] if deep else np.maximum(bound[:-1], bound[1:] - TAIL)
-        where, t = tail(np.where(live, low, 0), np.where(live, bound[1:], 0))
-        taken = edges[where] >= 0
-        where, t = where[taken], t[taken]
-        total = np.concatenate([[0], np.cumsum(lat.logp[edges[where]])])
-        last = np.searchsorted(t, np.arange(n), side="right")
-        parent = total[last][t] - total[1:]  # of all steps from the text's end to this place
-        near = where <= below[t]
-        if not deep:
-            near &= parent > -DEPTH
-        where, t, parent = where[near], t[near], parent[near]
+        while True:
+            where, t = tail(np.where(live, low, 0), np.where(live, bound[1:], 0))
+            taken = edges[where] >= 0
+            where, t = where[taken], t[taken]
+            total = np.concatenate([[0], np.cumsum(lat.logp[edges[where]])])
+            ends = np.searchsorted(t, np.arange(n + 1))
+            short = live & (low > bound[:-1]) & (total[ends[1:]] - total[ends[:-1]] > -DEPTH)
+            if not short.any():
+                break
+            low = np.where(short, np.maximum(bound[:-1], bound[1:] - 4 * (bound[1:] - low)), low)
+        parent = total[ends[1:]][t] - total[1:]  # of all steps from the text's end to this place
+        kept = (where <= below[t]) & ((parent <= -DEPTH) if deep else (parent > -DEPTH))
+        where, t, parent = where[kept], t[kept], parent[kept]
         own = edges[where]
         c = where - shift[np.searchsorted(at, where, side="right") - 1]
         size = lat.group[c + 1] - lat.group[c]
@@ -269,19 +272,21 @@ def sample_slice(texts: Sequence[str], keys: np.ndarray, k: int, pieces: Pieces)
     samples.append(edges)
     frontier = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
     below, alive = bound[1:] - 1, np.ones(n, bool)
+    belows, whole = [], np.zeros((k, n), bool)  # for each sample: up to where its own part goes, and the texts whose deep nodes are open too
     for j in range(1, k + 1):
-        fresh = opened(samples[-1], j - 1, np.where(alive, values[j - 1], np.inf), np.where(alive, below, -1), False)
+        belows.append(np.where(alive, below, -1))
+        fresh = opened(samples[-1], j - 1, np.where(alive, values[j - 1], np.inf), belows[-1], False)
+        frontier = [np.concatenate(x) for x in zip(frontier, [*fresh, np.full(len(fresh[0]), j - 1)])]
         best = np.full(n, -np.inf)
-        for t, v in ((frontier[0], frontier[1]), fresh[:2]):
-            np.maximum.at(best, t, v)
+        np.maximum.at(best, frontier[0], frontier[1])
         unsure = alive & (bound[1:] > bound[:-1]) & (best <= REACH - DEPTH)
-        if unsure.any():
-            sure = ~unsure[fresh[0]]
-            whole = opened(samples[-1], j - 1, np.where(unsure, values[j - 1], np.inf), np.where(unsure, below, -1), True)
-            fresh = tuple(np.concatenate([x[sure], y]) for x, y in zip(fresh, whole))
-            np.maximum.at(best, whole[0], whole[1])
-        cols = [np.concatenate(x) for x in zip(frontier, [*fresh, np.full(len(fresh[0]), j - 1)])]
-        frontier = cols
+        for s in range(j):  # deep nodes of all samples so far
+            closed = unsure & ~whole[s]
+            if closed.any():
+                more = opened(samples[s], s, np.where(closed, values[s], np.inf), np.where(closed, belows[s], -1), True)
+                frontier = [np.concatenate(x) for x in zip(frontier, [*more, np.full(len(more[0]), s)])]
+                np.maximum.at(best, more[0], more[1])
+                whole[s] |= closed
         values[j] = best
         if j == k:
             break

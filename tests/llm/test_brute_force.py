@@ -127,6 +127,24 @@ def test_samples_without_replacement():
     assert all(segmentation.decode(a, p) == texts[0] for a in alone[0][0])
 
 
+def test_samples_of_texts_with_long_tails_without_choice(monkeypatch):
+    p = segmentation.Pieces(token_counts.tokenizer_path(token_counts.TOKENIZER), 0.5)
+    head, rnd = "some words with choices", random.Random(8)
+    texts = [head + "\n" * 2_500, head + "日本語" * 3_000, head + "\n" * 9_000 + "the", head, "\n" * 5_000, "",
+             " ".join(rnd.choice(["word", "tokens", "日本"]) for _ in range(900))]
+    texts, keys = texts * 5, np.arange(35)
+    got = [segmentation.sample_slice(texts, keys, 4, p)]
+    monkeypatch.setattr(segmentation, "DEPTH", 5.0)  # deep nodes are opened later
+    got.append(segmentation.sample_slice(texts, keys, 4, p))
+    monkeypatch.setattr(segmentation, "DEPTH", math.inf)
+    monkeypatch.setattr(segmentation, "TAIL", 10**9)
+    ids, logp, score, good = segmentation.sample_slice(texts, keys, 4, p)
+    assert len(ids[0]) == 4 and good.all()
+    for ids2, logp2, score2, good2 in got:
+        assert [[a.tolist() for a in x] for x in ids2] == [[a.tolist() for a in x] for x in ids]
+        assert [v for x in score2 for v in x] == pytest.approx([v for x in score for v in x]) and good2.all()
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
