@@ -1,9 +1,12 @@
 """Main text of HTML pages by consensus paths of each host.
 
 Every page's containers are scored by the text they hold outside links and
-boilerplate. A container is named by its generalised path: tag and classes of
-each ancestor, without ids, and with digits in class names as one ``0``. Pages
-vote with their containers' scores; Spark sums the votes per host and path, and
+boilerplate. An element whose class or id names boilerplate is skipped, unless it
+holds an article or main with more than the text outside such elements, or, on a
+page without article and main outside them, most of the unlinked text (and is no
+discussion or consent notice); a page without other text gives theirs. A container is named by its generalised path:
+tag and classes of each ancestor, without ids, and with digits in class names as
+one ``0``. Pages vote with their containers' scores; Spark sums the votes per host and path, and
 the path with the largest sum (at a tie the first in string order) is the
 host's. A page's text is then taken from the elements at its host's path, or
 from its own best container where it has none there.
@@ -39,17 +42,23 @@ BOILERPLATE = re.compile(
     r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|popup|modal|overlay"
     r"|newsletter|subscribe|signup|login|menu|navbar|nav|navigation|breadcrumbs?|sidebar|side-?bar|widget|related|recommended|share|sharing|social|comments?"
     r"|commentlist|disqus|replies|respond|footer|foot|masthead|toolbar|pagination|pager|tags?|search|skip|disclaimer|copyright)(?:[-_ ]|$)", re.I)
+#: Names that tell a wrapper's state or an article's tags, not an element's own role.
+STATE = re.compile(
+    r"(?:has|no|with|without|category|tag(?![-_](?:clouds?|lists?|links?)(?:[-_]|$)))[-_].*|.*[-_](?:open|closed)|search[-_]results?|elementor-widget(?:-(?:container|wrap|text-editor|heading|image|theme-post-content))?", re.I)
+#: Boilerplate that can be most of a page.
+DISCUSSION = re.compile(r"(?:^|[-_ ])(?:comments?|commentlist|disqus|replies|respond|cookies?|consent|gdpr)(?:[-_ ]|$)", re.I)
 _DIGITS = re.compile(r"\d+")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "parts", "parent", "text", "linked", "paragraphs", "depth")
+    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "depth")
 
-    def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None) -> None:
+    def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None, mark: str = "") -> None:
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
+        self.never, self.mark = skip, mark
         self.parts: list = []
-        self.text = self.linked = self.paragraphs = 0
+        self.own = self.text = self.linked = self.inner = self.paragraphs = 0
         self.depth = 0 if parent is None else parent.depth + 1
 
 
@@ -59,6 +68,7 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("", "", False, None)
+        self.nodes = [self.root]
         self.containers: list[_Node] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -76,20 +86,14 @@ class _Tree(HTMLParser):
         marks = [*classes, found.get("id") or ""]
         parent = self.at
         inner = any(p.tag in ("article", "main") for p in _up(parent))
-        skip = (
-            parent.skip or tag in SKIP or (tag == "header" and not inner) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
-            or (tag not in ("body", "html", "article", "main") and any(BOILERPLATE.search(m) for m in marks if m))
-        )
-        node = _Node(tag, f"{parent.path}/{name}", skip, parent)
+        skip = parent.skip or tag in SKIP or (tag == "header" and not inner) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
+        mark = ""
+        if not skip and tag not in ("body", "html", "article", "main"):
+            mark = " ".join(m for m in marks if m and BOILERPLATE.search(m) and not STATE.fullmatch(m))
+        node = _Node(tag, f"{parent.path}/{name}", skip, parent, mark)
         parent.parts.append(node)
+        self.nodes.append(node)
         self.at = node
-        if tag in CONTAINER and not skip:
-            self.containers.append(node)
-        if tag in ("p", "pre", "blockquote", "h1", "h2", "h3") and not skip:
-            for up in _up(parent):
-                up.paragraphs += 1
-                if up.tag in CONTAINER:
-                    break
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -112,14 +116,51 @@ class _Tree(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         self.at.parts.append(data)
-        if self.at.skip:
-            return
-        n = len(data) - data.count(" ")
-        linked = False
-        for node in _up(self.at):
-            linked = linked or node.tag == "a"
-            node.text += n
-            node.linked += n * linked
+        self.at.own += len(data) - data.count(" ")
+
+    def finish(self) -> None:
+        """Decide which marked elements are skipped, and count."""
+        if any(n.mark for n in self.nodes):
+            self._count()
+            clear = {id(self.root)}
+            for n in self.nodes[1:]:
+                if id(n.parent) in clear and not n.skip and not n.mark:
+                    clear.add(id(n))
+            most = self.root.text - self.root.linked
+            if any(n.tag in ("article", "main") and n.text > n.linked and id(n) in clear for n in self.nodes):
+                most = float("inf")
+            wide = {id(n) for n in self.nodes if n.mark and 2 * (n.text - n.linked) > most and not DISCUSSION.search(n.mark)}
+            outside, rest = {id(self.root): True}, 0
+            for n in self.nodes[1:]:
+                outside[id(n)] = outside[id(n.parent)] and n.tag != "a" and not n.skip and (not n.mark or id(n) in wide)
+                rest += n.own * outside[id(n)]
+            for n in self.nodes[1:]:
+                holds = id(n) in wide or n.inner > rest and (n.inner == self.root.inner or not DISCUSSION.search(n.mark))
+                n.skip = n.never or n.parent.skip or (bool(n.mark) and not holds)
+        self._count()
+        for n in self.nodes:
+            if n.skip:
+                continue
+            if n.tag in CONTAINER:
+                self.containers.append(n)
+            if n.tag in ("p", "pre", "blockquote", "h1", "h2", "h3"):
+                for up in _up(n.parent):
+                    up.paragraphs += 1
+                    if up.tag in CONTAINER:
+                        break
+
+    def _count(self) -> None:
+        """Text and linked text of all elements, and the most unlinked text of an article or main that they hold."""
+        for n in self.nodes:
+            n.text, n.linked, n.inner = n.own, 0, 0
+        for n in reversed(self.nodes[1:]):
+            if n.skip:
+                continue
+            if n.tag == "a":
+                n.linked = n.text
+            n.parent.text += n.text
+            n.parent.linked += n.linked
+            n.parent.inner = max(n.parent.inner, n.inner, n.text - n.linked if n.tag in ("article", "main") else 0)
 
 
 def _up(node: _Node | None) -> Iterator[_Node]:
@@ -132,6 +173,7 @@ def parse(html: str) -> _Tree:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    tree.finish()
     return tree
 
 
@@ -151,8 +193,8 @@ def scored(tree: _Tree) -> list[tuple[str, float]]:
     return sorted(best.items(), key=lambda x: (-x[1], x[0]))
 
 
-def blocks(node: _Node) -> list[str]:
-    """Texts of a container's blocks in page order, white space as one space, without empty ones."""
+def blocks(node: _Node, marked: bool = False) -> list[str]:
+    """Texts of a container's blocks in page order, white space as one space, without empty ones; also of ``marked`` elements."""
     out, now = [], []
 
     def flush() -> None:
@@ -173,7 +215,7 @@ def blocks(node: _Node) -> list[str]:
             if part == "\n":
                 flush()
             now.append(part)
-        elif not part.skip:
+        elif not (part.never if marked else part.skip):
             if part.tag in BLOCK:
                 flush()
             stack.append(iter(part.parts))
@@ -193,7 +235,7 @@ def extract(html: str, path: str | None) -> str:
     if not found and (own := scored(tree)):
         found = [b for n in tree.containers if n.path == own[0][0] for b in blocks(n)]
     if not found:
-        found = blocks(tree.root)
+        found = blocks(tree.root) or blocks(tree.root, marked=True)
     return "\n".join(found)
 
 

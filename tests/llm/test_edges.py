@@ -66,6 +66,20 @@ def test_pages(spark):
     assert html_main_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "with-nav", "post tag-news", "elementor-widget", "post comments-open", "search-results", "widget-layout"])
+def test_wrappers_with_marker_words_keep_their_text(name):
+    text = "".join(f"<p>Paragraph {i} of the article</p>" for i in range(4))
+    want = [f"Paragraph {i} of the article" for i in range(4)]
+    rest = "<div class='sidebar'><p>aside</p></div><div class='comments'><article><p>me too</p></article></div>"
+    for page in (f"<body><div class='{name}'>{text}{rest}</div>", f"<body><div>intro</div><div class='{name}'><article>{text}</article>{rest}</div>"):
+        got = html_main_text.extract(page, None).split("\n")
+        assert [x for x in got if x != "intro"] == want
+    long = "<div class='comments'>" + "<p>very long comment of a reader</p>" * 9 + "</div>"
+    assert html_main_text.extract(f"<body><div class='post'><p>short text</p></div>{long}", None) == "short text"
+    assert html_main_text.extract("<body><div class='ad'>an advert longer than the article</div><article><p>short text</p></article>", None) == "short text"
+    assert html_main_text.extract("<body><div class='comments'><p>nothing else</p></div>", None) == "nothing else"
+
+
 def test_url_rules(spark):
     urls = ["http://Example.ORG/es/x", "http://a.example.org/en/12?q", "http://b.org", "http://b.org/", "x://c.com/de/", "x://c.com/fr/a", "http://free-casino.net/a", "nothing", None,
             "http://notexample.org/es/", "http://q.net/x.org/"]
