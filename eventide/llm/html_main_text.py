@@ -8,7 +8,8 @@ discussion or consent notice); a page without other text gives theirs. A contain
 tag and classes of each ancestor, without ids, and with digits in class names as
 one ``0``. Pages vote with their containers' scores; Spark sums the votes per host and path, and
 the path with the largest sum (at a tie the first in string order) is the
-host's. A page's text is then taken from the elements at its host's path, or
+host's, widened to the nearest article or main around it (without one, to what
+encloses the containers with high sums) and to its title. A page's text is then taken from the elements at its host's path, or
 from its own best container where it has none there.
 
 Null and empty pages have empty text. Null URLs and URLs without ``://`` share
@@ -48,17 +49,19 @@ STATE = re.compile(
 #: Boilerplate that can be most of a page.
 DISCUSSION = re.compile(r"(?:^|[-_ ])(?:comments?|commentlist|disqus|replies|respond|cookies?|consent|gdpr)(?:[-_ ]|$)", re.I)
 _DIGITS = re.compile(r"\d+")
+#: Share of the best score from which on a container belongs to the text where no article or main tells.
+PEER = 0.25
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "depth")
+    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "titles", "depth")
 
     def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None, mark: str = "") -> None:
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
         self.never, self.mark = skip, mark
         self.parts: list = []
-        self.own = self.text = self.linked = self.inner = self.paragraphs = 0
+        self.own = self.text = self.linked = self.inner = self.paragraphs = self.titles = 0
         self.depth = 0 if parent is None else parent.depth + 1
 
 
@@ -82,7 +85,7 @@ class _Tree(HTMLParser):
             return
         found = dict(attrs)
         classes = sorted(set((found.get("class") or "").split()))
-        name = tag + "".join("." + _DIGITS.sub("0", c) for c in classes)
+        name = tag + "".join("." + _DIGITS.sub("0", c).replace("/", "|") for c in classes)
         marks = [*classes, found.get("id") or ""]
         parent = self.at
         inner = any(p.tag in ("article", "main") for p in _up(parent))
@@ -147,6 +150,7 @@ class _Tree(HTMLParser):
                 for up in _up(n.parent):
                     up.paragraphs += 1
                     if up.tag in CONTAINER:
+                        up.titles += n.tag == "h1"
                         break
 
     def _count(self) -> None:
@@ -183,14 +187,39 @@ def score(node: _Node) -> float:
     return clean * (1 + min(node.paragraphs, 20) / 4) * (1.5 if node.tag in ("article", "main") else 1) if clean > 0 else 0.0
 
 
-def scored(tree: _Tree) -> list[tuple[str, float]]:
-    """Paths of a page's containers with their scores, best first."""
-    best: dict[str, float] = {}
+def scored(tree: _Tree) -> list[tuple[str, float, int]]:
+    """Paths of a page's containers with their scores and whether they hold a title of their own, best first."""
+    best: dict[str, tuple[float, int]] = {}
     for node in tree.containers:
         s = score(node)
-        if s:
-            best[node.path] = best.get(node.path, 0) + s
-    return sorted(best.items(), key=lambda x: (-x[1], x[0]))
+        if s or node.titles:
+            found, titles = best.get(node.path, (0, 0))
+            best[node.path] = found + s, titles or int(node.titles > 0)
+    return sorted(((p, *x) for p, x in best.items()), key=lambda x: (-x[1], x[0]))
+
+
+def _tag(step: str) -> str:
+    return step.split(".")[0]
+
+
+def widening(path: str, score: float, pages: int, other: str, other_score: float, other_titles: int) -> tuple[int, int]:
+    """How many steps of the best ``path`` enclose ``other`` too, if that is text as good (least counts) or the title of most pages (greatest counts, 0 for none).
+
+    An article or main around the path holds the text; without one, containers
+    with at least PEER of the score do.
+    """
+    steps, others = path.split("/"), other.split("/")
+    whole = next((k for k in range(len(steps), 0, -1) if _tag(steps[k - 1]) in ("article", "main")), 0)
+    shared = next((k for k, (a, b) in enumerate(zip(steps, others)) if a != b), min(len(steps), len(others)))
+    inside = shared == len(others) < len(steps)
+    while shared and _tag(steps[shared - 1]) not in CONTAINER:
+        shared -= 1
+    peer = whole or (shared if shared and not inside and other_score >= PEER * score else len(steps))
+    return peer, shared if 2 * other_titles >= pages and other_titles else 0
+
+
+def widened(path: str, peer: int, title: int) -> str:
+    return "/".join(path.split("/")[: min(peer, title or peer)])
 
 
 def blocks(node: _Node, marked: bool = False) -> list[str]:
@@ -232,27 +261,54 @@ def extract(html: str, path: str | None) -> str:
         inside = [n for n in tree.containers if n.path == path]
         tops = [n for n in inside if not any(u.path == path for u in _up(n.parent))]
         found = [b for n in tops for b in blocks(n)]
-    if not found and (own := scored(tree)):
-        found = [b for n in tree.containers if n.path == own[0][0] for b in blocks(n)]
+    if not found and (own := scored(tree)) and own[0][1]:
+        wide = [widening(own[0][0], own[0][1], 1, *x) for x in own]
+        path = widened(own[0][0], min(x for x, _ in wide), max(x for _, x in wide))
+        found = [b for n in tree.containers if n.path == path and not any(u.path == path for u in _up(n.parent)) for b in blocks(n)]
     if not found:
         found = blocks(tree.root) or blocks(tree.root, marked=True)
     return "\n".join(found)
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, score): summed in Spark, with partial sums in each task."""
+    """(host, path, score, pages, titles): summed in Spark, with partial sums in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[str, str], float] = {}
+            sums: dict[tuple[str, str], list] = {}
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                for path, s in scored(parse(html))[:8] if html else ():
-                    sums[host, path] = sums.get((host, path), 0.0) + float(round(s))
+                for path, s, title in scored(parse(html))[:8] if html else ():
+                    to = sums.setdefault((host, path), [0.0, 0, 0])
+                    to[0] += float(round(s))
+                    to[1] += 1
+                    to[2] += title
             yield pa.RecordBatch.from_pydict(
                 {"host": pa.array([k[0] for k in sums], pa.string()), "path": pa.array([k[1] for k in sums], pa.string()),
-                 "score": pa.array(list(sums.values()), pa.float64())})
+                 "score": pa.array([x[0] for x in sums.values()], pa.float64()), "pages": pa.array([x[1] for x in sums.values()], pa.int64()),
+                 "titles": pa.array([x[2] for x in sums.values()], pa.int64())})
+
+    return (
+        pages.select("host", "html").mapInArrow(run, "host string, path string, score double, pages bigint, titles bigint")
+        .groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in ("score", "pages", "titles")])
+    )
+
+
+def host_paths(sums: DataFrame) -> DataFrame:
+    """(host, path): each host's best path, widened to what encloses its text."""
+    top = sums.where("score > 0").groupBy("host").agg(F.max("score").alias("score"))
+    best = sums.join(top, ["host", "score"]).groupBy("host").agg(F.min_by(F.struct("path", "score", "pages"), "path").alias("best"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            wide = [widening(x["best"]["path"], x["best"]["score"], x["best"]["pages"], x["path"], x["score"], x["titles"]) for x in rows]
+            yield pa.RecordBatch.from_pydict(
+                {"host": batch.column("host"), "path": pa.array([x["best"]["path"] for x in rows], pa.string()),
+                 "peer": pa.array([p for p, _ in wide], pa.int32()), "title": pa.array([t for _, t in wide], pa.int32())})
 
-    return pages.select("host", "html").mapInArrow(run, "host string, path string, score double").groupBy("host", "path").agg(F.sum("score").alias("score"))
+    wide = sums.join(best, "host").mapInArrow(run, "host string, path string, peer int, title int").groupBy("host", "path").agg(F.min("peer").alias("peer"), F.max("title").alias("title"))
+    depth = F.when(F.col("title") > 0, F.least("peer", "title")).otherwise(F.col("peer"))
+    return wide.select("host", F.array_join(F.slice(F.split("path", "/"), F.lit(1), depth), "/").alias("path"))
 
 
 #: At most this many hosts with a path of their own are broadcast; more are joined by a shuffle.
@@ -265,8 +321,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     host, _ = host_and_path(F.col("url"))
     based = pages.select(*keep).withColumn("host", host)
     sums = materialize(votes(based), "votes")
-    top = sums.groupBy("host").agg(F.max("score").alias("score"))
-    winners = sums.join(top, ["host", "score"]).groupBy("host").agg(F.min("path").alias("path"))
+    winners = materialize(host_paths(sums), "paths")
     common = winners.groupBy("path").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "path").limit(1)
     usual = [r["path"] for r in common.collect()]
     usual_path = usual[0] if usual else None

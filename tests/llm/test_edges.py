@@ -80,6 +80,22 @@ def test_wrappers_with_marker_words_keep_their_text(name):
     assert html_main_text.extract("<body><div class='comments'><p>nothing else</p></div>", None) == "nothing else"
 
 
+def test_text_around_the_best_container(spark):
+    p = lambda word, n: "".join(f"<p>{word} paragraph {i} with some words</p>" for i in range(n))
+    wrap = {
+        "a": lambda k: f"<article><h1>Title {k}</h1><div class='body w-1/2'>{p(k, 8)}</div></article>",
+        "b": lambda k: f"<article><section class='intro'>{p('i', 9)}</section><section class='details'>{p(k, 12)}</section></article>",
+        "c": lambda k: f"<div class='post'><h1>Title {k}</h1><div class='w-1/2'>{p(k, 8)}</div></div><div class='other'>x</div>",
+        "d": lambda k: f"<div class='post'><table><tr><td class='one'>{p('i', 9)}</td><td class='two'>{p(k, 12)}</td></tr></table></div><div class='other'>x</div>",
+    }
+    pages = spark.createDataFrame([(f"http://{h}.org/{k}", f"<html><body><nav>m</nav>{f(k)}</body></html>") for h, f in wrap.items() for k in "uvw"], "url string, html string")
+    lines = lambda word, n: [f"{word} paragraph {i} with some words" for i in range(n)]
+    for r in html_main_text.main_text(pages).collect():
+        host, k = r["url"][7], r["url"][-1]
+        want = [f"Title {k}", *lines(k, 8)] if host in "ac" else [*lines("i", 9), *lines(k, 12)]
+        assert r["text"].split("\n") == want == html_main_text.extract(r["html"], None).split("\n"), host
+
+
 def test_url_rules(spark):
     urls = ["http://Example.ORG/es/x", "http://a.example.org/en/12?q", "http://b.org", "http://b.org/", "x://c.com/de/", "x://c.com/fr/a", "http://free-casino.net/a", "nothing", None,
             "http://notexample.org/es/", "http://q.net/x.org/"]
