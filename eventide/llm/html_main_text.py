@@ -277,7 +277,7 @@ def votes(pages: DataFrame) -> DataFrame:
         for batch in batches:
             sums: dict[tuple[str, str], list] = {}
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                for path, s, title in scored(parse(html))[:8] if html else ():
+                for path, s, title in scored(parse(html)) if html else ():
                     to = sums.setdefault((host, path), [0.0, 0, 0])
                     to[0] += float(round(s))
                     to[1] += 1

@@ -96,6 +96,13 @@ def test_text_around_the_best_container(spark):
         assert r["text"].split("\n") == want == html_main_text.extract(r["html"], None).split("\n"), host
 
 
+def test_all_containers_vote(spark):
+    page = "".join(f"<section class='s{chr(97 + i)}'><p>{'word ' * (40 - i)}</p></section>" for i in range(20))
+    pages = spark.createDataFrame([("h", page), ("h", page)], "host string, html string")
+    got = {r["path"]: r["score"] for r in html_main_text.votes(pages).collect()}
+    assert len(got) == 20 and got["/section.st"] == 2 * 4 * 21 * 1.25
+
+
 def test_url_rules(spark):
     urls = ["http://Example.ORG/es/x", "http://a.example.org/en/12?q", "http://b.org", "http://b.org/", "x://c.com/de/", "x://c.com/fr/a", "http://free-casino.net/a", "nothing", None,
             "http://notexample.org/es/", "http://q.net/x.org/"]
