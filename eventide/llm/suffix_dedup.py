@@ -19,7 +19,7 @@ strings that it owns, which is one piece of text.
 
 A content is exchanged once, however many copies it has. A core with more than
 ``HOT`` contents is not gathered in one group: its units are cut into single
-strings, which are grouped by their own hash.
+strings, which Spark counts by a 128-bit hash with partial sums in each task.
 
 Null texts count as empty; texts shorter than ``length`` have no such string.
 Matches never cross documents. Repeated rows are copies of each other, also
@@ -46,6 +46,8 @@ LENGTH = 400
 CORE_SHARE = 0.4
 #: Contents of one core that are still gathered in one group.
 HOT = 20_000
+#: Occurrences of a string of hot cores that are still joined in one task.
+OFTEN = 10_000
 #: Units that one group of cores is to have about, and bytes of keys that a task holds before it writes its runs.
 GROUP_UNITS, RUN_BYTES = 20_000, 24_000_000
 #: Most array entries (of up to 48 bytes) and most ids (16 bytes) that are broadcast to texts.
@@ -125,18 +127,18 @@ def _near_texts(docs: DataFrame, rows: DataFrame, column: str, how: str = "inner
     return inside.unionByName(outside.withColumn(column, F.lit(None).cast(rows.schema[column].dataType)))
 
 
-_RUN = "r int, n int, shared binary, lengths binary, rests binary, lshared binary, llengths binary, lrests binary, lo binary, hi binary, shift binary, ch binary, uh binary"
+_RUN = "r int, n int, shared binary, lengths binary, rests binary, lshared binary, llengths binary, lrests binary, lo binary, hi binary, ch binary, uh binary"
 
 
 def _runs(texts: DataFrame, length: int, groups: int) -> DataFrame:
-    """Sorted front-coded runs of the units listed with each text."""
+    """Sorted front-coded runs of the units listed with each text, without those of hot cores."""
     columns = [c.split()[0] for c in _RUN.split(", ")]
 
     def flush(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
         for r, entries in held.items():
             entries.sort(key=lambda e: (e[0], e[1]))
             right, left = Run([e[0] for e in entries]), Run([e[1][::-1] for e in entries])
-            ints = [np.array([e[k] for e in entries], kind).tobytes() for k, kind in ((2, "<i4"), (3, "<i4"), (4, "<i4"), (5, "<i8"), (6, "<i8"))]
+            ints = [np.array([e[k] for e in entries], kind).tobytes() for k, kind in ((2, "<i4"), (3, "<i4"), (4, "<i8"), (5, "<i8"))]
             row = [r, len(entries), *right.pack(), *left.pack(), *ints]
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.int32() if k < 2 else pa.binary()) for k, v in enumerate(row)], names=columns)
 
@@ -149,15 +151,10 @@ def _runs(texts: DataFrame, length: int, groups: int) -> DataFrame:
                 for u in listed:
                     a, lo, hi, ch, uh = u["a"], u["lo"], u["hi"], u["ch"], u["uh"]
                     if u["hot"]:
-                        for d in range(lo, hi + 1):
-                            key = data[a - d : a - d + length]
-                            r = int.from_bytes(hashlib.blake2b(key, digest_size=8).digest(), "big") % groups
-                            held.setdefault(r, []).append((key, b"", 0, 0, d, ch, uh))
-                            size += length
-                    else:
-                        entry = (data[a : a - lo + length], data[a - hi : a], lo, hi, 0, ch, uh)
-                        held.setdefault(ch % groups, []).append(entry)
-                        size += len(entry[0]) + hi
+                        continue
+                    entry = (data[a : a - lo + length], data[a - hi : a], lo, hi, ch, uh)
+                    held.setdefault(ch % groups, []).append(entry)
+                    size += len(entry[0]) + hi
                     if size > RUN_BYTES:
                         yield from flush(held)
                         held, size = {}, 0
@@ -166,6 +163,37 @@ def _runs(texts: DataFrame, length: int, groups: int) -> DataFrame:
     return texts.select("text", "units").mapInArrow(run, _RUN)
 
 
+def _hot_marks(texts: DataFrame, length: int, often: int = OFTEN) -> DataFrame:
+    """(ch, uh, low, high) of the repeated strings in units of hot cores.
+
+    The strings that very many units have are broadcast: with over
+    ``often`` occurrences each, and at least one in BROADCAST_ENTRIES of all,
+    there are fewer than BROADCAST_ENTRIES of them. The others are joined by a
+    shuffle, in which none has more rows than that.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, listed in zip(batch.column("text"), batch.column("units").to_pylist()):
+                data = text.as_py().encode()
+                for u in listed:
+                    d = np.arange(u["lo"], u["hi"] + 1, dtype=np.int32)
+                    digests = b"".join(hashlib.blake2b(data[x : x + length], digest_size=16).digest() for x in (u["a"] - d).tolist())
+                    h = np.frombuffer(digests, "<i8").reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(d), pa.array(np.full(len(d), u["ch"], np.int64)), pa.array(np.full(len(d), u["uh"], np.int64))],
+                        names=["h1", "h2", "d", "ch", "uh"])
+
+    hot = texts.select("text", F.filter("units", lambda u: u["hot"]).alias("units")).where(F.size("units") > 0)
+    strings = hot.mapInArrow(run, "h1 bigint, h2 bigint, d int, ch bigint, uh bigint")
+    counts = materialize(strings.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1"), "strings")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    most = max(often, int(total) // BROADCAST_ENTRIES)
+    many, few = F.broadcast(counts.where(F.col("n") > most).select("h1", "h2")), counts.where(F.col("n") <= most).select("h1", "h2")
+    found = strings.join(many, ["h1", "h2"], "left_semi").unionByName(strings.join(many, ["h1", "h2"], "left_anti").join(few, ["h1", "h2"], "left_semi"))
+    return found.select("ch", "uh", F.col("d").alias("low"), F.col("d").alias("high"))
+
+
 def repeated(block: list[tuple], length: int, core: int) -> list[list[tuple[int, int]]]:
     """For each entry (shared, right, left, lo, hi) of one core, in order of ``right``: the distances whose string another entry has too."""
     n = len(block)
@@ -216,7 +244,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        ints = [{c: np.frombuffer(x[c], kind) for c, kind in (("lo", "<i4"), ("hi", "<i4"), ("shift", "<i4"), ("ch", "<i8"), ("uh", "<i8"))} for x in rows]
+        ints = [{c: np.frombuffer(x[c], kind) for c, kind in (("lo", "<i4"), ("hi", "<i4"), ("ch", "<i8"), ("uh", "<i8"))} for x in rows]
         lefts = [Run.read(x["lshared"], x["llengths"], x["lrests"]) for x in rows]
         at = [0] * len(rows)
         found: list[tuple[int, int, int, int]] = []
@@ -225,7 +253,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
         def close() -> None:
             if len(block) > 1:
                 for e, spans in zip(block, repeated(block, length, core)):
-                    found.extend((e[6], e[7], e[5] + low, e[5] + high) for low, high in spans)
+                    found.extend((e[5], e[6], low, high) for low, high in spans)
             block.clear()
 
         for k, shared, right in merge([Run.read(x["shared"], x["lengths"], x["rests"]) for x in rows]):
@@ -233,7 +261,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
                 close()
             i, own = at[k], ints[k]
             at[k] += 1
-            block.append((shared, right, next(lefts[k])[1][::-1], int(own["lo"][i]), int(own["hi"][i]), int(own["shift"][i]), int(own["ch"][i]), int(own["uh"][i])))
+            block.append((shared, right, next(lefts[k])[1][::-1], int(own["lo"][i]), int(own["hi"][i]), int(own["ch"][i]), int(own["uh"][i])))
         close()
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)] if found else [pa.array([], f.type) for f in schema], schema=schema)
 
@@ -263,10 +291,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     asked = materialize(
         contents.join(shared, "ch").groupBy("u.doc_id", "u.th")
         .agg(F.collect_list(F.struct("u.a", "u.lo", "u.hi", "ch", "uh", "hot")).alias("units")), "asked")  # at most the units of a text
-    n = asked.agg(F.coalesce(F.sum(F.size("units")), F.lit(0))).first()[0]
+    n, n_hot = asked.agg(F.coalesce(F.sum(F.size("units")), F.lit(0)), F.coalesce(F.sum(F.size(F.filter("units", lambda u: u["hot"]))), F.lit(0))).first()
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(n) // GROUP_UNITS)
     texts = _near_texts(slim, asked, "units")  # a repeated row sends its units again, which the distinct() below takes away
-    part = _merged(_runs(texts, length, groups), length).distinct()
+    part = _merged(_runs(texts, length, groups), length)
+    if n_hot:
+        part = part.unionByName(_hot_marks(texts, length))
+    part = part.distinct()
     whole = contents.where("n > 1").select("ch", "uh", F.col("u.lo").alias("low"), F.col("u.hi").alias("high"))
     marks = materialize(part.unionByName(whole), "marks")
     spans = (

@@ -66,6 +66,17 @@ def test_repeated_strings(spark, length, hot):
     assert got == want
 
 
+@pytest.mark.parametrize("often", [10_000, 2])
+def test_strings_of_hot_cores_are_not_gathered(spark, often):
+    passage = "".join(chr(97 + i * i % 23) for i in range(40))
+    rows = [(f"{i:05d}{passage}{i:05d}", [(8, 0, 8, 1, i, True)]) for i in range(50)]
+    texts = spark.createDataFrame(rows, "text string, units array<struct<a:int,lo:int,hi:int,ch:bigint,uh:bigint,hot:boolean>>").repartition(4)
+    assert suffix_dedup._runs(texts, 38, 4).count() == 0  # before: one group with all copies of a string
+    got = sorted((r["ch"], r["uh"], r["low"], r["high"]) for r in suffix_dedup._hot_marks(texts, 38, often).collect())
+    seen = Counter(t[8 - d : 46 - d] for t, _ in rows for d in range(9))
+    assert got == sorted((1, u[0][4], d, d) for t, u in rows for d in range(9) if seen[t[8 - d : 46 - d]] > 1) and got
+
+
 def test_front_coded_runs_and_merge():
     rnd = random.Random(3)
     lists = [sorted(bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 9))) for _ in range(rnd.randint(0, 40))) for _ in range(7)]
