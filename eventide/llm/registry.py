@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from eventide.llm import decontamination, html_main_text, jaccard_join, packing, quality_rules, segmentation, suffix_dedup, token_counts, toxicity, url_filter
+from eventide.llm import (
+    conversation_repair, decontamination, html_main_text, jaccard_join, packing, quality_rules, secret_scan, segmentation, spelling_variants, suffix_dedup, token_counts,
+    toxicity, url_filter,
+)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -15,5 +18,11 @@ QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_html_text": html_main_text.op10_html_text,
+    "op11_conversation_repair": conversation_repair.op11_conversation_repair,
+    "op12_secret_scan": secret_scan.op12_secret_scan,
+    "op13_spelling_variants": spelling_variants.op13_spelling_variants,
+}
+ORACLE = {
+    "op1_url_filter": url_filter.ORACLE, "op9_decontamination": decontamination.ORACLE, "op11_conversation_repair": conversation_repair.ORACLE,
+    "op12_secret_scan": secret_scan.ORACLE, "op13_spelling_variants": spelling_variants.ORACLE,
 }
-ORACLE = {"op1_url_filter": url_filter.ORACLE, "op9_decontamination": decontamination.ORACLE}
