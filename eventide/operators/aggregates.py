@@ -27,29 +27,16 @@ def word_count(df: DataFrame, col: str, sep: str = " ", out: str = "cnt") -> Dat
 
 
 def running_word_count(df: DataFrame, col: str, order: str, sep: str = " ", out: str = "cnt",
-                       rows_per_bucket: int | None = None) -> DataFrame:
+                       rows: int | None = None) -> DataFrame:
     """Per token occurrence, the word's count so far (the streaming word count's
     output when it emits after every element), in (``order``, position) order.
 
-    The running count is a two-level scan per (word, bucket of ``order``).
-    By default a word keeps one bucket unless it is hot (estimated from a
-    sample of documents to exceed ``sequence.HOT_KEY_ROWS`` occurrences), in
-    which case its ``order`` range is cut into buckets of about that many
-    occurrences; ``rows_per_bucket`` fixes the bucket width instead.
+    The running count is a two-level scan per (word, bucket of occurrences):
+    a word with more occurrences than a bucket holds is cut along its documents.
     """
     toks = tokenize(df.select(order, col), col, sep, with_position=True).drop(col)
-    if rows_per_bucket:
-        b = F.floor(F.col(order) / F.lit(rows_per_bucket)).cast("long")
-        return seq.scan_sum(toks, "word", [F.col(order), F.col("pos")], b, F.lit(1).cast("long"), out)
-    # Hot words are found on a 1% sample of the documents, so the text is not
-    # tokenized an extra time; a missed hot word only costs speed, not exactness.
-    frac = 0.01
-    sample = tokenize(df.select(order, col).sample(fraction=frac, seed=7), col, sep)
-    hot = seq.hot_key_widths(sample, ["word"], order, 1 << 62, 1, scale=1 / frac)
-    toks = seq.apply_widths(toks, ["word"], hot)
-    b = None if hot is None else seq.bucket_of(F.col(order), seq.WIDTH)
-    res = seq.scan_sum(toks, "word", [F.col(order), F.col("pos")], b, F.lit(1).cast("long"), out)
-    return res.drop(seq.WIDTH)
+    d = seq.cut(toks, "word", order, "pos", rows)
+    return seq.uncut(seq.row_number(d, "word", [order, "pos"], out))
 
 
 def group_count(df: DataFrame, key, out: str = "cnt") -> DataFrame:

@@ -9,21 +9,19 @@ from ..functions.time import epoch_us
 from . import sequence as seq
 
 
-def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, bucket=None, out: str = "cnt") -> DataFrame:
+def count_changelog(df: DataFrame, key, ts: str, tiebreak: str, out: str = "cnt", rows: int | None = None) -> DataFrame:
     """(is_add, key, count) rows of a running ``count(*) group by key`` in event order.
 
     Each input row moves its key's count from c-1 to c: a retraction
     (False, key, c-1) when c > 1, then the addition (True, key, c). The
-    running count is the bucketed scan, so a hot key is spread over its
-    time buckets. ``tiebreak`` identifies the input row that caused the change.
+    running count is the two-level scan, so a hot key is spread over its
+    buckets. ``tiebreak`` identifies the input row that caused the change.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    d, single = seq.bucketed_single(df.select(*keys, tiebreak, epoch_us(ts).alias("_us")), keys, "_us", bucket,
-                                    86_400_000_000, 1_000_000)
-    run = seq.scan_sum(d, keys, [F.col("_us"), F.col(tiebreak)], None if single else seq.bucket_of("_us", seq.WIDTH),
-                       F.lit(1).cast("long"), "_c")
+    keys = seq.names(key)
+    d = seq.cut(df.select(*keys, tiebreak, epoch_us(ts).alias("_us")), keys, "_us", tiebreak, rows)
+    run = seq.row_number(d, keys, ["_us", tiebreak], "_c")
     changes = F.array(
         F.struct(F.lit(False).alias("is_add"), (F.col("_c") - 1).alias(out)),
         F.struct(F.lit(True).alias("is_add"), F.col("_c").alias(out)))
-    rows = run.select(*keys, tiebreak, F.inline(changes))
-    return rows.where(F.col("is_add") | (F.col(out) > 0))
+    found = run.select(*keys, tiebreak, F.inline(changes))
+    return found.where(F.col("is_add") | (F.col(out) > 0))

@@ -6,18 +6,16 @@ in ideal event time: a timer due at T fires after every event with
 timestamp <= T and before any later one.
 
 Scale: no detector puts a hot key in one task. Look-back and look-ahead
-detectors run per (key, time bucket) on halo-replicated rows
-(``sequence.with_halo``), where only keys above ``sequence.HOT_KEY_ROWS``
-are cut into several buckets (a smaller key fits one task and keeps one);
-counting detectors use aggregates or ``row_number() <= k`` filters, which
-Spark limits per task before the shuffle (WindowGroupLimit).
+detectors run on cut rows (``sequence``): per (key, bucket of rows), with the
+nearest row of other buckets carried over in a small table. Counting detectors
+use aggregates or ``row_number() <= k`` filters, which Spark limits per task
+before the shuffle (WindowGroupLimit).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.time import duration_us, epoch_us, utc_day
 from . import sequence as seq
@@ -38,55 +36,47 @@ def _prep(df: DataFrame, ts: str) -> DataFrame:
 # ------------------------------------------------------------------ D1
 
 def burst_detector(df: DataFrame, key, ts: str, is_fail, within="2 seconds", tiebreak: str | None = None,
-                   bucket=None) -> DataFrame:
+                   rows: int | None = None) -> DataFrame:
     """Failure bursts drained by timers.
 
     Every event of a key sets a timer at ts + within; fails are buffered and
     each timer drains the buffer, emitting the earliest fail when it held
     more than one. The timer that drains a fail at t is the first one at or
     after t, i.e. within + the earliest event time in [t - within, t], so
-    fails sharing that value form one drained group.
+    fails sharing that value form one drained group. That time is the first
+    event after a probe put at t - within.
 
     Returns the earliest fail row of each group of two or more fails, with
     ``fails_in_burst``.
     """
     keys = _keys(key)
     w_us = duration_us(within)
-    d = _prep(df, ts).withColumn("_fail", _cond(is_fail))
-    cols = [c for c in df.columns]
-    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
-    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "back")
-    win = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-w_us, 0)
-    g = h.withColumn("_drain", F.min("_us").over(win))
-    fails = g.where(~F.col(seq.CONTEXT) & F.col("_fail"))
-    order = [F.col("_us")] + ([F.col(tiebreak)] if tiebreak else [])
-    firsts = fails.groupBy(*keys, "_drain").agg(
-        F.count(F.lit(1)).alias("fails_in_burst"),
-        F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order)).alias("_first"))
+    d = _prep(df, ts).withColumn("_fail", F.coalesce(_cond(is_fail), F.lit(False)))
+    cols = [c for c in d.columns if c != "_fail"]
+    # Points in order: 2 * time for a probe, 2 * time + 1 for an event.
+    events = d.select(*keys, (F.col("_us") * 2 + 1).alias("_at"), *([F.col(tiebreak).alias("_tb")] if tiebreak else []))
+    probes = d.where("_fail").select(*keys, ((F.col("_us") - w_us) * 2).alias("_at"), F.struct(*cols).alias("_row"),
+                                     *([F.col(tiebreak).alias("_tb")] if tiebreak else []))
+    points = seq.cut(events.unionByName(probes, allowMissingColumns=True), keys, "_at", "_tb" if tiebreak else None, rows)
+    drained = seq.after(points, keys, ["_at"], "_drain", F.struct("_at"), F.col("_row").isNull()).where(F.col("_row").isNotNull())
+    order = [F.col("_row._us")] + ([F.col(f"_row.{tiebreak}")] if tiebreak else [])
+    firsts = drained.groupBy(*keys, "_drain").agg(
+        F.count(F.lit(1)).alias("fails_in_burst"), F.min_by("_row", F.struct(*order)).alias("_first"))
     return (firsts.where(F.col("fails_in_burst") > 1)
-                  .select("_first.*", "fails_in_burst"))
+                  .select(*[F.col(f"_first.`{c}`").alias(c) for c in cols], "fails_in_burst"))
 
 
 # -------------------------------------------------------------- D2 / D3
 
-def _lag_pairs(df: DataFrame, key, ts: str, tiebreak: str, within, bucket, carry: list[str]) -> DataFrame:
-    """Each row with its predecessor (same key, (ts, tiebreak) order) when that is < within earlier.
-
-    Adds ``_prev`` (struct of ``carry`` + ``_us``) or null.
-    """
+def _lag_pairs(df: DataFrame, key, ts: str, tiebreak: str, rows: int | None, carry: list[str]) -> DataFrame:
+    """Each row with ``_prev``, the struct of ``carry`` and ``_us`` of the row before it (same key, (ts, tiebreak) order), or null."""
     keys = _keys(key)
-    w_us = duration_us(within)
-    d = _prep(df, ts)
-    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
-    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "back")
-    win = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us", tiebreak)
-    prev = F.lag(F.struct(*[F.col(c) for c in carry], F.col("_us"))).over(win)
-    return (h.withColumn("_prev", prev).where(~F.col(seq.CONTEXT))
-             .drop(seq.BUCKET, seq.CONTEXT, seq.WIDTH))
+    d = seq.cut(_prep(df, ts), keys, "_us", tiebreak, rows)
+    return seq.uncut(seq.before(d, keys, ["_us", tiebreak], "_prev", F.struct(*carry, "_us")))
 
 
 def consecutive_fail(df: DataFrame, key, ts: str, is_fail, within="2 seconds", tiebreak: str = "seq",
-                     bucket=None, msg: str | None = None) -> DataFrame:
+                     msg: str | None = None, rows: int | None = None) -> DataFrame:
     """Two fails in a row (no success between) with t2 < t1 + within.
 
     The state of the reference holds the newest fail and a success clears
@@ -97,7 +87,7 @@ def consecutive_fail(df: DataFrame, key, ts: str, is_fail, within="2 seconds", t
     keys = _keys(key)
     w_us = duration_us(within)
     d = df.withColumn("_fail", _cond(is_fail))
-    p = _lag_pairs(d, keys, ts, tiebreak, within, bucket, ["_fail", tiebreak])
+    p = _lag_pairs(d, keys, ts, tiebreak, rows, ["_fail", tiebreak])
     hit = p.where(F.col("_fail") & F.col("_prev._fail") & (F.col("_us") < F.col("_prev._us") + F.lit(w_us)))
     text = msg if msg is not None else f"login fail in {w_us // 1_000_000} seconds."
     return hit.select(*keys,
@@ -108,7 +98,7 @@ def consecutive_fail(df: DataFrame, key, ts: str, is_fail, within="2 seconds", t
 
 
 def pattern_next(df: DataFrame, key, ts: str, first, second, within="2 seconds", tiebreak: str = "seq",
-                 bucket=None) -> DataFrame:
+                 rows: int | None = None) -> DataFrame:
     """Strict contiguity: an event matching ``first`` directly followed (same
     key, event-time order) by one matching ``second``, less than ``within`` later.
 
@@ -117,7 +107,7 @@ def pattern_next(df: DataFrame, key, ts: str, first, second, within="2 seconds",
     keys = _keys(key)
     w_us = duration_us(within)
     d = df.withColumn("_p1", _cond(first)).withColumn("_p2", _cond(second))
-    p = _lag_pairs(d, keys, ts, tiebreak, within, bucket, ["_p1", tiebreak])
+    p = _lag_pairs(d, keys, ts, tiebreak, rows, ["_p1", tiebreak])
     hit = p.where(F.col("_p2") & F.col("_prev._p1") & (F.col("_us") - F.col("_prev._us") < F.lit(w_us)))
     return hit.select(*keys,
                       F.col(f"_prev.{tiebreak}").alias(f"begin_{tiebreak}"),
@@ -128,7 +118,7 @@ def pattern_next(df: DataFrame, key, ts: str, first, second, within="2 seconds",
 # ------------------------------------------------------------------ D4
 
 def pattern_followed_by(df: DataFrame, key, ts: str, start, end, within="15 minutes", tiebreak: str = "seq",
-                        bucket=None) -> DataFrame:
+                        rows: int | None = None) -> DataFrame:
     """Relaxed contiguity: each ``start`` event with the first later ``end`` event of its key.
 
     ``outcome`` is 'success' when that end comes less than ``within`` after
@@ -141,14 +131,9 @@ def pattern_followed_by(df: DataFrame, key, ts: str, start, end, within="15 minu
     cols = list(df.columns)
     d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
          .where(F.col("_s") | F.col("_e")))
-    d = seq.bucketed(d, keys, "_us", bucket, seq.default_bucket_us(w_us), max(w_us, 1_000_000))
-    h = seq.with_halo(d, "_us", seq.WIDTH, w_us, "forward")
-    # Nearest later end = last non-null end seen when walking the key backwards in time.
-    back = (Window.partitionBy(*keys, seq.BUCKET).orderBy(F.col("_us").desc(), F.col(tiebreak).desc())
-            .rowsBetween(Window.unboundedPreceding, -1))
-    nxt = F.last(F.when(F.col("_e"), F.struct(F.col("_us").alias("u"), F.col(tiebreak).alias("t"))),
-                 ignorenulls=True).over(back)
-    m = h.withColumn("_next", nxt).where(~F.col(seq.CONTEXT) & F.col("_s"))
+    d = seq.cut(d, keys, "_us", tiebreak, rows)
+    nxt = F.struct(F.col("_us").alias("u"), F.col(tiebreak).alias("t"))
+    m = seq.after(d, keys, ["_us", tiebreak], "_next", nxt, F.col("_e")).where("_s")
     ok = F.col("_next").isNotNull() & (F.col("_next.u") - F.col("_us") < F.lit(w_us))
     return m.select(*cols,
                     F.when(ok, F.col("_next.t")).alias(f"end_{tiebreak}"),
@@ -185,139 +170,97 @@ def deadline_alert(df: DataFrame, key, ts: str, start, end, within="15 minutes",
     return alert.select(*df.columns, F.col("_us").alias("start_us"), F.lit("order timeout").alias("msg"))
 
 
-def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 minutes",
-                           tiebreak: str = "seq") -> DataFrame:
-    """Timer state machine of the deadline job for any number of starts per key.
+def _timers(events: Column, w_us: int) -> Column:
+    """Timer state machine over a sorted array of events (u, t, e, row), begun unpaid without timers.
+
+    The state is the paid flag, the pending timers (starts that armed one, a
+    due time once) and the starts that have alerted. Result: ``alerts``
+    (places in the array) and ``dead``: paid with no timer left to clear it.
+    """
+    start = F.struct(F.lit(False).alias("paid"), F.array().cast("array<struct<u:bigint,i:int>>").alias("pending"),
+                     F.array().cast("array<int>").alias("alerts"))
+
+    def numbers(timers: Column) -> Column:
+        return F.transform(timers, lambda p: p["i"])
+
+    def fire(state: Column, fired: Column) -> Column:
+        """Alerts after ``fired`` went off in order: while paid, the first only clears the flag."""
+        quiet = F.when(state["paid"], F.slice(fired, 2, F.greatest(F.size(fired), F.lit(1)))).otherwise(fired)
+        return F.concat(state["alerts"], numbers(quiet))
+
+    def step(state: Column, x: Column) -> Column:
+        fired = F.filter(state["pending"], lambda p: p["u"] + w_us < x["u"])
+        left = F.filter(state["pending"], lambda p: p["u"] + w_us >= x["u"])
+        paid = state["paid"] & (F.size(fired) == 0)
+        arms = ~x["e"] & ~paid & ~F.exists(left, lambda p: p["u"] == x["u"])
+        pending = F.when(arms, F.concat(left, F.array(F.struct(x["u"].alias("u"), x["i"].alias("i"))))).otherwise(left)
+        return F.struct((paid | x["e"]).alias("paid"), pending.alias("pending"), fire(state, fired).alias("alerts"))
+
+    def finish(state: Column) -> Column:
+        return F.struct(fire(state, state["pending"]).alias("alerts"), (state["paid"] & (F.size(state["pending"]) == 0)).alias("dead"))
 
-    Keys whose ends (pays) are at least 2 x ``within`` apart have a closed
-    form, computed with halos, bucketed scans and equi-joins on (key,
-    segment), so a busy key is never gathered in one task:
+    numbered = F.transform(events, lambda x, i: F.struct(x["u"].alias("u"), x["e"].alias("e"), i.alias("i")))
+    return F.aggregate(numbered, start, step, finish)
 
-    * before the first end every start arms a timer;
-    * at end k the pending timers are those of the starts in the ``within``
-      before it; the earliest, a_k, fires at a_k + within and consumes the
-      end; starts after end k arm timers only after that fire; with no
-      pending timer the paid flag is never cleared again and the key stays
-      silent from then on;
-    * a fire alerts unless it is the first fire at or after the last end.
 
-    Keys with ends closer than that (their segments interact) replay the
-    state machine per key (``_deadline_replay``).
+def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 minutes",
+                           tiebreak: str = "seq", rows: int | None = None) -> DataFrame:
+    """Timer state machine of the deadline job for any number of starts per key.
+
+    A start arms a timer unless the key is paid; an end sets the paid flag; a
+    timer that fires clears the flag, or alerts when it is not set. The state
+    need not be carried along a whole key: where two ends are 2 x ``within``
+    apart or more, it is known to be one of two. If the key is *alive*, the
+    flag was cleared less than ``within`` after the earlier end, so all starts
+    in the ``within`` before the later end have armed their timers and nothing
+    else is pending. If it is *dead* (an end came with no timer pending), the
+    flag stays for good and nothing alerts again.
+
+    So the ends of a key, chained by gaps below 2 x ``within``, form segments
+    with the starts around them; every segment is a function of these two
+    states: dead stays dead, and alive gives the segment's alerts and the next
+    state by replaying its rows alone (``_timers``, a native aggregate over the
+    segment's array). The functions compose along the key by the earliest
+    segment that kills it. Starts with no end within ``within`` on either side
+    are in no segment and alert if the key is alive.
+
+    Ends, segments and their places are found on cut rows, so a busy key is
+    spread over tasks; what one task replays is one segment. Output as
+    ``deadline_alert`` (one row per alert, attributed to the first start with
+    that due time).
     """
     keys = _keys(key)
     w_us = duration_us(within)
     cols = list(df.columns)
-    d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
-         .where(F.col("_s") | F.col("_e")))
-    d, single = seq.bucketed_single(d, keys, "_us", None, seq.default_bucket_us(2 * w_us), max(2 * w_us, 1_000_000))
-
-    # Keys with two ends less than 2*within apart take the replay.
-    ends = d.where("_e")
-    eh = seq.with_halo(ends, "_us", seq.WIDTH, 2 * w_us, "back")
-    close = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-(2 * w_us - 1), 0)
-    dense_keys = (eh.withColumn("_n", F.count(F.lit(1)).over(close))
-                    .where(~F.col(seq.CONTEXT) & (F.col("_n") > 1)).select(*keys).distinct())
-    sp = seq.join_keys(d, dense_keys, keys, "left_anti")
-    dense = seq.join_keys(df, dense_keys, keys, "left_semi")
-
-    # a_k: earliest start in [end - within, end) that precedes the end; k = end's rank.
-    h = seq.with_halo(sp, "_us", seq.WIDTH, w_us, "back")
-    look = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-w_us, 0)
-    first = F.min(F.when(F.col("_s"), F.struct(F.col("_us").alias("u"), F.col(tiebreak).alias("t")))).over(look)
-    pays = (h.withColumn("_a", first).where(~F.col(seq.CONTEXT) & F.col("_e"))
-              .withColumn("_a", F.when(F.struct(F.col("_a.u"), F.col("_a.t"))
-                                       < F.struct(F.col("_us"), F.col(tiebreak)), F.col("_a.u")))
-              .select(*keys, "_us", tiebreak, "_a", seq.WIDTH))
-    pays = seq.scan_row_number(pays, keys, [F.col("_us"), F.col(tiebreak)],
-                               None if single else seq.bucket_of("_us", seq.WIDTH), "_k")
-    blocked = pays.where(F.col("_a").isNull()).groupBy(*keys).agg(F.min("_us").alias("_blocked_from"))
-    seg = pays.select(*keys, "_k", F.col("_us").alias("_p"), "_a")
-
-    # Segment of each start (ends before it in order) and whether it arms a timer.
-    k_of = seq.scan_sum(sp, keys, [F.col("_us"), F.col(tiebreak)], None if single else seq.bucket_of("_us", seq.WIDTH),
-                        F.col("_e").cast("long"), "_k")
-    starts = seq.join_keys(seq.join_keys(k_of.where("_s"), seg, [*keys, "_k"], "left"), blocked, keys, "left")
-    armed = starts.where((F.col("_k") == 0) |
-                         ((F.col("_blocked_from").isNull() | (F.col("_p") < F.col("_blocked_from")))
-                          & F.col("_a").isNotNull() & (F.col("_us") > F.col("_a") + F.lit(w_us))))
-    # One fire per due time, attributed to the first start that armed it.
-    fires = (armed.withColumn("_due", F.col("_us") + F.lit(w_us))
-                  .groupBy(*keys, "_due")
-                  .agg(F.min_by(F.struct(*[F.col(c) for c in cols], F.col("_us").alias("start_us")),
-                                F.struct(F.col("_us"), F.col(tiebreak))).alias("_f"),
-                       F.first(seq.WIDTH).alias(seq.WIDTH)))
-    # Ends at or before each fire (ends at the fire's time come first).
-    merged = (fires.select(*keys, F.col("_due").alias("_t"), F.lit(0).cast("long").alias("_w"), "_due", seq.WIDTH)
-                   .unionByName(sp.where("_e").select(*keys, F.col("_us").alias("_t"), F.lit(1).cast("long").alias("_w"),
-                                                      F.lit(None).cast("long").alias("_due"), seq.WIDTH)))
-    kf = seq.scan_sum(merged, keys, [F.col("_t")], None if single else seq.bucket_of("_t", seq.WIDTH), F.col("_w"),
-                      "_k", frame="range")
-    fired = seq.join_keys(seq.join_keys(kf.where(F.col("_due").isNotNull()).select(*keys, "_due", "_k"),
-                                        fires, [*keys, "_due"]), seg, [*keys, "_k"], "left")
-    alerts = fired.where((F.col("_k") == 0) | F.col("_a").isNull() | (F.col("_due") != F.col("_a") + F.lit(w_us)))
-    closed = alerts.select("_f.*").select(*cols, "start_us", F.lit("order timeout").alias("msg"))
-    return closed.unionByName(_deadline_replay(dense, keys, ts, start, end, within, tiebreak))
-
-
-def _deadline_replay(df: DataFrame, key, ts: str, start, end, within="15 minutes",
-                           tiebreak: str = "seq") -> DataFrame:
-    """Timer state machine of the deadline job for keys with several starts.
-
-    Keys with a single start take the join of ``deadline_alert``; only keys
-    with two or more starts go through the per-key replay (``applyInPandas``
-    over that key's start/end rows, sorted by time). Output as
-    ``deadline_alert`` (one row per fired alert, attributed to its start).
-    """
-    import pandas as pd
-
-    keys = _keys(key)
-    w_us = duration_us(within)
-    d = (_prep(df, ts).withColumn("_s", _cond(start)).withColumn("_e", _cond(end))
-         .where(F.col("_s") | F.col("_e")))
-    nstart = d.where("_s").groupBy(*keys).agg(F.count(F.lit(1)).alias("_ns"))
-    multi = nstart.where(F.col("_ns") > 1).select(*keys)
-    single = nstart.where(F.col("_ns") == 1).select(*keys)
-    base_single = seq.join_keys(df, single, keys, "left_semi")
-    one = deadline_alert(base_single, keys, ts, start, end, within, tiebreak, single_start=True)
-
-    sub = seq.join_keys(d, multi, keys, "left_semi").select(*keys, "_us", tiebreak, "_s", "_e")
-    schema = T.StructType([f for f in sub.schema.fields if f.name in keys]
-                          + [T.StructField(tiebreak, sub.schema[tiebreak].dataType),
-                             T.StructField("start_us", T.LongType())])
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", tiebreak], kind="mergesort")
-        us, tb = pdf["_us"].to_numpy(), pdf[tiebreak].to_numpy()
-        is_s, is_e = pdf["_s"].to_numpy(), pdf["_e"].to_numpy()
-        paid = False
-        timers: dict[int, tuple] = {}   # due time -> first start that armed it
-        out = []
-
-        def fire_before(t):
-            nonlocal paid
-            for due in sorted(x for x in timers if x < t):
-                s_tb, s_us = timers.pop(due)
-                if paid:
-                    paid = False
-                else:
-                    out.append((s_tb, s_us))
-        for i in range(len(pdf)):
-            u = int(us[i])
-            fire_before(u)
-            if is_s[i] and not paid:
-                timers.setdefault(u + w_us, (tb[i], u))
-            elif is_e[i]:
-                paid = True
-        fire_before(float("inf"))
-        key_vals = [pdf[k].iloc[0] for k in keys]
-        rows = [key_vals + [t, s_us] for t, s_us in out]
-        return pd.DataFrame(rows, columns=[*keys, tiebreak, "start_us"])
-
-    many = sub.groupBy(*keys).applyInPandas(replay, schema)
-    many_full = (seq.join_keys(many, d.select(*keys, tiebreak, *[c for c in df.columns if c not in keys and c != tiebreak]),
-                               [*keys, tiebreak])
-                 .select(*df.columns, "start_us", F.lit("order timeout").alias("msg")))
-    return one.unionByName(many_full)
+    order = ["_us", tiebreak]
+    d = (_prep(df, ts).withColumn("_s", F.coalesce(_cond(start), F.lit(False))).withColumn("_e", F.coalesce(_cond(end), F.lit(False)) & ~F.col("_s"))
+         .where((F.col("_s") | F.col("_e")) & F.col("_us").isNotNull()))
+    c = seq.cut(d, keys, "_us", tiebreak, rows)
+    at = F.struct(F.col("_us").alias("u"))
+    c = seq.nearest(c, keys, order, before={"_p": (at, F.col("_e")), "_b": (at, F.col("_s"))}, after={"_q": (at, F.col("_e"))})
+    gap = F.lit(2 * w_us)
+    opens = F.col("_e") & (F.col("_p").isNull() | (F.col("_us") - F.col("_p.u") >= gap))
+    c = seq.uncut(seq.scan(c, keys, order, {"_c": F.when(opens, 1).otherwise(0).cast("long")}))
+    next_opens = F.col("_p").isNull() | (F.col("_q.u") - F.col("_p.u") >= gap)
+    near_next = F.col("_q").isNotNull() & (F.col("_q.u") - F.col("_us") <= w_us)
+    near_last = F.col("_p").isNotNull() & (F.col("_us") - F.col("_p.u") <= w_us)
+    segment = (F.when(F.col("_e"), F.col("_c")).when(near_next, F.col("_c") + F.when(next_opens, 1).otherwise(0))
+                .when(near_last, F.col("_c")))
+    c = c.withColumn("_seg", segment)
+
+    row = F.when(F.col("_s"), F.struct(*[F.col(x) for x in cols], F.col("_us").alias("start_us")))
+    event = F.struct(F.col("_us").alias("u"), F.col(tiebreak).alias("t"), F.col("_e").alias("e"), row.alias("row"))
+    played = (c.where(F.col("_seg").isNotNull()).groupBy(*keys, "_seg")
+               .agg(F.array_sort(F.collect_list(event)).alias("_ev"), F.max("_s").alias("_any"))
+               .withColumn("_m", F.when(F.col("_any"), _timers(F.col("_ev"), w_us)).otherwise(
+                   F.struct(F.array().cast("array<int>").alias("alerts"), F.lit(True).alias("dead")))))  # ends alone kill the key
+    dead = played.where("_m.dead").groupBy(*keys).agg(F.min("_seg").alias("_dead"))
+    alerts = played.select(*keys, "_seg", F.explode(F.transform("_m.alerts", lambda i: F.get("_ev", i)["row"])).alias("_row"))
+    free = c.where(F.col("_seg").isNull() & (F.col("_b").isNull() | (F.col("_b.u") < F.col("_us"))))
+    # A start outside of segments comes after all segments up to its own number.
+    found = alerts.unionByName(free.select(*keys, (F.col("_c") + 1).alias("_seg"), row.alias("_row")))
+    alive = seq.join_keys(found, dead, keys, "left").where(F.col("_dead").isNull() | (F.col("_seg") <= F.col("_dead")))
+    return alive.select(*[F.col(f"_row.`{x}`").alias(x) for x in cols], F.col("_row.start_us").alias("start_us"), F.lit("order timeout").alias("msg"))
 
 
 # -------------------------------------------------------------- D6 / D7

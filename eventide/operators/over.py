@@ -1,7 +1,7 @@
 """Over-windows (per-row aggregates over a key's event-time ordered rows).
 
-Unbounded frames run as a two-level scan per (key, time bucket); bounded
-frames run per (key, time bucket) on halo-replicated rows. Neither
+Unbounded frames run as a two-level scan per (key, bucket of rows); bounded
+range frames run per (key, bucket) on halo-replicated rows. Neither
 partitions a whole key into one task.
 """
 
@@ -14,51 +14,38 @@ from ..functions.time import duration_us, epoch_us
 from . import sequence as seq
 
 
-DAY_US = 86_400_000_000
-MIN_SCAN_US = 1_000_000
-
-
-def _keys(k):
-    return [k] if isinstance(k, str) else list(k)
-
-
 def over_unbounded(df: DataFrame, key, ts: str, value: str, tiebreak: str | None = None,
-                   frame: str = "range", bucket=None, prefix: str = "run") -> DataFrame:
+                   frame: str = "range", prefix: str = "run", rows: int | None = None) -> DataFrame:
     """Running count and sum from the key's first row up to the current one.
 
     ``frame='range'`` includes rows tied on the timestamp (RANGE BETWEEN
     UNBOUNDED PRECEDING AND CURRENT ROW); ``'rows'`` stops at the current row
     in (ts, tiebreak) order. Adds ``<prefix>_cnt`` and ``<prefix>_sum``.
+    ``rows`` is the size of a bucket (``sequence.ROWS_PER_BUCKET``).
     """
-    keys = _keys(key)
-    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
-    b = None if single else seq.bucket_of("_us", seq.WIDTH)
-    order = [F.col("_us")] if frame == "range" else [F.col("_us")] + ([F.col(tiebreak)] if tiebreak else [])
-    c = seq.scan_sum(d, keys, order, b, F.lit(1).cast("long"), f"{prefix}_cnt", frame=frame)
-    s = seq.scan_sum(c, keys, order, b, F.col(value), f"{prefix}_sum", frame=frame)
-    return s.drop("_us", seq.WIDTH)
+    d = seq.cut(df.withColumn("_us", epoch_us(ts)), key, "_us", tiebreak, rows)
+    order = ["_us"] + ([tiebreak] if tiebreak else [])
+    s = seq.scan(d, key, order, {f"{prefix}_cnt": F.lit(1).cast("long"), f"{prefix}_sum": F.col(value)}, frame)
+    return seq.uncut(s).drop("_us")
 
 
-def over_range_bounded(df: DataFrame, key, ts: str, value: str, preceding, bucket=None,
-                       prefix: str = "rng") -> DataFrame:
-    """Count and sum over RANGE BETWEEN ``preceding`` PRECEDING AND CURRENT ROW."""
-    keys = _keys(key)
+def over_range_bounded(df: DataFrame, key, ts: str, value: str, preceding, prefix: str = "rng",
+                       rows: int | None = None) -> DataFrame:
+    """Count and sum over RANGE BETWEEN ``preceding`` PRECEDING AND CURRENT ROW; rows without a time see each other."""
     p_us = duration_us(preceding)
-    d = seq.bucketed(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, seq.default_bucket_us(p_us),
-                     max(p_us, 1_000_000))
-    h = seq.with_halo(d, "_us", seq.WIDTH, p_us, "back")
-    w = Window.partitionBy(*keys, seq.BUCKET).orderBy("_us").rangeBetween(-p_us, 0)
+    h = seq.with_halo(seq.cut(df.withColumn("_us", epoch_us(ts)), key, "_us", None, rows, keep_bounds=True), "_us", p_us)
+    w = Window.partitionBy(*seq.parts(h, key)).orderBy("_us").rangeBetween(-p_us, 0)
     res = (h.withColumn(f"{prefix}_cnt", F.count(F.lit(1)).over(w))
             .withColumn(f"{prefix}_sum", F.sum(value).over(w))
             .where(~F.col(seq.CONTEXT)))
-    return res.drop(seq.BUCKET, seq.CONTEXT, seq.WIDTH, "_us")
+    return seq.uncut(res).drop("_us")
 
 
 def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: int, tiebreak: str,
-                      bucket=None, prefix: str = "rows") -> DataFrame:
+                      prefix: str = "rows", rows: int | None = None) -> DataFrame:
     """Count and sum over ROWS BETWEEN n PRECEDING AND CURRENT ROW.
 
-    Rows are numbered with the bucketed scan and cut into blocks of n + 1
+    Rows are numbered with the scan and cut into blocks of n + 1
     consecutive rows. A frame [rn - n, rn] covers the head of its own block
     up to rn plus, unless rn closes a block, the tail of the previous block
     from rn - n on. Both partial sums come from windows over one block
@@ -66,12 +53,11 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     values are summed directly (no difference of large running sums) and no
     task holds a whole key.
     """
-    keys = _keys(key)
+    keys = seq.names(key) or [seq.ALL]
     n1 = preceding_rows + 1
-    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket, DAY_US, MIN_SCAN_US)
-    rn = seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)],
-                             None if single else seq.bucket_of("_us", seq.WIDTH), "_rn")
-    blk = rn.withColumn("_blk", F.floor((F.col("_rn") - 1) / F.lit(n1)).cast("long"))
+    d = seq.cut(df.withColumn("_us", epoch_us(ts)), key, "_us", tiebreak, rows)
+    rn = seq.row_number(d, key, ["_us", tiebreak], "_rn").drop(seq.BUCKET, seq.CUT)
+    blk = rn.withColumn("_blk", F.expr(f"(_rn - 1) div {n1}"))
     head = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
     tail = Window.partitionBy(*keys, "_blk").orderBy("_rn").rowsBetween(0, Window.unboundedFollowing)
     parts = (blk.withColumn("_hs", F.sum(value).over(head)).withColumn("_hc", F.count(F.lit(1)).over(head))
@@ -82,4 +68,4 @@ def over_rows_bounded(df: DataFrame, key, ts: str, value: str, preceding_rows: i
     use_prev = F.col("_pblk").isNotNull() & (F.col("_pblk") != F.col("_blk"))
     return (j.withColumn(f"{prefix}_cnt", (F.col("_hc") + F.when(use_prev, F.col("_pc")).otherwise(0)).cast("long"))
              .withColumn(f"{prefix}_sum", F.when(use_prev & F.col("_ps").isNotNull(), F.coalesce("_hs", F.lit(0.0)) + F.col("_ps")).otherwise(F.col("_hs")))
-             .drop("_rn", "_blk", "_hs", "_hc", "_ts", "_tc", "_ps", "_pc", "_pblk", "_us", seq.WIDTH))
+             .drop("_rn", "_blk", "_hs", "_hc", "_ts", "_tc", "_ps", "_pc", "_pblk", "_us", seq.ALL))

@@ -116,40 +116,31 @@ def tumbling_hashed_distinct(df: DataFrame, ts: str, col: str, size, seed: int =
 
 
 def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebreak: str,
-                            seed: int = 61, bits: int = 29, sub_buckets: int = 60,
-                            out: str = "uv") -> DataFrame:
+                            seed: int = 61, bits: int = 29, out: str = "uv", rows: int | None = None) -> DataFrame:
     """Per event: number of distinct offsets seen so far in its tumbling window.
 
     Order is (event time, ``order_tiebreak``). First occurrences come from an
     aggregate (min per window and offset, so a hot user is merged map-side);
-    the running count is a two-level prefix scan over ``sub_buckets`` time
-    slices per window, so a busy window is spread over that many tasks.
+    the running count is a two-level prefix scan over buckets of rows per
+    window, so a busy window is spread over many tasks.
     Returns the input columns plus window bounds and ``out``.
     """
     size_us = duration_us(size)
-    sub_us = max(size_us // max(sub_buckets, 1), 1)
-    us = epoch_us(ts)
-    base = (df.withColumn("_us", us)
-              .withColumn("_slot", F.floor(F.col("_us") / F.lit(size_us)).cast("long"))
+    base = (df.withColumn("_us", epoch_us(ts)).withColumn("_slot", slot_of(F.col("_us"), size_us))
               .withColumn("_off", poly_hash(F.col(col).cast("string"), seed, bits)))
     firsts = (base.where(F.col(col).isNotNull()).groupBy("_slot", "_off")
                   .agg(F.min(F.struct(F.col("_us"), F.col(order_tiebreak))).alias("_f"))
                   .select("_slot", F.col("_f._us").alias("_us"),
                           F.col(f"_f.{order_tiebreak}").alias("_tb"),
                           F.lit(0).alias("_kind")))
-    rows = base.select("*", F.col(order_tiebreak).alias("_tb"), F.lit(1).alias("_kind"))
-    marks = firsts.unionByName(rows, allowMissingColumns=True)
-    # A busy window gets finer slices than size / sub_buckets (adaptive widths).
-    marks, single = seq.bucketed_single(marks, ["_slot"], "_us", None, sub_us, 1_000)
+    events = base.select("*", F.col(order_tiebreak).alias("_tb"), F.lit(1).alias("_kind"))
+    marks = seq.cut(firsts.unionByName(events, allowMissingColumns=True), "_slot", "_us", "_tb", rows)
     # A first occurrence is ordered just before the event it stems from.
-    scanned = seq.scan_sum(
-        marks, "_slot", [F.col("_us"), F.col("_tb"), F.col("_kind")],
-        None if single else seq.bucket_of("_us", seq.WIDTH),
-        F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long"), out)
-    res = scanned.where(F.col("_kind") == 1)
+    scanned = seq.scan(marks, "_slot", ["_us", "_tb", "_kind"], {out: F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long")})
+    res = seq.uncut(scanned.where(F.col("_kind") == 1))
     return (res.withColumn(W_START, F.col("_slot") * F.lit(size_us))
                .withColumn(W_END, F.col(W_START) + F.lit(size_us))
-               .drop("_slot", "_us", "_off", "_tb", "_kind", seq.WIDTH))
+               .drop("_slot", "_us", "_off", "_tb", "_kind"))
 
 
 # ----------------------------------------------------------------- sliding
@@ -164,7 +155,7 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
     * ``'slots'``: expand each slot count to the n = size/slide windows that
       contain it and sum (work ~ n x slot counts; best for small n).
     * ``'runs'``: change points and a bucketed prefix sum, expanding only runs
-      of non-zero counts (work ~ output rows; see ``_runs_from_slot_counts``).
+      of non-zero counts (work ~ output rows; see ``_runs_of_slot_counts``).
     * ``'native'``: ``groupBy(window(ts, size, slide))``, which copies every
       raw row n times (used when size is not a multiple of slide).
 
@@ -183,13 +174,11 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
         g = df.groupBy(w.alias("_w"), *names).agg(F.count(F.lit(1)).alias(out))
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
-    if size_us % slide_us:
-        raise ValueError("slot and runs strategies need size to be a multiple of slide")
-    n = size_us // slide_us
-    slots = (df.withColumn("_slot", slot_of(epoch_us(ts), slide_us))
-               .groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias("_c")))
+    slots, names, n = _slot_counts(df, ts, names, size, slide)
     if strategy == "runs":
-        g = _runs_from_slot_counts(slots, names, n, out, runs_bucket)
+        # Only runs with a non-zero count are expanded, so every generated row is an output row.
+        runs = _runs_of_slot_counts(slots, names, n, out, runs_bucket)
+        g = runs.select(*names, F.explode(F.sequence(F.col("w"), F.col("nxt") - F.lit(1))).alias("_w"), out)
     else:
         expanded = slots.select(*names, F.explode(F.sequence(F.col("_slot") - F.lit(n - 1), F.col("_slot"))).alias("_w"),
                                 "_c")
@@ -198,9 +187,9 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
              .withColumn(W_END, F.col(W_START) + F.lit(size_us)).drop("_w"))
 
 
-def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
-                           bucket_slots: int | None = None) -> DataFrame:
-    """Window counts from slot counts in O(output) work.
+def _runs_of_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
+                         bucket_slots: int | None = None) -> DataFrame:
+    """Runs of equal, non-zero window counts from slot counts: (keys, ``w``, ``nxt``, count) for the windows w .. nxt - 1.
 
     A slot j holding c rows adds c to the windows starting in [j-n+1, j], i.e.
     +c at window j-n+1 and -c at window j+1. The running sum of these change
@@ -209,8 +198,7 @@ def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
     long while it is non-zero. The running sum is a two-level scan over
     buckets of window indices (a busy key is split over its buckets); the
     small per-bucket table also gives each bucket's first point, which ends
-    the last run of the bucket before it. Only runs with a non-zero count are
-    expanded, so every generated row is an output row.
+    the last run of the bucket before it.
     """
     bkt = bucket_slots or max(8 * n, 4096)
     if bkt < n:
@@ -224,7 +212,7 @@ def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
                   F.struct((F.col("_slot") + F.lit(1)).alias("w"), (-d).alias("d")))).alias("_p"))
                    .select("_pk", "_p.w", "_p.d")
                    .groupBy("_pk", "w").agg(F.sum("d").alias("d"))
-                   .withColumn("_b", F.floor(F.col("w") / F.lit(bkt)).cast("long")))
+                   .withColumn("_b", slot_of(F.col("w"), bkt)))
     win = Window.partitionBy("_pk", "_b").orderBy("w")
     local = (points.withColumn("_lc", F.sum("d").over(win.rowsBetween(Window.unboundedPreceding, 0)))
                    .withColumn("_nx", F.lead("w").over(win)))
@@ -237,10 +225,51 @@ def _runs_from_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
     j = local.join(offsets.hint("shuffle_hash"),  # unbounded table: no broadcast
                    (F.col("_pk") == F.col("_pk2")) & (F.col("_b") == F.col("_b2")))
     cnt = F.col("_off") + F.col("_lc")
-    nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
-    return (j.where(cnt > 0)
-             .select(*[F.col(f"_pk.`{c}`").alias(c) for c in names],
-                     F.explode(F.sequence(F.col("w"), nxt - F.lit(1))).alias("_w"), cnt.alias(out)))
+    return (j.withColumn(out, cnt).withColumn("nxt", F.coalesce(F.col("_nx"), F.col("_nb"))).where(F.col(out) > 0)
+             .select(*[F.col(f"_pk.`{c}`").alias(c) for c in names], "w", "nxt", out))
+
+
+def _slot_counts(df: DataFrame, ts: str, keys, size, slide) -> tuple[DataFrame, list[str], int]:
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if size_us % slide_us:
+        raise ValueError("slot and runs strategies need size to be a multiple of slide")
+    df, names = _key_names(df, keys)
+    slots = (df.withColumn("_slot", slot_of(epoch_us(ts), slide_us)).where(F.col("_slot").isNotNull())
+               .groupBy(*names, "_slot").agg(F.count(F.lit(1)).alias("_c")))
+    return slots, names, size_us // slide_us
+
+
+def sliding_runs(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt", runs_bucket: int | None = None) -> DataFrame:
+    """Sliding counts without a row per window: (keys, ``w``, ``nxt``, count), where the windows that start at
+    w * slide .. (nxt - 1) * slide all hold ``count`` rows. At most two runs per (key, slot) of the input,
+    however fine the slide."""
+    slots, names, n = _slot_counts(df, ts, keys, size, slide)
+    return _runs_of_slot_counts(slots, names, n, out, runs_bucket)
+
+
+def sliding_summary(df: DataFrame, ts: str, keys, size, slide, period="1 day") -> DataFrame:
+    """Every window of a fine slide, summed up per key and period of the window's start, in closed form over runs.
+
+    Adds ``period`` (number of the period since the epoch), ``n_windows``, ``sum_cnt``, ``max_cnt`` and the bounds of
+    the period's first and last window. A run of r windows adds r windows and r times its count; one that crosses
+    periods is cut at their bounds, so the work follows the input's slots and not the windows.
+    """
+    size_us, slide_us, period_us = duration_us(size), duration_us(slide), duration_us(period)
+    runs = sliding_runs(df, ts, keys, size, slide, "_n")
+    names = [c for c in runs.columns if c not in ("w", "nxt", "_n")]
+
+    def first_window(p: Column) -> Column:
+        """The first window that starts in period ``p`` or later."""
+        return -slot_of(-p * F.lit(period_us), slide_us)
+
+    def period_of(w: Column) -> Column:
+        return slot_of(w * F.lit(slide_us), period_us)
+    cut = runs.withColumn("period", F.explode(F.sequence(period_of(F.col("w")), period_of(F.col("nxt") - 1))))
+    cut = (cut.withColumn("_a", F.greatest("w", first_window(F.col("period"))))
+              .withColumn("_e", F.least("nxt", first_window(F.col("period") + 1))).withColumn("_r", F.col("_e") - F.col("_a")))
+    return cut.where(F.col("_r") > 0).groupBy("period", *names).agg(
+        F.sum("_r").alias("n_windows"), F.sum(F.col("_r") * F.col("_n")).alias("sum_cnt"), F.max("_n").alias("max_cnt"),
+        (F.min("_a") * slide_us).alias(W_START), ((F.max("_e") - 1) * slide_us + size_us).alias(W_END))
 
 
 def sliding_count(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",
@@ -266,15 +295,15 @@ def sliding_sum(df: DataFrame, ts: str, keys, size, slide, value: str, out: str
 
 # ----------------------------------------------------------------- session
 
-def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] | None = None,
-                    out: str = "cnt", strategy: str = "bucketed", bucket=None) -> DataFrame:
+def session_windows(df: DataFrame, ts: str, gap, keys=None, aggs: Sequence[Column] | None = None,
+                    out: str = "cnt", strategy: str = "bucketed", rows: int | None = None) -> DataFrame:
     """Gap-based sessions per key; rows exactly ``gap`` apart share a session (as in Spark).
 
-    ``'bucketed'`` (default): a row starts a session when no row of its key
-    lies within ``gap`` before it - found with a look-back halo of one gap
-    per (key, time bucket); session ids are the running count of starts (the
+    ``'bucketed'`` (default): a row starts a session when the row before it is
+    more than ``gap`` earlier; session ids are the running count of starts (the
     two-level scan); sessions are then an ordinary aggregate, merged map-side.
-    No step needs a key's rows in one task, however long a session runs.
+    No step needs a key's rows in one task, however long a session runs, and
+    without keys all rows are one key. Rows without a time have no session.
     ``'native'``: Spark's ``session_window``, which sorts each key's rows in
     one partition.
     """
@@ -286,41 +315,33 @@ def session_windows(df: DataFrame, ts: str, gap, keys, aggs: Sequence[Column] |
         g = df.groupBy(sw.alias("_w"), *names).agg(*aggs)
         return (g.withColumn(W_START, epoch_us(F.col("_w.start")))
                  .withColumn(W_END, epoch_us(F.col("_w.end"))).drop("_w"))
-    d = df.withColumn("_us", epoch_us(ts))
-    d, single = seq.bucketed_single(d, names, "_us", bucket, seq.default_bucket_us(gap_us), max(gap_us, 1_000_000))
-    h = seq.with_halo(d, "_us", seq.WIDTH, gap_us, "back")
-    # A row starts a session when no row of its key lies in [t - gap, t). Rows
-    # tied on t see the same frame, and the RANGE scan below gives them one
-    # id, so no tie-break column (and nothing non-deterministic) is needed.
-    before = Window.partitionBy(*names, seq.BUCKET).orderBy("_us").rangeBetween(-gap_us, -1)
-    flagged = (h.withColumn("_start", F.when(F.count(F.lit(1)).over(before) == 0, 1).otherwise(0).cast("long"))
-                .where(~F.col(seq.CONTEXT)).drop(seq.BUCKET, seq.CONTEXT))
-    sid = seq.scan_sum(flagged, names, [F.col("_us")], None if single else seq.bucket_of("_us", seq.WIDTH),
-                       F.col("_start"), "_sid", frame="range")
+    d = seq.cut(df.withColumn("_us", epoch_us(ts)).where(F.col("_us").isNotNull()), names, "_us", None, rows)
+    d = seq.before(d, names, ["_us"], "_prev", F.struct("_us"))
+    starts = F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev._us") > gap_us), 1).otherwise(0).cast("long")
+    # The RANGE scan gives rows tied on the time one id, so no tie-break column is needed.
+    sid = seq.uncut(seq.scan(d, names, ["_us"], {"_sid": starts}, frame="range"))
     g = sid.groupBy(*names, "_sid").agg(*aggs, F.min("_us").alias(W_START), F.max("_us").alias("_last"))
     return g.withColumn(W_END, F.col("_last") + F.lit(gap_us)).drop("_sid", "_last")
 
 
 # --------------------------------------------------------------- row-count
 
-def _row_numbers(df: DataFrame, keys: list[str], ts: str, tiebreak: str, bucket) -> DataFrame:
-    d, single = seq.bucketed_single(df.withColumn("_us", epoch_us(ts)), keys, "_us", bucket,
-                                    86_400_000_000, 1_000_000)
-    return seq.scan_row_number(d, keys, [F.col("_us"), F.col(tiebreak)],
-                               None if single else seq.bucket_of("_us", seq.WIDTH), "_rn").drop(seq.WIDTH)
+def _row_numbers(df: DataFrame, keys: list[str], ts: str, tiebreak: str, rows: int | None) -> DataFrame:
+    d = seq.cut(df.withColumn("_us", epoch_us(ts)), keys, "_us", tiebreak, rows)
+    return seq.uncut(seq.row_number(d, keys, ["_us", tiebreak], "_rn"))
 
 
 def tumbling_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, value: str | None = None,
-                  bucket=None) -> DataFrame:
+                  rows: int | None = None) -> DataFrame:
     """Count windows of ``n`` rows per key in event-time order; only full groups emit.
 
     Output: keys, ``row_group`` (0-based), ``first_us``, ``last_us``, ``cnt`` and,
-    with ``value``, ``total``. Row numbers come from the bucketed scan, so a
+    with ``value``, ``total``. Row numbers come from the two-level scan, so a
     hot key is numbered in parallel; the grouping is a plain aggregate.
     """
     df, names = _key_names(df, keys)
-    rn = _row_numbers(df, names, ts, tiebreak, bucket)
-    grp = rn.withColumn("row_group", F.floor((F.col("_rn") - 1) / F.lit(n)).cast("long"))
+    rn = _row_numbers(df, names, ts, tiebreak, rows)
+    grp = rn.withColumn("row_group", F.expr(f"(_rn - 1) div {int(n)}"))
     aggs = [F.count(F.lit(1)).alias("cnt"), F.min("_us").alias("first_us"), F.max("_us").alias("last_us")]
     if value:
         aggs.append(F.sum(value).alias("total"))
@@ -328,23 +349,21 @@ def tumbling_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, value: st
 
 
 def sliding_rows(df: DataFrame, keys, ts: str, tiebreak: str, n: int, step: int, value: str | None = None,
-                 bucket=None) -> DataFrame:
-    """Windows of the last ``n`` rows per key, emitted every ``step`` rows.
+                 rows: int | None = None) -> DataFrame:
+    """Windows of the last ``n`` rows per key, emitted every ``step`` rows (any two positive numbers).
 
     A window ends at each row whose 1-based row number is a multiple of
     ``step`` and covers rows (rn - n, rn] (fewer than n at the start of a
-    key). Each row is copied to the n/step windows that contain it, then
+    key). Each row is copied to the windows that contain it, then
     aggregated: no per-key buffer. Windows past a key's last row are dropped
-    by checking the count.
+    by checking the count; rows between windows (step > n) are in none.
     """
-    if n % step:
-        raise ValueError("n must be a multiple of step")
     df, names = _key_names(df, keys)
-    rn = _row_numbers(df, names, ts, tiebreak, bucket)
-    k = n // step
-    # Window ending at row e (e % step == 0) contains r iff e - n < r <= e.
-    first_end = F.ceil(F.col("_rn") / F.lit(step)).cast("long") * F.lit(step)
-    ends = F.sequence(first_end, first_end + F.lit((k - 1) * step), F.lit(step).cast("long"))
+    rn = _row_numbers(df, names, ts, tiebreak, rows)
+    # Window ending at row e (a multiple of step) contains r iff r <= e < r + n.
+    first_end = F.expr(f"(_rn + {int(step) - 1}) div {int(step)}") * F.lit(step)
+    last_end = F.col("_rn") + F.lit(n - 1)
+    ends = F.when(first_end <= last_end, F.sequence(first_end, last_end, F.lit(step).cast("long")))
     ex = rn.withColumn("_end", F.explode(ends))
     aggs = [F.count(F.lit(1)).alias("cnt"), F.min("_us").alias("first_us"), F.max("_us").alias("last_us")]
     if value:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_code as _hash_code
-from ..functions.time import epoch_us
+from ..functions.time import duration_us, epoch_us
 from ..operators import aggregates, changelog as chg, detect, filters, lateral, over, reconcile, topn, windows
 from ..sources.files import parse_access_log, parse_json_records
 from ..sources.tables import driver_table, events
@@ -77,8 +77,13 @@ def access_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hot_urls(spark: SparkSession, sf_dir: str, slide: str = "1 minute") -> DataFrame:
     logs = parse_access_log(access_lines(spark, sf_dir))
     pages = filters.drop_static_assets(logs, "url")
-    counts = windows.sliding_count(pages, "event_time", ["url"], "10 minutes", slide, out="hits")
-    top = topn.top_n_per_window(counts, 5, "hits", "url", "window_end")
+    if duration_us(slide) < 60_000_000:  # finer than the pages change: rank runs of windows, not windows
+        runs = windows.sliding_runs(pages, "event_time", ["url"], "10 minutes", slide, out="hits")
+        top = topn.top_n_over_runs(runs, 5, "url", "hits")
+        top = top.withColumn("window_end", F.col("w") * duration_us(slide) + duration_us("10 minutes"))
+    else:
+        counts = windows.sliding_count(pages, "event_time", ["url"], "10 minutes", slide, out="hits")
+        top = topn.top_n_per_window(counts, 5, "hits", "url", "window_end")
     return top.select(_ms("window_end").alias("window_end"), "url", "hits", F.col("rank").cast("int").alias("rank"))
 
 
@@ -130,13 +135,9 @@ def marketing_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("window_start", "window_end", F.lit(ALL_CHANNELS_LABEL).alias("channel"), "behavior", "cnt")
 
 
-def _daily(counts, keys: list[str]):
-    """Every window of a fine slide, summed up per key and day of the window's start."""
-    day = F.expr("window_start - pmod(window_start, 86400000000)").alias("_day")
-    c = (counts.groupBy(day, *keys)
-               .agg(F.count(F.lit(1)).alias("n_windows"), F.sum("cnt").alias("sum_cnt"), F.max("cnt").alias("max_cnt"),
-                    F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end")))
-    c = windows.with_bounds(c, "text")
+def _daily(df, keys: list[str], slide: str):
+    """Every 1 hour window of a fine slide, summed up per key and day of the window's start."""
+    c = windows.with_bounds(windows.sliding_summary(df, "ts", keys, "1 hour", slide), "text")
     return c.select(F.substring("window_start", 1, 10).alias("day"), *keys, "n_windows", "sum_cnt", "max_cnt",
                     F.col("window_start").alias("first_start"), F.col("window_end").alias("last_end"))
 
@@ -144,13 +145,12 @@ def _daily(counts, keys: list[str]):
 def marketing_channel_1s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's own 1 hour windows every second (3600 per event), all of them, per day."""
     keys = ["channel", "behavior"]
-    return _daily(windows.sliding_count(_marketing(spark, sf_dir), "ts", keys, "1 hour", "1 second"), keys)
+    return _daily(_marketing(spark, sf_dir), keys, "1 second")
 
 
 def marketing_total_5s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's own 1 hour windows every 5 seconds, per day."""
-    c = windows.sliding_count(_marketing(spark, sf_dir), "ts", ["behavior"], "1 hour", "5 seconds")
-    return _daily(c, ["behavior"]).withColumn("channel", F.lit(ALL_CHANNELS_LABEL))
+    return _daily(_marketing(spark, sf_dir), ["behavior"], "5 seconds").withColumn("channel", F.lit(ALL_CHANNELS_LABEL))
 
 
 # ------------------------------------------------------------ ad statistics
@@ -193,13 +193,12 @@ def ad_geo_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ad_geo_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's own 1 hour windows every 15 seconds, per day."""
     ev = events(spark, sf_dir).select("ts", F.col("event_type").alias("province"))
-    return _daily(windows.sliding_count(ev, "ts", ["province"], "1 hour", "15 seconds"), ["province"])
+    return _daily(ev, ["province"], "15 seconds")
 
 
 def ad_geo_filtered_15s(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``ad_geo_15s`` after the daily quota."""
-    c = windows.sliding_count(_within_quota(spark, sf_dir), "ts", ["province"], "1 hour", "15 seconds")
-    return _daily(c, ["province"])
+    return _daily(_within_quota(spark, sf_dir), ["province"], "15 seconds")
 
 
 # ------------------------------------------------------------ logins
@@ -282,6 +281,15 @@ def tx_right(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("user_id", "k", F.col("r_event_id").alias("receipt_event_id")))
 
 
+def tx_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All purchases against all views of a user (many of both), each with the oldest that waits, for 2 hours at most."""
+    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "event_type")
+    pays = ev.where(F.col("event_type") == "purchase").drop("event_type")
+    receipts = ev.where(F.col("event_type") == "view").drop("event_type")
+    m = reconcile.reconcile(pays, receipts, "user_id", "ts", "ts", "2 hours", tiebreak_left="event_id", tiebreak_right="event_id")
+    return m.select("user_id", F.col("l_event_id").alias("pay_event_id"), F.col("r_event_id").alias("receipt_event_id"), "outcome")
+
+
 # ------------------------------------------------------------ words
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,6 +483,7 @@ QUERIES = {
     "tx_pairs": tx_pairs,
     "tx_left": tx_left,
     "tx_right": tx_right,
+    "tx_tolerance": tx_tolerance,
     "word_count": word_count,
     "word_running": word_running,
     "filter_project": filter_project,

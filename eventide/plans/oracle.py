@@ -290,6 +290,34 @@ def tx_right_sql() -> str:
             f"WHERE NOT EXISTS (SELECT 1 FROM {_numbered('purchase')} pa WHERE {_SAME})")
 
 
+def tx_tolerance_sql(wait: int = 2 * HOUR) -> str:
+    """Replay of a user's purchases and views, one per step: the rows that wait (all of one side), and what this row settles.
+
+    The last step of a user is a row beyond all times, which settles what still waits.
+    """
+    rows = "STRUCT(id BIGINT, side INTEGER, us BIGINT)[]"
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT user_id, event_id, us, CASE WHEN event_type = 'purchase' THEN 0 ELSE 1 END AS side FROM {EV} v WHERE event_type IN ('purchase', 'view')),
+o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id, side) AS n FROM e),
+r AS (SELECT * FROM o
+      UNION ALL SELECT user_id, NULL, 9000000000000000000, 2, max(n) + 1 FROM o GROUP BY user_id),
+m AS (
+  SELECT user_id, CAST(0 AS BIGINT) AS n, CAST([] AS {rows}) AS waiting, CAST([] AS {rows}) AS gone, CAST(NULL AS BIGINT) AS pay, CAST(NULL AS BIGINT) AS receipt
+  FROM o GROUP BY user_id
+  UNION ALL
+  SELECT user_id, n, CASE WHEN side = 2 THEN [] WHEN meets THEN fresh[2:] ELSE list_append(fresh, {{'id': event_id, 'side': side, 'us': us}}) END, late,
+         CASE WHEN meets THEN CASE WHEN side = 0 THEN event_id ELSE fresh[1].id END END, CASE WHEN meets THEN CASE WHEN side = 1 THEN event_id ELSE fresh[1].id END END
+  FROM (SELECT *, side < 2 AND len(fresh) > 0 AND fresh[1].side <> side AS meets
+        FROM (SELECT r.*, list_filter(m.waiting, lambda x: r.us - x.us <= {wait}) AS fresh, list_filter(m.waiting, lambda x: r.us - x.us > {wait}) AS late
+              FROM m JOIN r ON r.user_id = m.user_id AND r.n = m.n + 1))),
+a AS (SELECT user_id, unnest(gone) AS g FROM m)
+SELECT user_id, pay AS pay_event_id, receipt AS receipt_event_id, 'matched' AS outcome FROM m WHERE pay IS NOT NULL
+UNION ALL
+SELECT user_id, CASE WHEN g.side = 0 THEN g.id END, CASE WHEN g.side = 1 THEN g.id END, CASE WHEN g.side = 0 THEN 'left_only' ELSE 'right_only' END FROM a
+"""
+
+
 def word_count_sql() -> str:
     return (f"SELECT word, count(*) AS cnt FROM (SELECT unnest({_jvm_split('text', ' ')}) AS word FROM documents) t "
             f"GROUP BY word")
@@ -361,6 +389,7 @@ SELECT w * 300000 AS window_start, event_type, count(*) AS cnt FROM x GROUP BY w
         "tx_pairs": tx_pairs_sql(),
         "tx_left": tx_left_sql(),
         "tx_right": tx_right_sql(),
+        "tx_tolerance": tx_tolerance_sql(),
         "word_count": word_count_sql(),
         "word_running": word_running_sql(),
         "filter_project": "SELECT event_id, user_id, value FROM events WHERE event_type = 'click'",

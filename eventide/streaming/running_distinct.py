@@ -67,9 +67,9 @@ def running_distinct_batch(batch: DataFrame, batch_id: int, state_dir: str, ts:
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("_slot", "batch").parquet(seen_path))
     marks = firsts.drop("_off").unionByName(b.select("_slot", "_us", "_tb", F.lit(1).alias("_kind")))
-    scanned = seq.scan_sum(marks, "_slot", [F.col("_us"), F.col("_tb"), F.col("_kind")],
-                           F.floor(F.col("_us") / F.lit(sub_us)).cast("long"),
-                           F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long"), "_new")
+    marks = seq.cut(marks, "_slot", "_us", "_tb")
+    scanned = seq.uncut(seq.scan(marks, "_slot", ["_us", "_tb", "_kind"],
+                                 {"_new": F.when(F.col("_kind") == 0, 1).otherwise(0).cast("long")}))
     return (scanned.where(F.col("_kind") == 1)
                    .join(totals, "_slot", "left")
                    .select((F.col("_slot") * size_us).alias("window_start"),

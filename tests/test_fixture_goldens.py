@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import fixture_path, read_fixture
+from fixture_rows import fixture_path, read_fixture
 from eventide.operators import aggregates, detect, reconcile, windows
 from eventide.sources.files import parse_json_records, read_lines
 

@@ -4,7 +4,7 @@ import os
 import uuid
 
 
-from conftest import fixture_path
+from fixture_rows import fixture_path
 from eventide.plans import jobs
 from eventide.session import checkpoint_location
 

@@ -10,7 +10,7 @@ def test_running_sums_skip_nulls_on_bucketed_path(spark):
     rows = [(i, "k", None if i in (0, 3, 4, 5, 9) else 1.0) for i in range(14)]
     df = spark.createDataFrame(rows, "id bigint, key string, v double").withColumn("ts", F.timestamp_seconds("id"))
     plain = over.over_unbounded(df, "key", "ts", "v", "id", frame="rows")
-    cut = over.over_unbounded(df, "key", "ts", "v", "id", frame="rows", bucket="2 seconds")
+    cut = over.over_unbounded(df, "key", "ts", "v", "id", frame="rows", rows=2)
     cols = [c for c in plain.columns if c.endswith("_sum")] or plain.columns
     assert plain.orderBy("id").select(*cols).collect() == cut.orderBy("id").select(*cols).collect()
 

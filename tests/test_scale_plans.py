@@ -34,9 +34,9 @@ def test_quota_limits_before_shuffle(spark):
                                   "over_range_1h", "over_rows_10", "over_range_all", "rows_slide",
                                   "uv_running", "word_running", "session_10m", "changelog"])
 def test_sequential_operators_partition_by_bucket(spark, monkeypatch, name):
-    """With hot keys present, no window sees a whole hot key."""
+    """On inputs of more than one task's size, no window sees a whole hot key."""
     from eventide.operators import sequence
-    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 2)
+    monkeypatch.setattr(sequence, "WHOLE_BYTES", -1)
     p = _plan(C.QUERIES[name](spark, SF))
     parts = _window_partitions(p)
     assert parts, p
@@ -47,16 +47,21 @@ def test_sequential_operators_partition_by_bucket(spark, monkeypatch, name):
             assert re.search(r"Window \[[^\]]*\], \[" + re.escape(part) + r"\], \[(_bkt|_b)#", p), part
 
 
-@pytest.mark.parametrize("name", ["word_running", "over_rows_all", "uv_running", "sliding_1h_15s"])
-def test_per_bucket_tables_not_broadcast(spark, monkeypatch, name):
-    # Hot keys everywhere, and the hot-key width table (the one bounded
-    # broadcast) pushed to a shuffled join too: then nothing is broadcast.
+def test_run_tables_are_not_broadcast(spark):
+    p = _plan(C.QUERIES["sliding_1h_15s"](spark, SF))
+    assert "BroadcastExchange" not in p and "ShuffledHashJoin" in p
+
+
+def test_tables_of_cut_keys_are_bounded(spark, monkeypatch):
+    """What is broadcast has at most 4 * MAX_BUCKETS rows, however many rows and heavy keys there are."""
     from eventide.operators import sequence
-    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 2)
-    monkeypatch.setattr(sequence, "MAX_HOT_KEYS", 0)
-    p = _plan(C.QUERIES[name](spark, SF))
-    assert "BroadcastExchange" not in p
-    assert "ShuffledHashJoin" in p or "SortMergeJoin" in p
+    monkeypatch.setattr(sequence, "MAX_BUCKETS", 5)
+    df = spark.range(4000).selectExpr("id % 40 AS key", "id div 900 AS t", "id AS seq")
+    found = sequence.bounds(df, "key", "t", "seq", rows=1).selectExpr("size(_bnd) AS n").collect()
+    assert sum(r.n for r in found) <= 4 * 5
+    monkeypatch.setattr(sequence, "MAX_BUCKETS", 1000)
+    found = sequence.bounds(df, "key", "t", "seq", rows=10).selectExpr("size(_bnd) AS n").collect()
+    assert len(found) == 40 and all(7 <= r.n <= 22 for r in found)
 
 
 def test_scan_prunes_and_pushes(spark):
@@ -73,12 +78,12 @@ def test_sliding_runs_has_no_per_window_row_copies(spark):
 
 
 def test_no_python_in_core_queries(spark):
-    for name in ["hot_items", "uv_hashed", "fail_burst", "order_deadline", "word_count", "hash_code", "top2"]:
+    for name in ["hot_items", "uv_hashed", "fail_burst", "order_deadline", "order_deadline_all", "tx_tolerance", "word_count", "hash_code", "top2"]:
         p = _plan(C.QUERIES[name](spark, SF))
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p and "FlatMapGroupsInPandas" not in p, name
 
 
 def test_plain_window_when_no_key_is_hot(spark):
-    """Below the hot-key threshold every key fits one task: one plain window, no per-bucket join."""
+    """An input that one task can sort whole is not cut: one plain window, no per-bucket join."""
     p = _plan(C.QUERIES["over_rows_all"](spark, SF))
     assert "_bkt" not in p and "ShuffledHashJoin" not in p

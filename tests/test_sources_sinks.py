@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import fixture_path
+from fixture_rows import fixture_path
 from eventide.session import checkpoint_dir
 from eventide.sinks import writers as W
 from eventide.sources import files, kafka, tables

@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import fixture_path, read_fixture
+from fixture_rows import fixture_path, read_fixture
 from eventide.operators import changelog, detect, windows
 from eventide.session import checkpoint_location
 from eventide.streaming import processors as P
