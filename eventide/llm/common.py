@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+_listed: list[list[str]] = []
+
+
+@contextmanager
+def listed_tables() -> Iterator[list[str]]:
+    """The paths of the tables that are materialized inside, for ``drop_tables`` once what was made of them is written."""
+    _listed.append([])
+    try:
+        yield _listed[-1]
+    finally:
+        _listed.pop()
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _listed:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -93,18 +93,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     docs = docs.select(*[c for c in docs.columns if c not in new])
     items = items_of(benchmark)
     windows = materialize(index_terms(docs, items, window), "windows")
-    found = alignments(docs, windows).join(_sized(items), "item")
-    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "item_id", "words")).alias("__found")).withColumnRenamed("doc_id", "__doc")
+    starts = alignments(docs, windows).groupBy("doc_id", "item").agg(F.collect_set("start").alias("starts"))  # places of one document
+    found = starts.join(_sized(items), "item")
+    by_doc = found.groupBy("doc_id").agg(F.collect_list(F.struct("starts", "item_id", "words")).alias("__found")).withColumnRenamed("doc_id", "__doc")
     words = F.col("__words")
 
-    def matched(a: Column) -> Column:
-        """Starts, in the item, of the windows that the document has at this alignment."""
+    def at_start(a: Column, start: Column) -> Column:
+        """Places of the document's words in the windows that it has of the item at this alignment."""
         m = F.size(a["words"])
         length = F.least(m, F.lit(window))
-        same = F.transform(a["words"], lambda w, k: F.coalesce(F.get(words, a["start"] + k) == w, F.lit(False)))
-        ats = F.sequence(F.lit(0), m - length)
-        hits = F.filter(ats, lambda s: F.forall(F.slice(same, s + 1, length), lambda x: x))
-        return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(hits, lambda s: F.sequence(a["start"] + s, a["start"] + s + length - 1))).alias("hit"))
+        same = F.transform(a["words"], lambda w, k: F.coalesce(F.get(words, start + k) == w, F.lit(False)))
+        hits = F.filter(F.sequence(F.lit(0), m - length), lambda s: F.forall(F.slice(same, s + 1, length), lambda x: x))
+        return F.flatten(F.transform(hits, lambda s: F.sequence(start + s, start + s + length - 1)))
+
+    def matched(a: Column) -> Column:
+        return F.struct(a["item_id"].alias("item_id"), F.flatten(F.transform(a["starts"], lambda start: at_start(a, start))).alias("hit"))
 
     joined = docs.join(by_doc, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").withColumn("__words", tokens(F.col("text")))
     checked = joined.withColumn("__real", F.when(F.col("__found").isNotNull(), F.filter(F.transform("__found", matched), lambda r: F.size(r["hit"]) > 0)))
