@@ -251,10 +251,16 @@ def nearest(d: DataFrame, keys, order: Sequence[str], before: dict | None = None
     def beside(down: bool):
         return Window.partitionBy(*parts(d, keys)).orderBy(*window(order, down)).rowsBetween(Window.unboundedPreceding, -1)
 
+    def found(of) -> dict[str, Column]:
+        """Inside the bucket: the row beside it if any will do, else the last one that counts, walking up to the row."""
+        ahead = Window.partitionBy(*parts(d, keys)).orderBy(*order)
+        return {out: (F.lead if down else F.lag)(of(out)).over(ahead) if when is None else F.last(of(out), ignorenulls=True).over(beside(down))
+                for out, _, when, down in wanted}
+
     if BUCKET not in d.columns:
-        return d.withColumns({out: F.last(values[f"__v_{out}"], ignorenulls=True).over(beside(down)) for out, _, _, down in wanted})
+        return d.withColumns(found(lambda out: values[f"__v_{out}"]))
     d = d.withColumns(values)
-    local = d.withColumns({out: F.last(f"__v_{out}", ignorenulls=True).over(beside(down)) for out, _, _, down in wanted})
+    local = d.withColumns(found(lambda out: F.col(f"__v_{out}")))
     at = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
     ends = _heavy(d).groupBy(*part, BUCKET).agg(*[
         (F.min_by if down else F.max_by)(f"__v_{out}", F.when(F.col(f"__v_{out}").isNotNull(), at)).alias(f"__e_{out}") for out, _, _, down in wanted])

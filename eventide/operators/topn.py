@@ -28,7 +28,7 @@ def top_n_per_window(counts: DataFrame, n: int = 3, order_col: str = "cnt", key=
 
 
 def top_n_over_runs(runs: DataFrame, n: int, key="item_id", order_col: str = "cnt", rank_col: str = "rank",
-                    block: int = 512) -> DataFrame:
+                    block: int = 128) -> DataFrame:
     """Top n of every sliding window from runs of equal counts (``windows.sliding_runs``), expanding the winners only.
 
     Between two neighbouring bounds of any runs no count changes, so all

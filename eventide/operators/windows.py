@@ -146,7 +146,7 @@ def running_hashed_distinct(df: DataFrame, ts: str, col: str, size, order_tiebre
 # ----------------------------------------------------------------- sliding
 
 def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",
-                       strategy: str = "auto", runs_bucket: int | None = None) -> DataFrame:
+                       strategy: str = "auto", rows: int | None = None) -> DataFrame:
     """Count per (sliding window, keys) for all windows holding at least one row.
 
     All strategies first count rows per (keys, slide slot), so raw rows are
@@ -154,7 +154,7 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
 
     * ``'slots'``: expand each slot count to the n = size/slide windows that
       contain it and sum (work ~ n x slot counts; best for small n).
-    * ``'runs'``: change points and a bucketed prefix sum, expanding only runs
+    * ``'runs'``: change points and a prefix sum on cut rows, expanding only runs
       of non-zero counts (work ~ output rows; see ``_runs_of_slot_counts``).
     * ``'native'``: ``groupBy(window(ts, size, slide))``, which copies every
       raw row n times (used when size is not a multiple of slide).
@@ -177,7 +177,7 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
     slots, names, n = _slot_counts(df, ts, names, size, slide)
     if strategy == "runs":
         # Only runs with a non-zero count are expanded, so every generated row is an output row.
-        runs = _runs_of_slot_counts(slots, names, n, out, runs_bucket)
+        runs = _runs_of_slot_counts(slots, names, n, out, rows)
         g = runs.select(*names, F.explode(F.sequence(F.col("w"), F.col("nxt") - F.lit(1))).alias("_w"), out)
     else:
         expanded = slots.select(*names, F.explode(F.sequence(F.col("_slot") - F.lit(n - 1), F.col("_slot"))).alias("_w"),
@@ -187,46 +187,24 @@ def sliding_agg_counts(df: DataFrame, ts: str, keys, size, slide, out: str = "cn
              .withColumn(W_END, F.col(W_START) + F.lit(size_us)).drop("_w"))
 
 
-def _runs_of_slot_counts(slots: DataFrame, names: list[str], n: int, out: str,
-                         bucket_slots: int | None = None) -> DataFrame:
+def _runs_of_slot_counts(slots: DataFrame, names: list[str], n: int, out: str, rows: int | None = None) -> DataFrame:
     """Runs of equal, non-zero window counts from slot counts: (keys, ``w``, ``nxt``, count) for the windows w .. nxt - 1.
 
     A slot j holding c rows adds c to the windows starting in [j-n+1, j], i.e.
     +c at window j-n+1 and -c at window j+1. The running sum of these change
     points, per key in window order, is the count of every window from that
     point up to the next one; such a run of equal counts is at most n windows
-    long while it is non-zero. The running sum is a two-level scan over
-    buckets of window indices (a busy key is split over its buckets); the
-    small per-bucket table also gives each bucket's first point, which ends
-    the last run of the bucket before it.
+    long while it is non-zero. Sum and next point come from cut rows, so a
+    busy key is split over its buckets.
     """
-    bkt = bucket_slots or max(8 * n, 4096)
-    if bkt < n:
-        raise ValueError("run bucket must hold at least size/slide windows")
-    d = F.col("_c")
-    # Keys travel as one struct (never NULL; NULL fields compare equal), so the
-    # join below matches NULL keys and reuses the window's partitioning.
-    pk = F.struct(*[F.col(c) for c in names]) if names else F.lit(0)
-    points = (slots.select(pk.alias("_pk"), F.explode(F.array(
-                  F.struct((F.col("_slot") - F.lit(n - 1)).alias("w"), d.alias("d")),
-                  F.struct((F.col("_slot") + F.lit(1)).alias("w"), (-d).alias("d")))).alias("_p"))
-                   .select("_pk", "_p.w", "_p.d")
-                   .groupBy("_pk", "w").agg(F.sum("d").alias("d"))
-                   .withColumn("_b", slot_of(F.col("w"), bkt)))
-    win = Window.partitionBy("_pk", "_b").orderBy("w")
-    local = (points.withColumn("_lc", F.sum("d").over(win.rowsBetween(Window.unboundedPreceding, 0)))
-                   .withColumn("_nx", F.lead("w").over(win)))
-    totals = local.groupBy("_pk", "_b").agg(F.sum("d").alias("_bt"), F.min("w").alias("_bmin"))
-    wb = Window.partitionBy("_pk").orderBy("_b")
-    offsets = totals.select(F.col("_pk").alias("_pk2"), F.col("_b").alias("_b2"),
-                            F.coalesce(F.sum("_bt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                       F.lit(0)).alias("_off"),
-                            F.lead("_bmin").over(wb).alias("_nb"))
-    j = local.join(offsets.hint("shuffle_hash"),  # unbounded table: no broadcast
-                   (F.col("_pk") == F.col("_pk2")) & (F.col("_b") == F.col("_b2")))
-    cnt = F.col("_off") + F.col("_lc")
-    return (j.withColumn(out, cnt).withColumn("nxt", F.coalesce(F.col("_nx"), F.col("_nb"))).where(F.col(out) > 0)
-             .select(*[F.col(f"_pk.`{c}`").alias(c) for c in names], "w", "nxt", out))
+    points = (slots.select(*names, F.explode(F.array(
+                  F.struct((F.col("_slot") - F.lit(n - 1)).alias("w"), F.col("_c").alias("d")),
+                  F.struct((F.col("_slot") + F.lit(1)).alias("w"), (-F.col("_c")).alias("d")))).alias("_p"))
+                   .select(*names, "_p.w", "_p.d")
+                   .groupBy(*names, "w").agg(F.sum("d").alias("d")))
+    d = seq.scan(seq.cut(points, names, "w", None, rows), names, ["w"], {out: F.col("d")})
+    d = seq.uncut(seq.after(d, names, ["w"], "_nx", F.struct("w")))
+    return d.where(F.col(out) > 0).select(*names, "w", F.col("_nx.w").alias("nxt"), out)
 
 
 def _slot_counts(df: DataFrame, ts: str, keys, size, slide) -> tuple[DataFrame, list[str], int]:
@@ -239,12 +217,12 @@ def _slot_counts(df: DataFrame, ts: str, keys, size, slide) -> tuple[DataFrame,
     return slots, names, size_us // slide_us
 
 
-def sliding_runs(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt", runs_bucket: int | None = None) -> DataFrame:
+def sliding_runs(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt", rows: int | None = None) -> DataFrame:
     """Sliding counts without a row per window: (keys, ``w``, ``nxt``, count), where the windows that start at
     w * slide .. (nxt - 1) * slide all hold ``count`` rows. At most two runs per (key, slot) of the input,
     however fine the slide."""
     slots, names, n = _slot_counts(df, ts, keys, size, slide)
-    return _runs_of_slot_counts(slots, names, n, out, runs_bucket)
+    return _runs_of_slot_counts(slots, names, n, out, rows)
 
 
 def sliding_summary(df: DataFrame, ts: str, keys, size, slide, period="1 day") -> DataFrame:
@@ -273,8 +251,8 @@ def sliding_summary(df: DataFrame, ts: str, keys, size, slide, period="1 day") -
 
 
 def sliding_count(df: DataFrame, ts: str, keys, size, slide, out: str = "cnt",
-                  strategy: str = "auto", runs_bucket: int | None = None) -> DataFrame:
-    return sliding_agg_counts(df, ts, keys, size, slide, out, strategy, runs_bucket)
+                  strategy: str = "auto", rows: int | None = None) -> DataFrame:
+    return sliding_agg_counts(df, ts, keys, size, slide, out, strategy, rows)
 
 
 def sliding_sum(df: DataFrame, ts: str, keys, size, slide, value: str, out: str = "total") -> DataFrame:

@@ -104,8 +104,8 @@ def parse_access_log(df: DataFrame, col: str = "value") -> DataFrame:
     ``dd/MM/yyyy:HH:mm:ss``, 5 method, 6 url. Event time keeps second
     precision, as the line does.
     """
-    p = F.split(F.col(col), " ")
-    return df.select(
+    p = "_parts"  # a column of its own, so the line is split once
+    return df.select(F.split(F.col(col), " ").alias(p)).select(
         F.get(p, 0).alias("ip"),
         F.get(p, 2).alias("user_id"),
         F.to_timestamp(F.get(p, 3), "dd/MM/yyyy:HH:mm:ss").alias("event_time"),

@@ -231,7 +231,7 @@ def test_sliding_strategies_agree(spark, seed, size, slide, bucket):
     sz, sl = f"{size} seconds", f"{slide} seconds"
     cols = ["key", "window_start", "window_end", "cnt"]
     a = windows.sliding_count(df, "ts", "key", sz, sl, strategy="slots").select(*cols).collect()
-    b = windows.sliding_count(df, "ts", "key", sz, sl, strategy="runs", runs_bucket=bucket).select(*cols).collect()
+    b = windows.sliding_count(df, "ts", "key", sz, sl, strategy="runs", rows=bucket).select(*cols).collect()
     c = windows.sliding_count(df, "ts", "key", sz, sl, strategy="native").select(*cols).collect()
     exp = defaultdict(int)
     for _, key, t, _k, _v in rows:

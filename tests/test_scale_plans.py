@@ -47,11 +47,6 @@ def test_sequential_operators_partition_by_bucket(spark, monkeypatch, name):
             assert re.search(r"Window \[[^\]]*\], \[" + re.escape(part) + r"\], \[(_bkt|_b)#", p), part
 
 
-def test_run_tables_are_not_broadcast(spark):
-    p = _plan(C.QUERIES["sliding_1h_15s"](spark, SF))
-    assert "BroadcastExchange" not in p and "ShuffledHashJoin" in p
-
-
 def test_tables_of_cut_keys_are_bounded(spark, monkeypatch):
     """What is broadcast has at most 4 * MAX_BUCKETS rows, however many rows and heavy keys there are."""
     from eventide.operators import sequence
