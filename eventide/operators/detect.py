@@ -265,48 +265,65 @@ def deadline_alert_general(df: DataFrame, key, ts: str, start, end, within="15 m
 
 # -------------------------------------------------------------- D6 / D7
 
-def _quota_ranked(df: DataFrame, keys, ts: str, tiebreak: str) -> DataFrame:
+#: Spark cuts ``row_number() <= k`` per task before the shuffle only for k below this (its windowGroupLimitThreshold).
+GROUP_LIMIT = 1_000
+
+
+def _quota_ranked(df: DataFrame, keys, ts: str, tiebreak: str, last: int, rows: int | None = None) -> DataFrame:
+    """Rows with their place ``_n`` in their (key, UTC day), of which the first ``last`` matter.
+
+    A small quota is a limited ``row_number``, which every task cuts before
+    the shuffle. Beyond Spark's limit a busy (key, day) would be sorted whole
+    by one task; its rows are cut into buckets instead, whose totals give each
+    bucket's first place and which are numbered side by side.
+    """
     keys = _keys(keys)
     d = _prep(df, ts).withColumn("_day", utc_day(ts))
-    w = Window.partitionBy(*keys, "_day").orderBy("_us", tiebreak)
-    return d.withColumn("_n", F.row_number().over(w))
+    if last < GROUP_LIMIT and rows is None:
+        return d.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_day").orderBy("_us", tiebreak)))
+    group = [*keys, "_day"]
+    return seq.uncut(seq.row_number(seq.cut(d, group, "_us", tiebreak, rows), group, ["_us", tiebreak], "_n"))
 
 
-def quota_filter(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq") -> DataFrame:
+def quota_filter(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq",
+                 rows: int | None = None) -> DataFrame:
     """Rows that pass a per-key daily quota: the first max_count + 1 of each
     (key, UTC day) in event-time order (the reference checks the count before
     incrementing, so one more than the maximum passes)."""
-    r = _quota_ranked(df, keys, ts, tiebreak)
+    r = _quota_ranked(df, keys, ts, tiebreak, max_count + 1, rows)
     return r.where(F.col("_n") <= max_count + 1).drop("_us", "_day", "_n")
 
 
 def quota_alerts(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq",
-                 msg: str | None = None) -> DataFrame:
+                 msg: str | None = None, rows: int | None = None) -> DataFrame:
     """One warning per (key, UTC day): the first blocked row."""
     keys = _keys(keys)
-    r = _quota_ranked(df, keys, ts, tiebreak)
+    r = _quota_ranked(df, keys, ts, tiebreak, max_count + 2, rows)
     text = msg if msg is not None else f"Click over {max_count} times today."
     return (r.where(F.col("_n") == max_count + 2)
              .select(*keys, F.col("_day").alias("day"), F.col(tiebreak), F.col("_us").alias("blocked_us"),
                      F.lit(text).alias("msg")))
 
 
-def quota_outcome(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq") -> DataFrame:
+def quota_outcome(df: DataFrame, keys, ts: str, max_count: int = 100, tiebreak: str = "seq",
+                  rows: int | None = None) -> DataFrame:
     """Every row tagged 'pass', 'blocked_first' or 'blocked' (side-output form).
 
-    Only the first max_count + 2 rows of a (key, day) carry a rank (a limited
-    ``row_number``, cut per task before the shuffle); all rows are tagged by
-    an equi-join on (key, day, tie-break), which spreads a hot key's rows by
-    their tie-break instead of sorting the whole key in one task.
+    Of a small quota only the first max_count + 2 rows of a (key, day) carry a
+    rank (a limited ``row_number``, cut per task before the shuffle); all rows
+    are tagged by an equi-join on (key, day, tie-break), which spreads a hot
+    key's rows by their tie-break instead of sorting the whole key in one task.
+    Larger quotas number the rows of a key in buckets (``_quota_ranked``).
     """
     keys = _keys(keys)
-    d = _prep(df, ts).withColumn("_day", utc_day(ts))
-    w = Window.partitionBy(*keys, "_day").orderBy("_us", tiebreak)
-    ranked = (d.select(*keys, "_day", "_us", tiebreak).withColumn("_n", F.row_number().over(w))
-                .where(F.col("_n") <= max_count + 2).drop("_us"))
-    tagged = seq.join_keys(d, ranked, [*keys, "_day", tiebreak], how="left")
     out = (F.when(F.col("_n") <= max_count + 1, "pass")
             .when(F.col("_n") == max_count + 2, "blocked_first").otherwise("blocked"))
+    ranked = _quota_ranked(df, keys, ts, tiebreak, max_count + 2, rows)
+    if max_count + 2 >= GROUP_LIMIT or rows is not None:
+        return ranked.withColumn("outcome", out).select(*df.columns, "outcome")
+    d = _prep(df, ts).withColumn("_day", utc_day(ts))
+    ranked = ranked.select(*keys, "_day", tiebreak, "_n").where(F.col("_n") <= max_count + 2)
+    tagged = seq.join_keys(d, ranked, [*keys, "_day", tiebreak], how="left")
     return tagged.withColumn("outcome", out).select(*df.columns, "outcome")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_location
@@ -27,14 +27,16 @@ def _stream_writer(df: DataFrame, name: str, output_mode: str, trigger: dict | N
 
 # K1 / K2 -------------------------------------------------------------------
 
-def to_console(df: DataFrame, n: int = 20, name: str = "console", output_mode: str = "append",
+def to_console(df: DataFrame, n: int | None = None, name: str = "console", output_mode: str = "append",
                trigger: dict | None = None):
-    """Print rows (``show`` in batch; console sink on a stream). Returns the query for streams."""
-    if not df.isStreaming:
-        df.show(n, truncate=False)
-        return None
-    return _stream_writer(df, name, output_mode, trigger).format("console").option("numRows", n) \
-        .option("truncate", "false").start()
+    """Print all rows, or the first ``n`` of a batch (of each micro-batch on a stream, which returns the query).
+
+    Rows come to the driver partition by partition and are not held there.
+    """
+    def show(batch: DataFrame, _id: int) -> None:
+        for row in (batch if n is None else batch.limit(n)).toLocalIterator():
+            print("\t".join("null" if v is None else str(v) for v in row))
+    return for_each_batch(df, show, name, output_mode, trigger)
 
 
 def print_sample(df: DataFrame, n: int = 100, name: str = "sample", trigger: dict | None = None):
@@ -115,92 +117,7 @@ def checkpointed(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None],
     return for_each_batch(df, fn, name, trigger={"processingTime": interval})
 
 
-# K5 ------------------------------------------------------------------------
-
-def latest_per_key(df: DataFrame, key, order: str) -> DataFrame:
-    """Newest row per key by ``order`` (ties: any)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(order).desc())
-    return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1).drop("_r")
-
-
-def upsert_into(target_path: str, batch: DataFrame, key, order: str, fmt: str = "parquet") -> None:
-    """Merge ``batch`` into the table at ``target_path`` (newest row per key wins).
-
-    Without a transactional table format the merged table is written to a
-    new version folder and ``_latest`` is pointed at it last, so a failed
-    merge leaves the previous version readable.
-    """
-    spark = batch.sparkSession
-    keys = [key] if isinstance(key, str) else list(key)
-    fresh = latest_per_key(batch, keys, order)
-    from pyspark.errors import AnalysisException
-    try:
-        current_version = spark.read.text(f"{target_path}/_latest").first()[0]
-    except AnalysisException as e:  # only a missing table starts a new one
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-            raise
-        current_version = None
-    if current_version is None:
-        merged, version = fresh, "0"
-    else:
-        current = spark.read.format(fmt).load(f"{target_path}/{current_version}")
-        merged = current.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
-        version = str(int(current_version.split("=")[1]) + 1)
-    folder = f"v={version}"
-    merged.write.mode("overwrite").format(fmt).save(f"{target_path}/{folder}")
-    spark.createDataFrame([(folder,)], "value STRING").coalesce(1).write.mode("overwrite").text(
-        f"{target_path}/_latest")
-
-
-def upsert(df: DataFrame, key, order: str, target_path: str, name: str = "upsert",
-           trigger: dict | None = None):
-    """Upsert-mode sink: each batch's newest row per key merged into the target."""
-    return for_each_batch(df, lambda b, _id: upsert_into(target_path, b, key, order), name,
-                          output_mode="update" if df.isStreaming else "append", trigger=trigger)
-
-
-def read_upserted(spark, target_path: str, fmt: str = "parquet") -> DataFrame:
-    v = spark.read.text(f"{target_path}/_latest").first()[0]
-    return spark.read.format(fmt).load(f"{target_path}/{v}")
-
-
-# K6 ------------------------------------------------------------------------
-
-def index_documents(df: DataFrame, writer: Callable[[list[tuple[str | None, str]]], None],
-                    id_col: str | None = None, name: str = "index_documents", trigger: dict | None = None):
-    """Bulk-index rows as JSON documents, one bulk request per partition.
-
-    ``writer`` receives [(doc_id or None, json_text), ...] for one partition
-    and is called on the executors; empty partitions are skipped. Ids may be
-    of any type (rendered as text); without ``id_col`` the index assigns ids.
-    """
-    def send(batch: DataFrame, _batch_id: int):
-        body = F.to_json(F.struct(*[c for c in batch.columns]))
-        ids = F.col(id_col).cast("string") if id_col else F.lit(None).cast("string")
-        docs = batch.select(ids.alias("id"), body.alias("doc"))
-
-        def part(rows):
-            items = [(r["id"], r["doc"]) for r in rows]
-            if items:
-                writer(items)
-        docs.foreachPartition(part)
-    return for_each_batch(df, send, name, trigger=trigger)
-
-
-def json_directory_writer(path: str) -> Callable[[list[tuple[str | None, str]]], None]:
-    """Offline index target: each bulk request becomes one JSON-lines file under ``path``."""
-    import json
-    import os
-    import uuid
-
-    def write(items):
-        os.makedirs(path, exist_ok=True)
-        with open(os.path.join(path, f"bulk-{uuid.uuid4().hex}.jsonl"), "w") as f:
-            for doc_id, doc in items:
-                f.write(json.dumps({"_id": doc_id, "doc": json.loads(doc)}) + "\n")
-    return write
-
+# K5 / K6: see ``upserts`` and ``documents`` ----------------------------------
 
 # K7 ------------------------------------------------------------------------
 

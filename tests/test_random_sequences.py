@@ -484,3 +484,18 @@ def test_deadline_segments_random(spark, seed, dense):
         rows.append((i, rnd.randint(1, 6), rnd.randint(0, 400 if dense else 4000), rnd.choice(("create", "create", "pay") if dense else ("create",) * 6 + ("pay",)), 0.0))
     got = detect.deadline_alert_general(_df(spark, rows), "key", "ts", F.col("kind") == "create", F.col("kind") == "pay", "9 seconds", "seq", 13)
     assert sorted(r.seq for r in got.collect()) == sim_deadline(rows, 9)
+
+
+@pytest.mark.parametrize("limit,rows_", [(1500, None), (40, 16)])
+def test_large_quota_on_one_hot_day(spark, limit, rows_):
+    """Beyond the limited row_number the rows of a (key, day) are numbered in buckets: no window over a whole group."""
+    n = limit + 200
+    df = spark.range(n).selectExpr("id AS seq", "1 AS key", "id div 50 AS t").withColumn("ts", F.timestamp_seconds("t"))
+    got = detect.quota_filter(df, "key", "ts", limit, "seq", rows_)
+    assert sorted(r.seq for r in got.select("seq").collect()) == list(range(limit + 1))
+    assert [r.seq for r in detect.quota_alerts(df, "key", "ts", limit, "seq", rows=rows_).collect()] == [limit + 1]
+    tags = detect.quota_outcome(df, "key", "ts", limit, "seq", rows_).groupBy("outcome").count().collect()
+    assert {r.outcome: r["count"] for r in tags} == {"pass": limit + 1, "blocked_first": 1, "blocked": n - limit - 2}
+    if rows_:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "_bkt" in plan and "WindowGroupLimit" not in plan

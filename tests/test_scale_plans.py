@@ -61,7 +61,7 @@ def test_tables_of_cut_keys_are_bounded(spark, monkeypatch):
 
 def test_scan_prunes_and_pushes(spark):
     p = _plan(C.hot_items(spark, SF))
-    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)]" in p
+    assert "PushedFilters: [IsNotNull(event_type), IsNotNull(ts), EqualTo(event_type,view)]" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,props:string>" in p
 
 

@@ -5,10 +5,13 @@ import json
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixture_rows import fixture_path
 from eventide.session import checkpoint_dir
+from eventide.sinks import documents as I
+from eventide.sinks import upserts as U
 from eventide.sinks import writers as W
 from eventide.sources import files, kafka, tables
 
@@ -60,23 +63,83 @@ def test_csv_sink_and_insert_into(spark, tmp_path):
     assert spark.table("student_out").count() == 2
 
 
-def test_upsert_latest_wins(spark, tmp_path):
+def test_upsert_newest_wins(spark, tmp_path):
     target = str(tmp_path / "upsert")
-    b1 = spark.createDataFrame([("a", 1, 10), ("b", 1, 20)], "k STRING, v BIGINT, ts BIGINT")
-    b2 = spark.createDataFrame([("a", 2, 30), ("a", 3, 25), ("c", 1, 5)], "k STRING, v BIGINT, ts BIGINT")
-    W.upsert_into(target, b1, "k", "ts")
-    W.upsert_into(target, b2, "k", "ts")
-    got = {r.k: r.v for r in W.read_upserted(spark, target).collect()}
-    assert got == {"a": 2, "b": 1, "c": 1}
-
-
-def test_index_documents_json_directory(spark, tmp_path):
-    df = spark.createDataFrame([(1, "zs", 40), (2, "ls", 90), (3, "ww", 80)], "id INT, name STRING, age INT")
+    b1 = spark.createDataFrame([("a", 1, 10), ("b", 1, 20), (None, 1, 1)], "k STRING, v BIGINT, ts BIGINT")
+    b2 = spark.createDataFrame([("a", 2, 30), ("a", 3, 25), ("b", 9, 5), ("c", 1, None)], "k STRING, v BIGINT, ts BIGINT")
+    U.upsert_into(target, b1, "k", "ts")
+    before = U.manifest(spark, target)
+    U.upsert_into(target, b2, "k", "ts")
+    got = {r.k: r.v for r in U.read_upserted(spark, target).collect()}
+    assert got == {"a": 2, "b": 1, "c": 1, None: 1}  # b's row of order 5 does not replace the one of order 20
+    after = U.manifest(spark, target)
+    moved = [b for b in after["buckets"] if after["buckets"][b] != before["buckets"].get(b)]
+    assert len(moved) <= 3 and after["version"] == before["version"] + 1
+
+
+def test_upsert_crash_conflict_and_replay(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "upsert")
+    mk = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, ts BIGINT")
+    U.upsert_into(target, mk([("a", 1, 1)]), "k", "ts", "s", 0)
+    real = U.commit
+    monkeypatch.setattr(U, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost driver")))
+    with pytest.raises(OSError):
+        U.upsert_into(target, mk([("a", 2, 2)]), "k", "ts", "s", 1)
+    assert [r.v for r in U.read_upserted(spark, target).collect()] == [1]  # as before the crash
+    # Another writer takes the version first: the merge starts again on its result.
+    monkeypatch.setattr(U, "commit", real)
+    calls = []
+
+    def racing(spark_, target_, new):
+        if not calls:
+            calls.append(1)
+            U.upsert_into(target, mk([("b", 5, 5)]), "k", "ts", "other", 7)
+        real(spark_, target_, new)
+    monkeypatch.setattr(U, "commit", racing)
+    U.upsert_into(target, mk([("a", 2, 2)]), "k", "ts", "s", 1)
+    assert {r.k: r.v for r in U.read_upserted(spark, target).collect()} == {"a": 2, "b": 5}
+    version = U.manifest(spark, target)["version"]
+    U.upsert_into(target, mk([("a", 99, 99)]), "k", "ts", "s", 1)  # replayed batch
+    assert U.manifest(spark, target)["version"] == version
+    # A manifest that was cut short does not count, and its number is used again.
+    with open(f"{target}/_manifests/{version + 1:012d}.json", "w") as f:
+        f.write('{"version": ')
+    assert U.manifest(spark, target)["version"] == version
+    U.upsert_into(target, mk([("a", 3, 3)]), "k", "ts", "s", 2)
+    assert {r.k: r.v for r in U.read_upserted(spark, target).collect()} == {"a": 3, "b": 5}
+
+
+def _documents(out):
+    return [json.loads(x) for f in sorted(glob.glob(f"{out}/*.jsonl")) for x in open(f)]
+
+
+def test_index_documents(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"n{i}", None if i == 3 else i) for i in range(25)], "id INT, name STRING, age INT")
     out = str(tmp_path / "index")
-    W.index_documents(df.repartition(2), W.json_directory_writer(out), id_col="id")
-    docs = [json.loads(x) for f in glob.glob(f"{out}/*.jsonl") for x in open(f)]
-    assert sorted(d["_id"] for d in docs) == ["1", "2", "3"]
-    assert {d["doc"]["name"] for d in docs} == {"zs", "ls", "ww"}
+    for _ in range(2):  # the second run replays the batch
+        I.index_documents(df.repartition(2), out, id_col="id", chunk=4)
+        docs = _documents(out)
+        assert sorted(int(d["_id"]) for d in docs) == list(range(25)) and {d["doc"]["age"] for d in docs if d["_id"] == "3"} == {None}
+    files = glob.glob(f"{out}/*.jsonl")
+    assert len(files) >= 7 and all(sum(1 for _ in open(f)) <= 4 for f in files) and not glob.glob(f"{out}/_staged*")
+    I.index_documents(df.repartition(3), str(tmp_path / "own"))
+    assert len({d["_id"] for d in _documents(tmp_path / "own")}) == 25
+    I.index_documents(df.limit(0), str(tmp_path / "none"))
+    assert _documents(tmp_path / "none") == []
+
+
+def test_retried_task_leaves_no_duplicate(tmp_path):
+    from pyspark.sql import Row
+    rows = [Row(id=str(i), doc='{"i": %d}' % i) for i in range(10)]
+    w = I.IndexWriter({"path": str(tmp_path / "ix"), "batch": "3", "chunk": "4"})
+    w.write(iter(rows[:7]))          # an attempt that was lost
+    kept = w.write(iter(rows))       # its retry
+    w.write(iter(rows))              # a speculative copy that came too late
+    w.commit([kept, None])
+    assert sorted(int(d["_id"]) for d in _documents(tmp_path / "ix")) == list(range(10))
+    w.write(iter(rows))
+    w.abort([None])
+    assert len(_documents(tmp_path / "ix")) == 10 and not glob.glob(str(tmp_path / "ix" / "_staged*"))
 
 
 def test_side_outputs(spark, tmp_path):
@@ -121,10 +184,10 @@ def test_streaming_upsert_and_side_outputs(spark, tmp_path):
     os.utime(src / "b.csv", (1_700_000_010, 1_700_000_010))
     stream = spark.readStream.schema("k STRING, v BIGINT, ts BIGINT").option("maxFilesPerTrigger", 1).csv(str(src))
     target = str(tmp_path / "upserted")
-    q = W.upsert(stream, "k", "ts", target, name=f"ups_{uuid.uuid4().hex[:6]}", trigger={"availableNow": True})
+    q = U.upsert(stream, "k", "ts", target, name=f"ups_{uuid.uuid4().hex[:6]}", trigger={"availableNow": True})
     q.awaitTermination()
-    # batch 2's a@25 is older than batch 1's a@30 but arrives later: upsert keeps the newest arrival per batch
-    assert {r.k: r.v for r in W.read_upserted(spark, target).collect()} == {"a": 3, "b": 1, "c": 1}
+    # a@25 arrives after a@30 and does not replace it
+    assert {r.k: r.v for r in U.read_upserted(spark, target).collect()} == {"a": 2, "b": 1, "c": 1}
     tagged = spark.readStream.schema("k STRING, v BIGINT, ts BIGINT").csv(str(src)).withColumn(
         "outcome", F.when(F.col("v") > 1, "side").otherwise("main"))
     paths = {"main": str(tmp_path / "main"), "side": str(tmp_path / "side")}
