@@ -35,9 +35,9 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session(args.master, app_name=f"eventide-{args.job}")
     fn = JOBS[args.job]
-    kwargs = {"streaming": True} if args.stream else {}
-    if args.stream and "streaming" not in inspect.signature(fn).parameters:
-        ap.error(f"{args.job} has no streaming form")
+    kwargs = {"live": True} if args.stream else {}
+    if args.stream and "live" not in inspect.signature(fn).parameters:
+        ap.error(f"{args.job} has no live form")
     result = fn(spark, *args.inputs, **kwargs)
     frames = result if isinstance(result, tuple) else (result,)
     for i, df in enumerate(frames):

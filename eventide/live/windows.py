@@ -1,4 +1,4 @@
-"""Streaming forms of the window operators (append mode under a watermark).
+"""Live forms of the window operators (append mode under a watermark).
 
 Inputs must carry a watermark on ``ts`` (``watermarks.with_bounded_watermark``).
 Outputs use the same column names as the batch operators (window bounds in
@@ -89,7 +89,7 @@ def top_n_per_window(counts_stream: DataFrame, n: int, order_col: str, key: str,
 
 
 def windowed_top_n(df: DataFrame, ts: str, key: str, size, slide, n: int, out: str = "cnt") -> DataFrame:
-    """Chained streaming aggregation: counts per (window, key), then top n per window.
+    """Chained live aggregation: counts per (window, key), then top n per window.
 
     The stateful aggregations run in append mode under the same watermark;
     each sees a window once, when the one before emits it. When size is a

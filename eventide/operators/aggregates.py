@@ -28,7 +28,7 @@ def word_count(df: DataFrame, col: str, sep: str = " ", out: str = "cnt") -> Dat
 
 def running_word_count(df: DataFrame, col: str, order: str, sep: str = " ", out: str = "cnt",
                        rows: int | None = None) -> DataFrame:
-    """Per token occurrence, the word's count so far (the streaming word count's
+    """Per token occurrence, the word's count so far (the live word count's
     output when it emits after every element), in (``order``, position) order.
 
     The running count is a two-level scan per (word, bucket of occurrences):

@@ -2,8 +2,8 @@
 
 Every function reads the job's input (header-less CSV or log lines, field
 order as in ``FIXTURES.md``), applies the operators with the job's
-parameters and returns a DataFrame. With ``streaming=True`` the same files
-are read as a file stream with the job's watermark, and the streaming form
+parameters and returns a DataFrame. With ``live=True`` the same files
+are read as a file stream with the job's watermark, and the live form
 of the operator is used; start it with a sink from ``sinks.writers``.
 
 Parameters as in the jobs (fixed values): hot items 1 min windows every
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates, detect, filters, reconcile, topn, windows
 from ..sources.files import parse_access_log, read_delimited, read_lines
-from ..streaming import processors as P
-from ..streaming import watermarks as WM
-from ..streaming import windows as SW
+from ..live import processors as P
+from ..live import watermarks as WM
+from ..live import windows as SW
 
 USER_BEHAVIOR = "user_id BIGINT, item_id BIGINT, category_id INT, behavior STRING, timestamp BIGINT"
 LOGIN_LOG = "user_id BIGINT, ip STRING, event_type STRING, event_time BIGINT"
@@ -37,27 +37,27 @@ SENSOR = "id STRING, ts BIGINT, data DOUBLE"
 ALL_CHANNELS_LABEL = "全部渠道"
 
 
-def _read(spark, path, schema, streaming, ts_col, unit="s", delay="0 seconds", seq: str | None = "seq"):
-    df = read_delimited(spark, path, schema, streaming=streaming)
+def _read(spark, path, schema, live, ts_col, unit="s", delay="0 seconds", seq: str | None = "seq"):
+    df = read_delimited(spark, path, schema, live=live)
     conv = F.timestamp_seconds if unit == "s" else F.timestamp_millis
     df = df.withColumn("ts", conv(F.col(ts_col)))
     if seq:
         # Tie-break among equal timestamps: file position in batch reads; a
         # file stream keeps no line order, so there a content hash is used.
-        df = df.withColumn(seq, F.xxhash64(*[F.col(c) for c in df.columns if c != "ts"]) if streaming
+        df = df.withColumn(seq, F.xxhash64(*[F.col(c) for c in df.columns if c != "ts"]) if live
                            else F.monotonically_increasing_id())
-    if streaming:
+    if live:
         df = WM.with_bounded_watermark(df, "ts", delay)
     return df
 
 
 # ----------------------------------------------------------------- hot items / traffic
 
-def hot_items(spark: SparkSession, path: str, streaming: bool = False, n: int = 3) -> DataFrame:
+def hot_items(spark: SparkSession, path: str, live: bool = False, n: int = 3) -> DataFrame:
     """Top n items by page views per 1 min window sliding by 10 s (one row per ranked item)."""
-    ub = _read(spark, path, USER_BEHAVIOR, streaming, "timestamp", delay="1 second", seq=None)
+    ub = _read(spark, path, USER_BEHAVIOR, live, "timestamp", delay="1 second", seq=None)
     pv = filters.keep_behaviour(ub, "behavior", "pv")
-    if streaming:
+    if live:
         return SW.windowed_top_n(pv, "ts", "item_id", "1 minute", "10 seconds", n)
     counts = windows.sliding_count(pv, "ts", ["item_id"], "1 minute", "10 seconds")
     return topn.top_n_per_window(counts, n, "cnt", "item_id", "window_end")
@@ -68,24 +68,24 @@ def hot_items_report(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
                               "item_id", "views")
 
 
-def network_flow(spark: SparkSession, path: str, streaming: bool = False, n: int = 5) -> DataFrame:
+def network_flow(spark: SparkSession, path: str, live: bool = False, n: int = 5) -> DataFrame:
     """Top n urls per 10 min window sliding by 5 s from an access log."""
-    lines = read_lines(spark, path, streaming=streaming)
+    lines = read_lines(spark, path, live=live)
     logs = parse_access_log(lines).withColumnRenamed("event_time", "ts")
-    if streaming:
+    if live:
         logs = WM.with_bounded_watermark(logs, "ts", "1 second")
     pages = filters.drop_static_assets(logs, "url")
-    if streaming:
+    if live:
         return SW.windowed_top_n(pages, "ts", "url", "10 minutes", "5 seconds", n)
     counts = windows.sliding_count(pages, "ts", ["url"], "10 minutes", "5 seconds")
     return topn.top_n_per_window(counts, n, "cnt", "url", "window_end")
 
 
-def unique_visitors(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def unique_visitors(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Distinct page-viewing users per hour."""
-    ub = _read(spark, path, USER_BEHAVIOR, streaming, "timestamp", seq=None)
+    ub = _read(spark, path, USER_BEHAVIOR, live, "timestamp", seq=None)
     pv = filters.keep_behaviour(ub, "behavior", "pv")
-    if streaming:
+    if live:
         return SW.tumbling_distinct(pv, "ts", "user_id", "1 hour")
     return windows.tumbling_distinct(pv, "ts", "user_id", "1 hour")
 
@@ -105,18 +105,18 @@ def _fail(df):
     return F.col("event_type") == "fail"
 
 
-def login_fail(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def login_fail(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """First fail of each burst of fails drained by the 2 s timers."""
-    df = _read(spark, path, LOGIN_LOG, streaming, "event_time", delay="3 seconds")
-    if streaming:
+    df = _read(spark, path, LOGIN_LOG, live, "event_time", delay="3 seconds")
+    if live:
         return P.burst_stream(df, "user_id", "ts", _fail(df), "2 seconds", "seq")
     return detect.burst_detector(df, "user_id", "ts", _fail(df), "2 seconds", "seq")
 
 
-def login_fail_consecutive(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def login_fail_consecutive(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Warnings for two fails in a row less than 2 s apart."""
-    df = _read(spark, path, LOGIN_LOG, streaming, "event_time", delay="3 seconds")
-    if streaming:
+    df = _read(spark, path, LOGIN_LOG, live, "event_time", delay="3 seconds")
+    if live:
         return P.consecutive_fail_stream(df, "user_id", "ts", _fail(df), "2 seconds", "seq")
     return detect.consecutive_fail(df, "user_id", "ts", _fail(df), "2 seconds", "seq")
 
@@ -129,40 +129,40 @@ def login_fail_pattern(spark: SparkSession, path: str) -> DataFrame:
 
 # ----------------------------------------------------------------- orders
 
-def order_timeout_pattern(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def order_timeout_pattern(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Each create with 'success' (paid within 15 min) or 'timeout'."""
-    df = _read(spark, path, ORDER_LOG, streaming, "event_time")
+    df = _read(spark, path, ORDER_LOG, live, "event_time")
     c, p = F.col("event_type") == "create", F.col("event_type") == "pay"
-    if streaming:
+    if live:
         return P.followed_by_stream(df, "order_id", "ts", c, p, "15 minutes", "seq")
     return detect.pattern_followed_by(df, "order_id", "ts", c, p, "15 minutes", "seq")
 
 
-def order_timeout_alert(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def order_timeout_alert(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """'order timeout' for creates not paid by create + 15 min."""
-    df = _read(spark, path, ORDER_LOG, streaming, "event_time")
+    df = _read(spark, path, ORDER_LOG, live, "event_time")
     c, p = F.col("event_type") == "create", F.col("event_type") == "pay"
-    if streaming:
+    if live:
         return P.deadline_stream(df, "order_id", "ts", c, p, "15 minutes", "seq")
     return detect.deadline_alert(df, "order_id", "ts", c, p, "15 minutes", "seq", single_start=False)
 
 
-def tx_match(spark: SparkSession, orders_path: str, receipts_path: str, streaming: bool = False,
+def tx_match(spark: SparkSession, orders_path: str, receipts_path: str, live: bool = False,
              wait="5 minutes") -> DataFrame:
     """Pays matched with receipts by transaction id (outcome matched / left_only / right_only)."""
-    orders = _read(spark, orders_path, ORDER_LOG, streaming, "event_time")
+    orders = _read(spark, orders_path, ORDER_LOG, live, "event_time")
     pays = filters.non_empty(orders.where(F.col("event_type") == "pay"), "tx_id")
-    receipts = filters.non_empty(_read(spark, receipts_path, RECEIPT_LOG, streaming, "event_time"), "tx_id")
-    if streaming:
+    receipts = filters.non_empty(_read(spark, receipts_path, RECEIPT_LOG, live, "event_time"), "tx_id")
+    if live:
         return P.match_stream(pays, receipts, "tx_id", "ts", "seq", wait)
     return reconcile.reconcile(pays, receipts, "tx_id", "ts", "ts", tiebreak_left="seq", tiebreak_right="seq")
 
 
 # ----------------------------------------------------------------- ads and marketing
 
-def ad_clicks_by_province(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    df = _read(spark, path, AD_CLICK_LOG, streaming, "timestamp", seq=None)
-    if streaming:
+def ad_clicks_by_province(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
+    df = _read(spark, path, AD_CLICK_LOG, live, "timestamp", seq=None)
+    if live:
         return SW.sliding_count(df, "ts", ["province"], "1 hour", "15 seconds")
     return windows.with_bounds(windows.sliding_count(df, "ts", ["province"], "1 hour", "15 seconds"), "text")
 
@@ -175,11 +175,11 @@ def ad_clicks_blacklist(spark: SparkSession, path: str, max_count: int = 100) ->
     return counts, detect.quota_alerts(df, ["user_id", "ad_id"], "ts", max_count, "seq")
 
 
-def marketing_by_channel(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def marketing_by_channel(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Counts per (channel, behaviour) in 1 h windows every 1 s, uninstalls dropped; bounds as text."""
-    df = _read(spark, path, MARKETING, streaming, "timestamp", unit="ms", seq=None)
+    df = _read(spark, path, MARKETING, live, "timestamp", unit="ms", seq=None)
     kept = filters.drop_behaviour(df, "behavior", "UNINSTALL")
-    if streaming:
+    if live:
         return SW.sliding_count(kept, "ts", ["channel", "behavior"], "1 hour", "1 second")
     c = windows.sliding_count(kept, "ts", ["channel", "behavior"], "1 hour", "1 second")
     return windows.with_bounds(c, "text")
@@ -194,16 +194,16 @@ def marketing_total(spark: SparkSession, path: str) -> DataFrame:
 
 # ----------------------------------------------------------------- words and table demos
 
-def word_count(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    lines = read_lines(spark, path, streaming=streaming)
-    if streaming:
+def word_count(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
+    lines = read_lines(spark, path, live=live)
+    if live:
         return SW.word_count(lines)
     return aggregates.word_count(lines, "value")
 
 
-def sensor_tumbling_count(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+def sensor_tumbling_count(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Readings per sensor per 10 s tumbling window (watermark 10 s on streams)."""
-    df = _read(spark, path, SENSOR, streaming, "ts", delay="10 seconds", seq=None)
-    if streaming:
+    df = _read(spark, path, SENSOR, live, "ts", delay="10 seconds", seq=None)
+    if live:
         return SW.tumbling_count(df, "ts", ["id"], "10 seconds")
     return windows.tumbling_count(df, "ts", ["id"], "10 seconds")

@@ -73,6 +73,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """Per-query streaming checkpoint folder below the shared checkpoint dir."""
+    """Per-query live checkpoint folder below the shared checkpoint dir."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/streams/{name}"

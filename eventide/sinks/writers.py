@@ -1,6 +1,6 @@
-"""Sinks for batch and streaming results.
+"""Sinks for batch and live results.
 
-Streaming writers always name a ``checkpointLocation`` under the shared
+Live writers always name a ``checkpointLocation`` under the shared
 checkpoint folder (``session.checkpoint_location``), so a restarted query
 resumes from its offsets and state, and every ``foreachBatch`` writer is
 idempotent per batch id (it overwrites the batch's own output), so a batch

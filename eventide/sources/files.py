@@ -1,4 +1,4 @@
-"""Line and delimited-text sources (batch and streaming).
+"""Line and delimited-text sources (batch and live).
 
 Files are read with Spark's own readers so they split across tasks and prune
 columns; the string-level parsers below serve lines that arrive from another
@@ -14,10 +14,10 @@ from pyspark.sql import types as T
 from ..functions.time import col_of
 
 
-def read_lines(spark: SparkSession, path: str, streaming: bool = False,
+def read_lines(spark: SparkSession, path: str, live: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
     """One row per line, column ``value``."""
-    if streaming:
+    if live:
         r = spark.readStream
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -26,16 +26,16 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
-                   sep: str = ",", streaming: bool = False, mode: str = "FAILFAST",
+                   sep: str = ",", live: bool = False, mode: str = "FAILFAST",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Header-less delimited file read by position with a declared schema.
 
     ``mode='FAILFAST'`` raises on a malformed row (the reference throws);
     ``'PERMISSIVE'`` keeps it with nulls.
     """
-    r = spark.readStream if streaming else spark.read
+    r = spark.readStream if live else spark.read
     r = r.schema(schema).option("sep", sep).option("header", "false").option("mode", mode)
-    if streaming and max_files_per_trigger:
+    if live and max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(path)
 

@@ -3,7 +3,7 @@
 The Kafka connector jar is not part of a plain PySpark install; these
 functions build the reader/writer with the options the jobs use and fail
 at ``load``/``start`` when the connector is missing. Offsets live in the
-streaming checkpoint (exactly-once with idempotent sinks), not in Kafka
+live checkpoint (exactly-once with idempotent sinks), not in Kafka
 consumer-group commits.
 """
 
@@ -25,18 +25,18 @@ def kafka_options(servers: str, topic: str, offsets: str = "latest", group_id: s
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, offsets: str = "latest",
-                 group_id: str | None = None, streaming: bool = True, extra: dict | None = None) -> DataFrame:
+                 group_id: str | None = None, live: bool = True, extra: dict | None = None) -> DataFrame:
     """String key/value records of a topic (plus topic, partition, offset, timestamp)."""
-    r = spark.readStream if streaming else spark.read
+    r = spark.readStream if live else spark.read
     df = r.format("kafka").options(**kafka_options(servers, topic, offsets, group_id, extra)).load()
     return df.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
                      "topic", "partition", "offset", "timestamp")
 
 
 def kafka_table_source(spark: SparkSession, name: str, servers: str, topic: str, schema: T.StructType | str,
-                       offsets: str = "latest", streaming: bool = True) -> DataFrame:
+                       offsets: str = "latest", live: bool = True) -> DataFrame:
     """Topic of CSV rows parsed with a declared schema and registered as ``name``."""
-    raw = kafka_source(spark, servers, topic, offsets, streaming=streaming)
+    raw = kafka_source(spark, servers, topic, offsets, live=live)
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     df = raw.select(F.from_csv("value", ddl).alias("r")).select("r.*")  # undoes the quoting of to_kafka_frame
     df.createOrReplaceTempView(name)

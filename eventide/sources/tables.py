@@ -22,9 +22,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_source(spark: SparkSession, name: str, path: str, schema: T.StructType | str,
-                 fmt: str = "csv", sep: str = ",", streaming: bool = False) -> DataFrame:
+                 fmt: str = "csv", sep: str = ",", live: bool = False) -> DataFrame:
     """Declared-schema file table registered as a temp view ``name``."""
-    r = spark.readStream if streaming else spark.read
+    r = spark.readStream if live else spark.read
     r = r.format(fmt).schema(schema)
     if fmt == "csv":
         r = r.option("sep", sep).option("header", "false")
@@ -37,7 +37,7 @@ def with_event_time(df: DataFrame, col: str, unit: str = "s", out: str = "rowtim
                     watermark_delay: str | None = None) -> DataFrame:
     """Add a rowtime attribute from an epoch column; optionally a bounded watermark.
 
-    The watermark only affects streaming plans (it is a no-op in batch).
+    The watermark only affects live plans (it is a no-op in batch).
     """
     from ..functions.time import to_event_time
     res = df.withColumn(out, to_event_time(col, unit))
@@ -53,7 +53,7 @@ def with_proctime(df: DataFrame, out: str = "proctime") -> DataFrame:
 
 def create_csv_table(spark: SparkSession, name: str, path: str, columns: list[tuple[str, str]],
                      computed: dict[str, str] | None = None, watermark: tuple[str, str] | None = None,
-                     streaming: bool = False) -> DataFrame:
+                     live: bool = False) -> DataFrame:
     """``CREATE TABLE ... WITH (filesystem, csv)`` equivalent.
 
     ``columns`` are (name, SQL type); ``computed`` maps new column names to SQL
@@ -61,10 +61,10 @@ def create_csv_table(spark: SparkSession, name: str, path: str, columns: list[tu
     (column, delay) as in ``WATERMARK FOR rt AS rt - INTERVAL '5' SECOND``.
     """
     ddl = ", ".join(f"{n} {t}" for n, t in columns)
-    df = table_source(spark, f"{name}_raw", path, ddl, "csv", streaming=streaming)
+    df = table_source(spark, f"{name}_raw", path, ddl, "csv", live=live)
     for n, e in (computed or {}).items():
         df = df.withColumn(n, F.expr(e))
-    if watermark and streaming:
+    if watermark and live:
         df = df.withWatermark(*watermark)
     df.createOrReplaceTempView(name)
     return df

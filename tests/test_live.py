@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from fixture_rows import fixture_path, read_fixture
 from eventide.operators import changelog, detect, windows
 from eventide.session import checkpoint_location
-from eventide.streaming import processors as P
-from eventide.streaming import watermarks as WM
-from eventide.streaming import windows as SW
+from eventide.live import processors as P
+from eventide.live import watermarks as WM
+from eventide.live import windows as SW
 
 LOGIN = "user_id BIGINT, ip STRING, event_type STRING, event_time BIGINT, seq BIGINT"
 ORDER = "order_id BIGINT, event_type STRING, tx_id STRING, event_time BIGINT, seq BIGINT"
@@ -61,7 +61,7 @@ def _logins_batch(spark):
 
 
 def test_burst_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,success,1600000000")
+    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,success,1800000000")
     s = _run(P.burst_stream(_stream(spark, path, LOGIN, "timestamp_seconds(event_time)"), "user_id", "ts",
                             F.col("event_type") == "fail", "2 seconds", "seq"))
     b = detect.burst_detector(_logins_batch(spark), "user_id", "ts", F.col("event_type") == "fail", "2 seconds", "seq")
@@ -70,7 +70,7 @@ def test_burst_stream(spark, tmp_path):
 
 
 def test_consecutive_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,success,1600000000")
+    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,success,1800000000")
     s = _run(P.consecutive_fail_stream(_stream(spark, path, LOGIN, "timestamp_seconds(event_time)"), "user_id",
                                        "ts", F.col("event_type") == "fail", "2 seconds", "seq"))
     b = detect.consecutive_fail(_logins_batch(spark), "user_id", "ts", F.col("event_type") == "fail",
@@ -85,7 +85,7 @@ def _orders_batch(spark):
 
 
 def test_followed_by_and_deadline_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "OrderLog.csv", "0,other,,1600000000")
+    path = _split_files(tmp_path, "OrderLog.csv", "0,other,,1800000000")
     src = _stream(spark, path, ORDER, "timestamp_seconds(event_time)")
     is_c, is_p = F.col("event_type") == "create", F.col("event_type") == "pay"
     s = _run(P.followed_by_stream(src, "order_id", "ts", is_c, is_p, "15 minutes", "seq"))
@@ -94,11 +94,11 @@ def test_followed_by_and_deadline_stream(spark, tmp_path):
         sorted((r.order_id, r.seq, r.end_seq, r.outcome) for r in b.collect())
     src2 = _stream(spark, path, ORDER, "timestamp_seconds(event_time)")
     s2 = _run(P.deadline_stream(src2, "order_id", "ts", is_c, is_p, "15 minutes", "seq"))
-    assert sorted(r.order_id for r in s2.collect()) == [34756, 34767]
+    assert sorted(r.order_id for r in s2.collect()) == [52021, 52032]
 
 
 def test_quota_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
     s = _run(P.quota_stream(src, ["user_id", "ad_id"], "ts", 100, "seq")).where("user_id != 0")
     counts = {r.outcome: r["count"] for r in s.groupBy("outcome").count().collect()}
@@ -106,8 +106,8 @@ def test_quota_stream(spark, tmp_path):
 
 
 def test_match_stream(spark, tmp_path):
-    op = _split_files(tmp_path, "OrderLog.csv", "0,other,zzz,1600000000")
-    rp = _split_files(tmp_path, "ReceiptLog.csv", "yyy,none,1600000000")
+    op = _split_files(tmp_path, "OrderLog.csv", "0,other,zzz,1800000000")
+    rp = _split_files(tmp_path, "ReceiptLog.csv", "yyy,none,1800000000")
     pays = _stream(spark, op, ORDER, "timestamp_seconds(event_time)").where(
         (F.col("event_type") == "pay") | (F.col("order_id") == 0))
     receipts = _stream(spark, rp, RECEIPT, "timestamp_seconds(event_time)")
@@ -115,12 +115,12 @@ def test_match_stream(spark, tmp_path):
         ~F.col("tx_id").isin("zzz", "yyy"))
     rows = s.collect()
     assert sum(1 for r in rows if r.outcome == "matched") == 38
-    assert sorted(r.tx_id for r in rows if r.outcome == "left_only") == ["35jue34we", "88snrn932"]
-    assert sorted(r.tx_id for r in rows if r.outcome == "right_only") == ["8fdsfae83", "ewr342as4"]
+    assert sorted(r.tx_id for r in rows if r.outcome == "left_only") == ["tx9676f", "txonly1"]
+    assert sorted(r.tx_id for r in rows if r.outcome == "right_only") == ["txlost01", "txlost02"]
 
 
 def test_changelog_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,sentinel,1600000000")
+    path = _split_files(tmp_path, "LoginLog.csv", "0,0.0.0.0,sentinel,1800000000")
     s = _run(P.changelog_stream(_stream(spark, path, LOGIN, "timestamp_seconds(event_time)"), "event_type",
                                 "ts", "seq")).where("event_type != 'sentinel'")
     b = changelog.count_changelog(_logins_batch(spark), "event_type", "ts", "seq")
@@ -134,7 +134,7 @@ def _clicks_batch(spark):
 
 
 def test_window_streams(spark, tmp_path):
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
     s = _run(SW.sliding_count(src, "ts", ["province"], "1 hour", "15 seconds")).where("province != 'zz_sentinel'")
     b = windows.sliding_count(_clicks_batch(spark), "ts", ["province"], "1 hour", "15 seconds")
@@ -144,15 +144,15 @@ def test_window_streams(spark, tmp_path):
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)").where("province != 'zz_sentinel' or ts_s > 0")
     uv = _run(SW.tumbling_distinct(src, "ts", "user_id", "1 hour"))
     ub = windows.tumbling_distinct(_clicks_batch(spark), "ts", "user_id", "1 hour")
-    got = {(r.window_start, r.uv) for r in uv.collect() if r.window_start < 1600000000 * 10**6 - 3600 * 10**6}
+    got = {(r.window_start, r.uv) for r in uv.collect() if r.window_start < 1800000000 * 10**6 - 3600 * 10**6}
     assert got == {(r.window_start, r.uv) for r in ub.collect()}
 
 
-def test_streaming_top_n(spark, tmp_path):
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1600000000")
+def test_live_top_n(spark, tmp_path):
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
     s = _run(SW.windowed_top_n(src, "ts", "province", "1 hour", "5 minutes", 2))
-    s = s.where(F.col("window_end") < 1600000000 * 10**6 - 3600 * 10**6)
+    s = s.where(F.col("window_end") < 1800000000 * 10**6 - 3600 * 10**6)
     from eventide.operators import topn
     c = windows.sliding_count(_clicks_batch(spark), "ts", ["province"], "1 hour", "5 minutes")
     b = topn.top_n_per_window(c, 2, "cnt", "province", "window_end")
@@ -161,7 +161,7 @@ def test_streaming_top_n(spark, tmp_path):
 
 
 def test_first_seen_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
     s = _run(SW.first_seen(src, "user_id", "ts")).where("user_id != 0")
     b = _clicks_batch(spark).select("user_id", F.floor(F.col("ts_s") / 86400).alias("day")).distinct()
@@ -170,7 +170,7 @@ def test_first_seen_stream(spark, tmp_path):
 
 def test_over_and_row_windows_stream(spark, tmp_path):
     from eventide.operators import over
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,none,none,1800000000")
     clicks = _clicks_batch(spark).withColumn("v", (F.col("ad_id") % 7).cast("double"))
 
     def src():
@@ -199,7 +199,7 @@ def test_over_and_row_windows_stream(spark, tmp_path):
 
 def test_top2_and_hashed_distinct_stream(spark, tmp_path):
     from eventide.operators import aggregates
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)").withColumn("v", (F.col("ad_id") % 97).cast("double"))
     ch = _run(P.top2_stream(src, "province", "ts", "v", "seq")).where("province != 'zz_sentinel'")
     # Replaying the changelog leaves exactly the batch table aggregate.
@@ -214,7 +214,7 @@ def test_top2_and_hashed_distinct_stream(spark, tmp_path):
     hd = _run(SW.hashed_distinct(src, "ts", "user_id", "1 hour"))
     got = {(r.window_start, r.uv) for r in hd.collect() if r.window_start < 1_500_000_000 * 10**6 + 10**15}
     exp = {(r.window_start, r.uv) for r in windows.tumbling_hashed_distinct(clicks, "ts", "user_id", "1 hour").collect()}
-    assert {g for g in got if g[0] < 1600000000 * 10**6 - 3600 * 10**6} == exp
+    assert {g for g in got if g[0] < 1800000000 * 10**6 - 3600 * 10**6} == exp
 
 
 def test_word_count_stream_update(spark, tmp_path):
@@ -223,11 +223,11 @@ def test_word_count_stream_update(spark, tmp_path):
     (src / "a.txt").write_text(open(fixture_path("word.log")).read() + "\n")
     lines = spark.readStream.text(str(src))
     out = _run(SW.word_count(lines), mode="update")
-    assert {r.word: r.cnt for r in out.collect()} == {"hadoop": 2, "java": 1, "scala": 1, "hello": 1, "world": 1}
+    assert {r.word: r.cnt for r in out.collect()} == {"spark": 3, "owl": 2, "night": 1, "plan": 2}
 
 
 def test_running_distinct_stream(spark, tmp_path):
-    from eventide.streaming.running_distinct import running_distinct_stream
+    from eventide.live.running_distinct import running_distinct_stream
     with open(fixture_path("AdClickLog.csv")) as f:
         rows = [ln.strip().split(",") for ln in f if ln.strip()]
     rows = sorted(rows, key=lambda r: int(r[4]))
@@ -255,10 +255,10 @@ def test_running_distinct_stream(spark, tmp_path):
 
 
 def test_quota_then_sliding_count_stream(spark, tmp_path):
-    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1600000000")
+    path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)")
     s = _run(P.quota_then_sliding_count(src, ["user_id", "ad_id"], "ts", 100, "seq", ["province"],
                                         "1 hour", "15 seconds")).where("province != 'zz_sentinel'").collect()
-    assert len(s) == 1995
+    assert len(s) == 4007
     assert sum(r.cnt for r in s) == 29520
-    assert max(r.cnt for r in s) == 102
+    assert max(r.cnt for r in s) == 104
