@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .contract import ALL_CHANNELS_LABEL
 from ..operators import aggregates, detect, filters, reconcile, topn, windows
 from ..sources.files import parse_access_log, read_delimited, read_lines
 from ..live import processors as P
@@ -34,7 +35,7 @@ AD_CLICK_LOG = "user_id BIGINT, ad_id BIGINT, province STRING, city STRING, time
 MARKETING = "user_id STRING, behavior STRING, channel STRING, timestamp BIGINT"
 SENSOR = "id STRING, ts BIGINT, data DOUBLE"
 
-ALL_CHANNELS_LABEL = "全部渠道"
+KEEP = "_keep"
 
 
 def _read(spark, path, schema, live, ts_col, unit="s", delay="0 seconds", seq: str | None = "seq"):
@@ -56,14 +57,23 @@ def _read(spark, path, schema, live, ts_col, unit="s", delay="0 seconds", seq: s
 def hot_items(spark: SparkSession, path: str, live: bool = False, n: int = 3) -> DataFrame:
     """Top n items by page views per 1 min window sliding by 10 s (one row per ranked item)."""
     ub = _read(spark, path, USER_BEHAVIOR, live, "timestamp", delay="1 second", seq=None)
-    pv = filters.keep_behaviour(ub, "behavior", "pv")
     if live:
-        return SW.windowed_top_n(pv, "ts", "item_id", "1 minute", "10 seconds", n)
+        return SW.windowed_top_n(_page_views(ub), "ts", "item_id", "1 minute", "10 seconds", n, keep=KEEP)
+    pv = filters.keep_behaviour(ub, "behavior", "pv")
     counts = windows.sliding_count(pv, "ts", ["item_id"], "1 minute", "10 seconds")
     return topn.top_n_per_window(counts, n, "cnt", "item_id", "window_end")
 
 
-def hot_items_report(spark: SparkSession, path: str, n: int = 3) -> DataFrame:
+def _page_views(ub: DataFrame) -> DataFrame:
+    """On a stream, rows that are no page view are marked and not dropped: they advance event time."""
+    return WM.count_if_keep(ub, F.col("behavior") == "pv", KEEP)
+
+
+def hot_items_report(spark: SparkSession, path: str, live: bool = False, n: int = 3) -> DataFrame:
+    """One text block per window of ``hot_items``."""
+    if live:
+        ub = _read(spark, path, USER_BEHAVIOR, True, "timestamp", delay="1 second", seq=None)
+        return SW.top_n_report(_page_views(ub), "ts", "item_id", "1 minute", "10 seconds", n, "item_id", "views", KEEP)
     return topn.format_report(hot_items(spark, path, False, n), "window_end", "item_id", "cnt", "rank",
                               "item_id", "views")
 
@@ -74,24 +84,33 @@ def network_flow(spark: SparkSession, path: str, live: bool = False, n: int = 5)
     logs = parse_access_log(lines).withColumnRenamed("event_time", "ts")
     if live:
         logs = WM.with_bounded_watermark(logs, "ts", "1 second")
-    pages = filters.drop_static_assets(logs, "url")
     if live:
-        return SW.windowed_top_n(pages, "ts", "url", "10 minutes", "5 seconds", n)
-    counts = windows.sliding_count(pages, "ts", ["url"], "10 minutes", "5 seconds")
-    return topn.top_n_per_window(counts, n, "cnt", "url", "window_end")
+        marked = WM.count_if_keep(logs, F.coalesce(~filters.is_static_asset("url"), F.lit(True)), KEEP)
+        return SW.windowed_top_n(marked, "ts", "url", "10 minutes", "5 seconds", n, keep=KEEP)
+    runs = windows.sliding_runs(filters.drop_static_assets(logs, "url"), "ts", ["url"], "10 minutes", "5 seconds")
+    top = topn.top_n_over_runs(runs, n, "url")
+    start = F.col("w") * 5_000_000
+    return top.withColumn("window_start", start).withColumn("window_end", start + 600_000_000).drop("w")
 
 
 def unique_visitors(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Distinct page-viewing users per hour."""
     ub = _read(spark, path, USER_BEHAVIOR, live, "timestamp", seq=None)
-    pv = filters.keep_behaviour(ub, "behavior", "pv")
     if live:
-        return SW.tumbling_distinct(pv, "ts", "user_id", "1 hour")
+        return SW.tumbling_distinct(_page_views(ub), "ts", "user_id", "1 hour", keep=KEEP)
+    pv = filters.keep_behaviour(ub, "behavior", "pv")
     return windows.tumbling_distinct(pv, "ts", "user_id", "1 hour")
 
 
-def unique_visitors_bitmap(spark: SparkSession, path: str, per_event: bool = True) -> DataFrame:
-    """Bitmap-offset visitor count per hour: per page view (running) or per window."""
+def unique_visitors_bitmap(spark: SparkSession, path: str, per_event: bool = True, live: bool = False) -> DataFrame:
+    """Bitmap-offset visitor count per hour: per page view (running) or per window.
+
+    The live form counts per window; the count per page view on a stream is a
+    sink of its own (``live.running_distinct.running_distinct_stream``).
+    """
+    if live:
+        ub = _read(spark, path, USER_BEHAVIOR, True, "timestamp", seq=None)
+        return SW.hashed_distinct(_page_views(ub), "ts", "user_id", "1 hour", keep=KEEP)
     ub = _read(spark, path, USER_BEHAVIOR, False, "timestamp")
     pv = filters.keep_behaviour(ub, "behavior", "pv")
     if per_event:
@@ -121,8 +140,10 @@ def login_fail_consecutive(spark: SparkSession, path: str, live: bool = False) -
     return detect.consecutive_fail(df, "user_id", "ts", _fail(df), "2 seconds", "seq")
 
 
-def login_fail_pattern(spark: SparkSession, path: str) -> DataFrame:
-    """Pattern: fail directly followed by fail within 2 s."""
+def login_fail_pattern(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
+    """Pattern: fail directly followed by fail within 2 s (on a stream, in event-time order, the consecutive fails)."""
+    if live:
+        return login_fail_consecutive(spark, path, True)
     df = _read(spark, path, LOGIN_LOG, False, "event_time")
     return detect.pattern_next(df, "user_id", "ts", _fail(df), _fail(df), "2 seconds", "seq")
 
@@ -148,14 +169,18 @@ def order_timeout_alert(spark: SparkSession, path: str, live: bool = False) -> D
 
 
 def tx_match(spark: SparkSession, orders_path: str, receipts_path: str, live: bool = False,
-             wait="5 minutes") -> DataFrame:
-    """Pays matched with receipts by transaction id (outcome matched / left_only / right_only)."""
+             wait="1 hour") -> DataFrame:
+    """Pays matched with receipts by transaction id (outcome matched / left_only / right_only), at most ``wait`` apart.
+
+    Batch and stream pair by the same rule (``reconcile`` within a tolerance);
+    ``wait=None`` matches a batch over the whole input.
+    """
     orders = _read(spark, orders_path, ORDER_LOG, live, "event_time")
     pays = filters.non_empty(orders.where(F.col("event_type") == "pay"), "tx_id")
     receipts = filters.non_empty(_read(spark, receipts_path, RECEIPT_LOG, live, "event_time"), "tx_id")
     if live:
         return P.match_stream(pays, receipts, "tx_id", "ts", "seq", wait)
-    return reconcile.reconcile(pays, receipts, "tx_id", "ts", "ts", tiebreak_left="seq", tiebreak_right="seq")
+    return reconcile.reconcile(pays, receipts, "tx_id", "ts", "ts", wait, tiebreak_left="seq", tiebreak_right="seq")
 
 
 # ----------------------------------------------------------------- ads and marketing
@@ -167,8 +192,15 @@ def ad_clicks_by_province(spark: SparkSession, path: str, live: bool = False) ->
     return windows.with_bounds(windows.sliding_count(df, "ts", ["province"], "1 hour", "15 seconds"), "text")
 
 
-def ad_clicks_blacklist(spark: SparkSession, path: str, max_count: int = 100) -> tuple[DataFrame, DataFrame]:
+def ad_clicks_blacklist(spark: SparkSession, path: str, max_count: int = 100, live: bool = False) -> tuple[DataFrame, DataFrame]:
     """(counts per province of the clicks that pass the daily quota, blacklist warnings)."""
+    if live:
+        clicks = _read(spark, path, AD_CLICK_LOG, True, "timestamp")
+        keys = ["user_id", "ad_id"]
+        counts = P.quota_then_sliding_count(clicks, keys, "ts", max_count, "seq", ["province"], "1 hour", "15 seconds")
+        tagged = P.quota_stream(clicks, keys, "ts", max_count, "seq").where(F.col("outcome") == "blocked_first")
+        text = F.lit(f"Click over {max_count} times today.")
+        return counts, tagged.select(*keys, F.col("t_us").alias("blocked_us"), text.alias("msg"))
     df = _read(spark, path, AD_CLICK_LOG, False, "timestamp")
     passed = detect.quota_filter(df, ["user_id", "ad_id"], "ts", max_count, "seq")
     counts = windows.with_bounds(windows.sliding_count(passed, "ts", ["province"], "1 hour", "15 seconds"), "text")
@@ -178,15 +210,23 @@ def ad_clicks_blacklist(spark: SparkSession, path: str, max_count: int = 100) ->
 def marketing_by_channel(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
     """Counts per (channel, behaviour) in 1 h windows every 1 s, uninstalls dropped; bounds as text."""
     df = _read(spark, path, MARKETING, live, "timestamp", unit="ms", seq=None)
-    kept = filters.drop_behaviour(df, "behavior", "UNINSTALL")
     if live:
-        return SW.sliding_count(kept, "ts", ["channel", "behavior"], "1 hour", "1 second")
+        return SW.sliding_count(_installed(df), "ts", ["channel", "behavior"], "1 hour", "1 second", keep=KEEP)
+    kept = filters.drop_behaviour(df, "behavior", "UNINSTALL")
     c = windows.sliding_count(kept, "ts", ["channel", "behavior"], "1 hour", "1 second")
     return windows.with_bounds(c, "text")
 
 
-def marketing_total(spark: SparkSession, path: str) -> DataFrame:
-    df = _read(spark, path, MARKETING, False, "timestamp", unit="ms", seq=None)
+def _installed(df: DataFrame) -> DataFrame:
+    return WM.count_if_keep(df, F.col("behavior") != "UNINSTALL", KEEP)
+
+
+def marketing_total(spark: SparkSession, path: str, live: bool = False) -> DataFrame:
+    """Counts per behaviour over all channels in 1 h windows every 5 s; bounds as text (of a stream as numbers)."""
+    df = _read(spark, path, MARKETING, live, "timestamp", unit="ms", seq=None)
+    if live:
+        c = SW.sliding_count(_installed(df), "ts", ["behavior"], "1 hour", "5 seconds", keep=KEEP)
+        return c.withColumn("channel", F.lit(ALL_CHANNELS_LABEL))
     kept = filters.drop_behaviour(df, "behavior", "UNINSTALL")
     c = windows.with_bounds(windows.sliding_count(kept, "ts", ["behavior"], "1 hour", "5 seconds"), "text")
     return c.withColumn("channel", F.lit(ALL_CHANNELS_LABEL))
