@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,9 +55,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     for paths in _listed:
         paths.append(path)
     df.write.parquet(path)
+    if _listed:
+        _release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _release(spark: SparkSession) -> None:
+    """Let go of what led to a table that is written: Spark removes shuffle files once the driver has collected their owners as garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
