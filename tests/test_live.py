@@ -202,9 +202,9 @@ def test_top2_and_hashed_distinct_stream(spark, tmp_path):
     path = _split_files(tmp_path, "AdClickLog.csv", "0,0,zz_sentinel,none,1800000000")
     src = _stream(spark, path, ADCLICK, "timestamp_seconds(ts_s)").withColumn("v", (F.col("ad_id") % 97).cast("double"))
     ch = _run(P.top2_stream(src, "province", "ts", "v", "seq")).where("province != 'zz_sentinel'")
-    # Replaying the changelog leaves exactly the batch table aggregate.
-    final = {}
-    for r in sorted(ch.collect(), key=lambda r: (r.t_tb, r.is_add)):
+    # Replaying the changelog in event order leaves exactly the batch table aggregate.
+    final, place = {}, {r.seq: (r.ts_s, r.seq) for r in _clicks_batch(spark).collect()}
+    for r in sorted(ch.collect(), key=lambda r: (place[r.t_tb], r.is_add)):
         if r.is_add:
             final[(r.province, r.rank)] = r.temp
     clicks = _clicks_batch(spark).withColumn("v", (F.col("ad_id") % 97).cast("double"))
