@@ -54,8 +54,12 @@ PEER = 0.25
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
+#: Ends a block where no element does; an object of its own, as texts may hold any character.
+BREAK = object()
+
+
 class _Node:
-    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "titles", "depth")
+    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "titles", "depth", "in_article", "in_p")
 
     def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None, mark: str = "") -> None:
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
@@ -63,6 +67,9 @@ class _Node:
         self.parts: list = []
         self.own = self.text = self.linked = self.inner = self.paragraphs = self.titles = 0
         self.depth = 0 if parent is None else parent.depth + 1
+        #: Whether the element or one around it is an article or main, or a p.
+        self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
+        self.in_p = tag == "p" or (parent is not None and parent.in_p)
 
 
 class _Tree(HTMLParser):
@@ -81,15 +88,14 @@ class _Tree(HTMLParser):
             for other in {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}.get(tag, (tag,)):
                 self._close(other, frozenset(("ul", "ol", "dl", "table", "select")))
         if tag in VOID:
-            self.at.parts.append("\n" if tag == "hr" else " ")
+            self.at.parts.append(BREAK if tag == "hr" else " ")
             return
         found = dict(attrs)
         classes = sorted(set((found.get("class") or "").split()))
         name = tag + "".join("." + _DIGITS.sub("0", c).replace("/", "|") for c in classes)
         marks = [*classes, found.get("id") or ""]
         parent = self.at
-        inner = any(p.tag in ("article", "main") for p in _up(parent))
-        skip = parent.skip or tag in SKIP or (tag == "header" and not inner) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
+        skip = parent.skip or tag in SKIP or (tag == "header" and not parent.in_article) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
         mark = ""
         if not skip and tag not in ("body", "html", "article", "main"):
             mark = " ".join(m for m in marks if m and BOILERPLATE.search(m) and not STATE.fullmatch(m))
@@ -106,7 +112,7 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.at.parts.append(" ")
-        elif tag != "p" or any(p.tag == "p" for p in _up(self.at)):
+        elif tag != "p" or self.at.in_p:
             self._close(tag, frozenset(("article", "main", "body", "table")) if tag not in SCOPE else frozenset())
 
     def _close(self, tag: str, stop: frozenset) -> None:
@@ -240,9 +246,9 @@ def blocks(node: _Node, marked: bool = False) -> list[str]:
             stack.pop()
             if open_nodes.pop().tag in BLOCK:
                 flush()
+        elif part is BREAK:
+            flush()
         elif isinstance(part, str):
-            if part == "\n":
-                flush()
             now.append(part)
         elif not (part.never if marked else part.skip):
             if part.tag in BLOCK:

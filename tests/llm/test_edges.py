@@ -110,3 +110,8 @@ def test_url_rules(spark):
     assert [(r["rule"], r["verdict"]) for r in rows] == [
         ("example.org/es/", "block"), ("example.org/en/1", "block"), (None, "allow"), ("org/", "allow"), ("com/de/", "block"), ("com/fr/", "allow"), (None, "block"),
         (None, "allow"), (None, "allow"), ("org/", "allow"), (None, "allow")]
+
+
+def test_a_newline_between_elements_is_a_space():
+    page = "<html><body><article><p>one <b>bold</b>\n<i>it</i> end</p>\n<hr>two<hr>three</article></body></html>"
+    assert html_main_text.extract(page, None).split("\n") == ["one bold it end", "two", "three"]
