@@ -12,6 +12,10 @@ host's, widened to the nearest article or main around it (without one, to what
 encloses the containers with high sums) and to its title. A page's text is then taken from the elements at its host's path, or
 from its own best container where it has none there.
 
+Elements nested more than ``DEPTH`` deep become children of the one at that
+depth, as browsers do, so a page's time and memory grow with its length only;
+no text is lost by it.
+
 Null and empty pages have empty text. Null URLs and URLs without ``://`` share
 the empty host. Repeated rows vote and are answered each time. Further columns
 are carried along; one with the name of a new column is replaced.
@@ -20,6 +24,7 @@ are carried along; one with the name of a new column is replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -54,14 +59,16 @@ PEER = 0.25
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 
+#: Deepest level of the tree; elements opened further inside are siblings there.
+DEPTH = 512
 #: Ends a block where no element does; an object of its own, as texts may hold any character.
 BREAK = object()
 
 
 class _Node:
-    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "titles", "depth", "in_article", "in_p")
+    __slots__ = ("tag", "path", "skip", "never", "mark", "parts", "parent", "own", "text", "linked", "inner", "paragraphs", "titles", "depth", "in_article", "in_p", "opener", "holder")
 
-    def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None, mark: str = "") -> None:
+    def __init__(self, tag: str, path: str, skip: bool, parent: _Node | None, mark: str = "", opener: _Node | None = None) -> None:
         self.tag, self.path, self.skip, self.parent = tag, path, skip, parent
         self.never, self.mark = skip, mark
         self.parts: list = []
@@ -69,7 +76,11 @@ class _Node:
         self.depth = 0 if parent is None else parent.depth + 1
         #: Whether the element or one around it is an article or main, or a p.
         self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
-        self.in_p = tag == "p" or (parent is not None and parent.in_p)
+        #: The element that was open when this one began, which lies further in than the parent beyond DEPTH.
+        self.opener = opener
+        self.in_p = tag == "p" or (opener is not None and opener.in_p)
+        #: The nearest container around it.
+        self.holder = parent if parent is not None and parent.tag in CONTAINER else parent.holder if parent is not None else None
 
 
 class _Tree(HTMLParser):
@@ -80,9 +91,11 @@ class _Tree(HTMLParser):
         self.root = self.at = _Node("", "", False, None)
         self.nodes = [self.root]
         self.containers: list[_Node] = []
+        self._paths: dict[tuple[str, str], str] = {}
+        self._open: Counter[str] = Counter()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in CLOSES_P:
+        if tag in CLOSES_P and self.at.in_p:
             self._close("p", SCOPE)
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
             for other in {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}.get(tag, (tag,)):
@@ -94,12 +107,14 @@ class _Tree(HTMLParser):
         classes = sorted(set((found.get("class") or "").split()))
         name = tag + "".join("." + _DIGITS.sub("0", c).replace("/", "|") for c in classes)
         marks = [*classes, found.get("id") or ""]
-        parent = self.at
+        parent = self.at if self.at.depth < DEPTH else self.at.parent
         skip = parent.skip or tag in SKIP or (tag == "header" and not parent.in_article) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
         mark = ""
         if not skip and tag not in ("body", "html", "article", "main"):
             mark = " ".join(m for m in marks if m and BOILERPLATE.search(m) and not STATE.fullmatch(m))
-        node = _Node(tag, f"{parent.path}/{name}", skip, parent, mark)
+        path = self._paths.setdefault((parent.path, name), f"{parent.path}/{name}")
+        node = _Node(tag, path, skip, parent, mark, self.at)
+        self._open[tag] += 1
         parent.parts.append(node)
         self.nodes.append(node)
         self.at = node
@@ -116,12 +131,17 @@ class _Tree(HTMLParser):
             self._close(tag, frozenset(("article", "main", "body", "table")) if tag not in SCOPE else frozenset())
 
     def _close(self, tag: str, stop: frozenset) -> None:
-        for node in _up(self.at):
-            if node.tag == tag and node.parent is not None:
-                self.at = node.parent
-                return
+        if not self._open[tag]:
+            return
+        node = self.at
+        while node.opener is not None and node.tag != tag:
             if node.tag in stop:
                 return
+            node = node.opener
+        if node.opener is not None:
+            while self.at is not node.opener:
+                self._open[self.at.tag] -= 1
+                self.at = self.at.opener
 
     def handle_data(self, data: str) -> None:
         self.at.parts.append(data)
@@ -153,11 +173,9 @@ class _Tree(HTMLParser):
             if n.tag in CONTAINER:
                 self.containers.append(n)
             if n.tag in ("p", "pre", "blockquote", "h1", "h2", "h3"):
-                for up in _up(n.parent):
-                    up.paragraphs += 1
-                    if up.tag in CONTAINER:
-                        up.titles += n.tag == "h1"
-                        break
+                if n.holder is not None:
+                    n.holder.paragraphs += 1
+                    n.holder.titles += n.tag == "h1"
 
     def _count(self) -> None:
         """Text and linked text of all elements, and the most unlinked text of an article or main that they hold."""
@@ -173,10 +191,15 @@ class _Tree(HTMLParser):
             n.parent.inner = max(n.parent.inner, n.inner, n.text - n.linked if n.tag in ("article", "main") else 0)
 
 
-def _up(node: _Node | None) -> Iterator[_Node]:
-    while node is not None:
-        yield node
-        node = node.parent
+def _tops(tree: _Tree, path: str) -> list[_Node]:
+    """Containers at ``path`` that lie in no other element of that path."""
+    inside, tops = set(), []
+    for n in tree.nodes[1:]:
+        if n.path == path or id(n.parent) in inside:
+            inside.add(id(n))
+            if n.path == path and id(n.parent) not in inside and n.tag in CONTAINER and not n.skip:
+                tops.append(n)
+    return tops
 
 
 def parse(html: str) -> _Tree:
@@ -264,13 +287,11 @@ def extract(html: str, path: str | None) -> str:
     tree = parse(html)
     found: list[str] = []
     if path:
-        inside = [n for n in tree.containers if n.path == path]
-        tops = [n for n in inside if not any(u.path == path for u in _up(n.parent))]
-        found = [b for n in tops for b in blocks(n)]
+        found = [b for n in _tops(tree, path) for b in blocks(n)]
     if not found and (own := scored(tree)) and own[0][1]:
         wide = [widening(own[0][0], own[0][1], 1, *x) for x in own]
         path = widened(own[0][0], min(x for x, _ in wide), max(x for _, x in wide))
-        found = [b for n in tree.containers if n.path == path and not any(u.path == path for u in _up(n.parent)) for b in blocks(n)]
+        found = [b for n in _tops(tree, path) for b in blocks(n)]
     if not found:
         found = blocks(tree.root) or blocks(tree.root, marked=True)
     return "\n".join(found)

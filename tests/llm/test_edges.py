@@ -115,3 +115,23 @@ def test_url_rules(spark):
 def test_a_newline_between_elements_is_a_space():
     page = "<html><body><article><p>one <b>bold</b>\n<i>it</i> end</p>\n<hr>two<hr>three</article></body></html>"
     assert html_main_text.extract(page, None).split("\n") == ["one bold it end", "two", "three"]
+
+
+def test_deeply_nested_tags_cost_linear_time():
+    import time
+
+    from eventide.llm.html_main_text import DEPTH, extract
+
+    took = []
+    for n in (10_000, 40_000):
+        for tag in ("div", "span", "li"):
+            html = "<article><p>first</p>" + f"<{tag}>in " * n + "deep" + f"</{tag}>" * n + "<p>last</p></article><div class='sidebar'>other</div>"
+            start = time.process_time()
+            text = extract(html, None)
+            took.append(time.process_time() - start)
+            assert text.startswith("first") and text.endswith("last") and "other" not in text
+            assert text.split().count("in") == n and text.split().count("deep") == 1
+    assert sum(took[3:]) < 12 * sum(took[:3])  # four times the length; quadratic would be sixteen
+    # what follows the closings of folded elements is outside of them
+    n = DEPTH + 50
+    assert extract("<article>" + "<div>" * n + "a" + "</div>" * n + "<p>b <b>c</b>\n<i>d</i></p></article>", None) == "a\nb c d"
