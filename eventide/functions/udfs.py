@@ -10,7 +10,9 @@
   emitting n rows per group (U4): an ``Accumulator`` (create / add / merge /
   result) runs in two phases - per-partition partial accumulators in
   ``mapInPandas``, then a merge of at most one partial per partition and key
-  in ``applyInPandas`` - so a group is never held whole by one task.
+  in ``applyInPandas`` - so a group is never held whole by one task. From SQL
+  the same accumulators are called as two table functions over a ``TABLE``
+  argument (``register_aggregate``).
 """
 
 from __future__ import annotations
@@ -109,10 +111,13 @@ def register_split(spark: SparkSession, separator: str = "#", name: str = "split
 class Accumulator:
     """Aggregate-function contract: create, add a batch of values, merge, result.
 
-    ``state`` is JSON-serialisable; ``result`` returns a list of output tuples
-    (one for an aggregate function, n for a table aggregate function).
+    The state is JSON-serialisable and, for SQL calls, a value of the Spark type
+    ``state_type``; ``result`` returns a list of output tuples (one for an
+    aggregate function, n for a table aggregate function).
     """
 
+    state_type = "string"
+
     def create(self):
         raise NotImplementedError
 
@@ -129,6 +134,8 @@ class Accumulator:
 class AvgTemp(Accumulator):
     """Long sum / int count with truncating division."""
 
+    state_type = "array<bigint>"
+
     def create(self):
         return [0, 0]
 
@@ -150,33 +157,33 @@ class AvgTemp(Accumulator):
 DOUBLE_MIN = -1.7976931348623157e308
 
 
-class Top2(Accumulator):
-    """Highest and second highest value (duplicates count); emits (value, rank) twice."""
+class TopK(Accumulator):
+    """The ``k`` highest values (duplicates count); emits (value, rank) ``k`` times, missing ones as the smallest double."""
 
-    def create(self):
-        return [DOUBLE_MIN, DOUBLE_MIN]
+    def __init__(self, k: int):
+        self.k = int(k)
 
-    def _push(self, acc, x):
-        hi, second = acc
-        if x > hi:
-            return [x, hi]
-        if x > second:
-            return [hi, x]
-        return acc
+    state_type = "array<double>"
+
+    def create(self):
+        return [DOUBLE_MIN] * self.k
 
     def add(self, acc, values):
         v = values[~pd.isna(values)].astype("float64")
-        for x in np.sort(v)[-2:]:
-            acc = self._push(acc, float(x))
-        return acc
+        return self.merge(acc, np.partition(v, -self.k)[-self.k:].tolist() if len(v) > self.k else v.tolist())
 
     def merge(self, a, b):
-        for x in b:
-            a = self._push(a, x)
-        return a
+        return sorted([*a, *b], reverse=True)[:self.k]
 
     def result(self, acc):
-        return [(acc[0], 1), (acc[1], 2)]
+        return [(v, rank) for rank, v in enumerate(acc, start=1)]
+
+
+class Top2(TopK):
+    """Highest and second highest value."""
+
+    def __init__(self):
+        super().__init__(2)
 
 
 def aggregate_with(df: DataFrame, keys, value: str, acc: Accumulator, out_schema: str) -> DataFrame:
@@ -237,3 +244,94 @@ def register_avg_temp(spark: SparkSession, name: str = "avg_temp"):
         return a.result(a.add(a.create(), v.to_numpy()))[0][0]
     spark.udf.register(name, _avg)
     return _avg
+
+
+#: A task of a partial table function holds the states of at most this many keys, then passes them on.
+PARTIAL_KEYS = 50_000
+#: Values that a task holds back to add them to their states in one go.
+PARTIAL_VALUES = 8_192
+
+
+def make_aggregate_udtfs(acc: Accumulator, out_schema: str):
+    """Two table functions for SQL: partial states per task, and their merge per key.
+
+    The input's last column is the value, the columns before it are the key.
+    ``partial`` runs wherever the rows are, without a shuffle, and emits one
+    state per key (again after PARTIAL_KEYS keys); ``merge`` is partitioned by
+    the key columns and sees states only, so no task holds a group's rows.
+    """
+    from pyspark.sql.functions import udtf
+    from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, PartitioningColumn
+
+    state_type = T._parse_datatype_string(acc.state_type)
+    out_fields = list(T._parse_datatype_string(out_schema).fields)
+
+    @udtf
+    class Partial:
+        @staticmethod
+        def analyze(rows: AnalyzeArgument) -> AnalyzeResult:
+            return AnalyzeResult(T.StructType([*rows.dataType.fields[:-1], T.StructField("acc", state_type)]))
+
+        def __init__(self):
+            self.states, self.values, self.held = {}, {}, 0
+
+        def eval(self, row):
+            *key, value = row
+            self.values.setdefault(tuple(key), []).append(value)
+            self.held += 1
+            if self.held >= PARTIAL_VALUES:
+                self._add()
+                if len(self.states) >= PARTIAL_KEYS:
+                    yield from self._states()
+
+        def _add(self):
+            for key, values in self.values.items():
+                state = self.states[key] if key in self.states else acc.create()
+                self.states[key] = acc.add(state, np.array(values, dtype=object))
+            self.values, self.held = {}, 0
+
+        def _states(self):
+            states, self.states = self.states, {}
+            for key, state in states.items():
+                yield (*key, state)
+
+        def terminate(self):
+            self._add()
+            yield from self._states()
+
+    @udtf
+    class Merge:
+        @staticmethod
+        def analyze(rows: AnalyzeArgument) -> AnalyzeResult:
+            keys = rows.dataType.fields[:-1]
+            return AnalyzeResult(T.StructType([*keys, *out_fields]),
+                                 partitionBy=[PartitioningColumn(f"`{f.name}`") for f in keys],
+                                 withSinglePartition=not keys)
+
+        def __init__(self):
+            self.key = self.state = None
+
+        def eval(self, row):
+            *key, state = row
+            self.state = acc.merge(acc.create() if self.key is None else self.state, list(state))
+            self.key = tuple(key)
+
+        def terminate(self):
+            if self.key is not None:
+                for out in acc.result(self.state):
+                    yield (*self.key, *out)
+
+    return Partial, Merge
+
+
+def register_aggregate(spark: SparkSession, acc: Accumulator, name: str, out_schema: str) -> str:
+    """Register ``acc`` for SQL as the table functions ``<name>_partial`` and ``<name>``::
+
+        SELECT * FROM <name>(TABLE(SELECT * FROM <name>_partial(TABLE(SELECT key, value FROM t))))
+
+    Returns that statement with ``{rows}`` in place of the innermost query.
+    """
+    partial, merge = make_aggregate_udtfs(acc, out_schema)
+    spark.udtf.register(f"{name}_partial", partial)
+    spark.udtf.register(name, merge)
+    return f"SELECT * FROM {name}(TABLE(SELECT * FROM {name}_partial(TABLE({{rows}}))))"

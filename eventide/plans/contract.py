@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import udfs
 from ..functions.hashing import hash_code as _hash_code
 from ..functions.time import duration_us, epoch_us
 from ..operators import aggregates, changelog as chg, detect, filters, lateral, over, reconcile, topn, windows
@@ -443,6 +444,48 @@ def top2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.top2(ev, "user_id", "value", "temp", "rank")
 
 
+# ------------------------------------------------------------ user functions called from SQL text
+
+def hash_code_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    driver_table(spark, sf_dir, "part").createOrReplaceTempView("part_sql")
+    udfs.register_hash_code(spark, 10, "hash_code_10")
+    return spark.sql("SELECT p_partkey, p_brand, hash_code_10(p_brand) AS hash_code FROM part_sql")
+
+
+def split_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 in a LATERAL join: rows without words are left out."""
+    driver_table(spark, sf_dir, "part").createOrReplaceTempView("part_sql")
+    udfs.register_split(spark, "#", "split_hash")
+    return spark.sql("SELECT p_partkey, word, length FROM part_sql, LATERAL split_hash(nullif(p_brand, 'Brand#13'))")
+
+
+def split_outer_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 in a LEFT JOIN LATERAL: rows without words stay, with nulls."""
+    driver_table(spark, sf_dir, "part").createOrReplaceTempView("part_sql")
+    udfs.register_split(spark, "#", "split_hash")
+    return spark.sql("SELECT p_partkey, word, length FROM part_sql "
+                     "LEFT JOIN LATERAL split_hash(nullif(p_brand, 'Brand#13')) ON true")
+
+
+def avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    driver_table(spark, sf_dir, "events").createOrReplaceTempView("events_sql")
+    call = udfs.register_aggregate(spark, udfs.AvgTemp(), "avg_temp_of", "avg_temp BIGINT")
+    return spark.sql(call.format(rows="SELECT event_type, CAST(value * 100 AS BIGINT) AS v FROM events_sql"))
+
+
+def top2_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    driver_table(spark, sf_dir, "events").createOrReplaceTempView("events_sql")
+    call = udfs.register_aggregate(spark, udfs.Top2(), "top2_of", "temp DOUBLE, rank INT")
+    return spark.sql(call.format(rows="SELECT user_id, value FROM events_sql"))
+
+
+def top40_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More ranks than some (user, type) groups have rows, so that missing ranks occur."""
+    driver_table(spark, sf_dir, "events").createOrReplaceTempView("events_sql")
+    call = udfs.register_aggregate(spark, udfs.TopK(40), "top40_of", "temp DOUBLE, rank INT")
+    return spark.sql(call.format(rows="SELECT user_id, event_type, value FROM events_sql"))
+
+
 def first_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
     f = detect.first_seen_daily(ev, "user_id", "ts", "event_id")
@@ -507,6 +550,12 @@ QUERIES = {
     "hash_code": hash_code,
     "avg_long": avg_long,
     "top2": top2,
+    "hash_code_sql": hash_code_sql,
+    "split_sql": split_sql,
+    "split_outer_sql": split_outer_sql,
+    "avg_sql": avg_sql,
+    "top2_sql": top2_sql,
+    "top40_sql": top40_sql,
     "first_daily": first_daily,
     "changelog": changelog,
 }

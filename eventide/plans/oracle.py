@@ -338,8 +338,8 @@ def _over(frame: str, order: str, cnt: str, total: str) -> str:
             f"FROM {EV} e WINDOW w AS (PARTITION BY user_id ORDER BY {order} {frame})")
 
 
-def _split_rows(outer: bool) -> str:
-    arr = _jvm_split("p_brand", "#")
+def _split_rows(outer: bool, text: str = "p_brand") -> str:
+    arr = _jvm_split(text, "#")
     if outer:
         arr = f"(CASE WHEN {arr} IS NULL OR len({arr}) = 0 THEN [NULL]::VARCHAR[] ELSE {arr} END)"
     return (f"SELECT p_partkey, word, CAST(length(word) AS INTEGER) AS length "
@@ -351,7 +351,27 @@ def _rows_numbered() -> str:
             f"FROM {EV} e)")
 
 
+def _top_rows(k: int) -> str:
+    """The k highest values per (user, type), ranks without a value as the smallest double."""
+    return f"""
+WITH r AS (SELECT user_id, event_type, value,
+                  row_number() OVER (PARTITION BY user_id, event_type ORDER BY value DESC) AS rn
+           FROM events WHERE value IS NOT NULL),
+g AS (SELECT DISTINCT user_id, event_type FROM events),
+k AS (SELECT CAST(range AS INTEGER) AS rank FROM range(1, {k + 1}))
+SELECT g.user_id, g.event_type, coalesce(r.value, -1.7976931348623157e308) AS temp, k.rank
+FROM g CROSS JOIN k
+LEFT JOIN r ON r.user_id IS NOT DISTINCT FROM g.user_id AND r.event_type IS NOT DISTINCT FROM g.event_type AND r.rn = k.rank
+"""
+
+
 def oracle_sql() -> dict[str, str]:
+    sql = _operator_sql()
+    # called from SQL text: the answers of the native forms
+    return sql | {"hash_code_sql": sql["hash_code"], "avg_sql": sql["avg_long"], "top2_sql": sql["top2"]}
+
+
+def _operator_sql() -> dict[str, str]:
     hour, day = HOUR, DAY
     return {
         "hot_items": hot_items_sql(),
@@ -436,6 +456,9 @@ FROM g GROUP BY user_id, sid
         "over_rows_10": _over("ROWS BETWEEN 10 PRECEDING AND CURRENT ROW", "us, event_id", "rows_cnt", "rows_sum"),
         "split_inner": _split_rows(False),
         "split_outer": _split_rows(True),
+        "split_sql": _split_rows(False, "nullif(p_brand, 'Brand#13')"),
+        "split_outer_sql": _split_rows(True, "nullif(p_brand, 'Brand#13')"),
+        "top40_sql": _top_rows(40),
         "hash_code": f"""
 WITH h AS (SELECT p_partkey, p_brand, {_java_hash('p_brand')} * 10 AS x FROM part),
 u AS (SELECT p_partkey, p_brand, ((x % 4294967296) + 4294967296) % 4294967296 AS u FROM h)
