@@ -26,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -43,6 +44,9 @@ BLOCK = frozenset("address article blockquote body center dd details div dl dt f
 CONTAINER = frozenset("article main section div td body".split())
 CLOSES_P = BLOCK - {"body", "html"}
 SCOPE = frozenset("article section div td th li body main aside nav header footer blockquote table ul ol dl".split())
+#: Elements that an opening one of the same list or table ends, and what holds them.
+ENDS = {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}
+LISTS = frozenset("ul ol dl table select".split())
 #: Words in class, id or role names that mark menus, notices, adverts, comments and the like.
 BOILERPLATE = re.compile(
     r"(?:^|[-_ ])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|popup|modal|overlay"
@@ -83,6 +87,14 @@ class _Node:
         self.holder = parent if parent is not None and parent.tag in CONTAINER else parent.holder if parent is not None else None
 
 
+@lru_cache(maxsize=20_000)
+def _named(tag: str, classes: str, ident: str) -> tuple[str, str]:
+    """An element's step in a generalised path, and its names that mark boilerplate; pages of a site repeat them."""
+    each = sorted(set(classes.split()))
+    name = tag + "".join("." + _DIGITS.sub("0", c).replace("/", "|") for c in each)
+    return name, " ".join(m for m in (*each, ident) if m and BOILERPLATE.search(m) and not STATE.fullmatch(m))
+
+
 class _Tree(HTMLParser):
     """Element tree of a page, with the closings that HTML implies."""
 
@@ -98,20 +110,19 @@ class _Tree(HTMLParser):
         if tag in CLOSES_P and self.at.in_p:
             self._close("p", SCOPE)
         if tag in ("li", "dd", "dt", "td", "th", "tr", "option"):
-            for other in {"dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}.get(tag, (tag,)):
-                self._close(other, frozenset(("ul", "ol", "dl", "table", "select")))
+            for other in ENDS.get(tag, (tag,)):
+                self._close(other, LISTS)
         if tag in VOID:
             self.at.parts.append(BREAK if tag == "hr" else " ")
             return
         found = dict(attrs)
-        classes = sorted(set((found.get("class") or "").split()))
-        name = tag + "".join("." + _DIGITS.sub("0", c).replace("/", "|") for c in classes)
-        marks = [*classes, found.get("id") or ""]
+        classes, ident = found.get("class") or "", found.get("id") or ""
+        # the table of names stays small: long ones are not kept
+        name, mark = (_named if len(classes) + len(ident) < 500 else _named.__wrapped__)(tag, classes, ident)
         parent = self.at if self.at.depth < DEPTH else self.at.parent
         skip = parent.skip or tag in SKIP or (tag == "header" and not parent.in_article) or (found.get("role") or "").lower() in _ROLES or "hidden" in found
-        mark = ""
-        if not skip and tag not in ("body", "html", "article", "main"):
-            mark = " ".join(m for m in marks if m and BOILERPLATE.search(m) and not STATE.fullmatch(m))
+        if skip or tag in ("body", "html", "article", "main"):
+            mark = ""
         path = self._paths.setdefault((parent.path, name), f"{parent.path}/{name}")
         node = _Node(tag, path, skip, parent, mark, self.at)
         self._open[tag] += 1
