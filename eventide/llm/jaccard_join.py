@@ -9,19 +9,29 @@ n1) shingles of some partition; that one is dealt into n2 second-level
 partitions, and a signature is made of every subset of n2 - k2 of them, one of
 which both sets have in common. A set makes the signatures of its own band, and
 of the next one if a partner can be that large. So all similar pairs share a
-signature; the shared ones are then checked against the whole sets.
-
-Equal sets are one class from the start. Pairs inside a signature's bucket are
-not written out: each bucket compares its members with its hub, the most
+signature, and ``spare`` more of them, a number of the band that every signature
+holds. The pairs found are checked against the whole sets.
+
+Equal sets are one class from the start. A bucket of up to ``CROWD`` members is
+written out as pairs. Larger ones come from passages that many texts share: a
+member with no more than ``spare`` signatures in such buckets leaves them, as it
+meets each similar set in a small bucket too. Of the members that stay, pairs
+are not written out: each bucket compares them with its hub, the most
 connected one (most companions over all its buckets). Two members that are
 similar to the hub are in one component; other similar members must differ from
 the hub in the same shingles, so a prefix-filtered join of these differences
-finds all of them (see ``_differences``), and they are checked in turn.
+finds all of them (see ``_differences``).
+
+Pairs are first held against sketches: one bit for each of as many cells as a
+set has shingles, set if an odd number of them fall into it. Every shingle in
+which two sets differ changes one bit, so sets whose sketches differ in more
+bits than the sets may differ in shingles are not similar. What is left is
+checked against the whole sets.
 
 Texts with fewer words than a shingle are one shingle; those without words (or
 null) have an empty set and link with nothing. Repeated rows, also of one
 doc_id, are rows of the same class. Rows with a null doc_id link with nothing and
-have a null component. An empty table gives an empty result. are not read.
+have a null component. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide.llm.common import RollingHash, lower_ascii, materialize, mix, slices, table, utf8, words
@@ -43,6 +53,10 @@ BAND = 1.5
 SMALL_BAND = 200
 #: How often the domain is dealt anew for sets with many empty partitions.
 SEEDS = 8
+#: Most signatures (below 16) that a similar pair shares beyond the first.
+SPARE = 15
+#: Most members of a bucket that is written out as pairs.
+CROWD = 32
 #: Most ids that are broadcast to pick the texts of candidates; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -116,7 +130,8 @@ class PartEnum:
         own = self._most(len(g) + min(top, len(g) * self.den // self.num))
         if own == 0:
             return []
-        n1, n2 = -(-(k + 1) // 2) + 1 + k // 40, 3 if top <= SMALL_BAND else 2  # k2 = 1: differences spoil at most k // 2 partitions
+        spare = min(SPARE, 1 + k // 32)
+        n1, n2 = -(-(k + 1) // 2) + 1 + k // 40 + spare, 3 if top <= SMALL_BAND else 2  # k2 = 1: differences spoil at most k // 2 partitions
         usual = top / (n1 * n2) * (n2 - 1)  # shingles behind a signature
         least = 3 if usual >= 8 else 2 if usual >= 6 else 1
         out = []
@@ -131,19 +146,29 @@ class PartEnum:
             sums = sums.reshape(n1, n2)
             held = np.bincount(cell.astype(np.int64), minlength=n1 * n2).reshape(n1, n2)
             place = mix((np.arange(n1, dtype=np.uint64) + np.uint64(1)) * _GOLD + base)
-            full = np.ones(n1, bool)
+            full, made = np.ones(n1, bool), []
             for j, subset in enumerate([(0, 1), (0, 2), (1, 2)] if n2 == 3 else [(0,), (1,)]):
                 s = place + np.uint64(j + 1)
                 for c in subset:
                     s = mix(s * _GOLD + sums[:, c])
                 filled = held[:, subset].sum(axis=1) >= least
                 full &= filled
-                out.append(s[filled])
-            # Partitions with few shingles are alike in many sets, so they make no signature. A similar pair still shares one if either
-            # set has more full partitions than differences can spoil; else both sets deal the domain again with the next seed.
-            if full.sum() > own // 2:
+                made.append((s, filled))
+            # Partitions with few shingles are alike in many sets, so they make no signature. Differences spoil at most own // 2 full
+            # partitions, so a set may end at its full partition number own // 2 + 1 + spare: of a similar pair, the set that ends first
+            # shares signatures in spare + 1 partitions at least, all of which the other set has too. A set with fewer full partitions
+            # deals the domain again with the next seed.
+            enough = np.flatnonzero(np.cumsum(full) == own // 2 + 1 + spare)[:1] + 1
+            end = int(enough[0]) if len(enough) else n1
+            out += [_noted(s[:end][filled[:end]], spare) for s, filled in made]
+            if len(enough):
                 return out
-        return [*out, mix(np.array([base], np.uint64))]
+        return [*out, _noted(mix(base + np.arange(spare + 1, dtype=np.uint64)), spare)]
+
+
+def _noted(signatures: np.ndarray, spare: int) -> np.ndarray:
+    """Signatures with ``spare`` in their last four bits."""
+    return signatures & np.uint64(2**64 - 16) | np.uint64(spare)
 
 
 def _set_hash(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -158,16 +183,38 @@ def _lists(values: list[np.ndarray] | np.ndarray, sizes: np.ndarray) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.view(np.int64)))
 
 
+def _sketches(grams: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """For each set as many bits as it has shingles (as a power of two, 64 at least): the parities of its shingles by hash."""
+    cells, out = mix(grams ^ np.uint64(0x5851F42D4C957F2D)), []
+    for size, end in zip(sizes.tolist(), np.cumsum(sizes).tolist()):
+        bits = max(64, 1 << max(0, size - 1).bit_length())
+        held = np.bincount((cells[end - size : end] & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+        out.append(np.packbits((held & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the length of the shorter: at most the shingles in which the sets differ."""
+    a, b = (x, y) if len(x) <= len(y) else (y, x)
+    bits, v = 8 * len(b), int.from_bytes(b, "big")
+    while bits > 8 * len(a):
+        bits //= 2
+        v = (v >> bits) ^ (v & ((1 << bits) - 1))
+    return (v ^ int.from_bytes(a, "big")).bit_count()
+
+
 def _described(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, cid, n) of every row; cid is a hash of the set."""
+    """(doc_id, cid, n, sketch) of every row; cid is a hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, "text"):
                 grams, sizes = shingle_sets(b.column("text"), n)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(_set_hash(grams, sizes)), pa.array(sizes)], names=["doc_id", "cid", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id").cast(pa.int64()), pa.array(_set_hash(grams, sizes)), pa.array(sizes), pa.array(_sketches(grams, sizes), pa.binary())],
+                    names=["doc_id", "cid", "n", "sketch"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, cid bigint, n bigint")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, cid bigint, n bigint, sketch binary")
 
 
 def _signed(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -207,20 +254,28 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10)
     rows = materialize(_described(docs, n), "sets")
     # a class is a set; its node is its smallest doc_id
     classes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("cid", "n").agg(F.min("doc_id").alias("node"))
-    entries = _signed(docs, n, num, den)
-    shared = entries.groupBy("sig").agg(F.count("*").alias("m")).where("m > 1").select("sig")  # also those of copies of one set, which end as buckets of one
-    found = entries.join(shared, "sig").select("sig", "cid", "n").distinct()
-    bucket = materialize(found.join(classes, ["cid", "n"]).select("sig", "node", "n", "cid"), "buckets")
-    size = bucket.groupBy("sig").agg(F.count("*").alias("size"))
-    central = bucket.select("sig", "node").join(size, "sig").groupBy("node").agg(F.sum("size").alias("central"))
-    ranked = bucket.join(central, "node")
+    sig = Window.partitionBy("sig")
+    entries = _signed(docs, n, num, den).select("sig", "cid", "n", *[f(c).over(sig).alias(f"{k}_{c}") for c in ("cid", "n") for k, f in (("least", F.min), ("most", F.max))])
+    shared = entries.where("least_cid <> most_cid OR least_n <> most_n").select("sig", "cid", "n").distinct()  # not those that only copies of one set have
+    met = shared.withColumn("m", F.count("*").over(sig))
+    bucket = materialize(met.join(classes, ["cid", "n"]).select("sig", "m", "node", "n", "cid"), "buckets")
+    members = bucket.select(F.col("node").alias("doc_id"), "cid").distinct()
+    sketches = materialize(rows.join(members, ["doc_id", "cid"]).select(F.col("doc_id").alias("node"), "cid", "sketch").distinct(), "sketches")
+    near = _verified(docs, n, num, den, materialize(_likely(_paired(bucket.where(F.col("m") <= CROWD), num, den), sketches, num, den), "near"))
+    near = materialize(near, "links")
+
+    crowded = bucket.where(F.col("m") > CROWD)
+    held = crowded.groupBy("node").agg(F.count("*").alias("c"), F.min(F.col("sig").bitwiseAND(15)).alias("spare")).where("c > spare").select("node")
+    stay = materialize(crowded.join(held, "node"), "crowded")
+    central = stay.groupBy("node").agg(F.sum("m").alias("central"))
+    ranked = stay.join(central, "node")
     hubs = ranked.groupBy("sig").agg(F.max(F.struct("central", F.negative("node").alias("k"), "node", "n", "cid")).alias("hub"))
     stars = ranked.join(hubs, "sig").where("node <> hub.node").select(
         F.col("node").alias("a"), F.col("n").alias("na"), F.col("cid").alias("ca"), F.col("hub.node").alias("b"), F.col("hub.n").alias("nb"), F.col("hub.cid").alias("cb"))
     told = materialize(_differences(docs, n, num, den, materialize(stars.distinct(), "stars")), "differences")
-    first = told.where("linked").select("a", "b")
+    first = near.unionByName(told.where("linked").select("a", "b"))
     comp = materialize(components(first), "components")
-    rest = materialize(_verified(docs, n, num, den, materialize(_met(told, comp, num, den), "pairs")), "links")
+    rest = materialize(_verified(docs, n, num, den, materialize(_likely(_met(told, comp, num, den), sketches, num, den), "pairs")), "links")
     known = components(first.unionByName(rest))
 
     named = classes.join(known, "node", "left").select("cid", "n", F.coalesce("comp", "node").alias("component_id"))
@@ -230,6 +285,31 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 9, den: int = 10)
     )
 
 
+def _paired(buckets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, na, ca, b, nb, cb) of members of one bucket."""
+    x, y = buckets.alias("x"), buckets.alias("y")
+    return (
+        x.join(y, "sig").where("x.node < y.node").where(f"least(x.n, y.n) * {den} >= greatest(x.n, y.n) * {num}")
+        .select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("x.cid").alias("ca"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"), F.col("y.cid").alias("cb"))
+        .distinct()
+    )
+
+
+def _likely(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sketches do not rule out that they are similar."""
+    names = pairs.columns
+    for x in "ab":
+        pairs = pairs.join(sketches.select(F.col("node").alias(x), F.col("cid").alias(f"c{x}"), F.col("sketch").alias(f"s{x}")), [x, f"c{x}"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("sa", "sb", "na", "nb")]
+            likely = [_apart(sa, sb) <= (na + nb) * (den - num) // (den + num) for sa, sb, na, nb in zip(*columns)]
+            yield batch.select(names).filter(pa.array(likely, pa.bool_()))
+
+    return pairs.select(*names, "sa", "sb").mapInArrow(run, ", ".join(f"{c} bigint" for c in names))
+
+
 def _with_sets(docs: DataFrame, n: int, pairs: DataFrame) -> DataFrame:
     """``pairs`` (a, na, ca, b, nb, cb) with both whole sets."""
     sides = [pairs.select(F.col(x).alias("node"), F.col(f"c{x}").alias("cid")) for x in "ab"]

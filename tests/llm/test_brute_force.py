@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from eventide.llm import decontamination, jaccard_join, quality_rules, segmentation, suffix_dedup, suffix_runs, token_counts, toxicity
+from eventide.llm.common import listed_tables
 
 SF = "/root/testdata/sf0.01"
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,6 +48,69 @@ def test_jaccard_components(spark, n, num, den):
     assert got == {i: (len(sets[i]), find(i)) for i in sets}
 
 
+def _components_of(spark, texts, num, den):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    return {r[0]: r[2] for r in jaccard_join.jaccard_components(docs, 1, num, den).collect()}
+
+
+@pytest.mark.parametrize("crowd", [32, 2])
+def test_jaccard_components_of_sets_with_common_parts(spark, monkeypatch, crowd):
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    rnd = random.Random(11)
+    common, texts = [f"c{i}" for i in range(30)], []
+    for k in range(90):  # unlike sets that share a part, each with up to two sets at the limit of similarity
+        own = [f"t{k}x{i}" for i in range(rnd.randint(8, 120))]
+        whole = common + own
+        texts.append(whole)
+        for c in range(rnd.randint(0, 2)):
+            cut = rnd.sample(whole, len(whole) - len(whole) // rnd.choice([6, 9, 10, 12]))
+            texts.append(cut + [f"n{k}x{c}x{i}" for i in range(rnd.randint(0, len(cut) // 12))])
+    sets, root = [set(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for j in range(len(sets)):
+        for i in range(j):
+            if len(sets[i] & sets[j]) * 5 >= len(sets[i] | sets[j]) * 4:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    assert _components_of(spark, [" ".join(t) for t in texts], 4, 5) == {i: find(i) for i in range(len(sets))}
+
+
+@pytest.mark.parametrize("num,den", [(4, 5), (9, 10)])
+def test_similar_sets_share_more_than_the_spare_signatures(num, den):
+    rng, enum, met = np.random.default_rng(3), jaccard_join.PartEnum(num, den), 0
+    for size in [*range(5, 60, 4), *range(60, 700, 45)]:
+        for _ in range(6):
+            x = rng.integers(0, 2**63, size, dtype=np.uint64)
+            gone = int(rng.integers(0, size * (den - num) // den + 1))
+            new = max(0, (size - gone) * den // num - size)  # the most that may come instead
+            if gone + new == 0:
+                continue
+            y = np.concatenate([x[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)])
+            assert (size - gone) * den >= (size + new) * num
+            both_sets, sizes = np.concatenate([x, y]), np.array([size, len(y)])
+            a, b = enum.signatures(both_sets, sizes)
+            shared = np.intersect1d(a, b)
+            assert len(shared) > int((shared & np.uint64(15)).min())
+            assert jaccard_join._apart(*jaccard_join._sketches(both_sets, sizes)) <= gone + new
+            met += 1
+    assert met > 50
+
+
+def test_unlike_sets_with_a_common_part_are_not_compared_by_shingle(spark):
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(25)]
+    texts = [" ".join([*common, *(f"t{k}x{i}" for i in range(rnd.randint(240, 250)))]) for k in range(400)]
+    with listed_tables() as paths:
+        assert _components_of(spark, texts, 4, 5) == {i: i for i in range(len(texts))}
+    told = spark.read.parquet(next(p for p in paths if "/differences-" in p))
+    assert (told.selectExpr("sum(size(first))").first()[0] or 0) < 10_000  # 75 053 when every bucket compared its members with its hub
+
+
 @pytest.mark.parametrize("length,hot", [(400, 20_000), (60, 20_000), (60, 3)])
 def test_repeated_strings(spark, length, hot):
     docs = _docs(spark)
