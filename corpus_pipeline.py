@@ -28,6 +28,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 SHINGLE, NUM, DEN = 5, 4, 5
 #: Bytes of a repeated passage: somewhat less than 50 short words.
 PASSAGE = 240
+#: Most rows that a stage hands to Python at once (Spark's own default is 10 000): a batch of whole texts is held by the task on both sides.
+BATCH_ROWS = 1_000
 
 
 _written: list[str] = []
@@ -39,6 +41,8 @@ def stage(f):
     @wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_tables(spark, _written)
+        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         with listed_tables() as paths:
             kept = f(spark, docs, sf_dir)
         _written.extend(paths)

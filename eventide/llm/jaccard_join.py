@@ -44,7 +44,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import RollingHash, lower_ascii, materialize, mix, slices, table, utf8, words
+from eventide.llm.common import SMALL_SLICE, RollingHash, lower_ascii, materialize, mix, slices, table, utf8, words
 from eventide.llm.components import components
 
 #: Largest size of a band over its smallest.
@@ -208,7 +208,7 @@ def _described(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", SMALL_SLICE):
                 grams, sizes = shingle_sets(b.column("text"), n)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").cast(pa.int64()), pa.array(_set_hash(grams, sizes)), pa.array(sizes), pa.array(_sketches(grams, sizes), pa.binary())],
@@ -223,7 +223,7 @@ def _signed(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enum = PartEnum(num, den)
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", SMALL_SLICE):
                 grams, sizes = shingle_sets(b.column("text"), n)
                 sigs = enum.signatures(grams, sizes)
                 yield pa.RecordBatch.from_arrays(
@@ -240,7 +240,7 @@ def _sets(docs: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, "text"):
+            for b in slices(batch, "text", SMALL_SLICE):
                 grams, sizes = shingle_sets(b.column("text"), n)
                 cid = pa.array(_set_hash(grams, sizes))
                 same = pa.compute.equal(cid, b.column("own"))  # another row of that doc_id may have another text

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from eventide.llm.common import RollingHash, mix, slices, table, utf8, words
+from eventide.llm.common import SMALL_SLICE, RollingHash, mix, slices, table, utf8, words
 
 #: Frequent function words of four languages.
 COMMON_WORDS = (
@@ -156,7 +156,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str | None, np.ndarray] = {}
         for batch in batches:
-            for b in slices(batch, text):
+            for b in slices(batch, text, SMALL_SLICE):
                 f = features(b.column(text))
                 ok = ~base_failed(f)
                 scaled = np.concatenate(
@@ -194,7 +194,7 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in slices(batch, text):
+            for b in slices(batch, text, SMALL_SLICE):
                 f = features(b.column(text))
                 failed = base_failed(f)
                 langs = b.column(lang).cast(pa.string()).to_pylist()
